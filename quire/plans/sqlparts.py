@@ -91,3 +91,65 @@ qm AS (
 qrels AS (
   SELECT qm.query_id, qm.doc_id FROM qm JOIN nq USING (query_id)
   WHERE CAST(qm.m AS DOUBLE) >= CAST({share!r} AS DOUBLE) * nq.nq)"""
+
+
+def run_cte(model: str, param: float, cut: int, name: str = "run") -> str:
+    """CTEs ``{name}_sc`` and ``{name}``: the top-``cut`` run of one model
+    (needs INDEX_CTES, QUERY_CTES and FEAT_CTE before it)."""
+    w = weight_sql(model, f"CAST({param!r} AS DOUBLE)")
+    return f"""
+{name}_sc AS (
+  SELECT query_id, doc_id, round(sum(qtf * ({w})), 6) AS score
+  FROM feat GROUP BY query_id, doc_id),
+{name} AS (
+  SELECT * FROM (
+    SELECT query_id, doc_id, score,
+           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::BIGINT AS rk
+    FROM {name}_sc) WHERE rk <= {cut})"""
+
+
+def metrics_ctes(run: str = "run", qrels: str = "qrels", queries: str = "qsel") -> str:
+    """CTEs tagged, cum, agg, judged, m: per-query P/AP/recall/RR of ``run``."""
+    return f"""
+jq AS (SELECT DISTINCT query_id, doc_id FROM {qrels}),
+tagged AS (
+  SELECT r.query_id, r.rk, r.doc_id, r.score,
+         (CASE WHEN j.doc_id IS NULL THEN 0 ELSE 1 END)::BIGINT AS rel
+  FROM {run} r LEFT JOIN jq j ON j.query_id = r.query_id AND j.doc_id = r.doc_id),
+cum AS (
+  SELECT *, sum(rel) OVER (PARTITION BY query_id ORDER BY rk
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_rel
+  FROM tagged),
+agg AS (
+  SELECT query_id, count(*) AS n_hits, sum(rel) AS n_rel_ret,
+         sum(CASE WHEN rel = 1 THEN cum_rel::DOUBLE / rk END) AS sum_prec,
+         min(CASE WHEN rel = 1 THEN rk END) AS first_rel
+  FROM cum GROUP BY query_id),
+judged AS (SELECT query_id, count(*) AS n_rel FROM jq GROUP BY query_id),
+m AS (
+  SELECT j.query_id, coalesce(a.n_hits, 0)::BIGINT AS n_hits,
+    CASE WHEN coalesce(a.n_hits, 0) > 0
+         THEN round(coalesce(a.n_rel_ret, 0)::DOUBLE / a.n_hits, 9) ELSE 0.0 END AS p,
+    CASE WHEN coalesce(a.n_rel_ret, 0) > 0
+         THEN round(a.sum_prec / a.n_hits, 9) ELSE 0.0 END AS ap,
+    CASE WHEN coalesce(a.n_hits, 0) > 0
+         THEN round(coalesce(a.n_rel_ret, 0)::DOUBLE / j.n_rel, 9) ELSE 0.0 END AS recall,
+    CASE WHEN coalesce(a.n_rel_ret, 0) > 0
+         THEN round(1.0 / a.first_rel, 9) ELSE 0.0 END AS rr
+  FROM (SELECT DISTINCT query_id FROM {queries}) s
+  JOIN judged j ON j.query_id = s.query_id
+  LEFT JOIN agg a ON a.query_id = s.query_id)"""
+
+
+def eval_sql(select: str, model: str = "jm", param: float = 0.5, cut: int = 10,
+             share: float = 0.4) -> str:
+    """WITH index, queries, features, run, derived qrels, metrics -> ``select``."""
+    return f"""
+WITH {INDEX_CTES},
+{QUERY_CTES},
+{FEAT_CTE},
+{run_cte(model, param, cut)},
+{qrels_cte(share)},
+qsel AS (SELECT item_id AS query_id FROM benchmark),
+{metrics_ctes()}
+{select}"""
