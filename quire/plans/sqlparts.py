@@ -153,3 +153,83 @@ WITH {INDEX_CTES},
 qsel AS (SELECT item_id AS query_id FROM benchmark),
 {metrics_ctes()}
 {select}"""
+
+
+# Tuning grids (as SQL literals).
+GRID_SQL = {
+    "jm": "0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0",
+    "dirichlet": "0, 200, 400, 600, 800, 1000, 1500, 2000, 2500, 3000, 4000",
+}
+METRIC_SQL = {"P": "p", "MAP": "ap", "R": "recall", "MRR": "rr"}
+
+
+def tuning_ctes(model: str, metric: str, cut: int = 10, prefix: str = "") -> str:
+    """CTEs for a whole tuning job over all benchmark queries and all grid
+    values: ``{prefix}mv`` (param, query_id, value, split), ``{prefix}best``
+    (best_param, best_mean) and ``{prefix}test`` (query_id, value, best_param).
+    Needs INDEX_CTES, QUERY_CTES, FEAT_CTE and the qrels CTE before it."""
+    x = prefix
+    vals = ", ".join(f"(CAST({v} AS DOUBLE))" for v in GRID_SQL[model].split(", "))
+    w = weight_sql(model, "g.param")
+    col = METRIC_SQL[metric]
+    return f"""
+{x}grid AS (SELECT * FROM (VALUES {vals}) AS t(param)),
+{x}gsc AS (
+  SELECT g.param, query_id, doc_id, round(sum(qtf * ({w})), 6) AS score
+  FROM feat CROSS JOIN {x}grid g GROUP BY g.param, query_id, doc_id),
+{x}grun AS (
+  SELECT * FROM (
+    SELECT param, query_id, doc_id, score,
+           row_number() OVER (PARTITION BY param, query_id ORDER BY score DESC, doc_id)::BIGINT AS rk
+    FROM {x}gsc) WHERE rk <= {cut}),
+{x}jq AS (SELECT DISTINCT query_id, doc_id FROM qrels),
+{x}cum AS (
+  SELECT r.param, r.query_id, r.rk,
+         (CASE WHEN j.doc_id IS NULL THEN 0 ELSE 1 END) AS rel,
+         sum(CASE WHEN j.doc_id IS NULL THEN 0 ELSE 1 END) OVER (
+           PARTITION BY r.param, r.query_id ORDER BY r.rk
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_rel
+  FROM {x}grun r LEFT JOIN {x}jq j ON j.query_id = r.query_id AND j.doc_id = r.doc_id),
+{x}agg AS (
+  SELECT param, query_id, count(*) AS n_hits, sum(rel) AS n_rel_ret,
+         sum(CASE WHEN rel = 1 THEN cum_rel::DOUBLE / rk END) AS sum_prec,
+         min(CASE WHEN rel = 1 THEN rk END) AS first_rel
+  FROM {x}cum GROUP BY param, query_id),
+{x}judged AS (SELECT query_id, count(*) AS n_rel FROM {x}jq GROUP BY query_id),
+{x}rng AS (
+  SELECT min(item_id) AS lo, max(item_id) AS hi, (min(item_id) + max(item_id)) // 2 AS mid
+  FROM benchmark),
+{x}mall AS (
+  SELECT g.param, j.query_id,
+    CASE WHEN coalesce(a.n_hits, 0) > 0
+         THEN round(coalesce(a.n_rel_ret, 0)::DOUBLE / a.n_hits, 9) ELSE 0.0 END AS p,
+    CASE WHEN coalesce(a.n_rel_ret, 0) > 0
+         THEN round(a.sum_prec / a.n_hits, 9) ELSE 0.0 END AS ap,
+    CASE WHEN coalesce(a.n_hits, 0) > 0
+         THEN round(coalesce(a.n_rel_ret, 0)::DOUBLE / j.n_rel, 9) ELSE 0.0 END AS recall,
+    CASE WHEN coalesce(a.n_rel_ret, 0) > 0
+         THEN round(1.0 / a.first_rel, 9) ELSE 0.0 END AS rr
+  FROM {x}judged j CROSS JOIN {x}grid g
+  LEFT JOIN {x}agg a ON a.query_id = j.query_id AND a.param = g.param),
+{x}mv AS (
+  SELECT m.param, m.query_id, m.{col} AS value,
+         CASE WHEN m.query_id <= r.mid THEN 'train' ELSE 'test' END AS split
+  FROM {x}mall m CROSS JOIN {x}rng r),
+{x}means AS (
+  SELECT param, round(avg(value), 9) AS mean FROM {x}mv WHERE split = 'train' GROUP BY param),
+{x}best AS (
+  SELECT param AS best_param, mean AS best_mean FROM {x}means
+  ORDER BY mean DESC, param ASC LIMIT 1),
+{x}test AS (
+  SELECT v.query_id, v.value, b.best_param
+  FROM {x}mv v JOIN {x}best b ON v.param = b.best_param WHERE v.split = 'test')"""
+
+
+def tuning_sql(model: str, metric: str, select: str, cut: int = 10) -> str:
+    return f"""
+WITH {INDEX_CTES},
+{QUERY_CTES},
+{FEAT_CTE},
+{qrels_cte(0.4)},
+{tuning_ctes(model, metric, cut)}
+{select}"""
