@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.joins import broadcast_if_small
 
 METRICS = ("p", "ap", "recall", "rr")
 # names used by the tuning job and its reports
@@ -54,13 +53,19 @@ def judged_counts(qrels: DataFrame, distinct: bool = True) -> DataFrame:
 
 def metrics(run: DataFrame, qrels: DataFrame, queries: DataFrame, keys=(),
             denominator: str = "returned", distinct_judgements: bool = True,
-            strict: bool = False) -> DataFrame:
+            strict: bool = False, key_values: DataFrame | None = None) -> DataFrame:
     """(keys..., query_id, n_hits, p, ap, recall, rr) for every selected
     query that has judgements (every query with ``strict=False`` dropping
     the unjudged ones; ``strict=True`` raises when one is unjudged).
 
     ``run`` has (keys..., query_id, rk, doc_id); ``queries`` is the selected
     query set (one row per query_id); zero-hit queries come from it.
+    ``key_values`` lists the key combinations (e.g. a parameter grid, bounded
+    by construction); by default they are read from the run.
+
+    Joins between derived tables are left to AQE, which turns them into
+    broadcast joins at run time when the measured side is small and keeps the
+    shuffle join otherwise.
     """
     keys = list(keys)
     tagged = running_precision(tag_relevance(run, qrels), keys)
@@ -75,9 +80,10 @@ def metrics(run: DataFrame, qrels: DataFrame, queries: DataFrame, keys=(),
         missing = qsel.join(judged, "query_id", "left_anti").limit(1).count()
         if missing:
             raise ValueError("a selected query has no relevance judgements")
-    base = qsel.join(broadcast_if_small(judged), "query_id")
+    base = qsel.join(judged, "query_id")
     if keys:
-        base = base.crossJoin(broadcast_if_small(run.select(*keys).distinct(), 10_000))
+        kv = key_values if key_values is not None else run.select(*keys).distinct()
+        base = base.crossJoin(F.broadcast(kv.select(*keys)))
     m = base.join(agg, [*keys, "query_id"], "left")
     n = F.coalesce(F.col("n_hits"), F.lit(0))
     rel = F.coalesce(F.col("n_rel_ret"), F.lit(0))

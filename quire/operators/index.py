@@ -43,6 +43,15 @@ class Index:
 
 # ---------------------------------------------------------------- analysis
 
+def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
+    """One row per token. ``explode_outer`` + a null filter instead of
+    ``explode``: for ``explode`` the optimizer infers ``size(arr) > 0`` and
+    pushes it below the projection, which inlines the tokeniser and runs the
+    regular expression twice per text."""
+    return (df.select(*keep, F.explode_outer(arr_col).alias("term"))
+            .filter(F.col("term").isNotNull()))
+
+
 def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id",
                 text_col: str = "contents", stop_words: DataFrame | None = None,
                 stop_list: tuple[str, ...] | None = None) -> DataFrame:
@@ -56,14 +65,14 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     arr = token_array(F.col(text_col), analyzer, stop_list)
     base = df.select(F.col(id_col), arr.alias("_toks"))
     if stop_words is not None:
-        toks = base.select(id_col, F.explode("_toks").alias("term"))
+        toks = explode_terms(base, [id_col])
         toks = remove_stop_words(toks, stop_words)
         tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
         dl = tf.groupBy(id_col).agg(F.sum("tf").alias("dl"))
         out = tf.join(dl, id_col)
     else:
         base = base.withColumn("dl", F.size("_toks").cast("bigint"))
-        out = (base.select(id_col, "dl", F.explode("_toks").alias("term"))
+        out = (explode_terms(base, [id_col, "dl"])
                .groupBy(id_col, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     stem = stemmer_for(analyzer)
     if stem is not None:

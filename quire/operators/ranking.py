@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.index import Index, term_counts
-from quire.operators.joins import broadcast_if_small, fits_broadcast, salted_join
+from quire.operators.joins import fits_broadcast, salted_join
 
 MODELS = ("jm", "dirichlet", "boolean", "bm25")
 
@@ -119,7 +119,9 @@ def score(index: Index, qterms: DataFrame, grid: DataFrame, k1: float = BM25_K1,
     """
     cands = candidates(index, qterms)
     corpus = index.corpus.select("n_tokens", F.col("n_docs_nonempty").alias("_n"), "avgdl")
-    feats = cands.crossJoin(F.broadcast(corpus)).crossJoin(broadcast_if_small(grid, 10_000))
+    # corpus is one row; the grid is a literal list or a per-model aggregate
+    # (bounded by construction), so both are broadcast without a count job
+    feats = cands.crossJoin(F.broadcast(corpus)).crossJoin(F.broadcast(grid))
     w = _weight(F.col("model"), F.col("param"), F.col("tf"), F.col("dl"), F.col("df"),
                 F.col("cf"), F.col("n_tokens"), F.col("_n"), F.col("avgdl"), k1, b)
     scored = (feats.select("model", "param", "query_id", "doc_id",

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from quire.operators.evaluation import DECIMALS, METRIC_COLUMN, metrics
 from quire.operators.index import Index
 from quire.operators.ranking import DIRICHLET_GRID, JM_GRID, grid_frame, rank_grid
-from quire.operators.joins import broadcast_if_small
 
 GRIDS = {"jm": JM_GRID, "dirichlet": DIRICHLET_GRID}
 
@@ -49,7 +48,7 @@ def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: st
     col = METRIC_COLUMN[metric]
     g = grid_frame(train.sparkSession, model, grid or GRIDS[model])
     runs = rank_grid(index, train, g, cut)
-    m = metrics(runs, qrels, train, keys=("model", "param"))
+    m = metrics(runs, qrels, train, keys=("model", "param"), key_values=g)
     return m.select("model", "param", "query_id", F.col(col).alias("value"))
 
 
@@ -84,8 +83,8 @@ def test_metrics(index: Index, test: DataFrame, qrels: DataFrame, best: DataFram
     parameter; the one-row ``best`` table is the grid of the test job."""
     col = METRIC_COLUMN[metric]
     g = best.select("model", F.col("best_param").alias("param"))
-    runs = rank_grid(index, test, broadcast_if_small(g, 10), cut)
-    m = metrics(runs, qrels, test, keys=("model", "param"))
+    runs = rank_grid(index, test, g, cut)
+    m = metrics(runs, qrels, test, keys=("model", "param"), key_values=g)
     return m.select("query_id", F.col(col).alias("value"), F.col("param").alias("best_param"))
 
 

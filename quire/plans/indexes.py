@@ -17,7 +17,7 @@ from quire.operators.index import Index, build_index, open_index
 from quire.session import path_exists, work_dir
 from quire.sources.tables import documents
 
-_BUILT: dict[tuple, str] = {}
+_BUILT: dict[tuple, Index] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, analyzer: str) -> tuple:
@@ -33,9 +33,9 @@ def _key(spark: SparkSession, sf_dir: str, analyzer: str) -> tuple:
 def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -> Index:
     """The persisted index of ``documents`` under ``sf_dir``."""
     key = _key(spark, sf_dir, analyzer)
-    path = _BUILT.get(key)
-    if path and path_exists(spark, f"{path}/stats"):
-        return open_index(spark, path, analyzer)
+    cached = _BUILT.get(key)
+    if cached is not None and path_exists(spark, f"{cached.path}/stats"):
+        return cached
     digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/index-{analyzer}-{digest}"
     if path_exists(spark, f"{path}/stats"):
@@ -43,5 +43,5 @@ def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -
     else:
         idx = build_index(spark, documents(spark, sf_dir), analyzer, path,
                           text_col="contents", stored=("source", "lang"))
-    _BUILT[key] = path
+    _BUILT[key] = idx
     return idx

@@ -40,8 +40,9 @@ def derived_qrels(queries: DataFrame, postings: DataFrame, min_share: float = 0.
     the postings, then a count per (query, document) with partial aggregation;
     no pair of query and document is formed unless they share a term.
     """
-    qt = (queries.select("query_id", F.explode(F.array_distinct(
-            token_array(F.lower("text"), analyzer))).alias("term")))
+    qt = (queries.select("query_id", F.explode_outer(F.array_distinct(
+            token_array(F.lower("text"), analyzer))).alias("term"))
+          .filter(F.col("term").isNotNull()))
     nq = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("nq"))
     hits = (join_small(postings.select("doc_id", "term"), qt, "term")
             .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
