@@ -43,6 +43,16 @@ class Index:
 
 # ---------------------------------------------------------------- analysis
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Tokenising is CPU-bound in the scan stage. When the input has fewer
+    splits than task slots (a few large files), spread the rows first; on a
+    large input (many more splits than slots) nothing is shuffled."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(2 * slots)
+    return df
+
+
 def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
     """One row per token. ``explode_outer`` + a null filter instead of
     ``explode``: for ``explode`` the optimizer infers ``size(arr) > 0`` and
@@ -120,7 +130,7 @@ def build_index(spark: SparkSession, docs: DataFrame, analyzer: str = "standard"
     kept in the ``docs`` table (fetched later for hits only).
     """
     path = path or scratch_path(spark, f"index-{analyzer}")
-    postings = term_counts(docs, analyzer, "doc_id", text_col, stop_words)
+    postings = term_counts(spread_input(docs), analyzer, "doc_id", text_col, stop_words)
     # sorting by term inside each file gives long dictionary runs in parquet
     postings.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
     keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])

@@ -86,49 +86,61 @@ def candidates(index: Index, qterms: DataFrame) -> DataFrame:
     return salted_join(postings, qstats, "term", spread_col="doc_id")
 
 
-def _weight(model: Column, param: Column, tf: Column, dl: Column, df: Column, cf: Column,
-            n_tokens: Column, n_docs: Column, avgdl: Column, k1: float, b: float) -> Column:
+def weight(model: str, param: float, tf: Column, dl: Column, df: Column, cf: Column,
+           n_tokens: Column, n_docs: Column, avgdl: Column, k1: float = BM25_K1,
+           b: float = BM25_B) -> Column:
+    """Per-posting weight of one model with a *literal* parameter, so Catalyst
+    folds the constants and no branch on the parameter is evaluated per row.
+    Edge values are decided here, not per row: lambda = 0 is the boolean model
+    (tuning grids only), mu = 0 scores 0."""
     tf_d, dl_d = tf.cast("double"), dl.cast("double")
     p = (cf.cast("double") + F.lit(1.0)) / (n_tokens.cast("double") + F.lit(1.0))
-    jm = F.when(param == 0.0, F.lit(1.0)).otherwise(
-        F.log(F.lit(1.0) + ((F.lit(1.0) - param) * tf_d / dl_d) / (param * p)))
-    dirichlet = F.when(param == 0.0, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0),
-                   F.log(F.lit(1.0) + tf_d / (param * p)) + F.log(param / (dl_d + param))))
-    df_d = df.cast("double")
-    idf = F.log(F.lit(1.0) + (n_docs.cast("double") - df_d + F.lit(0.5)) / (df_d + F.lit(0.5)))
-    bm25 = idf * tf_d / (tf_d + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl_d / avgdl))
-    return (F.when(model == "jm", jm).when(model == "dirichlet", dirichlet)
-            .when(model == "boolean", F.lit(1.0)).when(model == "bm25", bm25))
-
-
-def grid_frame(spark, model: str, params) -> DataFrame:
-    """A small (model, param) table; fixed size, safe to broadcast."""
-    rows = [(model, float(p)) for p in params]
-    return spark.createDataFrame(rows, "model string, param double")
-
-
-def score(index: Index, qterms: DataFrame, grid: DataFrame, k1: float = BM25_K1,
+    if model == "boolean" or (model == "jm" and param == 0.0):
+        return F.lit(1.0)
+    if model == "jm":
+        lam = F.lit(float(param))
+        return F.log(F.lit(1.0) + ((F.lit(1.0) - lam) * tf_d / dl_d) / (lam * p))
+    if model == "dirichlet":
+        if param == 0.0:
+            return F.lit(0.0)
+        mu = F.lit(float(param))
+        return F.greatest(F.lit(0.0),
+                          F.log(F.lit(1.0) + tf_d / (mu * p)) + F.log(mu / (dl_d + mu)))
+    if model == "bm25":
+        df_d = df.cast("double")
+        idf = F.log(F.lit(1.0) + (n_docs.cast("double") - df_d + F.lit(0.5)) / (df_d + F.lit(0.5)))
+        return idf * tf_d / (tf_d + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl_d / avgdl))
+    raise ValueError(f"unknown model {model!r}; choose from {MODELS}")
+
+
+def score(index: Index, qterms: DataFrame, model: str, params, k1: float = BM25_K1,
           b: float = BM25_B) -> DataFrame:
-    """(model, param, query_id, doc_id, score) for every matching document.
+    """(model, param, query_id, doc_id, score) for every matching document and
+    every parameter value.
 
-    ``grid`` is a (model, param) table: a literal grid or the one-row result of
-    a tuning job (no value is collected to the driver). It is joined last, after
-    the features are assembled, so the postings scan and the term join are
-    shared by all parameter values.
+    All parameter values are computed in the same pass: one weight column per
+    value, summed in one grouped aggregate keyed by (query_id, doc_id), then
+    unpivoted. The candidate volume is shuffled once whatever the grid size,
+    and there is no cross join with the grid.
     """
+    params = [float(x) for x in params]
     cands = candidates(index, qterms)
+    # one-row statistics table (a global aggregate): the broadcast is bounded
     corpus = index.corpus.select("n_tokens", F.col("n_docs_nonempty").alias("_n"), "avgdl")
-    # corpus is one row; the grid is a literal list or a per-model aggregate
-    # (bounded by construction), so both are broadcast without a count job
-    feats = cands.crossJoin(F.broadcast(corpus)).crossJoin(F.broadcast(grid))
-    w = _weight(F.col("model"), F.col("param"), F.col("tf"), F.col("dl"), F.col("df"),
-                F.col("cf"), F.col("n_tokens"), F.col("_n"), F.col("avgdl"), k1, b)
-    scored = (feats.select("model", "param", "query_id", "doc_id",
-                           (F.col("qtf").cast("double") * w).alias("w"))
-              .groupBy("model", "param", "query_id", "doc_id")
-              .agg(F.round(F.sum("w"), SCORE_DECIMALS).alias("score")))
-    return scored
+    feats = cands.crossJoin(F.broadcast(corpus))
+    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), F.col("n_tokens"),
+            F.col("_n"), F.col("avgdl"), k1, b)
+    qtf = F.col("qtf").cast("double")
+    sums = [F.sum(qtf * weight(model, v, *args)).alias(f"_s{i}") for i, v in enumerate(params)]
+    agg = feats.groupBy("query_id", "doc_id").agg(*sums)
+    if len(params) == 1:
+        long = agg.select(F.lit(params[0]).alias("param"), "query_id", "doc_id",
+                          F.col("_s0").alias("_s"))
+    else:
+        pairs = ", ".join(f"CAST({v!r} AS DOUBLE), _s{i}" for i, v in enumerate(params))
+        long = agg.selectExpr(f"stack({len(params)}, {pairs}) AS (param, _s)", "query_id", "doc_id")
+    return long.select(F.lit(model).alias("model"), "param", "query_id", "doc_id",
+                       F.round("_s", SCORE_DECIMALS).alias("score"))
 
 
 def top_k(scored: DataFrame, cut: int, keys=("model", "param", "query_id")) -> DataFrame:
@@ -155,18 +167,18 @@ def rank(index: Index, queries: DataFrame, model: str = "jm", param: float | Non
          cut: int = 10, analyzer: str | None = None, k1: float = BM25_K1,
          b: float = BM25_B) -> DataFrame:
     """Run (query_id, rk, doc_id, score) of one model for a query batch."""
-    spark = queries.sparkSession
     p = _check_param(model, param)
     qt = query_terms(queries, analyzer or index.analyzer)
-    scored = score(index, qt, grid_frame(spark, model, [p]), k1, b)
+    scored = score(index, qt, model, [p], k1, b)
     return top_k(scored, cut).select("query_id", "rk", "doc_id", "score")
 
 
-def rank_grid(index: Index, queries: DataFrame, grid: DataFrame, cut: int = 10,
+def rank_grid(index: Index, queries: DataFrame, model: str, params, cut: int = 10,
               analyzer: str | None = None) -> DataFrame:
-    """Run (model, param, query_id, rk, doc_id, score) for every grid row."""
+    """Run (model, param, query_id, rk, doc_id, score) for every grid value
+    (one scoring pass; see ``score``)."""
     qt = query_terms(queries, analyzer or index.analyzer)
-    return top_k(score(index, qt, grid), cut)
+    return top_k(score(index, qt, model, params), cut)
 
 
 def total_hits(index: Index, queries: DataFrame, analyzer: str | None = None) -> DataFrame:

@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from quire.operators.evaluation import DECIMALS, METRIC_COLUMN, metrics
 from quire.operators.index import Index
-from quire.operators.ranking import DIRICHLET_GRID, JM_GRID, grid_frame, rank_grid
+from quire.operators.ranking import DIRICHLET_GRID, JM_GRID, rank_grid
 
 GRIDS = {"jm": JM_GRID, "dirichlet": DIRICHLET_GRID}
 
 
+def grid_frame(spark, model: str, params) -> DataFrame:
+    """A small literal (model, param) table (the grid, bounded by construction)."""
+    return spark.createDataFrame([(model, float(p)) for p in params], "model string, param double")
+
+
 def param_label(model: str, v: float) -> str:
     """Column label of a grid value: m_0_1 for lambda 0.1, m_200 for mu 200."""
     return "m_" + (f"{v:.1f}".replace(".", "_") if model == "jm" else str(int(v)))
@@ -46,9 +51,10 @@ def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: st
     if model not in GRIDS:
         raise ValueError("tuning model must be jm or dirichlet (not both)")
     col = METRIC_COLUMN[metric]
-    g = grid_frame(train.sparkSession, model, grid or GRIDS[model])
-    runs = rank_grid(index, train, g, cut)
-    m = metrics(runs, qrels, train, keys=("model", "param"), key_values=g)
+    params = list(grid or GRIDS[model])
+    runs = rank_grid(index, train, model, params, cut)
+    m = metrics(runs, qrels, train, keys=("model", "param"),
+                key_values=grid_frame(train.sparkSession, model, params))
     return m.select("model", "param", "query_id", F.col(col).alias("value"))
 
 
@@ -78,12 +84,16 @@ def best_param(train_m: DataFrame) -> DataFrame:
 
 
 def test_metrics(index: Index, test: DataFrame, qrels: DataFrame, best: DataFrame,
-                 metric: str = "P", cut: int = 10) -> DataFrame:
+                 model: str, metric: str = "P", cut: int = 10, grid=None) -> DataFrame:
     """H5: (query_id, value, best_param) of the test queries with the best
-    parameter; the one-row ``best`` table is the grid of the test job."""
+    parameter. The best value is not collected: the test queries are scored
+    for the whole grid in one pass (the same shuffle as a single value, a few
+    more sums) and the run is semi-joined with the one-row ``best`` table."""
     col = METRIC_COLUMN[metric]
     g = best.select("model", F.col("best_param").alias("param"))
-    runs = rank_grid(index, test, g, cut)
+    params = list(grid or GRIDS[model])
+    runs = rank_grid(index, test, model, params, cut).join(
+        F.broadcast(g), ["model", "param"], "left_semi")
     m = metrics(runs, qrels, test, keys=("model", "param"), key_values=g)
     return m.select("query_id", F.col(col).alias("value"), F.col("param").alias("best_param"))
 

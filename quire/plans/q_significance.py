@@ -30,7 +30,7 @@ def tuned_test_runs(spark, sf_dir, metric=METRIC):
     out = None
     for model in ("jm", "dirichlet"):
         best = best_param(training_metrics(idx, train, qrels, model, metric, CUT))
-        tm = test_metrics(idx, test, qrels, best, metric, CUT)
+        tm = test_metrics(idx, test, qrels, best, model, metric, CUT)
         r = tm.select(F.lit(model).alias("run_id"), F.lit(metric).alias("metric"),
                       "query_id", "value")
         out = r if out is None else out.unionByName(r)

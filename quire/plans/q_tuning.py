@@ -70,7 +70,7 @@ def best_param_q(spark, sf_dir):
 def _test_report(spark, sf_dir, model, metric):
     idx, q, qrels, ranges, tm = _train(spark, sf_dir, model, metric)
     test = in_range(q, ranges, "test")
-    return test_report(test_metrics(idx, test, qrels, best_param(tm), metric, CUT))
+    return test_report(test_metrics(idx, test, qrels, best_param(tm), model, metric, CUT))
 
 
 _TEST_SQL = """
