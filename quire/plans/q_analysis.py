@@ -1 +1,108 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: analyzers, term vectors, phrases."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quire.functions.analysis import ENGLISH_STOP_WORDS, token_array
+from quire.operators.index import explode_terms, term_counts
+from quire.operators.vectors import phrase_matches, term_vectors
+from quire.plans.registry import register
+from quire.plans.sqlparts import WORD
+from quire.sources.tables import benchmark_queries, documents
+
+
+def _vocab(spark, sf_dir, analyzer):
+    """(term, cf): every token of every document, counted."""
+    d = documents(spark, sf_dir).select("doc_id", token_array("contents", analyzer).alias("_toks"))
+    return explode_terms(d, []).groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("cf"))
+
+
+def _vocab_sql(expr: str) -> str:
+    return f"""
+SELECT term, count(*)::BIGINT AS cf FROM (SELECT unnest({expr}) AS term FROM documents)
+GROUP BY term"""
+
+
+_STOP_SQL_LIST = "[" + ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS) + "]"
+
+
+@register("tok_whitespace", _vocab_sql(r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"))
+def tok_whitespace(spark, sf_dir):
+    """A1: white-space tokens, case kept."""
+    return _vocab(spark, sf_dir, "whitespace")
+
+
+@register("tok_simple", _vocab_sql(r"regexp_extract_all(lower(text), '\p{L}+')"))
+def tok_simple(spark, sf_dir):
+    """A2: runs of letters, lower-cased."""
+    return _vocab(spark, sf_dir, "simple")
+
+
+@register("tok_keyword", _vocab_sql("[trim(text)]"))
+def tok_keyword(spark, sf_dir):
+    """A3: the whole trimmed text is one term."""
+    return _vocab(spark, sf_dir, "keyword")
+
+
+@register("tok_standard", _vocab_sql(f"regexp_extract_all(lower(text), '{WORD}')"))
+def tok_standard(spark, sf_dir):
+    """A4: runs of letters and digits, lower-cased."""
+    return _vocab(spark, sf_dir, "standard")
+
+
+@register("tok_stop", _vocab_sql(
+    rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+'), lambda x: NOT list_contains({_STOP_SQL_LIST}, x))"))
+def tok_stop(spark, sf_dir):
+    """Letters, lower-cased, English stop words removed."""
+    return _vocab(spark, sf_dir, "stop")
+
+
+@register("tok_standard_uax")
+def tok_standard_uax(spark, sf_dir):
+    """A4 (fuller form): in-word apostrophes, dots, digit separators and
+    underscores kept inside tokens (look-around, so no SQL oracle)."""
+    return _vocab(spark, sf_dir, "standard_uax")
+
+
+@register("tok_english")
+def tok_english(spark, sf_dir):
+    """Possessive removal, English stop words, Porter stemming (stems
+    computed once per distinct term, joined back)."""
+    d = documents(spark, sf_dir)
+    return (term_counts(d, "english", text_col="contents").groupBy("term")
+            .agg(F.sum("tf").cast("bigint").alias("cf")))
+
+
+@register("tok_spanish")
+def tok_spanish(spark, sf_dir):
+    """Spanish light stemming over the vocabulary of the Spanish documents
+    (stop words are a file parameter, none given here)."""
+    d = documents(spark, sf_dir).filter(F.col("lang") == "es")
+    return (term_counts(d, "spanish", text_col="contents").groupBy("term")
+            .agg(F.sum("tf").cast("bigint").alias("cf")))
+
+
+@register("term_vectors", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM documents),
+p AS (SELECT doc_id, unnest(toks) AS term, unnest(range(0, len(toks))) AS pos FROM t)
+SELECT doc_id, term, count(*)::BIGINT AS freq, list_sort(list(pos::BIGINT)) AS positions
+FROM p GROUP BY doc_id, term""")
+def term_vectors_q(spark, sf_dir):
+    """Per document and term: frequency and token positions."""
+    return term_vectors(documents(spark, sf_dir))
+
+
+@register("phrase", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM documents),
+db AS (SELECT DISTINCT doc_id, toks[i] || ' ' || toks[i + 1] AS bg
+       FROM (SELECT doc_id, toks, unnest(range(1, len(toks))) AS i FROM t)),
+q AS (SELECT item_id AS query_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM benchmark),
+qb AS (SELECT DISTINCT query_id, toks[i] || ' ' || toks[i + 1] AS bg
+       FROM (SELECT query_id, toks, unnest(range(1, len(toks))) AS i FROM q))
+SELECT qb.query_id, db.doc_id, count(*)::BIGINT AS n_phrases
+FROM qb JOIN db USING (bg) GROUP BY qb.query_id, db.doc_id""")
+def phrase_q(spark, sf_dir):
+    """Every adjacent word pair of each passage as a phrase query;
+    documents matching at least one, with the number matched."""
+    return phrase_matches(documents(spark, sf_dir), benchmark_queries(spark, sf_dir))
