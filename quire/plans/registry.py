@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from quire.plans import (q_analysis, q_evaluation, q_hygiene,  # noqa: F401
-                             q_index, q_ranking, q_significance, q_sources,
+                             q_index, q_queries, q_ranking, q_significance, q_sources,
                              q_tuning)
