@@ -22,9 +22,20 @@ def latest_per_key(updates: DataFrame, key: str, order_col: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, updates: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
-    """K2: old rows whose key is not updated, plus the latest update per key."""
+    """K2: old rows whose key is not replaced, plus the winning update per key.
+
+    With ``order_col`` the newest update per key is taken first; when the old
+    table carries ``order_col`` too, an update replaces an old row only if it
+    is not older (so batches may arrive in any order). The update side is
+    size-checked and broadcast into the scan of the old table's keys."""
+    from quire.operators.joins import join_small
+
     new = latest_per_key(updates, key, order_col) if order_col else updates
-    if order_col and order_col not in old.columns:
+    if order_col and order_col in old.columns:
+        prev = old.select(key, F.col(order_col).alias("_prev"))
+        cand = join_small(prev, new, key, how="right")
+        new = cand.filter(F.col("_prev").isNull() | (F.col(order_col) >= F.col("_prev"))).drop("_prev")
+    elif order_col:
         new = new.drop(order_col)
     keys = new.select(key).distinct()
     return old.join(keys, key, "left_anti").unionByName(new.select(*old.columns))

@@ -255,3 +255,31 @@ def write_index_q(spark, sf_dir):
     idx = write_index(spark, d.filter((F.col("lang") != "en") | F.col("lang").isNull()), path,
                       "append")
     return index_stats(idx)
+
+
+@register("upsert_stream", """
+WITH upd AS (
+  SELECT conv_id AS doc_id, arg_max(text, turn) AS contents FROM conversations GROUP BY conv_id),
+old AS (SELECT doc_id, text AS contents FROM documents)
+SELECT doc_id, length(contents)::BIGINT AS n_chars, 'old' AS origin FROM old
+WHERE doc_id NOT IN (SELECT doc_id FROM upd)
+UNION ALL
+SELECT doc_id, length(contents)::BIGINT, 'new' FROM upd""")
+def upsert_stream_q(spark, sf_dir):
+    """K3: documents, then every conversation turn, arrive as files; a file
+    stream (availableNow, a few files per micro-batch) upserts them into a
+    versioned table -- the newest turn per id wins whatever the batch order."""
+    from quire.streaming.upsert_stream import upsert_stream
+    src = scratch_path(spark, "stream-src")
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "contents", F.lit(-1).cast("bigint").alias("turn"), F.lit("old").alias("origin"))
+    conv = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("doc_id"), F.col("text").alias("contents"),
+        F.col("turn").cast("bigint").alias("turn"), F.lit("new").alias("origin"))
+    docs.write.mode("append").parquet(src)
+    conv.write.mode("append").parquet(src)
+    latest = upsert_stream(spark, src, docs.schema, scratch_path(spark, "stream-table"),
+                           scratch_path(spark, "stream-ckpt"), key="doc_id", order_col="turn",
+                           max_files_per_batch=2)
+    t = spark.read.parquet(latest)
+    return t.select("doc_id", F.length("contents").cast("bigint").alias("n_chars"), "origin")
