@@ -70,7 +70,9 @@ def t_statistic(pairs: DataFrame) -> DataFrame:
 def t_test(pairs: DataFrame, alpha: float = 0.05) -> DataFrame:
     """C2 + C4: statistic, two-sided p-value, decision (NaN is not rejected)."""
     s = t_statistic(pairs)
-    p = t_pvalue_udf(F.col("t"), (F.col("n") - 1).cast("double"))
+    # Arrow turns a NaN returned by pandas into null, so NaN is decided here
+    p = F.when(F.isnan("t"), F.lit(float("nan"))).otherwise(
+        t_pvalue_udf(F.col("t"), (F.col("n") - 1).cast("double")))
     return (s.withColumn("p_value", p)
             .withColumn("reject", F.coalesce(~F.isnan("p_value") & (F.col("p_value") < alpha),
                                              F.lit(False))))
