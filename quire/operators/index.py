@@ -43,14 +43,17 @@ class Index:
 
 # ---------------------------------------------------------------- analysis
 
-def spread_input(df: DataFrame) -> DataFrame:
-    """Tokenising is CPU-bound in the scan stage. When the input has fewer
-    splits than task slots (a few large files), spread the rows first; on a
-    large input (many more splits than slots) nothing is shuffled."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(2 * slots)
-    return df
+def cluster_by_doc(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Hash-partition the input texts by document id before tokenising.
+
+    The (doc_id, dl, term) aggregate is then satisfied by this partitioning
+    (no second exchange), so the index build shuffles the raw text once --
+    smaller than the postings it produces -- and every postings file holds
+    whole documents. Ranking relies on that: the map-side partial aggregate
+    by (query_id, doc_id) then collapses each group completely before its
+    shuffle. It also decouples tokenising parallelism from the input files.
+    """
+    return df.repartition(id_col)
 
 
 def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
@@ -130,7 +133,7 @@ def build_index(spark: SparkSession, docs: DataFrame, analyzer: str = "standard"
     kept in the ``docs`` table (fetched later for hits only).
     """
     path = path or scratch_path(spark, f"index-{analyzer}")
-    postings = term_counts(spread_input(docs), analyzer, "doc_id", text_col, stop_words)
+    postings = term_counts(cluster_by_doc(docs), analyzer, "doc_id", text_col, stop_words)
     # sorting by term inside each file gives long dictionary runs in parquet
     postings.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
     keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
@@ -192,7 +195,7 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
         raise ValueError("mode must be create, append or create_or_append")
     if not exists:
         raise FileNotFoundError(f"append needs an existing index at {path}")
-    postings = term_counts(docs, analyzer, "doc_id", text_col)
+    postings = term_counts(cluster_by_doc(docs), analyzer, "doc_id", text_col)
     postings.sortWithinPartitions("term").write.mode("append").parquet(f"{path}/postings")
     keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
     docs.select(*keep).write.mode("append").parquet(f"{path}/docs")

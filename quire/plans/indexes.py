@@ -45,3 +45,25 @@ def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -
                           text_col="contents", stored=("source", "lang"))
     _BUILT[key] = idx
     return idx
+
+
+_QRELS: dict[tuple, str] = {}
+
+
+def corpus_qrels(spark: SparkSession, sf_dir: str, min_share: float = 0.4):
+    """Derived judgements of the benchmark queries, written once to the shared
+    folder and read back (a lineage cut: later jobs scan a small table
+    instead of re-joining the postings)."""
+    from quire.sources.tables import benchmark_queries, derived_qrels
+
+    key = _key(spark, sf_dir, f"qrels-{min_share}")
+    path = _QRELS.get(key)
+    if path is None or not path_exists(spark, path):
+        digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+        path = f"{work_dir(spark)}/qrels-{digest}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            idx = corpus_index(spark, sf_dir)
+            q = benchmark_queries(spark, sf_dir)
+            derived_qrels(q, idx.postings, min_share).write.mode("overwrite").parquet(path)
+        _QRELS[key] = path
+    return spark.read.parquet(path)

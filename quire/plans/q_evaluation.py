@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators.evaluation import (eval_report, mean_metrics, metrics, metrics_long,
                                         ranked_list, tag_relevance, unjudged_queries)
 from quire.operators.ranking import rank
-from quire.plans.indexes import corpus_index
+from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import (FEAT_CTE, INDEX_CTES, QUERY_CTES, eval_sql, metrics_ctes,
                                   qrels_cte, run_cte)
@@ -21,7 +21,7 @@ def _setup(spark, sf_dir, model="jm", param=0.5, cut=CUT, analyzer="standard"):
     idx = std if analyzer == "standard" else corpus_index(spark, sf_dir, analyzer)
     q = benchmark_queries(spark, sf_dir)
     run = rank(idx, q, model, param, cut)
-    qrels = derived_qrels(q, std.postings)
+    qrels = corpus_qrels(spark, sf_dir)
     return q, run, qrels
 
 

@@ -9,7 +9,7 @@ from quire.operators.significance import (paired_runs, t_statistic, t_test,
                                           wilcoxon_statistic, wilcoxon_test)
 from quire.operators.tuning import (best_param, id_ranges, in_range, test_metrics,
                                     training_metrics)
-from quire.plans.indexes import corpus_index
+from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import (FEAT_CTE, INDEX_CTES, QUERY_CTES, qrels_cte,
                                   tuning_ctes)
@@ -24,7 +24,7 @@ def tuned_test_runs(spark, sf_dir, metric=METRIC):
     models -- the two 'test CSVs' of the replaced workflow, as one table."""
     idx = corpus_index(spark, sf_dir)
     q = benchmark_queries(spark, sf_dir)
-    qrels = derived_qrels(q, idx.postings)
+    qrels = corpus_qrels(spark, sf_dir)
     ranges = id_ranges(q)
     train, test = in_range(q, ranges, "train"), in_range(q, ranges, "test")
     out = None

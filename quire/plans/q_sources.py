@@ -14,7 +14,7 @@ from quire.operators.index import index_stats, write_index
 from quire.operators.tuning import (best_param, id_ranges, in_range, test_metrics, test_report,
                                     training_metrics)
 from quire.operators.upsert import upsert
-from quire.plans.indexes import corpus_index
+from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import INDEX_CTES, WORD, qrels_cte, tuning_sql
 from quire.session import scratch_path
@@ -94,7 +94,7 @@ def read_run_csv_q(spark, sf_dir):
     read back (header, value= and avg lines skipped)."""
     idx = corpus_index(spark, sf_dir)
     q = benchmark_queries(spark, sf_dir)
-    qrels = derived_qrels(q, idx.postings)
+    qrels = corpus_qrels(spark, sf_dir)
     r = id_ranges(q)
     tm = training_metrics(idx, in_range(q, r, "train"), qrels, "jm", "P", 10)
     rep = test_report(test_metrics(idx, in_range(q, r, "test"), qrels, best_param(tm), "jm", "P", 10))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators.tuning import (GRIDS, best_param, id_ranges, in_range, param_label,
                                     test_metrics, test_report, training_metrics,
                                     tuning_matrix)
-from quire.plans.indexes import corpus_index
+from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import GRID_SQL, tuning_sql
 from quire.sources.tables import benchmark_queries, derived_qrels
@@ -18,7 +18,7 @@ CUT = 10
 def _train(spark, sf_dir, model, metric):
     idx = corpus_index(spark, sf_dir)
     q = benchmark_queries(spark, sf_dir)
-    qrels = derived_qrels(q, idx.postings)
+    qrels = corpus_qrels(spark, sf_dir)
     ranges = id_ranges(q)
     train = in_range(q, ranges, "train")
     return idx, q, qrels, ranges, training_metrics(idx, train, qrels, model, metric, CUT)
