@@ -38,6 +38,9 @@ def main() -> None:
     t0 = time.time()
     corpus_index(spark, sf_dir, "standard")
     times["index_build"] = round(time.time() - t0, 3)
+    t0 = time.time()
+    corpus_index(spark, sf_dir, "shingle2")          # phrase index
+    times["index_build_shingles"] = round(time.time() - t0, 3)
     for name in HEADLINE:
         if name not in QUERIES:
             continue

@@ -18,6 +18,7 @@ stop       simple + stop-word removal (default list or a file)
 english    standard_uax, possessive 's removed, English stop words,
            Porter stem
 spanish    standard, Spanish stop words (a file), light Spanish stem
+shingle2   adjacent pairs of standard terms, "w1 w2" (a phrase index)
 ========== ===========================================================
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from quire.functions.stemmers import porter_stem, spanish_light_stem
 
 ANALYZERS = ("whitespace", "simple", "keyword", "standard", "standard_uax",
-             "stop", "english", "spanish")
+             "stop", "english", "spanish", "shingle2")
 
 # Token patterns (Java regex syntax).
 LETTERS = r"\p{L}+"
@@ -86,6 +87,9 @@ def token_array(text: Column | str, analyzer: str = "standard",
         stop_words = ENGLISH_STOP_WORDS if stop_words is None else stop_words
     elif analyzer == "spanish":
         arr = F.array_remove(F.split(F.lower(text), NOT_WORD), "")
+    elif analyzer == "shingle2":
+        # pairs built from a materialised token column: see ``shingles``
+        arr = F.array_remove(F.split(F.lower(text), NOT_WORD), "")
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}; choose from {ANALYZERS}")
     if stop_words:
@@ -94,6 +98,14 @@ def token_array(text: Column | str, analyzer: str = "standard",
     return arr
 
 
+def shingles(words: Column) -> Column:
+    """Adjacent pairs "w1 w2" of a token-array *column* (apply it to a
+    projected column, not to an expression, so the text is split once)."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
+
+
 def stemmer_for(analyzer: str):
     return STEMMERS.get(analyzer)
 

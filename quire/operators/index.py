@@ -24,8 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.analysis import (remove_stop_words, stem_vocabulary, stemmer_for,
-                                      token_array)
+from quire.functions.analysis import (remove_stop_words, shingles, stem_vocabulary,
+                                      stemmer_for, token_array)
 from quire.operators.joins import join_small
 from quire.session import path_exists, scratch_path
 
@@ -77,6 +77,8 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     """
     arr = token_array(F.col(text_col), analyzer, stop_list)
     base = df.select(F.col(id_col), arr.alias("_toks"))
+    if analyzer == "shingle2":
+        base = base.select(id_col, shingles(F.col("_toks")).alias("_toks"))
     if stop_words is not None:
         toks = explode_terms(base, [id_col])
         toks = remove_stop_words(toks, stop_words)

@@ -1,9 +1,11 @@
 """Positional term vectors and phrase matching.
 
 Positions come from ``posexplode`` of a document's token array, so they are
-computed row-locally (no shuffle). A phrase of two words is matched on
-in-row bigrams (``zip`` of the token array with itself shifted by one): an
-equi join on the bigram, no self join of a positional table.
+computed row-locally (no shuffle). Two-word phrases are matched against a
+shingle index (analyzer ``shingle2``: adjacent word pairs as terms), built
+once like any other index; a phrase query is then an equi join of the
+query's pairs with that index's postings -- no positional self join and no
+re-tokenising of the corpus per query batch.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.analysis import token_array
+from quire.functions.analysis import shingles, token_array
 from quire.operators.joins import join_small
 
 
@@ -26,23 +28,14 @@ def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "c
         F.sort_array(F.collect_list(F.col("pos").cast("bigint"))).alias("positions"))
 
 
-def bigrams(arr_col: str = "_t"):
-    """array of 'w1 w2' for adjacent tokens (empty for fewer than two)."""
-    a = F.col(arr_col)
-    return F.transform(F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0))),
-                       lambda x, i: F.concat(F.element_at(a, i + 1), F.lit(" "), x))
-
-
-def phrase_matches(docs: DataFrame, queries: DataFrame, analyzer: str = "standard",
-                   text_col: str = "contents") -> DataFrame:
-    """(query_id, doc_id, n_phrases): how many of the query's adjacent word
-    pairs occur as adjacent words in the document (documents with none are
-    not returned). Query bigrams are distinct per query."""
-    qb = (queries.select("query_id", token_array(F.lower("text"), analyzer).alias("_t"))
-          .select("query_id", F.explode_outer(F.array_distinct(bigrams())).alias("bg"))
-          .filter(F.col("bg").isNotNull()))
-    db = (docs.select("doc_id", token_array(F.col(text_col), analyzer).alias("_t"))
-          .select("doc_id", F.explode_outer(F.array_distinct(bigrams())).alias("bg"))
-          .filter(F.col("bg").isNotNull()))
-    return (join_small(db, qb, "bg").groupBy("query_id", "doc_id")
+def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, doc_id, n_phrases): how many of the query's distinct adjacent
+    word pairs occur as adjacent words in the document (documents with none
+    are not returned). ``pair_postings`` is the postings table of a ``shingle2``
+    index (doc_id, term, ...)."""
+    qb = (queries.select("query_id", token_array(F.lower("text"), "shingle2").alias("_w"))
+          .select("query_id", F.array_distinct(shingles(F.col("_w"))).alias("_t"))
+          .select("query_id", F.explode_outer("_t").alias("term"))
+          .filter(F.col("term").isNotNull()))
+    return (join_small(pair_postings.select("doc_id", "term"), qb, "term").groupBy("query_id", "doc_id")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_phrases")))

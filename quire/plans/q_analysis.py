@@ -105,4 +105,6 @@ FROM qb JOIN db USING (bg) GROUP BY qb.query_id, db.doc_id""")
 def phrase_q(spark, sf_dir):
     """Every adjacent word pair of each passage as a phrase query;
     documents matching at least one, with the number matched."""
-    return phrase_matches(documents(spark, sf_dir), benchmark_queries(spark, sf_dir))
+    from quire.plans.indexes import corpus_index
+    shingles = corpus_index(spark, sf_dir, "shingle2")
+    return phrase_matches(shingles.postings, benchmark_queries(spark, sf_dir))
