@@ -69,7 +69,7 @@ def _replace_if(w: str, rules, min_m: int):
 
 
 # Suffix tables of Porter (1980), steps 2, 3 and 4, in the order of
-# the author's published reference implementation (which uses bli->ble and adds
+# the author's published C implementation (which uses bli->ble and adds
 # logi->log in step 2).
 _STEP2 = [
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),

@@ -136,7 +136,7 @@ def provenance_q(spark, sf_dir):
     """Which task read each file (host names are not exposed by Spark)."""
     f = scan_files(spark, _tree(spark, sf_dir), contents_stored=False)
     return f.select("rel_path", "partition", "size_kb", "modified_ms", "last_modified",
-                    "last_modified_lucene")
+                    "last_modified_sortable")
 
 
 # URL paths of `pages` as relative file paths (scheme, host, query, fragment dropped)
@@ -192,7 +192,7 @@ def first_n_lines(spark, sf_dir):
 @register("time_format", """
 SELECT event_id, (epoch_us(ts) // 1000)::BIGINT AS modified_ms,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_modified,
-       strftime(ts, '%Y%m%d%H%M%S%g') AS last_modified_lucene
+       strftime(ts, '%Y%m%d%H%M%S%g') AS last_modified_sortable
 FROM events""")
 def time_format(spark, sf_dir):
     """Epoch milliseconds and the two timestamp string formats."""

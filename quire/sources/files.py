@@ -82,7 +82,7 @@ def time_columns(ts: Column) -> list[Column]:
     return [
         (F.unix_micros(F.to_timestamp(ts)) / 1000).cast("bigint").alias("modified_ms"),
         F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
-        F.date_format(ts, "yyyyMMddHHmmssSSS").alias("last_modified_lucene"),
+        F.date_format(ts, "yyyyMMddHHmmssSSS").alias("last_modified_sortable"),
     ]
 
 
@@ -93,7 +93,7 @@ def scan_files(spark: SparkSession, root: str, by_subfolder: bool = False, max_d
     """One row per readable file under ``root``.
 
     Columns: path, rel_path, file_name, ext, subfolder, depth, size, size_kb,
-    modified (timestamp), modified_ms, last_modified, last_modified_lucene,
+    modified (timestamp), modified_ms, last_modified, last_modified_sortable,
     partition (S9: the task that read the file), contents (raw, or the list
     form when ``content_lines`` is given), contents_hash (Java string hash,
     with ``with_hash``). Unreadable files are skipped (``ignoreCorruptFiles``).

@@ -49,11 +49,11 @@ def test_stopwords_and_run_csv(spark, tmp_dir):
     s = os.path.join(tmp_dir, "stop", "s.txt")
     _write(s, " the\nof\n\nthe\n")
     assert sorted(r["word"] for r in read_stopwords(spark, os.path.dirname(s)).collect()) == ["of", "the"]
-    c = os.path.join(tmp_dir, "csv", "npl.jm.test.csv")
+    c = os.path.join(tmp_dir, "csv", "jm.test.csv")
     _write(c, "query,P@10\nvalue=0.0\n6,0.2\n7,0.3\n8,0.0\navg,0.16666667\n")
     rows = read_run_csv(spark, os.path.dirname(c)).orderBy("query_id").collect()
     assert [(r["query_id"], r["value"]) for r in rows] == [(6, 0.2), (7, 0.3), (8, 0.0)]
-    assert rows[0]["run_id"] == "npl.jm.test.csv"
+    assert rows[0]["run_id"] == "jm.test.csv"
 
 
 def test_tree_rules(spark, tmp_dir):
