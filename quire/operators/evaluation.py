@@ -60,8 +60,8 @@ def metrics(run: DataFrame, qrels: DataFrame, queries: DataFrame, keys=(),
 
     ``run`` has (keys..., query_id, rk, doc_id); ``queries`` is the selected
     query set (one row per query_id); zero-hit queries come from it.
-    ``key_values`` lists the key combinations (e.g. a parameter grid, bounded
-    by construction); by default they are read from the run.
+    ``key_values`` gives the key combinations: a literal list of tuples (a
+    parameter grid) or a one-row table (a chosen parameter).
 
     Joins between derived tables are left to AQE, which turns them into
     broadcast joins at run time when the measured side is small and keeps the
@@ -82,8 +82,16 @@ def metrics(run: DataFrame, qrels: DataFrame, queries: DataFrame, keys=(),
             raise ValueError("a selected query has no relevance judgements")
     base = qsel.join(judged, "query_id")
     if keys:
-        kv = key_values if key_values is not None else run.select(*keys).distinct()
-        base = base.crossJoin(F.broadcast(kv.select(*keys)))
+        if key_values is None:
+            raise ValueError("keys need key_values: a literal list or a one-row table")
+        if isinstance(key_values, DataFrame):
+            # a one-row table (e.g. the best parameter): scalar subqueries
+            base = base.select("*", *[key_values.select(k).scalar().alias(k) for k in keys])
+        else:
+            # a literal grid: one generated row per combination, no join
+            combos = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, row)])
+                               for row in key_values])
+            base = base.select("*", F.inline(combos))
     m = base.join(agg, [*keys, "query_id"], "left")
     n = F.coalesce(F.col("n_hits"), F.lit(0))
     rel = F.coalesce(F.col("n_rel_ret"), F.lit(0))

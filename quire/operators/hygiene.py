@@ -57,11 +57,11 @@ def delete_by_key(docs: DataFrame, keys: DataFrame, key: str = "doc_id") -> Data
 def tfidf(index: Index) -> DataFrame:
     """(doc_id, term, tf, df, tfidf) with tfidf = tf * log10(N / df), raw
     tf, N = all documents (including those without a term)."""
-    n = index.corpus.select(F.col("n_docs").cast("double").alias("_N"))
+    n = index.corpus.select(F.col("n_docs").cast("double")).scalar()
     p = index.postings.select("doc_id", "term", "tf").join(index.terms.select("term", "df"), "term")
-    return p.crossJoin(F.broadcast(n)).select(
+    return p.select(
         "doc_id", "term", "tf", "df",
-        F.round(F.col("tf") * F.log10(F.col("_N") / F.col("df")), TFIDF_DECIMALS).alias("tfidf"))
+        F.round(F.col("tf") * F.log10(n / F.col("df")), TFIDF_DECIMALS).alias("tfidf"))
 
 
 def top_terms(index: Index, n: int = 10, first_doc=None, last_doc=None) -> DataFrame:

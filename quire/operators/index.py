@@ -115,12 +115,13 @@ def term_stats(postings: DataFrame) -> DataFrame:
 
 def corpus_stats(docs: DataFrame, doclen: DataFrame) -> DataFrame:
     """One row: documents (all), documents with a term, tokens, mean length."""
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
     lens = doclen.agg(F.count(F.lit(1)).alias("n_docs_nonempty"),
                       F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("n_tokens"))
-    return (n_docs.crossJoin(lens)
-            .withColumn("avgdl", F.try_divide(F.col("n_tokens").cast("double"),
-                                              F.col("n_docs_nonempty").cast("double"))))
+    return lens.select(
+        n_docs.alias("n_docs"), "n_docs_nonempty", "n_tokens",
+        F.try_divide(F.col("n_tokens").cast("double"),
+                     F.col("n_docs_nonempty").cast("double")).alias("avgdl"))
 
 
 # ---------------------------------------------------------------- build / io
@@ -217,8 +218,8 @@ def index_from_postings(spark: SparkSession, postings: DataFrame, docs: DataFram
 
 def index_stats(index: Index) -> DataFrame:
     """Documents, documents with a term, tokens, distinct terms."""
-    n_terms = index.terms.agg(F.count(F.lit(1)).alias("n_terms"))
-    return index.corpus.select("n_docs", "n_docs_nonempty", "n_tokens").crossJoin(n_terms)
+    n_terms = index.terms.agg(F.count(F.lit(1))).scalar()
+    return index.corpus.select("n_docs", "n_docs_nonempty", "n_tokens", n_terms.alias("n_terms"))
 
 
 # ---------------------------------------------------------------- maintenance

@@ -86,6 +86,15 @@ def candidates(index: Index, qterms: DataFrame) -> DataFrame:
     return salted_join(postings, qstats, "term", spread_col="doc_id")
 
 
+def corpus_scalars(index: Index) -> tuple[Column, Column, Column]:
+    """(tokens in the collection, documents with a term, mean length) as
+    scalar subqueries of the one-row corpus table: evaluated once, inlined
+    into the expressions -- no join with the statistics table."""
+    c = index.corpus
+    return (c.select("n_tokens").scalar(), c.select("n_docs_nonempty").scalar(),
+            c.select("avgdl").scalar())
+
+
 def weight(model: str, param: float, tf: Column, dl: Column, df: Column, cf: Column,
            n_tokens: Column, n_docs: Column, avgdl: Column, k1: float = BM25_K1,
            b: float = BM25_B) -> Column:
@@ -124,12 +133,8 @@ def score(index: Index, qterms: DataFrame, model: str, params, k1: float = BM25_
     and there is no cross join with the grid.
     """
     params = [float(x) for x in params]
-    cands = candidates(index, qterms)
-    # one-row statistics table (a global aggregate): the broadcast is bounded
-    corpus = index.corpus.select("n_tokens", F.col("n_docs_nonempty").alias("_n"), "avgdl")
-    feats = cands.crossJoin(F.broadcast(corpus))
-    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), F.col("n_tokens"),
-            F.col("_n"), F.col("avgdl"), k1, b)
+    feats = candidates(index, qterms)
+    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), *corpus_scalars(index), k1, b)
     qtf = F.col("qtf").cast("double")
     sums = [F.sum(qtf * weight(model, v, *args)).alias(f"_s{i}") for i, v in enumerate(params)]
     agg = feats.groupBy("query_id", "doc_id").agg(*sums)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.index import Index
 from quire.operators.joins import fits_broadcast, join_small, salted_join
-from quire.operators.ranking import BM25_B, BM25_K1, SCORE_DECIMALS, weight
+from quire.operators.ranking import BM25_B, BM25_K1, SCORE_DECIMALS, corpus_scalars, weight
 
 
 def lossy_length(dl: Column) -> Column:
@@ -55,10 +55,9 @@ def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: f
     else:
         qs = salted_join(index.terms, cl, "term")
         cands = salted_join(postings, qs, "term", spread_col="doc_id")
-    corpus = index.corpus.select("n_tokens", F.col("n_docs_nonempty").alias("_n"), "avgdl")
-    f = cands.crossJoin(F.broadcast(corpus))
+    f = cands
     w = weight(model, param, F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"),
-               F.col("n_tokens"), F.col("_n"), F.col("avgdl"), BM25_K1, BM25_B)
+               *corpus_scalars(index), BM25_K1, BM25_B)
     agg = f.groupBy("query_id", "doc_id").agg(
         F.sum(F.when(F.col("occur") != "must_not", F.col("qtf").cast("double") * w)).alias("_s"),
         F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("_got"),

@@ -19,11 +19,6 @@ from quire.operators.ranking import DIRICHLET_GRID, JM_GRID, rank_grid
 GRIDS = {"jm": JM_GRID, "dirichlet": DIRICHLET_GRID}
 
 
-def grid_frame(spark, model: str, params) -> DataFrame:
-    """A small literal (model, param) table (the grid, bounded by construction)."""
-    return spark.createDataFrame([(model, float(p)) for p in params], "model string, param double")
-
-
 def param_label(model: str, v: float) -> str:
     """Column label of a grid value: m_0_1 for lambda 0.1, m_200 for mu 200."""
     return "m_" + (f"{v:.1f}".replace(".", "_") if model == "jm" else str(int(v)))
@@ -40,9 +35,9 @@ def id_ranges(queries: DataFrame) -> DataFrame:
 
 def in_range(queries: DataFrame, ranges: DataFrame, which: str) -> DataFrame:
     """H4: queries whose id lies in the inclusive train or test range."""
-    r = ranges.select(F.col(f"{which}_lo").alias("_lo"), F.col(f"{which}_hi").alias("_hi"))
-    return (queries.crossJoin(F.broadcast(r))
-            .filter(F.col("query_id").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi"))
+    lo = ranges.select(f"{which}_lo").scalar()
+    hi = ranges.select(f"{which}_hi").scalar()
+    return queries.filter(F.col("query_id").between(lo, hi))
 
 
 def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: str,
@@ -54,7 +49,7 @@ def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: st
     params = list(grid or GRIDS[model])
     runs = rank_grid(index, train, model, params, cut)
     m = metrics(runs, qrels, train, keys=("model", "param"),
-                key_values=grid_frame(train.sparkSession, model, params))
+                key_values=[(model, p) for p in params])
     return m.select("model", "param", "query_id", F.col(col).alias("value"))
 
 
@@ -90,10 +85,11 @@ def test_metrics(index: Index, test: DataFrame, qrels: DataFrame, best: DataFram
     for the whole grid in one pass (the same shuffle as a single value, a few
     more sums) and the run is semi-joined with the one-row ``best`` table."""
     col = METRIC_COLUMN[metric]
-    g = best.select("model", F.col("best_param").alias("param"))
+    g = best.filter(F.col("model") == model).select(
+        "model", F.col("best_param").alias("param"))          # one row
     params = list(grid or GRIDS[model])
-    runs = rank_grid(index, test, model, params, cut).join(
-        F.broadcast(g), ["model", "param"], "left_semi")
+    runs = rank_grid(index, test, model, params, cut).filter(
+        F.col("param") == g.select("param").scalar())
     m = metrics(runs, qrels, test, keys=("model", "param"), key_values=g)
     return m.select("query_id", F.col(col).alias("value"), F.col("param").alias("best_param"))
 

@@ -46,10 +46,10 @@ def dedup_report_q(spark, sf_dir):
     idx = corpus_index(spark, sf_dir)
     kept = kept_ids(documents(spark, sf_dir))
     before = index_stats(idx).select(F.lit("before").alias("stage"), "n_docs", "n_terms")
-    after_docs = kept.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
     after_terms = (idx.postings.join(kept, "doc_id", "left_semi").select("term").distinct()
-                   .agg(F.count(F.lit(1)).cast("bigint").alias("n_terms")))
-    after = after_docs.crossJoin(after_terms).select(F.lit("after").alias("stage"), "n_docs", "n_terms")
+                   .agg(F.count(F.lit(1)).cast("bigint")).scalar())
+    after = kept.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs")).select(
+        F.lit("after").alias("stage"), "n_docs", after_terms.alias("n_terms"))
     return before.unionByName(after)
 
 

@@ -35,9 +35,10 @@ FROM tstat t CROSS JOIN corp c""")
 def collection_stats(spark, sf_dir):
     """Collection probability (cf + 1) / (T + 1) of every term."""
     idx = corpus_index(spark, sf_dir)
-    return idx.terms.crossJoin(F.broadcast(idx.corpus.select("n_tokens"))).select(
+    n_tokens = idx.corpus.select("n_tokens").scalar()
+    return idx.terms.select(
         "term", "df", "cf",
-        F.round((F.col("cf") + F.lit(1.0)) / (F.col("n_tokens") + F.lit(1.0)), 12).alias("p_coll"))
+        F.round((F.col("cf") + F.lit(1.0)) / (n_tokens + F.lit(1.0)), 12).alias("p_coll"))
 
 
 @register("doc_length", f"""

@@ -105,11 +105,9 @@ SELECT r.* FROM ({ranked_sql("jm", 0.5, CUT)}) r, b
 WHERE r.query_id BETWEEN (b.lo + b.hi) // 2 + 1 AND b.hi""")
 def query_subset_q(spark, sf_dir):
     """An inclusive id range -- the upper half of the id span, bounds
-    computed from the table (a one-row join, nothing collected)."""
+    computed from the table as scalar subqueries (nothing collected)."""
     q = benchmark_queries(spark, sf_dir)
-    bounds = q.agg(F.min("query_id").alias("lo"), F.max("query_id").alias("hi"))
-    sel = (q.crossJoin(F.broadcast(bounds))
-           .filter(F.col("query_id").between(F.floor((F.col("lo") + F.col("hi")) / 2) + 1,
-                                             F.col("hi")))
-           .select("query_id", "text"))
+    lo = q.agg(F.min("query_id")).scalar()
+    hi = q.agg(F.max("query_id")).scalar()
+    sel = q.filter(F.col("query_id").between(F.floor((lo + hi) / 2) + 1, hi))
     return rank(corpus_index(spark, sf_dir), sel, "jm", 0.5, CUT)

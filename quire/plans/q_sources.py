@@ -74,9 +74,8 @@ def tok_stop_file(spark, sf_dir):
     """A stop-word file (terms in at least half of the documents),
     written, read back and removed with a size-checked broadcast anti join."""
     idx = corpus_index(spark, sf_dir)
-    n = idx.corpus.select("n_docs")
-    stops = (idx.terms.crossJoin(F.broadcast(n)).filter(F.col("df") * 2 >= F.col("n_docs"))
-             .select("term"))
+    n = idx.corpus.select("n_docs").scalar()
+    stops = idx.terms.filter(F.col("df") * 2 >= n).select("term")
     path = scratch_path(spark, "stopwords")
     stops.write.mode("overwrite").text(path)
     words = read_stopwords(spark, path)

@@ -101,6 +101,6 @@ def train_test_q(spark, sf_dir):
     """H4: the two inclusive id ranges and the number of queries in each."""
     q = benchmark_queries(spark, sf_dir)
     r = id_ranges(q)
-    n_train = in_range(q, r, "train").agg(F.count(F.lit(1)).alias("n_train"))
-    n_test = in_range(q, r, "test").agg(F.count(F.lit(1)).alias("n_test"))
-    return r.crossJoin(n_train).crossJoin(n_test)
+    n_train = in_range(q, r, "train").agg(F.count(F.lit(1))).scalar()
+    n_test = in_range(q, r, "test").agg(F.count(F.lit(1))).scalar()
+    return r.select("*", n_train.alias("n_train"), n_test.alias("n_test"))

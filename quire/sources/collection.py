@@ -86,11 +86,9 @@ def read_query_lines(spark: SparkSession, path: str, stop_at_blank: bool = False
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.trim("value").alias("text"))
     if stop_at_blank:
-        first_blank = (lines.filter(F.col("text") == "")
-                       .agg(F.min(F.struct("file", "block", "seq")).alias("_stop")))
-        lines = (lines.crossJoin(F.broadcast(first_blank))
-                 .filter(F.col("_stop").isNull()
-                         | (F.struct("file", "block", "seq") < F.col("_stop"))).drop("_stop"))
+        stop = (lines.filter(F.col("text") == "")
+                .agg(F.min(F.struct("file", "block", "seq"))).scalar())
+        lines = lines.filter(stop.isNull() | (F.struct("file", "block", "seq") < stop))
     else:
         lines = lines.filter(F.col("text") != "")
     return consecutive_ids(lines, "query_id").select("query_id", "text")
