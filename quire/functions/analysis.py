@@ -128,7 +128,7 @@ def stem_vocabulary(terms: DataFrame, analyzer: str, term_col: str = "term") ->
 
 
 def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, term_col: str = "term",
-                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                      max_broadcast_rows: int | None = None) -> DataFrame:
     """Anti join of a long token table with a stop-word table (column ``word``).
 
     The stop list is broadcast only after its size is checked; a larger list

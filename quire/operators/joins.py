@@ -11,16 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows we are willing to ship to every executor. Query-side tables (terms of
-# a query batch, parameter grids, stop lists) are far below this.
+# a query batch, stop lists) are far below this. Override per session with
+# the setting ``quire.broadcast.maxRows``.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+CONF_MAX_ROWS = "quire.broadcast.maxRows"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Count-checked bound (a small job on a small, query-side table)."""
+def max_broadcast_rows(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(CONF_MAX_ROWS, None)
+    return int(v) if v is not None else DEFAULT_MAX_BROADCAST_ROWS
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Count-checked bound: a small job over at most max_rows + 1 rows of a
+    query-side table (``limit`` stops the count early on a large one)."""
+    max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
@@ -33,6 +42,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
     lands on ``salts`` tasks instead of one. Only inner/left joins from the big
     side are meaningful here.
     """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError("a salted join preserves the big (left) side only")
     keys = [on] if isinstance(on, str) else list(on)
     spread = F.col(spread_col) if spread_col else F.xxhash64(*[F.col(c) for c in big.columns])
     big_s = big.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
@@ -41,7 +52,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salts: int = 32,
+               max_rows: int | None = None, salts: int = 32,
                spread_col: str | None = None) -> DataFrame:
     """Join a large table with a usually-small one: broadcast when the small
     side is proven small, otherwise a salted shuffle join."""

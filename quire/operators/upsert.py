@@ -33,8 +33,9 @@ def upsert(old: DataFrame, updates: DataFrame, key: str, order_col: str | None =
     new = latest_per_key(updates, key, order_col) if order_col else updates
     if order_col and order_col in old.columns:
         prev = old.select(key, F.col(order_col).alias("_prev"))
-        cand = join_small(prev, new, key, how="right")
-        new = cand.filter(F.col("_prev").isNull() | (F.col(order_col) >= F.col("_prev"))).drop("_prev")
+        stale = (join_small(prev, new.select(key, order_col), key, "inner")
+                 .filter(F.col("_prev") > F.col(order_col)).select(key))
+        new = new.join(stale, key, "left_anti")
     elif order_col:
         new = new.drop(order_col)
     keys = new.select(key).distinct()
