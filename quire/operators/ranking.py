@@ -122,29 +122,38 @@ def weight(model: str, param: float, tf: Column, dl: Column, df: Column, cf: Col
     raise ValueError(f"unknown model {model!r}; choose from {MODELS}")
 
 
-def score(index: Index, qterms: DataFrame, model: str, params, k1: float = BM25_K1,
+def _specs(model, params) -> list[tuple[str, float]]:
+    """(model, param) pairs: ``model`` with a list of values, or model=None
+    and ``params`` already a list of (model, value) pairs."""
+    if model is None:
+        return [(m, float(v)) for m, v in params]
+    return [(model, float(v)) for v in params]
+
+
+def score(index: Index, qterms: DataFrame, model: str | None, params, k1: float = BM25_K1,
           b: float = BM25_B) -> DataFrame:
     """(model, param, query_id, doc_id, score) for every matching document and
-    every parameter value.
+    every (model, parameter) pair.
 
-    All parameter values are computed in the same pass: one weight column per
-    value, summed in one grouped aggregate keyed by (query_id, doc_id), then
-    unpivoted. The candidate volume is shuffled once whatever the grid size,
-    and there is no cross join with the grid.
+    All pairs are computed in the same pass: one weight column per pair,
+    summed in one grouped aggregate keyed by (query_id, doc_id), then
+    unpivoted. The candidate volume is shuffled once whatever the number of
+    models and grid values, and there is no cross join with the grid.
     """
-    params = [float(x) for x in params]
+    specs = _specs(model, params)
     feats = candidates(index, qterms)
     args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), *corpus_scalars(index), k1, b)
     qtf = F.col("qtf").cast("double")
-    sums = [F.sum(qtf * weight(model, v, *args)).alias(f"_s{i}") for i, v in enumerate(params)]
+    sums = [F.sum(qtf * weight(m, v, *args)).alias(f"_s{i}") for i, (m, v) in enumerate(specs)]
     agg = feats.groupBy("query_id", "doc_id").agg(*sums)
-    if len(params) == 1:
-        long = agg.select(F.lit(params[0]).alias("param"), "query_id", "doc_id",
-                          F.col("_s0").alias("_s"))
+    if len(specs) == 1:
+        long = agg.select(F.lit(specs[0][0]).alias("model"), F.lit(specs[0][1]).alias("param"),
+                          "query_id", "doc_id", F.col("_s0").alias("_s"))
     else:
-        pairs = ", ".join(f"CAST({v!r} AS DOUBLE), _s{i}" for i, v in enumerate(params))
-        long = agg.selectExpr(f"stack({len(params)}, {pairs}) AS (param, _s)", "query_id", "doc_id")
-    return long.select(F.lit(model).alias("model"), "param", "query_id", "doc_id",
+        triples = ", ".join(f"'{m}', CAST({v!r} AS DOUBLE), _s{i}" for i, (m, v) in enumerate(specs))
+        long = agg.selectExpr(f"stack({len(specs)}, {triples}) AS (model, param, _s)",
+                              "query_id", "doc_id")
+    return long.select("model", "param", "query_id", "doc_id",
                        F.round("_s", SCORE_DECIMALS).alias("score"))
 
 
@@ -178,10 +187,11 @@ def rank(index: Index, queries: DataFrame, model: str = "jm", param: float | Non
     return top_k(scored, cut).select("query_id", "rk", "doc_id", "score")
 
 
-def rank_grid(index: Index, queries: DataFrame, model: str, params, cut: int = 10,
+def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut: int = 10,
               analyzer: str | None = None) -> DataFrame:
-    """Run (model, param, query_id, rk, doc_id, score) for every grid value
-    (one scoring pass; see ``score``)."""
+    """Run (model, param, query_id, rk, doc_id, score) for every grid value,
+    or every (model, value) pair when ``model`` is None (one scoring pass;
+    see ``score``)."""
     qt = query_terms(queries, analyzer or index.analyzer)
     return top_k(score(index, qt, model, params), cut)
 

@@ -66,6 +66,41 @@ def tuning_matrix(train_m: DataFrame, model: str, grid=None) -> DataFrame:
     return wide.unionByName(avg.withColumn("query", F.lit("avg")))
 
 
+def grid_metrics(index: Index, queries: DataFrame, qrels: DataFrame, models=("jm",),
+                 metric: str = "P", cut: int = 10, grids: dict | None = None) -> DataFrame:
+    """(model, param, query_id, value) for every query of ``queries`` and every
+    grid value of every model, from ONE scoring pass (see ``ranking.score``).
+    A query's scores do not depend on the other queries, so training and test
+    queries can share the pass and be told apart afterwards."""
+    for mdl in models:
+        if mdl not in GRIDS:
+            raise ValueError("tuning model must be jm or dirichlet")
+    col = METRIC_COLUMN[metric]
+    specs = [(mdl, float(v)) for mdl in models for v in (grids or GRIDS)[mdl]]
+    runs = rank_grid(index, queries, None, specs, cut)
+    m = metrics(runs, qrels, queries, keys=("model", "param"), key_values=specs)
+    return m.select("model", "param", "query_id", F.col(col).alias("value"))
+
+
+def tune(index: Index, queries: DataFrame, qrels: DataFrame, ranges: DataFrame,
+         models=("jm",), metric: str = "P", cut: int = 10):
+    """H1-H5 in one scoring pass: (training metrics, best parameter per model,
+    test metrics with the best parameter). The three are views of one metrics
+    table; the best value stays in Spark (semi join, nothing collected)."""
+    sel = queries.filter(F.col("query_id").between(ranges.select("train_lo").scalar(),
+                                                   ranges.select("test_hi").scalar()))
+    # a small table (queries x grid): written to the shared checkpoint folder
+    # so the training and test views below read it instead of re-scoring
+    allm = grid_metrics(index, sel, qrels, models, metric, cut).checkpoint()
+    train_m = in_range(allm, ranges, "train")
+    best = best_param(train_m)
+    test_m = (in_range(allm, ranges, "test")
+              .join(F.broadcast(best.select("model", F.col("best_param").alias("param"))),
+                    ["model", "param"], "left_semi")
+              .select("model", "query_id", "value", F.col("param").alias("best_param")))
+    return train_m, best, test_m
+
+
 def best_param(train_m: DataFrame) -> DataFrame:
     """H3: (model, best_param, best_mean). Highest mean wins; ties go to the
     smallest parameter (the grid ascends from 0 and a later value must be

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.significance import (paired_runs, t_statistic, t_test,
                                           wilcoxon_statistic, wilcoxon_test)
-from quire.operators.tuning import (best_param, id_ranges, in_range, test_metrics,
-                                    training_metrics)
+from quire.operators.tuning import id_ranges, tune
 from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import (FEAT_CTE, INDEX_CTES, QUERY_CTES, qrels_cte,
@@ -24,17 +23,11 @@ def tuned_test_runs(spark, sf_dir, metric=METRIC):
     models -- the two 'test CSVs' of the replaced workflow, as one table."""
     idx = corpus_index(spark, sf_dir)
     q = benchmark_queries(spark, sf_dir)
-    qrels = corpus_qrels(spark, sf_dir)
-    ranges = id_ranges(q)
-    train, test = in_range(q, ranges, "train"), in_range(q, ranges, "test")
-    out = None
-    for model in ("jm", "dirichlet"):
-        best = best_param(training_metrics(idx, train, qrels, model, metric, CUT))
-        tm = test_metrics(idx, test, qrels, best, model, metric, CUT)
-        r = tm.select(F.lit(model).alias("run_id"), F.lit(metric).alias("metric"),
-                      "query_id", "value")
-        out = r if out is None else out.unionByName(r)
-    return out
+    # both models, all grid values, training and test queries: one scoring pass
+    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q),
+                        ("jm", "dirichlet"), metric, CUT)
+    return test_m.select(F.col("model").alias("run_id"), F.lit(metric).alias("metric"),
+                         "query_id", "value")
 
 
 _PAIRS_SQL = f"""

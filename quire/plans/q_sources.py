@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators.index import index_stats, write_index
-from quire.operators.tuning import (best_param, id_ranges, in_range, test_metrics, test_report,
-                                    training_metrics)
+from quire.operators.tuning import id_ranges, test_report, tune
 from quire.operators.upsert import upsert
 from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
@@ -93,10 +92,8 @@ def read_run_csv_q(spark, sf_dir):
     read back (header, value= and avg lines skipped)."""
     idx = corpus_index(spark, sf_dir)
     q = benchmark_queries(spark, sf_dir)
-    qrels = corpus_qrels(spark, sf_dir)
-    r = id_ranges(q)
-    tm = training_metrics(idx, in_range(q, r, "train"), qrels, "jm", "P", 10)
-    rep = test_report(test_metrics(idx, in_range(q, r, "test"), qrels, best_param(tm), "jm", "P", 10))
+    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q), ("jm",), "P", 10)
+    rep = test_report(test_m.select("query_id", "value", "best_param"))
     path = write_test_csv(rep, scratch_path(spark, "testcsv"), "P@10")
     return read_run_csv(spark, path, run_id="jm.test.csv", metric="P@10")
 

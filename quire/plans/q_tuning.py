@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators.tuning import (GRIDS, best_param, id_ranges, in_range, param_label,
-                                    test_metrics, test_report, training_metrics,
-                                    tuning_matrix)
+                                    test_report, training_metrics, tune, tuning_matrix)
 from quire.plans.indexes import corpus_index, corpus_qrels
 from quire.plans.registry import register
 from quire.plans.sqlparts import GRID_SQL, tuning_sql
@@ -68,9 +67,10 @@ def best_param_q(spark, sf_dir):
 
 
 def _test_report(spark, sf_dir, model, metric):
-    idx, q, qrels, ranges, tm = _train(spark, sf_dir, model, metric)
-    test = in_range(q, ranges, "test")
-    return test_report(test_metrics(idx, test, qrels, best_param(tm), model, metric, CUT))
+    idx = corpus_index(spark, sf_dir)
+    q = benchmark_queries(spark, sf_dir)
+    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q), (model,), metric, CUT)
+    return test_report(test_m.select("query_id", "value", "best_param"))
 
 
 _TEST_SQL = """
