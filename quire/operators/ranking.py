@@ -147,20 +147,26 @@ def score(index: Index, qterms: DataFrame, model: str | None, params, k1: float
     sums = [F.sum(qtf * weight(m, v, *args)).alias(f"_s{i}") for i, (m, v) in enumerate(specs)]
     agg = feats.groupBy("query_id", "doc_id").agg(*sums)
     if len(specs) == 1:
-        long = agg.select(F.lit(specs[0][0]).alias("model"), F.lit(specs[0][1]).alias("param"),
-                          "query_id", "doc_id", F.col("_s0").alias("_s"))
+        long = agg.select(F.lit(0).alias("spec"), F.lit(specs[0][0]).alias("model"),
+                          F.lit(specs[0][1]).alias("param"), "query_id", "doc_id",
+                          F.col("_s0").alias("_s"))
     else:
-        triples = ", ".join(f"'{m}', CAST({v!r} AS DOUBLE), _s{i}" for i, (m, v) in enumerate(specs))
-        long = agg.selectExpr(f"stack({len(specs)}, {triples}) AS (model, param, _s)",
+        rows = ", ".join(f"{i}, '{m}', CAST({v!r} AS DOUBLE), _s{i}" for i, (m, v) in enumerate(specs))
+        long = agg.selectExpr(f"stack({len(specs)}, {rows}) AS (spec, model, param, _s)",
                               "query_id", "doc_id")
-    return long.select("model", "param", "query_id", "doc_id",
+    # ``spec`` (int) identifies the (model, param) pair: a numeric window key
+    # keeps the top-k sort on its fast prefix comparison
+    return long.select("spec", "model", "param", "query_id", "doc_id",
                        F.round("_s", SCORE_DECIMALS).alias("score"))
 
 
-def top_k(scored: DataFrame, cut: int, keys=("model", "param", "query_id")) -> DataFrame:
-    """First ``cut`` hits per query by score desc, doc_id asc (the order
-    in which documents were added). ``row_number() <= cut`` is planned as a
-    partial WindowGroupLimit before the shuffle."""
+def top_k(scored: DataFrame, cut: int, keys=None) -> DataFrame:
+    """First ``cut`` hits per query (and per model/parameter pair) by
+    score desc, doc_id asc (the order in which documents were added).
+    ``row_number() <= cut`` is planned as a partial WindowGroupLimit before
+    the shuffle."""
+    if keys is None:
+        keys = ("query_id", "spec") if "spec" in scored.columns else ("query_id",)
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc("doc_id"))
     return (scored.withColumn("rk", F.row_number().over(w).cast("bigint"))
             .filter(F.col("rk") <= cut))

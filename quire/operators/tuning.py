@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quire.operators.evaluation import DECIMALS, METRIC_COLUMN, metrics
 from quire.operators.index import Index
 from quire.operators.ranking import DIRICHLET_GRID, JM_GRID, rank_grid
+from quire.session import materialize
 
 GRIDS = {"jm": JM_GRID, "dirichlet": DIRICHLET_GRID}
 
@@ -89,9 +90,9 @@ def tune(index: Index, queries: DataFrame, qrels: DataFrame, ranges: DataFrame,
     table; the best value stays in Spark (semi join, nothing collected)."""
     sel = queries.filter(F.col("query_id").between(ranges.select("train_lo").scalar(),
                                                    ranges.select("test_hi").scalar()))
-    # a small table (queries x grid): written to the shared checkpoint folder
-    # so the training and test views below read it instead of re-scoring
-    allm = grid_metrics(index, sel, qrels, models, metric, cut).checkpoint()
+    # a small table (queries x grid): written once to the shared folder so the
+    # training and test views below read it instead of re-scoring
+    allm = materialize(grid_metrics(index, sel, qrels, models, metric, cut), "grid-metrics")
     train_m = in_range(allm, ranges, "train")
     best = best_param(train_m)
     test_m = (in_range(allm, ranges, "test")

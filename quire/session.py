@@ -76,3 +76,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh folder under the shared folder and read it
+    back: a lineage cut that survives executor loss and, unlike
+    ``DataFrame.checkpoint()``, computes the input a single time."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
