@@ -17,9 +17,14 @@ from quire.functions.analysis import shingles, token_array
 from quire.operators.joins import join_small
 
 
-def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "contents") -> DataFrame:
-    """(doc_id, term, freq, positions): positions 0-based, ascending. The list
-    of one (document, term) is bounded by the document's length."""
+def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "contents",
+                 offsets: bool = False) -> DataFrame:
+    """(doc_id, term, freq, positions[, start_offsets, end_offsets]):
+    positions 0-based, ascending; offsets are character offsets into the
+    original text (end exclusive), listed in position order. The lists of
+    one (document, term) are bounded by the document's length."""
+    if offsets:
+        return _term_vectors_with_offsets(docs, text_col)
     toks = docs.select("doc_id", token_array(F.col(text_col), analyzer).alias("_t"))
     pos = (toks.select("doc_id", F.posexplode_outer("_t").alias("pos", "term"))
            .filter(F.col("term").isNotNull()))
@@ -28,6 +33,35 @@ def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "c
         F.sort_array(F.collect_list(F.col("pos").cast("bigint"))).alias("positions"))
 
 
+def _term_vectors_with_offsets(docs: DataFrame, text_col: str) -> DataFrame:
+    """Standard analyzer with offsets. Splitting the text on word runs gives
+    the separators (one before every token, plus a trailing one); a token
+    ends at the running sum of separator and token lengths up to it. The
+    running sum is a window per document (bounded by its length)."""
+    from pyspark.sql import Window
+
+    from quire.functions.analysis import NOT_WORD, WORD
+    x = F.col(text_col)
+    d = docs.select("doc_id", F.array_remove(F.split(x, NOT_WORD), "").alias("_t"),
+                    F.split(x, WORD).alias("_s"))
+    z = d.select("doc_id", F.posexplode_outer(F.arrays_zip(
+        F.col("_t").alias("tok"), F.slice("_s", 1, F.size("_t")).alias("sep"))).alias("pos", "z"))
+    z = z.filter(F.col("z").isNotNull()).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), F.lower("z.tok").alias("term"),
+        F.length("z.tok").alias("_lt"), F.length("z.sep").alias("_ls"))
+    w = (Window.partitionBy("doc_id").orderBy("pos")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    z = z.withColumn("end", F.sum(F.col("_lt") + F.col("_ls")).over(w).cast("bigint"))
+    z = z.withColumn("start", (F.col("end") - F.col("_lt")).cast("bigint"))
+    g = z.groupBy("doc_id", "term").agg(
+        F.count(F.lit(1)).cast("bigint").alias("freq"),
+        F.sort_array(F.collect_list(F.struct("pos", "start", "end"))).alias("_o"))
+    return g.select("doc_id", "term", "freq",
+                    F.col("_o.pos").alias("positions"),
+                    F.col("_o.start").alias("start_offsets"),
+                    F.col("_o.end").alias("end_offsets"))
+
+
 def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id, n_phrases): how many of the query's distinct adjacent
     word pairs occur as adjacent words in the document (documents with none

@@ -93,6 +93,25 @@ def term_vectors_q(spark, sf_dir):
     return term_vectors(documents(spark, sf_dir))
 
 
+@register("term_vector_offsets", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS toks,
+                  regexp_split_to_array(text, '{WORD}') AS seps FROM documents),
+p AS (SELECT doc_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS tok,
+             unnest(seps[1:len(toks)]) AS sep FROM t),
+c AS (SELECT doc_id, pos, lower(tok) AS term,
+             sum(length(sep) + length(tok)) OVER (PARTITION BY doc_id ORDER BY pos
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e,
+             length(tok) AS lt FROM p)
+SELECT doc_id, term, count(*)::BIGINT AS freq,
+       list(pos::BIGINT ORDER BY pos) AS positions,
+       list((e - lt)::BIGINT ORDER BY pos) AS start_offsets,
+       list(e::BIGINT ORDER BY pos) AS end_offsets
+FROM c GROUP BY doc_id, term""")
+def term_vector_offsets(spark, sf_dir):
+    """Positions plus start/end character offsets of every occurrence."""
+    return term_vectors(documents(spark, sf_dir), offsets=True)
+
+
 @register("phrase", f"""
 WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM documents),
 db AS (SELECT DISTINCT doc_id, toks[i] || ' ' || toks[i + 1] AS bg

@@ -53,3 +53,12 @@ def test_stemmed_term_counts(spark):
     assert got == {"run": 3, "runner": 1}
     dl = {r["dl"] for r in term_counts(df, "english").collect()}
     assert dl == {4}
+
+
+def test_term_vector_offsets(spark):
+    from quire.operators.vectors import term_vectors
+    df = spark.createDataFrame([(1, "Héllo, wörld! hello")], "doc_id long, contents string")
+    got = {r["term"]: (r["freq"], r["positions"], r["start_offsets"], r["end_offsets"])
+           for r in term_vectors(df, offsets=True).collect()}
+    assert got == {"héllo": (1, [0], [0], [5]), "wörld": (1, [1], [7], [12]),
+                   "hello": (1, [2], [14], [19])}
