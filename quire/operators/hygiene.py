@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.index import Index
+from quire.operators.joins import join_hot_cold, join_small
 
 TFIDF_DECIMALS = 7
+HOT_TERM_SHARE = 1000     # a term in >= 1/HOT_TERM_SHARE of the documents is "hot"
 
 
 def content_key(text_col: str = "contents", mode: str = "sha256"):
@@ -46,7 +48,10 @@ def dup_groups(docs: DataFrame, text_col: str = "contents", mode: str = "sha256"
     g = (h.groupBy("h").agg(F.min("doc_id").alias("kept_id"),
                             F.count(F.lit(1)).alias("n_copies"))
          .filter(F.col("n_copies") > 1))
-    return h.join(g, "h").select("doc_id", "kept_id", F.col("n_copies").cast("bigint"))
+    # one group of copies may hold a large share of all documents: the group
+    # table goes by broadcast when small, else the join is salted by doc_id
+    return join_small(h, g, "h", spread_col="doc_id").select(
+        "doc_id", "kept_id", F.col("n_copies").cast("bigint"))
 
 
 def delete_by_key(docs: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -58,7 +63,11 @@ def tfidf(index: Index) -> DataFrame:
     """(doc_id, term, tf, df, tfidf) with tfidf = tf * log10(N / df), raw
     tf, N = all documents (including those without a term)."""
     n = index.corpus.select(F.col("n_docs").cast("double")).scalar()
-    p = index.postings.select("doc_id", "term", "tf").join(index.terms.select("term", "df"), "term")
+    # postings x vocabulary is a large-large join on a skewed key: frequent
+    # terms (in >= 1/1000 of the documents) are few and go by broadcast
+    hot = F.col("df") * F.lit(HOT_TERM_SHARE) >= n
+    p = join_hot_cold(index.postings.select("doc_id", "term", "tf"),
+                      index.terms.select("term", "df"), "term", hot)
     return p.select(
         "doc_id", "term", "tf", "df",
         F.round(F.col("tf") * F.log10(n / F.col("df")), TFIDF_DECIMALS).alias("tfidf"))

@@ -59,3 +59,20 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str =
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salts=salts, spread_col=spread_col)
+
+
+def join_hot_cold(big: DataFrame, dim: DataFrame, on: str, hot: "Column") -> DataFrame:
+    """Inner join of a large table with a large dimension on a skewed key.
+
+    ``hot`` marks the dimension rows whose key is frequent in ``big`` (for
+    terms: a document frequency above a share of the corpus). There are few
+    such keys, so they are broadcast (size-checked; salted otherwise) and
+    joined map-side; only rows of the remaining, individually small keys are
+    shuffled. No key with a large share of ``big`` ever reaches one task.
+    """
+    hot_dim = dim.filter(hot)
+    cold_dim = dim.filter(~hot)
+    hot_part = join_small(big, hot_dim, on)
+    cold_big = big.join(F.broadcast(hot_dim.select(on)), on, "left_anti") \
+        if fits_broadcast(hot_dim) else big.join(hot_dim.select(on), on, "left_anti")
+    return hot_part.unionByName(cold_big.join(cold_dim, on))

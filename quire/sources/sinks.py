@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.joins import broadcast_if_small
+
 
 def write_collection(df: DataFrame, path: str, id_col: str = "doc_id",
                      text_col: str = "contents") -> str:
@@ -28,7 +30,7 @@ def write_qrels(qrels: DataFrame, path: str, partitions: int | None = None) -> s
     per document, streamed in (query_id, doc_id) order."""
     q = qrels.select("query_id", "doc_id").distinct()
     bounds = q.groupBy("query_id").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"))
-    lines = q.join(bounds, "query_id").select(
+    lines = q.join(broadcast_if_small(bounds), "query_id").select(
         "query_id", "doc_id",
         F.concat(F.when(F.col("doc_id") == F.col("_lo"),
                         F.concat(F.col("query_id").cast("string"), F.lit("\n"))).otherwise(F.lit("")),

@@ -59,7 +59,7 @@ def verbatim_qrels(queries: DataFrame, docs: DataFrame, postings: DataFrame) ->
     those candidates only.
     """
     cand = derived_qrels(queries, postings, min_share=1.0)
-    return (cand.join(queries.select("query_id", "text"), "query_id")
+    return (cand.join(broadcast_if_small(queries.select("query_id", "text")), "query_id")
             .join(docs.select("doc_id", "contents"), "doc_id")
             .filter(F.instr(F.col("contents"), F.col("text")) > 0)
             .select("query_id", "doc_id"))
