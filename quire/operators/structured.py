@@ -15,8 +15,10 @@ over postings, and is expressed as equi joins:
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.operators.index import Index
 from quire.operators.joins import fits_broadcast, join_small, salted_join
@@ -118,14 +120,43 @@ def deletion_neighbourhood(term: Column, k: int = 2) -> Column:
     return F.array_distinct(out)
 
 
-def fuzzy_expansion(terms: DataFrame, qterms: DataFrame, max_edits: int = 2) -> DataFrame:
+def _osa(a: str, b: str) -> int:
+    """Optimal string alignment distance: Levenshtein plus adjacent swaps."""
+    la, lb = len(a), len(b)
+    d = [[0] * (lb + 1) for _ in range(la + 1)]
+    for i in range(la + 1):
+        d[i][0] = i
+    for j in range(lb + 1):
+        d[0][j] = j
+    for i in range(1, la + 1):
+        for j in range(1, lb + 1):
+            cost = 0 if a[i - 1] == b[j - 1] else 1
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + cost)
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[la][lb]
+
+
+@F.pandas_udf(T.LongType())
+def _osa_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_osa(x, y) for x, y in zip(a, b)], dtype="int64")
+
+
+def fuzzy_expansion(terms: DataFrame, qterms: DataFrame, max_edits: int = 2,
+                    transpositions: bool = False) -> DataFrame:
     """(query_id, term, match, distance) for every vocabulary term within
-    ``max_edits`` (Levenshtein) of a query term."""
+    ``max_edits`` of a query term: Levenshtein (JVM built-in), or with
+    ``transpositions`` the optimal-string-alignment distance (an adjacent
+    swap counts once). A swap, like a substitution, costs one deletion on each
+    side, so the same deletion neighbourhoods find every candidate; the
+    distance of each candidate pair is then computed exactly (a pandas UDF
+    over candidate pairs only)."""
     qv = (qterms.select("query_id", "term").distinct()
           .select("query_id", "term", F.explode(deletion_neighbourhood(F.col("term"), max_edits))
                   .alias("v")))
     vv = terms.select(F.col("term").alias("match"),
                       F.explode(deletion_neighbourhood(F.col("term"), max_edits)).alias("v"))
     pairs = join_small(vv, qv, "v").select("query_id", "term", "match").distinct()
-    return (pairs.withColumn("distance", F.levenshtein("term", "match").cast("bigint"))
-            .filter(F.col("distance") <= max_edits))
+    dist = _osa_udf("term", "match") if transpositions else \
+        F.levenshtein("term", "match").cast("bigint")
+    return pairs.withColumn("distance", dist).filter(F.col("distance") <= max_edits)

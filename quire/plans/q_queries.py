@@ -137,3 +137,11 @@ def fuzzy(spark, sf_dir):
     force on fixtures (tests) rather than by SQL."""
     qt = query_terms(benchmark_queries(spark, sf_dir), "standard")
     return fuzzy_expansion(corpus_index(spark, sf_dir).terms, qt, 2)
+
+
+@register("fuzzy_transpositions")
+def fuzzy_transpositions(spark, sf_dir):
+    """R17 with adjacent swaps counted as one edit (optimal string alignment),
+    distance 1."""
+    qt = query_terms(benchmark_queries(spark, sf_dir), "standard")
+    return fuzzy_expansion(corpus_index(spark, sf_dir).terms, qt, 1, transpositions=True)

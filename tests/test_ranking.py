@@ -120,3 +120,19 @@ def test_fuzzy_against_brute_force(spark):
     got = {(r["term"], r["match"], r["distance"]) for r in fuzzy_expansion(terms, qt, 2).collect()}
     want = {(t, v, _lev(t, v)) for t in q for v in vocab if v and _lev(t, v) <= 2}
     assert got == want
+
+
+def _osa_brute(a, b):
+    from quire.operators.structured import _osa
+    return _osa(a, b)
+
+
+def test_fuzzy_transpositions(spark):
+    vocab = ["cat", "act", "tac", "cta", "atc", "tca", "cart", "crat", "ca", "c", "dog", "cats"]
+    q = ["cat", "crta"]
+    terms = spark.createDataFrame([(v,) for v in vocab], "term string")
+    qt = spark.createDataFrame([(1, t) for t in q], "query_id long, term string")
+    got = {(r["term"], r["match"], r["distance"])
+           for r in fuzzy_expansion(terms, qt, 1, transpositions=True).collect()}
+    want = {(t, v, _osa_brute(t, v)) for t in q for v in vocab if _osa_brute(t, v) <= 1}
+    assert got == want and ("cat", "act", 1) in got
