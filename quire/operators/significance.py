@@ -81,17 +81,30 @@ def t_test(pairs: DataFrame, alpha: float = 0.05) -> DataFrame:
 def wilcoxon_statistic(pairs: DataFrame) -> DataFrame:
     """(run_a, run_b, metric, n, w_plus, w_minus, w_max).
 
-    Ranks are computed over the *distinct* |d| values of a pair (count of
-    smaller values + mean position among equals), so the window holds one row
-    per distinct difference rather than one per query.
+    Ranks are computed over the *distinct* |d| values of a pair: rank =
+    (number of smaller values) + mean position among equals. The number of
+    smaller values is a running count, computed without putting a pair in one
+    task: distinct values are range-partitioned by (pair, |d|); each partition
+    contributes a subtotal per pair (a table of partitions x pairs rows), whose
+    running sum gives every partition its offset; inside a partition the
+    running sum covers only that partition's slice.
     """
     d = pairs.withColumn("d", F.col("y") - F.col("x")).withColumn("ad", F.abs("d"))
     by_val = d.groupBy(*PAIR, "ad").agg(F.count(F.lit(1)).alias("c"),
                                         F.sum(F.when(F.col("d") > 0, 1).otherwise(0)).alias("cpos"))
-    w = (Window.partitionBy(*PAIR).orderBy("ad")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = by_val.withColumn("less", F.coalesce(F.sum("c").over(w), F.lit(0))).withColumn(
-        "avg_rank", F.col("less") + (F.col("c") + F.lit(1)) / F.lit(2.0))
+    n_parts = pairs.sparkSession.sparkContext.defaultParallelism
+    sliced = (by_val.repartitionByRange(n_parts, *PAIR, "ad")
+              .withColumn("_part", F.spark_partition_id()))
+    sub = sliced.groupBy("_part", *PAIR).agg(F.sum("c").alias("_sub"))
+    wo = (Window.partitionBy(*PAIR).orderBy("_part")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sub.select("_part", *PAIR, F.coalesce(F.sum("_sub").over(wo), F.lit(0)).alias("_off"))
+    wl = (Window.partitionBy("_part", *PAIR).orderBy("ad")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    local = sliced.withColumn("_loc", F.coalesce(F.sum("c").over(wl), F.lit(0)))
+    ranked = (local.join(offsets, ["_part", *PAIR])
+              .withColumn("less", F.col("_off") + F.col("_loc"))
+              .withColumn("avg_rank", F.col("less") + (F.col("c") + F.lit(1)) / F.lit(2.0)))
     g = ranked.groupBy(*PAIR).agg(F.sum("c").cast("bigint").alias("n"),
                                   F.sum(F.col("cpos") * F.col("avg_rank")).alias("w_plus"))
     total = F.col("n") * (F.col("n") + 1) / F.lit(2.0)
