@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from quire.operators.index import Index
 from quire.operators.joins import fits_broadcast, join_small, salted_join
-from quire.operators.ranking import BM25_B, BM25_K1, SCORE_DECIMALS, corpus_scalars, weight
+from quire.operators.ranking import BM25_B, BM25_K1, corpus_scalars, round_score, weight
 
 
 def lossy_length(dl: Column) -> Column:
@@ -68,7 +68,7 @@ def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: f
     ok = (agg.join(n_must, "query_id", "left")
           .filter((F.col("_bad") == 0) & (F.col("_pos") > 0)
                   & (F.col("_got") == F.coalesce(F.col("_need"), F.lit(0)))))
-    scored = ok.select("query_id", "doc_id", F.round("_s", SCORE_DECIMALS).alias("score"))
+    scored = ok.select("query_id", "doc_id", round_score(F.col("_s")).alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return (scored.withColumn("rk", F.row_number().over(win).cast("bigint"))
             .filter(F.col("rk") <= cut).select("query_id", "rk", "doc_id", "score"))
