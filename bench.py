@@ -41,15 +41,23 @@ def main() -> None:
     t0 = time.time()
     corpus_index(spark, sf_dir, "shingle2")          # phrase index
     times["index_build_shingles"] = round(time.time() - t0, 3)
+    failed: dict[str, str] = {}
     for name in HEADLINE:
         if name not in QUERIES:
             continue
         t0 = time.time()
-        QUERIES[name](spark, sf_dir).collect()
+        try:
+            QUERIES[name](spark, sf_dir).collect()
+        except Exception as e:  # noqa: BLE001 -- report, keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         times[name] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "total_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
