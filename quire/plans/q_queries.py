@@ -11,7 +11,7 @@ from quire.operators.structured import (boolean_rank, fuzzy_expansion, wildcard_
                                         with_lossy_lengths)
 from quire.plans.indexes import corpus_index
 from quire.plans.registry import register
-from quire.plans.sqlparts import FEAT_CTE, INDEX_CTES, QUERY_CTES, WORD, weight_sql
+from quire.plans.sqlparts import FEAT_CTE, INDEX_CTES, QUERY_CTES, weight_sql
 from quire.session import scratch_path
 from quire.sources.tables import benchmark_queries, table
 

@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from quire.plans import workflows as wf
