@@ -111,3 +111,12 @@ def query_subset_q(spark, sf_dir):
     hi = q.agg(F.max("query_id")).scalar()
     sel = q.filter(F.col("query_id").between(F.floor((lo + hi) / 2) + 1, hi))
     return rank(corpus_index(spark, sf_dir), sel, "jm", 0.5, CUT)
+
+
+@register("rank_english")
+def rank_english(spark, sf_dir):
+    """A6 in retrieval: the English analyzer (possessives, stop words, Porter
+    stems) at index and query time, BM25 top 10. Stems are computed once per
+    distinct term of the documents and of the queries."""
+    idx = corpus_index(spark, sf_dir, "english")
+    return rank(idx, benchmark_queries(spark, sf_dir), "bm25", None, CUT, analyzer="english")

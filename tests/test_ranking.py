@@ -136,3 +136,14 @@ def test_fuzzy_transpositions(spark):
            for r in fuzzy_expansion(terms, qt, 1, transpositions=True).collect()}
     want = {(t, v, _osa_brute(t, v)) for t in q for v in vocab if _osa_brute(t, v) <= 1}
     assert got == want and ("cat", "act", 1) in got
+
+
+def test_english_analyzer_end_to_end(spark):
+    from quire.operators.index import build_index
+    docs = spark.createDataFrame([(1, "The runner runs daily"), (2, "a quiet library"),
+                                  (3, "Libraries and running")], "doc_id long, contents string")
+    idx = build_index(spark, docs, "english")
+    q = spark.createDataFrame([(1, "Running"), (2, "the libraries")], "query_id long, text string")
+    got = {(r["query_id"], r["doc_id"]) for r in rank(idx, q, "bm25", None, 10).collect()}
+    # run/runs/running share the stem "run"; library/libraries share "librari"; "the" is a stop word
+    assert got == {(1, 1), (1, 3), (2, 2), (2, 3)}
