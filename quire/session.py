@@ -85,3 +85,31 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings for a cluster run, derived from the input size.
+
+    - scan splits of ``target_partition_bytes / 2`` (texts expand several
+      times when tokenised, so splits stay small enough to aggregate in memory);
+    - shuffle partitions so that one partition holds ~``target_partition_bytes``
+      of the largest shuffle (the raw-text shuffle of the index build, about
+      the input size), never fewer than 3 waves of tasks; AQE coalesces the
+      smaller shuffles of later stages;
+    - AQE skew handling with thresholds relative to that partition size.
+    """
+    slots = executors * cores_per_executor
+    shuffle_parts = max(3 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # query-side tables are broadcast only after an explicit row-count check
+        "quire.broadcast.maxRows": "2000000",
+    }
