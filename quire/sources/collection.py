@@ -103,8 +103,11 @@ def consecutive_ids(df: DataFrame, out_col: str) -> DataFrame:
     w = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("file", "block", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
     wp = Window.partitionBy("file", "block").orderBy("seq")
+    from quire.operators.joins import broadcast_if_small
+    # one row per input split: broadcast after a row-count check (a very
+    # large input falls back to a shuffle join on the split key)
     return (df.withColumn("_r", F.row_number().over(wp))
-            .join(F.broadcast(offsets), ["file", "block"])
+            .join(broadcast_if_small(offsets, 200_000), ["file", "block"])
             .withColumn(out_col, (F.col("_off") + F.col("_r")).cast("bigint"))
             .drop("_off", "_r"))
 
