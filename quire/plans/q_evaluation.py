@@ -37,8 +37,9 @@ WITH {INDEX_CTES},
 {qrels_cte(0.4)}
 SELECT query_id, doc_id FROM qrels""")
 def qrels_derived(spark, sf_dir):
-    """Judgements derived from the tables: >= 40% of the passage's distinct
-    terms occur in the document (postings join, no all-pairs product)."""
+    """S11 input, derived: judgements from the tables -- >= 40% of the
+    passage's distinct terms occur in the document (postings join, no
+    all-pairs product)."""
     q = benchmark_queries(spark, sf_dir)
     return derived_qrels(q, corpus_index(spark, sf_dir).postings)
 
@@ -51,8 +52,9 @@ JOIN benchmark b ON b.item_id = r.query_id
 JOIN documents d ON d.doc_id = r.doc_id
 WHERE contains(d.text, b.text)""")
 def qrels_verbatim(spark, sf_dir):
-    """Judgements: the document contains the passage verbatim (all-terms
-    pre-filter through the postings, then a substring test on candidates)."""
+    """S11 input, derived: the document contains the passage verbatim
+    (all-terms pre-filter through the postings, then a substring test on the
+    candidates only)."""
     q = benchmark_queries(spark, sf_dir)
     return verbatim_qrels(q, documents(spark, sf_dir), corpus_index(spark, sf_dir).postings)
 
@@ -155,8 +157,8 @@ qsel AS (SELECT item_id AS query_id FROM benchmark),
 
 @register("metrics_verbatim", _VERBATIM + "\nSELECT query_id, n_hits, p, ap, recall, rr FROM m")
 def metrics_verbatim(spark, sf_dir):
-    """7.4 #4: with verbatim judgements some queries have none; they are
-    dropped from the evaluation (not failed)."""
+    """E1-E5 with unjudged queries: with verbatim judgements
+    some queries have none; they are dropped from the evaluation, not failed."""
     q = benchmark_queries(spark, sf_dir)
     idx = corpus_index(spark, sf_dir)
     qrels = verbatim_qrels(q, documents(spark, sf_dir), idx.postings)
@@ -167,7 +169,8 @@ def metrics_verbatim(spark, sf_dir):
 SELECT (SELECT count(*) FROM benchmark b
         WHERE b.item_id NOT IN (SELECT query_id FROM qrels))::BIGINT AS n_unjudged""")
 def unjudged_queries_q(spark, sf_dir):
-    """The count of selected queries dropped for lack of judgements."""
+    """E7 / SURVEY 7.4 #4: the number of selected queries dropped for lack of
+    judgements (reported, not silently lost)."""
     q = benchmark_queries(spark, sf_dir)
     idx = corpus_index(spark, sf_dir)
     qrels = verbatim_qrels(q, documents(spark, sf_dir), idx.postings)
