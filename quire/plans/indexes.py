@@ -12,6 +12,7 @@ import hashlib
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quire.operators.index import Index, build_index, open_index
 from quire.session import path_exists, work_dir
@@ -67,3 +68,26 @@ def corpus_qrels(spark: SparkSession, sf_dir: str, min_share: float = 0.4):
             derived_qrels(q, idx.postings, min_share).write.mode("overwrite").parquet(path)
         _QRELS[key] = path
     return spark.read.parquet(path)
+
+
+def field_index(spark: SparkSession, sf_dir: str, table_name: str, id_col: str, field,
+                field_name: str, analyzer: str = "standard") -> Index:
+    """A persisted index of one field (a column expression) of a table, built
+    once per application like ``corpus_index`` (one index per field, so
+    statistics are per field)."""
+    from quire.sources.tables import table
+    key = _key(spark, sf_dir, f"{table_name}.{field_name}.{analyzer}")
+    cached = _BUILT.get(key)
+    if cached is not None and path_exists(spark, f"{cached.path}/stats"):
+        return cached
+    digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+    path = f"{work_dir(spark)}/index-{table_name}-{field_name}-{digest}"
+    if path_exists(spark, f"{path}/stats"):
+        idx = open_index(spark, path, analyzer)
+    else:
+        src = table(spark, sf_dir, table_name).select(
+            F.col(id_col).alias("doc_id"),
+            field.alias(field_name))
+        idx = build_index(spark, src, analyzer, path, text_col=field_name)
+    _BUILT[key] = idx
+    return idx

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.analysis import ENGLISH_STOP_WORDS
-from quire.operators.index import build_index
 from quire.operators.ranking import query_terms, rank
 from quire.operators.structured import (boolean_rank, fuzzy_expansion, wildcard_rank,
                                         with_lossy_lengths)
-from quire.plans.indexes import corpus_index
+from quire.plans.indexes import corpus_index, field_index
 from quire.plans.registry import register
 from quire.plans.sqlparts import FEAT_CTE, INDEX_CTES, QUERY_CTES, weight_sql
-from quire.session import scratch_path
-from quire.sources.tables import benchmark_queries, table
+from quire.sources.tables import benchmark_queries
 
 CUT = 10
 _STOPS = "[" + ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS) + "]"
@@ -62,10 +60,8 @@ WITH {INDEX_CTES.replace("FROM documents", "FROM (SELECT page_id AS doc_id, " +
 def field_search(spark, sf_dir):
     """Search another field -- the <title> of the raw pages -- with BM25
     (one index per field, so statistics are per field)."""
-    pages = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("doc_id"),
-        F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"))
-    idx = build_index(spark, pages, "standard", scratch_path(spark, "index-title"), text_col="title")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    idx = field_index(spark, sf_dir, "pages", "page_id", title, "title")
     return rank(idx, benchmark_queries(spark, sf_dir), "bm25", None, CUT)
 
 
