@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -57,12 +58,39 @@ def work_dir(spark: SparkSession) -> str:
     if current:
         # the context appends a per-application uuid folder; use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quire-work-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    The sources (a few hundred kB) are zipped and handed to the session once per
+    application; executors fetch them through Spark, whatever their working
+    folder and ``PYTHONPATH`` are.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="quire-zip-"), "quire.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A path under the shared folder; unique by default so nothing is overwritten."""
     base = work_dir(spark)
