@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, simhash
+from quire.llm import mixing, packing, simhash, tokenfiles
 from quire.llm.common import table
+from quire.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -68,3 +75,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all pieces of all documents in sequences of 1024 ids."""
+    placed = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), size=1024)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op10_tokenfiles")
+def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as token files and read back."""
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), spaced=False)
+    return tokenfiles.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", tokenfiles.ids_crc32("ids").alias("ids_crc32"))
