@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, simhash, tokenfiles
+from quire.llm import mixing, packing, quality, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -84,6 +84,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, votes, posterior quality and verdict of every document."""
+    scored = quality.score(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    return scored.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
+
+
 @register("op10_tokenfiles")
 def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token files and read back."""
