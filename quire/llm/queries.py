@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, quality, simhash, tokenfiles
+from quire.llm import mixing, packing, quality, secrets, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -91,6 +91,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
 
 
+@register("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secrets.written(F.col("base_spans")), 256).alias("base_sha256"),
+                        secrets.written(F.col("all_spans")).alias("spans"))
+
+
 @register("op10_tokenfiles")
 def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token files and read back."""
