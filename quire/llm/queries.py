@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, quality, secrets, simhash, tokenfiles
+from quire.llm import mixing, packing, pii, quality, secrets, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -100,6 +100,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.written(F.col("all_spans")).alias("spans"))
 
 
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.scan(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @register("op10_tokenfiles")
 def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token files and read back."""
