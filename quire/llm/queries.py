@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, pii, quality, secrets, simhash, tokenfiles
+from quire.llm import langid, mixing, packing, pii, quality, secrets, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -77,6 +77,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op4_langid")
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents in sequences of 1024 ids."""
