@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import langid, mixing, packing, pii, quality, secrets, simhash, tokenfiles
+from quire.llm import annperm, langid, mixing, packing, pii, quality, secrets, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -91,6 +91,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@register("op6_permutation")
+def op6_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest of every vector whose id is divisible by 20."""
+    return annperm.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @register("op7_quality")
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, votes, posterior quality and verdict of every document."""
