@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import annperm, langid, mixing, packing, pii, quality, secrets, simhash, tokenfiles
+from quire.llm import annperm, langid, mixing, packing, pii, quality, revisits, secrets, simhash, tokenfiles
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -77,6 +77,75 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+_OP3 = r"""
+WITH p AS (
+  SELECT page_id AS n, page_id * 60 AS t, url,
+         '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag,
+         'day ' || (floor(page_id * 60 / 86400.0)::BIGINT)::VARCHAR AS day,
+         length(coalesce(html, ''))::VARCHAR AS len
+  FROM pages),
+r AS (
+  SELECT n * 4 AS record_id, 'response' AS kind, url AS uri, t AS date, tag AS etag, day AS modified,
+         'text/html' AS ctype, len AS clen, t::VARCHAR AS dated, NULL AS cache, NULL AS expires
+  FROM p
+  UNION ALL
+  SELECT n * 4 + 1, 'revisit',
+         CASE WHEN contains(url, '#') THEN url
+              ELSE regexp_replace(url, '^https?:', 'HTTP:')
+                   || CASE WHEN contains(url, '?') THEN '&utm_medium=again' ELSE '?utm_medium=again' END END,
+         t + 86400, CASE n % 4 WHEN 0 THEN 'W/' || tag WHEN 2 THEN '"other"' END,
+         CASE n % 4 WHEN 1 THEN day END, NULL, CASE n % 4 WHEN 1 THEN '0' END, (t + 86400)::VARCHAR,
+         CASE n % 4 WHEN 0 THEN 'max-age=60' END, CASE n % 4 WHEN 1 THEN 'soon' END
+  FROM p
+  UNION ALL
+  SELECT n * 4 + 2, CASE WHEN n % 5 = 0 THEN 'response' ELSE 'revisit' END,
+         regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*', 0) || '/', t + 30,
+         '"v' || (floor(n / 20.0)::BIGINT)::VARCHAR || '"', NULL, NULL, NULL, (t + 30)::VARCHAR, NULL, NULL
+  FROM p
+  UNION ALL
+  SELECT n * 4 + 3, 'revisit', url, t - 10, tag, NULL, NULL, NULL, NULL, NULL, NULL FROM p WHERE n % 7 = 0),
+c AS (
+  SELECT r.*, regexp_replace(regexp_replace(lower(regexp_extract(trim(uri), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)', 1)),
+                  '^www[0-9]*\.', ''), ':(80|443)$', '')
+           || regexp_replace(regexp_extract(trim(uri), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*([^?#]*)', 1), '/+$', '') AS head,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(trim(uri), '^[^?#]*\?([^#]*)', 1), '&'),
+             lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|phpsessid|jsessionid|sessionid|sid)='))), '&') AS query
+  FROM r),
+u AS (SELECT *, head || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS curl FROM c),
+w AS (
+  SELECT *, last_value(CASE WHEN kind = 'response' THEN
+           {'id': record_id, 'etag': etag, 'modified': modified, 'ctype': ctype, 'clen': clen, 'dated': dated} END IGNORE NULLS)
+         OVER (PARTITION BY curl ORDER BY date, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s
+  FROM u),
+o AS (
+  SELECT *, CASE WHEN s IS NULL THEN 'no_response'
+                 WHEN etag IS NOT NULL AND s.etag IS NOT NULL THEN
+                   CASE WHEN regexp_replace(etag, '^W/', '') = regexp_replace(s.etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END
+                 WHEN modified IS NOT NULL AND s.modified IS NOT NULL THEN
+                   CASE WHEN modified = s.modified THEN 'resolved' ELSE 'mismatch' END
+                 ELSE 'no_validator' END AS outcome
+  FROM w WHERE kind = 'revisit')
+SELECT record_id, curl AS url, date AS warc_date, outcome,
+       CASE WHEN outcome = 'resolved' THEN s.id END AS response_id,
+       CASE WHEN outcome = 'resolved' THEN coalesce(etag, s.etag) ELSE etag END AS etag,
+       CASE WHEN outcome = 'resolved' THEN coalesce(modified, s.modified) ELSE modified END AS last_modified,
+       CASE WHEN outcome = 'resolved' THEN s.ctype ELSE ctype END AS content_type,
+       CASE WHEN outcome = 'resolved' THEN s.clen ELSE clen END AS content_length,
+       CASE WHEN outcome = 'resolved' THEN coalesce(dated, s.dated) ELSE dated END AS date,
+       cache AS cache_control, expires
+FROM o
+"""
+
+
+@register("op3_revisits", _OP3)
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits among the captures of all pages, resolved to their responses."""
+    found = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "url", "warc_date", "outcome", "response_id",
+                        *[F.col("headers")[k].alias(k.replace("-", "_")) for k in
+                          ("etag", "last-modified", "content-type", "content-length", "date", "cache-control", "expires")])
+
+
 @register("op4_langid")
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
