@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from quire.llm.tokens import coder
 from quire.session import ship_package
@@ -78,7 +79,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list | None = None, id_
             .select("doc_id", (F.col("_base") + F.col("start")).alias("start"), "n_tokens", "ids"))
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def ids_crc32(ids: pa.Array) -> pa.Array:
     """Unsigned CRC-32 of a list of ids as little-endian unsigned 32-bit numbers."""
     values = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), dtype="<i4")
