@@ -225,9 +225,9 @@ def hidden_spans(text: str, plain: list[list[tuple[int, int]]]) -> list[list[tup
     for found, known in zip(plain_spans(t.text), plain):
         own, k = [], 0
         for s, e in found:
-            if not any(t.written[s:e]):
-                continue
             a, b = t.start[s], t.end[e - 1]
+            if not any(t.written[s:e]) and b - a == e - s:
+                continue                         # nothing rewritten or left out in it
             while k < len(known) and known[k][1] <= a:
                 k += 1
             if k == len(known) or not known[k][0] <= a <= b <= known[k][1]:
