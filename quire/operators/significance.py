@@ -11,8 +11,9 @@ Semantics kept from the statistics library the replaced system calls:
 - Wilcoxon: d = y - x, ranks of |d| averaged over ties, *zero differences
   are ranked* (and count towards W-); W = max(W+, n(n+1)/2 - W+);
   exact p = 2 * #{subsets of 1..n with rank sum >= W} / 2^n, which may exceed
-  1; exact only for n <= 30 (null beyond, with the normal approximation
-  offered as a separate column).
+  1. The exact test exists for n <= 30 only: beyond, its p and decision are
+  null. The normal approximation has columns of its own; ``method`` says which
+  decision ``reject`` repeats, and no pair silently changes method.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.distributions import normal_cdf_udf, t_pvalue_udf
+from quire.session import materialize
 
 EXACT_MAX_N = 30
 PAIR = ("run_a", "run_b", "metric")
@@ -42,14 +44,34 @@ def paired_runs(runs: DataFrame, run_a: str | None = None, run_b: str | None = N
     return j.select("run_a", "run_b", "metric", "query_id", "x", "y")
 
 
-def unpaired_counts(runs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per pair: queries present in only one of the two runs (should be 0)."""
-    per_run = runs.groupBy("run_id", "metric").agg(F.count(F.lit(1)).alias("n"))
-    got = pairs.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_paired"))
+def unpaired_counts(runs: DataFrame, run_a: str | None = None, run_b: str | None = None) -> DataFrame:
+    """Per pair of runs with a metric in common: queries that only one of the
+    two has (0 if they can be compared), also for pairs without a common query."""
+    pairs = paired_runs(runs, run_a, run_b)
+    per_run = runs.groupBy("run_id", "metric").agg(F.countDistinct("query_id").alias("n"))
     na = per_run.select(F.col("run_id").alias("run_a"), "metric", F.col("n").alias("n_a"))
     nb = per_run.select(F.col("run_id").alias("run_b"), "metric", F.col("n").alias("n_b"))
-    return (got.join(na, ["run_a", "metric"]).join(nb, ["run_b", "metric"])
-            .select(*PAIR, (F.col("n_a") + F.col("n_b") - 2 * F.col("n_paired")).alias("n_unpaired")))
+    if run_a is not None:
+        na = na.filter(F.col("run_a") == run_a)
+    if run_b is not None:
+        nb = nb.filter(F.col("run_b") == run_b)
+    both = na.join(nb, "metric")
+    if run_a is None or run_b is None:
+        both = both.filter(F.col("run_a") < F.col("run_b"))
+    got = pairs.groupBy(*PAIR).agg(F.countDistinct("query_id").alias("n_paired"))
+    paired = F.coalesce("n_paired", F.lit(0))
+    return (both.join(got, list(PAIR), "left")
+            .select(*PAIR, (F.col("n_a") + F.col("n_b") - 2 * paired).alias("n_unpaired")))
+
+
+def checked_pairs(runs: DataFrame, run_a: str | None = None, run_b: str | None = None) -> DataFrame:
+    """C1 for runs that must cover the same queries: raises ValueError and names
+    the pairs (first ten) if any query is in only one of two runs."""
+    odd = unpaired_counts(runs, run_a, run_b).filter(F.col("n_unpaired") > 0).limit(10).collect()
+    if odd:
+        said = ", ".join(f"{r['run_a']} / {r['run_b']} ({r['metric']}): {r['n_unpaired']}" for r in odd)
+        raise ValueError(f"runs of different queries cannot be compared: {said}")
+    return paired_runs(runs, run_a, run_b)
 
 
 def t_statistic(pairs: DataFrame) -> DataFrame:
@@ -87,14 +109,16 @@ def wilcoxon_statistic(pairs: DataFrame) -> DataFrame:
     task: distinct values are range-partitioned by (pair, |d|); each partition
     contributes a subtotal per pair (a table of partitions x pairs rows), whose
     running sum gives every partition its offset; inside a partition the
-    running sum covers only that partition's slice.
+    running sum covers only that partition's slice. The slices are a written
+    table.
     """
     d = pairs.withColumn("d", F.col("y") - F.col("x")).withColumn("ad", F.abs("d"))
     by_val = d.groupBy(*PAIR, "ad").agg(F.count(F.lit(1)).alias("c"),
                                         F.sum(F.when(F.col("d") > 0, 1).otherwise(0)).alias("cpos"))
-    n_parts = pairs.sparkSession.sparkContext.defaultParallelism
-    sliced = (by_val.repartitionByRange(n_parts, *PAIR, "ad")
-              .withColumn("_part", F.spark_partition_id()))
+    # written once: the subtotals and the slices must see the same part numbers, and
+    # two evaluations of a range exchange may draw different bounds
+    sliced = materialize(by_val.repartitionByRange(*PAIR, "ad")
+                         .withColumn("_part", F.spark_partition_id()), "wilcoxon-slices")
     sub = sliced.groupBy("_part", *PAIR).agg(F.sum("c").alias("_sub"))
     wo = (Window.partitionBy(*PAIR).orderBy("_part")
           .rowsBetween(Window.unboundedPreceding, -1))
@@ -120,8 +144,13 @@ aggregate(sequence(1, CAST(n AS INT)),
 """
 
 
-def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = False) -> DataFrame:
-    """C3 + C4: statistic, exact p (n <= 30), normal-approximation p, decision."""
+def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = False,
+                  method: str = "exact") -> DataFrame:
+    """C3 + C4: statistic, exact p and normal-approximation p, a decision for
+    each (null where that method does not apply: exact for n > 30, normal for
+    n = 0), and ``reject``, the decision of ``method``."""
+    if method not in ("exact", "normal"):
+        raise ValueError("method must be 'exact' or 'normal'")
     s = wilcoxon_statistic(pairs)
     counts = F.expr(_SUBSET_COUNTS)
     exact = s.withColumn("_cnt", F.when(F.col("n") <= EXACT_MAX_N, counts))
@@ -134,8 +163,9 @@ def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = Fals
     var = es * (F.lit(2.0) * F.col("n") + 1) / F.lit(6.0)
     w_min = F.least("w_plus", "w_minus")
     z = (w_min - es - F.lit(0.5)) / F.sqrt(var)
-    out = (exact.withColumn("p_exact", F.when(F.col("n") <= EXACT_MAX_N, p_exact))
-           .withColumn("p_normal", F.when(var > 0, F.lit(2.0) * normal_cdf_udf(z)))
-           .drop("_cnt"))
-    p = F.coalesce("p_exact", "p_normal")
-    return out.withColumn("reject", F.coalesce(p < alpha, F.lit(False)))
+    return (exact.withColumn("p_exact", F.when(F.col("n") <= EXACT_MAX_N, p_exact))
+            .withColumn("p_normal", F.when(var > 0, F.lit(2.0) * normal_cdf_udf(z)))
+            .drop("_cnt")
+            .withColumn("reject_exact", F.col("p_exact") < alpha)
+            .withColumn("reject_normal", F.col("p_normal") < alpha)
+            .withColumn("reject", F.col(f"reject_{method}")))

@@ -1,5 +1,5 @@
 """Structured queries over the index: required/prohibited terms, wildcard and
-fuzzy term expansion, lossy document lengths (R7, R14, R16, R17).
+fuzzy term expansion (R14, R16, R17).
 
 Term expansion always runs over the *vocabulary* (the terms table), never
 over postings, and is expressed as equi joins:
@@ -25,22 +25,6 @@ from quire.operators.joins import fits_broadcast, join_small, salted_join
 from quire.operators.ranking import BM25_B, BM25_K1, corpus_scalars, round_score, weight
 
 
-def lossy_length(dl: Column) -> Column:
-    """Document length as kept in one byte by the replaced library:
-    exact up to 40, then 4 significant bits above an offset of 24
-    (100 -> 96, 1000 -> 984)."""
-    x = (dl - F.lit(24)).cast("double")
-    step = F.pow(F.lit(2.0), F.floor(F.log2(x)) - F.lit(3))     # 2^s, exact in a double
-    return (F.when(dl < 40, dl)
-            .otherwise(F.lit(24) + F.floor(x / step) * step)).cast("bigint")
-
-
-def with_lossy_lengths(index: Index) -> Index:
-    """The same index with every ``dl`` replaced by its one-byte decoding."""
-    from dataclasses import replace
-    return replace(index, postings=index.postings.withColumn("dl", lossy_length(F.col("dl"))))
-
-
 def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: float = 0.0,
                  cut: int = 10) -> DataFrame:
     """Clauses (query_id, term, qtf, occur) with occur in should | must |

@@ -3,13 +3,13 @@
 One job scores every training query for every grid value (the grid is a
 column joined after the features, so the postings scan is shared); the
 training matrix, the best parameter and the test report are aggregates of the
-resulting metrics table. The best parameter stays a one-row DataFrame that is
-cross-joined into the test job -- nothing is collected to the driver.
+resulting metrics table. The best parameter stays a one-row DataFrame that the
+test job reads as a scalar subquery -- nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.evaluation import DECIMALS, METRIC_COLUMN, metrics
@@ -34,11 +34,14 @@ def id_ranges(queries: DataFrame) -> DataFrame:
                     (mid + 1).alias("test_lo"), F.col("hi").alias("test_hi"))
 
 
+def within(ranges: DataFrame, which: str) -> Column:
+    """Whether query_id lies in the inclusive train or test range."""
+    return F.col("query_id").between(ranges.select(f"{which}_lo").scalar(), ranges.select(f"{which}_hi").scalar())
+
+
 def in_range(queries: DataFrame, ranges: DataFrame, which: str) -> DataFrame:
     """H4: queries whose id lies in the inclusive train or test range."""
-    lo = ranges.select(f"{which}_lo").scalar()
-    hi = ranges.select(f"{which}_hi").scalar()
-    return queries.filter(F.col("query_id").between(lo, hi))
+    return queries.filter(within(ranges, which))
 
 
 def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: str,
@@ -88,8 +91,8 @@ def tune(index: Index, queries: DataFrame, qrels: DataFrame, ranges: DataFrame,
     """H1-H5 in one scoring pass: (training metrics, best parameter per model,
     test metrics with the best parameter). The three are views of one metrics
     table; the best value stays in Spark (semi join, nothing collected)."""
-    sel = queries.filter(F.col("query_id").between(ranges.select("train_lo").scalar(),
-                                                   ranges.select("test_hi").scalar()))
+    # in either range: they may come in any order, be apart or overlap
+    sel = queries.filter(within(ranges, "train") | within(ranges, "test"))
     # a small table (queries x grid): written once to the shared folder so the
     # training and test views below read it instead of re-scoring
     allm = materialize(grid_metrics(index, sel, qrels, models, metric, cut), "grid-metrics")

@@ -86,7 +86,13 @@ def top_terms_q(spark, sf_dir):
     return top_terms(corpus_index(spark, sf_dir), 5)
 
 
-@register("java_hash")
+@register("java_hash", """
+WITH units AS (
+  SELECT doc_id, flatten(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) < 65536 THEN [unicode(c)::BIGINT]
+    ELSE [55296 + ((unicode(c)::BIGINT - 65536) >> 10), 56320 + ((unicode(c)::BIGINT - 65536) & 1023)] END)) AS u
+  FROM documents),
+h AS (SELECT doc_id, list_reduce([0::BIGINT] || u, lambda a, b: (a * 31 + b) % 4294967296) AS h FROM units)
+SELECT doc_id, (CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END)::INTEGER AS contents_hash FROM h""")
 def java_hash_q(spark, sf_dir):
     """Java String.hashCode of every document text (compatibility key)."""
     d = documents(spark, sf_dir)

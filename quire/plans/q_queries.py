@@ -1,4 +1,4 @@
-"""Registered queries: structured queries and field choice."""
+"""Registered queries: structured queries and field choice."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.analysis import ENGLISH_STOP_WORDS
 from quire.operators.ranking import query_terms, rank
-from quire.operators.structured import (boolean_rank, fuzzy_expansion, wildcard_rank,
-                                        with_lossy_lengths)
+from quire.operators.structured import boolean_rank, fuzzy_expansion, wildcard_rank
 from quire.plans.indexes import corpus_index, field_index
 from quire.plans.registry import register
 from quire.plans.sqlparts import FEAT_CTE, INDEX_CTES, QUERY_CTES, weight_sql
@@ -25,28 +24,6 @@ def _top(select_scores: str, cut: int = CUT) -> str:
 SELECT query_id, rk, doc_id, score FROM r WHERE rk <= {cut}"""
 
 
-_LOSSY = f"""
-WITH {INDEX_CTES.replace("sum(tf)::BIGINT AS dl FROM post", "sum(tf)::BIGINT AS dl0 FROM post")
-               .replace("avg(dl::DOUBLE) AS avgdl", "avg(dl0::DOUBLE) AS avgdl")
-               .replace("sum(dl)::BIGINT AS n_tokens", "sum(dl0)::BIGINT AS n_tokens")},
-dlen AS (
-  SELECT doc_id, CASE WHEN dl0 < 40 THEN dl0
-                 ELSE 24 + (((dl0 - 24) >> (floor(log2(dl0 - 24)) - 3)::INTEGER)
-                            << (floor(log2(dl0 - 24)) - 3)::INTEGER) END AS dl
-  FROM dlen0),
-{QUERY_CTES},
-{FEAT_CTE}""".replace("dlen AS (\n  SELECT doc_id, sum(tf)::BIGINT AS dl0", "dlen0 AS (\n  SELECT doc_id, sum(tf)::BIGINT AS dl0").replace("FROM dlen)", "FROM dlen0)")
-
-
-@register("rank_jm_lossy", _LOSSY + _top(
-    f"SELECT query_id, doc_id, round(sum(qtf * ({weight_sql('jm', 'CAST(0.5 AS DOUBLE)')})), 6) AS score "
-    "FROM feat GROUP BY query_id, doc_id"))
-def rank_jm_lossy(spark, sf_dir):
-    """Jelinek-Mercer 0.5 with document lengths decoded from one byte."""
-    idx = with_lossy_lengths(corpus_index(spark, sf_dir))
-    return rank(idx, benchmark_queries(spark, sf_dir), "jm", 0.5, CUT)
-
-
 _TITLE = r"regexp_extract(html, '<title>(.*?)</title>', 1)"
 
 

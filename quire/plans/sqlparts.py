@@ -2,6 +2,8 @@
 pre-registered views). They restate the engine's semantics in plain SQL,
 independently of the Spark code."""
 
+from quire.operators.ranking import DIRICHLET_GRID, JM_GRID
+
 # The standard analyzer's token pattern (RE2 and Java agree on it).
 WORD = r"[\p{L}\p{N}]+"
 
@@ -155,11 +157,7 @@ qsel AS (SELECT item_id AS query_id FROM benchmark),
 {select}"""
 
 
-# Tuning grids (as SQL literals).
-GRID_SQL = {
-    "jm": "0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0",
-    "dirichlet": "0, 200, 400, 600, 800, 1000, 1500, 2000, 2500, 3000, 4000",
-}
+GRID_SQL = {"jm": ", ".join(map(str, JM_GRID)), "dirichlet": ", ".join(str(int(v)) for v in DIRICHLET_GRID)}
 METRIC_SQL = {"P": "p", "MAP": "ap", "R": "recall", "MRR": "rr"}
 
 

@@ -25,7 +25,7 @@ from quire.operators.hygiene import kept_ids, top_terms
 from quire.operators.index import (Index, delete_docs, index_from_postings, index_stats,
                                    open_index, write_index)
 from quire.operators.ranking import page, rank, select_queries
-from quire.operators.significance import paired_runs, t_test, wilcoxon_test
+from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
 from quire.operators.tuning import best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
 from quire.sources.collection import read_collection, read_qrels, read_run_csv
@@ -79,10 +79,11 @@ def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_pa
 
 def compare(spark: SparkSession, run_a_path: str, run_b_path: str, test: str = "t",
             alpha: float = 0.05) -> DataFrame:
-    """Paired significance test of two per-query result CSVs (same queries)."""
+    """Paired significance test of two per-query result CSVs. Raises ValueError
+    unless both hold the same queries."""
     runs = (read_run_csv(spark, run_a_path, run_id="a", metric="m")
             .unionByName(read_run_csv(spark, run_b_path, run_id="b", metric="m")))
-    pairs = paired_runs(runs, "a", "b")
+    pairs = checked_pairs(runs, "a", "b")
     if test == "t":
         return t_test(pairs, alpha)
     if test == "wilcoxon":

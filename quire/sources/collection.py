@@ -9,10 +9,9 @@ same record split; a record is a query id followed by the ids of its relevant
 documents, separated by any white space.
 
 Files are read with ``lineSep="/"`` so a large collection file is split
-across tasks like any text file; the record that follows the last ``/`` is
-dropped when it is blank. ``strict=True`` reads each file whole and drops the
-final piece unconditionally (exact on an unterminated tail, but one file per
-task).
+across tasks like any text file. What follows the last ``/`` of a file is not a
+record: the bytes of all records and their separators are compared with the
+size of the file, and where the last separator is missing the last record goes.
 """
 
 from __future__ import annotations
@@ -20,39 +19,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators.joins import broadcast_if_small
+
 _INT = r"^[+-]?[0-9]+$"
 
 
-def _records(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    """(file, seq, rec): raw records in file order, line ends normalised to \\n."""
-    if strict:
-        whole = spark.read.text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file"), F.col("value"))
-        parts = whole.select("file", F.lit(0).cast("bigint").alias("block"),
-                             F.posexplode(F.split("value", "/")).alias("seq", "rec"),
-                             F.size(F.split("value", "/")).alias("_n"))
-        recs = parts.filter(F.col("seq") < F.col("_n") - 1).drop("_n")
-    else:
-        recs = (spark.read.option("lineSep", "/").text(path)
-                .select(F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("block"),
-                        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("rec")))
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, seq, rec): terminated records in file order, line ends
+    normalised to \\n."""
+    recs = (spark.read.option("lineSep", "/").text(path)
+            .select(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_size").alias("size"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("seq"), F.col("value").alias("rec")))
+    # a byte-order mark at the beginning (3 bytes) is not part of a record
+    ends = recs.groupBy("file").agg(
+        (F.sum(F.octet_length("rec") + 1) - F.max("size")).alias("over"),
+        F.max(F.struct("block", "seq")).alias("last"))
+    opened = ends.filter(F.col("over").isin(1, -2)).select("file", F.col("last.block"), F.col("last.seq"))
     norm = F.regexp_replace(F.regexp_replace("rec", "\r\n", "\n"), "\r", "\n")
-    return recs.select("file", "block", "seq", norm.alias("rec"))
+    # one row per file that ends without a separator
+    return (recs.join(broadcast_if_small(opened, 200_000), ["file", "block", "seq"], "left_anti")
+            .select("file", "block", "seq", norm.alias("rec")))
 
 
-def read_collection(spark: SparkSession, path: str, strict: bool = False,
-                    id_col: str = "doc_id", text_col: str = "contents",
-                    with_rejects: bool = False):
+def read_collection(spark: SparkSession, path: str, id_col: str = "doc_id",
+                    text_col: str = "contents", with_rejects: bool = False):
     """(id, text). A repeated id keeps the last record (file order); a
     record whose first line is not an integer goes to the reject table
     (``with_rejects=True`` returns (good, rejects))."""
-    recs = _records(spark, path, strict)
-    # drop lines made only of spaces and tabs, then split off the first line
-    clean = F.regexp_replace("rec", r"(?m)^[ \t]*\n", "")
-    r = recs.select("file", "block", "seq", clean.alias("r")).filter(F.trim(F.col("r")) != "")
-    first = F.regexp_extract("r", r"^([^\n]*)", 1)
-    body = F.regexp_replace(F.regexp_replace("r", r"^[^\n]*\n?", ""), "\n", " ")
+    lines = F.filter(F.split("rec", "\n"), lambda x: F.btrim(x, F.lit(" \t")) != "")
+    r = _records(spark, path).select("file", "block", "seq", lines.alias("lines")).filter(F.size("lines") > 0)
+    first = F.col("lines")[0]
+    rest = F.slice("lines", 2, F.size("lines"))
+    body = F.array_join(F.transform(rest, lambda x: F.concat(x, F.lit(" "))), "")
     parsed = r.select("file", "block", "seq", first.alias("_id"), body.alias(text_col))
     good = parsed.filter(F.col("_id").rlike(_INT))
     latest = (good.groupBy(F.col("_id").cast("bigint").alias(id_col))
@@ -63,10 +63,10 @@ def read_collection(spark: SparkSession, path: str, strict: bool = False,
     return latest
 
 
-def read_qrels(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def read_qrels(spark: SparkSession, path: str) -> DataFrame:
     """Long-form judgements (query_id, doc_id); a repeated query id keeps
     its last record; repeated document ids are kept (see ``judged_counts``)."""
-    recs = _records(spark, path, strict)
+    recs = _records(spark, path)
     toks = F.split(F.trim(F.regexp_replace("rec", r"\s+", " ")), " ")
     r = recs.select("file", "block", "seq", toks.alias("t")).filter(F.col("t")[0] != "")
     latest = (r.groupBy(F.col("t")[0].cast("bigint").alias("query_id"))
@@ -103,7 +103,6 @@ def consecutive_ids(df: DataFrame, out_col: str) -> DataFrame:
     w = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("file", "block", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
     wp = Window.partitionBy("file", "block").orderBy("seq")
-    from quire.operators.joins import broadcast_if_small
     # one row per input split: broadcast after a row-count check (a very
     # large input falls back to a shuffle join on the split key)
     return (df.withColumn("_r", F.row_number().over(wp))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.index import build_index
 from quire.operators.ranking import rank, score, query_terms
-from quire.operators.structured import boolean_rank, fuzzy_expansion, lossy_length
+from quire.operators.structured import boolean_rank, fuzzy_expansion
 
 
 @pytest.fixture(scope="module")
@@ -93,14 +93,6 @@ def test_tokenise_once(spark):
     assert plan.count("split(lower(") == 1
 
 
-def test_lossy_length(spark):
-    df = spark.createDataFrame([(n,) for n in (1, 24, 39, 40, 100, 1000, 5000)], "dl long")
-    got = [r[0] for r in df.select(lossy_length(F.col("dl"))).collect()]
-    assert got[:3] == [1, 24, 39] and got[4] == 96 and got[5] == 984
-    for n, g in zip((40, 5000), (got[3], got[6])):
-        assert g <= n and n - g < n / 8
-
-
 def _lev(a, b):
     prev = list(range(len(b) + 1))
     for i, ca in enumerate(a, 1):

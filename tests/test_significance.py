@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from quire.operators.significance import paired_runs, t_test, wilcoxon_test
+from quire.operators.significance import (checked_pairs, paired_runs, t_test, unpaired_counts,
+                                          wilcoxon_statistic, wilcoxon_test)
 
 
 def _runs(spark, xs, ys):
@@ -31,6 +32,37 @@ def test_exact_refused_above_30(spark):
     ys = [x + (0.01 if i % 2 else -0.02) for i, x in enumerate(xs)]
     w = wilcoxon_test(paired_runs(_runs(spark, xs, ys))).first()
     assert w["n"] == 31 and w["p_exact"] is None and 0 <= w["p_normal"] <= 1
+    assert w["reject_exact"] is None and w["reject"] is None
+    n = wilcoxon_test(paired_runs(_runs(spark, xs, ys)), method="normal").first()
+    assert n["reject"] == n["reject_normal"] == (n["p_normal"] < 0.05)
+    with pytest.raises(ValueError):
+        wilcoxon_test(paired_runs(_runs(spark, xs, ys)), method="auto")
+
+
+@pytest.mark.parametrize("n", [500, 5_000, 50_000, 200_000])
+def test_rank_sums_at_any_size(spark, n):
+    """Against ranks computed in one piece; the same on every run."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(n)
+    x, y = rng.integers(0, 1000, n) / 8, rng.integers(0, 1000, n) / 8 + rng.random(n).round(3)
+    d = pd.Series(y - x)
+    want = d.abs().rank()[d > 0].sum()
+    pairs = spark.createDataFrame(pd.DataFrame({"run_a": "a", "run_b": "b", "metric": "m", "query_id": range(n), "x": x, "y": y})).repartition(8)
+    for _ in range(2):
+        w = wilcoxon_statistic(pairs).first()
+        assert (w["n"], w["w_plus"], w["w_minus"]) == (n, want, n * (n + 1) / 2 - want)
+
+
+def test_unpaired_queries_are_not_dropped(spark):
+    rows = [("a", "P", q, 0.5) for q in (1, 2, 3)] + [("b", "P", q, 0.4) for q in (1, 2)] + [("c", "P", 9, 0.1)]
+    runs = spark.createDataFrame(rows, "run_id string, metric string, query_id long, value double")
+    odd = {(r.run_a, r.run_b): r.n_unpaired for r in unpaired_counts(runs).collect()}
+    assert odd == {("a", "b"): 1, ("a", "c"): 4, ("b", "c"): 3}
+    with pytest.raises(ValueError, match="a / b"):
+        checked_pairs(runs, "a", "b")
+    same = runs.filter("run_id != 'c' and query_id < 3")
+    assert checked_pairs(same, "a", "b").count() == 2
 
 
 def _jarray(spark, vals):

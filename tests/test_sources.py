@@ -24,11 +24,25 @@ def test_record_splitting(spark, tmp_dir):
 
 
 def test_unterminated_tail(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "tail", "a.txt")
-    _write(p, "1\nalpha\n/\n2\nbeta\n")
-    lenient = {r["doc_id"] for r in read_collection(spark, os.path.dirname(p)).collect()}
-    strict = {r["doc_id"] for r in read_collection(spark, os.path.dirname(p), strict=True).collect()}
-    assert lenient == {1, 2} and strict == {1}
+    """What follows the last separator is no record, file by file."""
+    texts = {"a": "1\nalpha\n/\n2\nbeta\n", "b": "3\ngamma/4\ndelta é/", "c": "5\nopen", "d": "\ufeff6\nmark\n/\n7\nopen",
+             "e": "8\nlast/\n", "f": ""}
+    for name, text in texts.items():
+        _write(os.path.join(tmp_dir, "tail", f"{name}.txt"), text)
+    got = {r["doc_id"]: r["contents"] for r in read_collection(spark, os.path.join(tmp_dir, "tail")).collect()}
+    assert got == {1: "alpha ", 3: "gamma ", 4: "delta é ", 6: "mark ", 8: "last "}
+
+
+def test_tail_of_split_files(spark, tmp_dir):
+    """The size rule counts a whole file, also when tasks read parts of it."""
+    _write(os.path.join(tmp_dir, "split", "a.txt"), "".join(f"{i}\ntext {i}\n/\n" for i in range(400)) + "999\nopen")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = {r["doc_id"]: r["contents"] for r in read_collection(spark, os.path.join(tmp_dir, "split")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: f"text {i} " for i in range(400)}
 
 
 def test_qrels_and_query_lines(spark, tmp_dir):
