@@ -6,7 +6,7 @@ a text gets the language of the centroid with the largest cosine. A text whose c
 below what the members of that centroid show is marked as rejected.
 
 Fitting uses a bounded sample of labelled rows (``per_language`` documents of each
-language, chosen by a hash of the id after a count per language, so it is the same on
+language, fewer where ``MAX_SAMPLE`` in all would be exceeded, chosen by a hash of the id after a count per language, so it is the same on
 every run); vectors of the sample are made by tasks and clustered in numpy. The model is
 ``dims`` numbers per centroid, at most ``MAX_LANGUAGES * clusters`` of them, and travels
 with the tasks. Predicting reads every whole text once, without a shuffle.
@@ -30,6 +30,8 @@ from quire.session import ship_package
 
 DIMS = 1 << 13
 PER_LANGUAGE = 400
+#: Over all languages: 16 kB a row on the driver.
+MAX_SAMPLE = 8000
 CLUSTERS = 4
 MAX_LANGUAGES = 200
 ROUNDS = 15
@@ -142,6 +144,7 @@ def sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_langu
     n = counts.count()
     if n > MAX_LANGUAGES:
         raise ValueError(f"{n} languages; the model is bounded to {MAX_LANGUAGES}")
+    per_language = min(per_language, MAX_SAMPLE // max(n, 1))
     # a hash bound first, so that few more rows than wanted are moved; then the exact cut
     place = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     near = rows.join(broadcast_if_small(counts), "lang").withColumn("place", place) \
