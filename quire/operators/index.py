@@ -12,6 +12,13 @@ corpus     one row: n_docs, n_docs_nonempty, n_tokens, avgdl
 docs       doc_id + stored fields (contents optional)
 =========  ==============================================================
 
+On disk an index is a list of committed versions. A version is one small
+manifest, written last and under its own name (so a reader sees a whole version
+or the one before it): the analyzer, the stop-word table, the statistics and the
+segments, each with the tables of document ids deleted from it since. Creating
+starts a new list of segments, appending adds one, updating adds one and deletes
+its keys from the others; nothing that a version names is ever written again.
+
 Tokenisation happens exactly once per build: postings are written first and
 every statistic is derived from the written table, never from the lazy
 tokenisation (which Catalyst would otherwise re-run per consumer).
@@ -19,15 +26,18 @@ tokenisation (which Catalyst would otherwise re-run per consumer).
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.analysis import (remove_stop_words, shingles, stem_vocabulary,
                                       stemmer_for, token_array)
-from quire.operators.joins import join_small
-from quire.session import path_exists, scratch_path
+from quire.operators.joins import broadcast_if_small, join_small
+from quire.session import materialize, scratch_path
 
 
 @dataclass
@@ -39,6 +49,7 @@ class Index:
     docs: DataFrame
     analyzer: str
     path: str | None = None
+    stop_words: DataFrame | None = None
 
 
 # ---------------------------------------------------------------- analysis
@@ -83,14 +94,15 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
         toks = explode_terms(base, [id_col])
         toks = remove_stop_words(toks, stop_words)
         tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-        dl = tf.groupBy(id_col).agg(F.sum("tf").alias("dl"))
-        out = tf.join(dl, id_col)
+        out = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
     else:
         base = base.withColumn("dl", F.size("_toks").cast("bigint"))
         out = (explode_terms(base, [id_col, "dl"])
                .groupBy(id_col, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     stem = stemmer_for(analyzer)
     if stem is not None:
+        # written before stemming: the vocabulary and the regrouping read it, the texts are read once
+        out = materialize(out, "unstemmed")
         vocab = stem_vocabulary(out, analyzer)
         out = (join_small(out, vocab, "term")
                .groupBy(id_col, "dl", F.col("stem").alias("term"))
@@ -133,88 +145,162 @@ def build_index(spark: SparkSession, docs: DataFrame, analyzer: str = "standard"
     """Tokenise once, write postings, derive everything else from them.
 
     ``docs`` needs ``doc_id`` and ``text_col``. ``stored`` names extra columns
-    kept in the ``docs`` table (fetched later for hits only).
+    kept in the ``docs`` table (fetched later for hits only). ``stop_words``
+    (column ``word``) are kept with the index and hold for queries too.
     """
     path = path or scratch_path(spark, f"index-{analyzer}")
+    stops = None
+    if stop_words is not None:
+        stops = f"stop_words/{_name()}"
+        stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
+        stop_words = spark.read.parquet(f"{path}/{stops}")
+    segment = _write_segment(docs, path, analyzer, text_col, stored, contents_stored, stop_words)
+    return _commit(spark, path, analyzer, stops, [{"name": segment, "deleted": []}], latest_version(spark, path))
+
+
+def _name() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def _write_segment(docs: DataFrame, path: str, analyzer: str, text_col: str, stored: tuple[str, ...],
+                   contents_stored: bool, stop_words: DataFrame | None) -> str:
+    """Postings and stored fields of documents as a new segment."""
+    segment = f"segments/{_name()}"
     postings = term_counts(cluster_by_doc(docs), analyzer, "doc_id", text_col, stop_words)
     # written in aggregation order: files hold whole documents, so doc_id and
     # dl compress to runs (measured smaller and faster than sorting by term)
-    postings.write.mode("overwrite").parquet(f"{path}/postings")
+    postings.write.parquet(f"{path}/{segment}/postings")
     keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
-    docs.select(*keep).write.mode("overwrite").parquet(f"{path}/docs")
-    _write_stats(spark, path, 1)
-    return open_index(spark, path, analyzer)
-
-
-def _write_stats(spark: SparkSession, path: str, version: int) -> None:
-    postings = spark.read.parquet(f"{path}/postings")
-    docs = spark.read.parquet(f"{path}/docs")
-    sdir = f"{path}/stats/v{version:05d}"
-    doc_lengths(postings).write.mode("overwrite").parquet(f"{sdir}/doclen")
-    term_stats(postings).write.mode("overwrite").parquet(f"{sdir}/terms")
-    doclen = spark.read.parquet(f"{sdir}/doclen")
-    corpus_stats(docs, doclen).coalesce(1).write.mode("overwrite").parquet(f"{sdir}/corpus")
-
-
-def _stats_versions(spark: SparkSession, path: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(f"{path}/stats")
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(jpath)]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
-
-
-def open_index(spark: SparkSession, path: str, analyzer: str = "standard") -> Index:
-    """Read a persisted index back (latest statistics version)."""
-    versions = _stats_versions(spark, path)
-    if not versions:
+    docs.select(*keep).write.parquet(f"{path}/{segment}/docs")
+    return segment
+
+
+def _segments(spark: SparkSession, path: str, segments: list[dict], table: str) -> DataFrame:
+    """The rows of all segments without those deleted from them. Segments from
+    which nothing was deleted are one scan; deleted ids are size-checked."""
+    whole = [s for s in segments if not s["deleted"]]
+    parts = [spark.read.parquet(*[f"{path}/{s['name']}/{table}" for s in whole])] if whole else []
+    for s in segments:
+        if s["deleted"]:
+            gone = spark.read.parquet(*[f"{path}/{d}" for d in s["deleted"]])
+            parts.append(spark.read.parquet(f"{path}/{s['name']}/{table}")
+                         .join(broadcast_if_small(gone), "doc_id", "left_anti"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _commit(spark: SparkSession, path: str, analyzer: str, stops: str | None, segments: list[dict],
+            after: int) -> Index:
+    """Write the statistics of the segments, then the manifest of version
+    ``after`` + 1; fails if someone else committed that version meanwhile."""
+    stats = f"stats/{_name()}"
+    postings, docs = (_segments(spark, path, segments, t) for t in ("postings", "docs"))
+    doc_lengths(postings).write.parquet(f"{path}/{stats}/doclen")
+    term_stats(postings).write.parquet(f"{path}/{stats}/terms")
+    doclen = spark.read.parquet(f"{path}/{stats}/doclen")
+    corpus_stats(docs, doclen).coalesce(1).write.parquet(f"{path}/{stats}/corpus")
+    manifest = {"analyzer": analyzer, "stop_words": stops, "stats": stats, "segments": segments}
+    fs, at = _fs(spark, f"{path}/versions/v{after + 1:06d}.json")
+    draft = at.getParent().suffix(f"/.{_name()}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if fs.exists(at) or not fs.rename(draft, at):
+        fs.delete(draft, False)
+        raise RuntimeError(f"another writer committed version {after + 1} of {path}")
+    return open_index(spark, path)
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The last committed version, 0 if there is none."""
+    fs, at = _fs(spark, f"{path}/versions")
+    if not fs.exists(at):
+        return 0
+    names = [st.getPath().getName() for st in fs.listStatus(at)]
+    return max((int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")), default=0)
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict:
+    text = spark.read.text(f"{path}/versions/v{version:06d}.json", wholetext=True).first()
+    return json.loads(text[0])
+
+
+def open_index(spark: SparkSession, path: str, analyzer: str | None = None,
+               version: int | None = None) -> Index:
+    """A committed version (the last) as it was written, with its analyzer
+    and stop words. Asking for another analyzer is an error: queries would be
+    analysed differently from the documents."""
+    version = version or latest_version(spark, path)
+    if not version:
         raise FileNotFoundError(f"no index at {path}")
-    sdir = f"{path}/stats/v{versions[-1]:05d}"
+    m = _manifest(spark, path, version)
+    if analyzer is not None and analyzer != m["analyzer"]:
+        raise ValueError(f"the index at {path} was built with analyzer {m['analyzer']!r}, not {analyzer!r}")
     return Index(
-        postings=spark.read.parquet(f"{path}/postings"),
-        doclen=spark.read.parquet(f"{sdir}/doclen"),
-        terms=spark.read.parquet(f"{sdir}/terms"),
-        corpus=spark.read.parquet(f"{sdir}/corpus"),
-        docs=spark.read.parquet(f"{path}/docs"),
-        analyzer=analyzer, path=path)
+        postings=_segments(spark, path, m["segments"], "postings"),
+        doclen=spark.read.parquet(f"{path}/{m['stats']}/doclen"),
+        terms=spark.read.parquet(f"{path}/{m['stats']}/terms"),
+        corpus=spark.read.parquet(f"{path}/{m['stats']}/corpus"),
+        docs=_segments(spark, path, m["segments"], "docs"),
+        analyzer=m["analyzer"], path=path,
+        stop_words=spark.read.parquet(f"{path}/{m['stop_words']}") if m["stop_words"] else None)
 
 
 def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "create",
-                analyzer: str = "standard", text_col: str = "contents",
-                stored: tuple[str, ...] = (), contents_stored: bool = False) -> Index:
-    """create | append | create_or_append.
+                analyzer: str | None = None, text_col: str = "contents",
+                stored: tuple[str, ...] = (), contents_stored: bool = False,
+                stop_words: DataFrame | None = None) -> Index:
+    """K1: create | append | create_or_append.
 
-    create replaces the index; append adds the new documents' postings as new
-    files (nothing rewritten) and writes a fresh statistics version, recomputed
-    over the whole postings table; append requires an existing index.
+    create replaces the index; append adds a segment with the index's own
+    analyzer and stop words (nothing is rewritten) and needs an existing index.
+    Either commits a version with statistics over all its segments.
     """
-    exists = path_exists(spark, f"{path}/postings")
+    version = latest_version(spark, path)
     if mode == "create_or_append":
-        mode = "append" if exists else "create"
+        mode = "append" if version else "create"
     if mode == "create":
-        return build_index(spark, docs, analyzer, path, text_col, stored, contents_stored)
+        return build_index(spark, docs, analyzer or "standard", path, text_col, stored, contents_stored, stop_words)
     if mode != "append":
         raise ValueError("mode must be create, append or create_or_append")
-    if not exists:
-        raise FileNotFoundError(f"append needs an existing index at {path}")
-    postings = term_counts(cluster_by_doc(docs), analyzer, "doc_id", text_col)
-    postings.write.mode("append").parquet(f"{path}/postings")
-    keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
-    docs.select(*keep).write.mode("append").parquet(f"{path}/docs")
-    versions = _stats_versions(spark, path)
-    _write_stats(spark, path, (versions[-1] if versions else 0) + 1)
-    return open_index(spark, path, analyzer)
+    if stop_words is not None:
+        raise ValueError("append uses the stop words of the index")
+    old = open_index(spark, path, analyzer)
+    m = _manifest(spark, path, version)
+    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words)
+    return _commit(spark, path, old.analyzer, m["stop_words"], [*m["segments"], {"name": segment, "deleted": []}], version)
+
+
+def index_update(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "contents",
+                 stored: tuple[str, ...] = (), contents_stored: bool = False) -> Index:
+    """K2: documents replace those with the same ``doc_id`` or are added; the
+    statistics are those of a rebuild. ``docs`` has one row per id
+    (``upsert.latest_per_key`` makes it so). The old postings are not rewritten:
+    the ids are deleted from their segments and read around."""
+    version = latest_version(spark, path)
+    old = open_index(spark, path)
+    m = _manifest(spark, path, version)
+    gone = f"deleted/{_name()}"
+    docs.select("doc_id").distinct().write.parquet(f"{path}/{gone}")
+    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words)
+    kept = [{"name": s["name"], "deleted": [*s["deleted"], gone]} for s in m["segments"]]
+    return _commit(spark, path, old.analyzer, m["stop_words"], [*kept, {"name": segment, "deleted": []}], version)
 
 
 def index_from_postings(spark: SparkSession, postings: DataFrame, docs: DataFrame,
-                        path: str, analyzer: str = "standard") -> Index:
+                        path: str, analyzer: str = "standard", stop_words: DataFrame | None = None) -> Index:
     """Persist given postings/docs (e.g. after a merge or delete) as a new index."""
-    postings.write.mode("overwrite").parquet(f"{path}/postings")
-    docs.write.mode("overwrite").parquet(f"{path}/docs")
-    _write_stats(spark, path, 1)
-    return open_index(spark, path, analyzer)
+    segment, stops = f"segments/{_name()}", None
+    if stop_words is not None:
+        stops = f"stop_words/{_name()}"
+        stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
+    postings.write.parquet(f"{path}/{segment}/postings")
+    docs.write.parquet(f"{path}/{segment}/docs")
+    return _commit(spark, path, analyzer, stops, [{"name": segment, "deleted": []}], latest_version(spark, path))
 
 
 def index_stats(index: Index) -> DataFrame:

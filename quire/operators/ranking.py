@@ -60,12 +60,12 @@ def round_score(c: Column, decimals: int = SCORE_DECIMALS) -> Column:
 # ------------------------------------------------------------------ queries
 
 def query_terms(queries: DataFrame, analyzer: str = "standard", id_col: str = "query_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", stop_words: DataFrame | None = None) -> DataFrame:
     """(query_id, term, qtf). Queries are lower-cased before analysis, so
     operator words are never operators and case-keeping analyzers only match
-    lower-case document words."""
+    lower-case document words. ``stop_words`` are those of the index."""
     q = queries.select(F.col(id_col).alias("query_id"), F.lower(F.col(text_col)).alias("_q"))
-    tc = term_counts(q, analyzer, "query_id", "_q")
+    tc = term_counts(q, analyzer, "query_id", "_q", stop_words)
     return tc.select("query_id", "term", F.col("tf").alias("qtf"))
 
 
@@ -198,7 +198,7 @@ def rank(index: Index, queries: DataFrame, model: str = "jm", param: float | Non
          b: float = BM25_B) -> DataFrame:
     """Run (query_id, rk, doc_id, score) of one model for a query batch."""
     p = _check_param(model, param)
-    qt = query_terms(queries, analyzer or index.analyzer)
+    qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
     scored = score(index, qt, model, [p], k1, b)
     return top_k(scored, cut).select("query_id", "rk", "doc_id", "score")
 
@@ -208,14 +208,14 @@ def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut:
     """Run (model, param, query_id, rk, doc_id, score) for every grid value,
     or every (model, value) pair when ``model`` is None (one scoring pass;
     see ``score``)."""
-    qt = query_terms(queries, analyzer or index.analyzer)
+    qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
     return top_k(score(index, qt, model, params), cut)
 
 
 def total_hits(index: Index, queries: DataFrame, analyzer: str | None = None) -> DataFrame:
     """Number of matching documents per query (exact, before the cut);
     queries without a match report 0."""
-    qt = query_terms(queries, analyzer or index.analyzer)
+    qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
     matched = (candidates(index, qt).select("query_id", "doc_id").distinct()
                .groupBy("query_id").agg(F.count(F.lit(1)).alias("total_hits")))
     return (queries.select("query_id").distinct().join(matched, "query_id", "left")

@@ -9,37 +9,39 @@ written postings instead of re-tokenising the corpus.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.index import Index, build_index, open_index
+from quire.operators.index import Index, build_index, latest_version, open_index
 from quire.session import path_exists, work_dir
 from quire.sources.tables import documents
 
 _BUILT: dict[tuple, Index] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str, analyzer: str) -> tuple:
-    src = f"{sf_dir.rstrip('/')}/documents.parquet"
-    try:
-        st = os.stat(src)
-        stamp = f"{st.st_size}-{int(st.st_mtime)}"
-    except OSError:
-        stamp = "remote"
-    return (spark.sparkContext.applicationId, src, stamp, analyzer)
+def _key(spark: SparkSession, sf_dir: str, what: str, table_name: str = "documents") -> tuple:
+    """Names what is derived from a table as it is now: number, size and last
+    change of its files, through the file system that Spark reads it by."""
+    src = f"{sf_dir.rstrip('/')}/{table_name}.parquet"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(src)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    n = size = last = 0
+    while found.hasNext():
+        st = found.next()
+        n, size, last = n + 1, size + st.getLen(), max(last, st.getModificationTime())
+    return (spark.sparkContext.applicationId, src, f"{n}-{size}-{last}", what)
 
 
 def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -> Index:
     """The persisted index of ``documents`` under ``sf_dir``."""
     key = _key(spark, sf_dir, analyzer)
     cached = _BUILT.get(key)
-    if cached is not None and path_exists(spark, f"{cached.path}/stats"):
+    if cached is not None and latest_version(spark, cached.path):
         return cached
     digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/index-{analyzer}-{digest}"
-    if path_exists(spark, f"{path}/stats"):
+    if latest_version(spark, path):
         idx = open_index(spark, path, analyzer)
     else:
         idx = build_index(spark, documents(spark, sf_dir), analyzer, path,
@@ -76,13 +78,13 @@ def field_index(spark: SparkSession, sf_dir: str, table_name: str, id_col: str,
     once per application like ``corpus_index`` (one index per field, so
     statistics are per field)."""
     from quire.sources.tables import table
-    key = _key(spark, sf_dir, f"{table_name}.{field_name}.{analyzer}")
+    key = _key(spark, sf_dir, f"{table_name}.{field_name}.{analyzer}", table_name)
     cached = _BUILT.get(key)
-    if cached is not None and path_exists(spark, f"{cached.path}/stats"):
+    if cached is not None and latest_version(spark, cached.path):
         return cached
     digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/index-{table_name}-{field_name}-{digest}"
-    if path_exists(spark, f"{path}/stats"):
+    if latest_version(spark, path):
         idx = open_index(spark, path, analyzer)
     else:
         src = table(spark, sf_dir, table_name).select(

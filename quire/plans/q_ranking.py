@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire.functions.analysis import ENGLISH_STOP_WORDS
+from quire.operators.index import open_index, write_index
 from quire.operators.ranking import (hits_with_fields, page, query_terms, rank,
                                      total_hits)
 from quire.plans.indexes import corpus_index
 from quire.plans.registry import register
 from quire.plans.sqlparts import INDEX_CTES, QUERY_CTES, ranked_sql
-from quire.sources.tables import benchmark_queries
+from quire.session import scratch_path
+from quire.sources.collection import read_stopwords
+from quire.sources.tables import benchmark_queries, documents
 
 CUT = 10
 
@@ -120,3 +124,21 @@ def rank_english(spark, sf_dir):
     distinct term of the documents and of the queries."""
     idx = corpus_index(spark, sf_dir, "english")
     return rank(idx, benchmark_queries(spark, sf_dir), "bm25", None, CUT, analyzer="english")
+
+
+_STOPPED = "(" + ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS) + ")"
+
+
+@register("rank_stop_file", ranked_sql("bm25", 0.0, CUT)
+          .replace("post AS (\n  SELECT doc_id, term, count(*)::BIGINT AS tf FROM tok GROUP",
+                   f"post AS (\n  SELECT doc_id, term, count(*)::BIGINT AS tf FROM tok WHERE term NOT IN {_STOPPED} GROUP")
+          .replace("count(*)::BIGINT AS qtf FROM qtok GROUP", f"count(*)::BIGINT AS qtf FROM qtok WHERE term NOT IN {_STOPPED} GROUP"))
+def rank_stop_file(spark, sf_dir):
+    """S13 end to end: a stop-word file given when the index is created holds for
+    appended documents and, from the index, for queries."""
+    words = scratch_path(spark, "stop-words")
+    spark.createDataFrame([(f" {w} ",) for w in ENGLISH_STOP_WORDS], "value string").coalesce(1).write.text(words)
+    path, d = scratch_path(spark, "index-stopped"), documents(spark, sf_dir)
+    write_index(spark, d.filter("doc_id % 2 = 0"), path, "create", stop_words=read_stopwords(spark, words))
+    write_index(spark, d.filter("doc_id % 2 = 1"), path, "append")
+    return rank(open_index(spark, path), benchmark_queries(spark, sf_dir), "bm25", None, CUT)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators.index import index_stats, write_index
+from quire.operators.index import index_stats, index_update, write_index
 from quire.operators.tuning import id_ranges, test_report, tune
 from quire.operators.upsert import upsert
 from quire.plans.indexes import corpus_index, corpus_qrels
@@ -253,6 +253,36 @@ def write_index_q(spark, sf_dir):
     return index_stats(idx)
 
 
+@register("write_index_again", f"""
+WITH {INDEX_CTES}
+SELECT c.n_docs, c.n_docs_nonempty, c.n_tokens, (SELECT count(*) FROM tstat)::BIGINT AS n_terms
+FROM corp c""")
+def write_index_again_q(spark, sf_dir):
+    """K1: create, append, create on one path; the last create alone is in force."""
+    d = documents(spark, sf_dir)
+    path = scratch_path(spark, "index-again")
+    write_index(spark, d.filter(F.col("lang") == "en"), path, "create")
+    write_index(spark, d.filter(F.col("lang") == "fr"), path, "append")
+    return index_stats(write_index(spark, d, path, "create"))
+
+
+_NEW_TEXT = "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 200) || ' updated' ELSE text END AS text FROM documents)"
+
+
+@register("index_update", f"""
+WITH {INDEX_CTES.replace("FROM documents),", "FROM " + _NEW_TEXT + "),", 1)}
+SELECT term, df::BIGINT AS df, cf::BIGINT AS cf FROM tstat""")
+def index_update_q(spark, sf_dir):
+    """K2: an index of two thirds of the documents, and a longer version of some, brought
+    up to date by key; its term statistics are those of a rebuild."""
+    d = documents(spark, sf_dir)
+    path = scratch_path(spark, "index-update")
+    third = F.col("doc_id") % 3 == 0
+    write_index(spark, d.filter(~third | (F.col("doc_id") % 2 == 0)), path, "create")
+    new = d.filter(third).withColumn("contents", F.concat(F.substring("contents", 1, 200), F.lit(" updated")))
+    return index_update(spark, new, path).terms.select("term", "df", "cf")
+
+
 @register("upsert_stream", """
 WITH upd AS (
   SELECT conv_id AS doc_id, arg_max(text, turn) AS contents FROM conversations GROUP BY conv_id),

@@ -28,22 +28,26 @@ from quire.operators.ranking import page, rank, select_queries
 from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
 from quire.operators.tuning import best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
-from quire.sources.collection import read_collection, read_qrels, read_run_csv
+from quire.sources.collection import read_collection, read_qrels, read_run_csv, read_stopwords
 from quire.sources.files import scan_files
 from quire.sources.sinks import write_report_csv, write_test_csv
 
 
 def index_collection(spark: SparkSession, collection_path: str, index_path: str,
-                     analyzer: str = "standard", mode: str = "create") -> DataFrame:
-    """Parse a collection file and index it; returns the index statistics."""
+                     analyzer: str | None = None, mode: str = "create",
+                     stop_words_path: str | None = None) -> DataFrame:
+    """Parse a collection file and index it; returns the index statistics. The
+    analyzer and the words of a stop-word file are kept with the index: appending
+    and searching use them."""
     docs = read_collection(spark, collection_path)
+    stops = read_stopwords(spark, stop_words_path) if stop_words_path else None
     idx = write_index(spark, docs, index_path, mode, analyzer, text_col="contents",
-                      contents_stored=True)
+                      contents_stored=True, stop_words=stops)
     return index_stats(idx)
 
 
 def search_eval(spark: SparkSession, index_path: str, queries_path: str, qrels_path: str,
-                out_dir: str, analyzer: str = "standard", model: str = "jm",
+                out_dir: str, analyzer: str | None = None, model: str = "jm",
                 param: float | None = 0.5, cut: int = 10, top: int = 10,
                 first_query: int | None = None, last_query: int | None = None):
     """Rank the selected queries, evaluate at ``cut``; writes the ranked list
@@ -61,7 +65,7 @@ def search_eval(spark: SparkSession, index_path: str, queries_path: str, qrels_p
 
 def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_path: str,
                out_dir: str, model: str = "jm", train=(None, None), test=(None, None),
-               metric: str = "P", cut: int = 10, analyzer: str = "standard"):
+               metric: str = "P", cut: int = 10, analyzer: str | None = None):
     """Tune on the training id range, report on the test range with the best
     value; writes the training matrix and the test CSV. Returns both tables."""
     idx = open_index(spark, index_path, analyzer)
@@ -121,7 +125,7 @@ def remove_duplicates(spark: SparkSession, index_path: str, out_path: str,
         raise ValueError("the index must store the contents to find duplicates")
     dropped = idx.docs.select("doc_id").join(kept_ids(idx.docs, text_col), "doc_id", "left_anti")
     postings, docs = delete_docs(idx, dropped)
-    new = index_from_postings(spark, postings, docs, out_path, idx.analyzer)
+    new = index_from_postings(spark, postings, docs, out_path, idx.analyzer, idx.stop_words)
     before = index_stats(idx).select(F.lit("before").alias("stage"), "n_docs", "n_terms")
     after = index_stats(new).select(F.lit("after").alias("stage"), "n_docs", "n_terms")
     return before.unionByName(after)

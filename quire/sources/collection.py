@@ -50,8 +50,8 @@ def read_collection(spark: SparkSession, path: str, id_col: str = "doc_id",
     (``with_rejects=True`` returns (good, rejects))."""
     lines = F.filter(F.split("rec", "\n"), lambda x: F.btrim(x, F.lit(" \t")) != "")
     r = _records(spark, path).select("file", "block", "seq", lines.alias("lines")).filter(F.size("lines") > 0)
-    first = F.col("lines")[0]
-    rest = F.slice("lines", 2, F.size("lines"))
+    first = F.get("lines", 0)
+    rest = F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(0)))
     body = F.array_join(F.transform(rest, lambda x: F.concat(x, F.lit(" "))), "")
     parsed = r.select("file", "block", "seq", first.alias("_id"), body.alias(text_col))
     good = parsed.filter(F.col("_id").rlike(_INT))
