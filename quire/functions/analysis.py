@@ -17,7 +17,7 @@ standard   runs of letters/digits, lower-cased (word-boundary rules of
 stop       simple + stop-word removal (default list or a file)
 english    standard_uax, possessive 's removed, English stop words,
            Porter stem
-spanish    standard, Spanish stop words (a file), light Spanish stem
+spanish    standard, Spanish stop words, light Spanish stem
 shingle2   adjacent pairs of standard terms, "w1 w2" (a phrase index)
 ========== ===========================================================
 """
@@ -53,6 +53,46 @@ ENGLISH_STOP_WORDS = (
     "with",
 )
 
+# Spanish function words.
+_SPANISH_WORDS = """
+de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque
+esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante todos uno les ni contra
+otros ese eso ante ellos e esto mí antes algunos qué unos yo otro otras otra él tanto esa estos mucho quienes
+nada muchos cual poco ella estar estas algunas algo nosotros mi mis tú te ti tu tus ellas nosotras vosotros
+vosotras os mío mía míos mías tuyo tuya tuyos tuyas suyo suya suyos suyas nuestro nuestra nuestros nuestras
+vuestro vuestra vuestros vuestras esos esas
+""".split()
+
+
+def _spanish_auxiliaries() -> set[str]:
+    """Forms of estar, haber, ser and tener, from their stems and the endings of the tenses."""
+    out = set()
+    present = ("estoy estás está estamos estáis están he has ha hemos habéis han soy eres es somos sois son "
+               "tengo tienes tiene tenemos tenéis tienen")
+    out |= set(present.split())
+    for stem, a in (("est", "é és é emos éis én"), ("hay", "a as a amos áis an"), ("se", "a as a amos áis an"),
+                    ("teng", "a as a amos áis an")):
+        out |= {stem + e for e in a.split()}                                   # subjunctive
+    for stem in ("estar", "habr", "ser", "tendr"):
+        out |= {stem + e for e in "é ás á emos éis án ía ías íamos íais ían".split()}
+    for stem, a in (("est", "aba abas ábamos abais aban"), ("hab", "ía ías íamos íais ían"), ("", "era eras éramos erais eran"),
+                    ("ten", "ía ías íamos íais ían")):
+        out |= {stem + e for e in a.split()}                                   # imperfect
+    for stem, a in (("estuv", "e iste o imos isteis ieron"), ("hub", "e iste o imos isteis ieron"),
+                    ("fu", "i iste e imos isteis eron"), ("tuv", "e iste o imos isteis ieron")):
+        out |= {stem + e for e in a.split()}                                   # past
+        past = stem if stem == "fu" else stem + "i"
+        for mark in ("r", "s"):
+            out |= {past + e + mark + x for e, x in (("e", "a"), ("e", "as"), ("é", "amos"), ("e", "ais"), ("e", "an"))} \
+                if mark == "r" else {past + e + mark + x for e, x in (("e", "e"), ("e", "es"), ("é", "emos"), ("e", "eis"), ("e", "en"))}
+    out |= {"estando", "habiendo", "siendo", "teniendo", "sido", "estad", "tened"}
+    for stem in ("estad", "habid", "tenid"):
+        out |= {stem + e for e in ("o", "a", "os", "as")}
+    return out
+
+
+SPANISH_STOP_WORDS = tuple(sorted({*_SPANISH_WORDS, *_spanish_auxiliaries()}))
+
 STEMMERS = {"english": porter_stem, "spanish": spanish_light_stem}
 
 
@@ -87,6 +127,7 @@ def token_array(text: Column | str, analyzer: str = "standard",
         stop_words = ENGLISH_STOP_WORDS if stop_words is None else stop_words
     elif analyzer == "spanish":
         arr = F.array_remove(F.split(F.lower(text), NOT_WORD), "")
+        stop_words = SPANISH_STOP_WORDS if stop_words is None else stop_words
     elif analyzer == "shingle2":
         # pairs built from a materialised token column: see ``shingles``
         arr = F.array_remove(F.split(F.lower(text), NOT_WORD), "")

@@ -1,12 +1,14 @@
 """Join strategy helpers: size-checked broadcast and salted shuffle joins.
 
-A side is broadcast only after its row count is checked against a bound;
-beyond the bound the join is shuffled, and a key that may hold a large share
-of the rows (a frequent term) is salted so that no single task receives it.
+A side is broadcast only after its rows and bytes are checked against bounds;
+beyond them the join is shuffled, and a key that may hold a large share of the
+rows (a frequent term) is salted so that no single task receives it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ from pyspark.sql import functions as F
 # the setting ``quire.broadcast.maxRows``.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 CONF_MAX_ROWS = "quire.broadcast.maxRows"
+# Bytes of their strings and 16 for every other value (a keyword term or a
+# passage may be a whole document). Setting ``quire.broadcast.maxBytes``.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+CONF_MAX_BYTES = "quire.broadcast.maxBytes"
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
@@ -22,11 +28,32 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(v) if v is not None else DEFAULT_MAX_BROADCAST_ROWS
 
 
+def max_broadcast_bytes(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(CONF_MAX_BYTES, None)
+    return int(v) if v is not None else DEFAULT_MAX_BROADCAST_BYTES
+
+
+def _row_bytes(df: DataFrame):
+    """Column: about how many bytes a row takes."""
+    sizes = [F.lit(0)]
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)) + 16)
+        elif kind.startswith(("array", "map", "struct")):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        else:
+            sizes.append(F.lit(16))
+    return reduce(lambda x, y: x + y, sizes).cast("bigint")
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Count-checked bound: a small job over at most max_rows + 1 rows of a
-    query-side table (``limit`` stops the count early on a large one)."""
+    """Checked bound: one job over at most max_rows + 1 rows of a query-side
+    table (``limit`` stops it early on a large one) counts rows and bytes."""
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+    n, size = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1) \
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return n <= max_rows and size <= max_broadcast_bytes(df)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -37,15 +64,15 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
                 salts: int = 32, spread_col: str | None = None) -> DataFrame:
     """Shuffle join that splits every key into ``salts`` sub-keys.
 
-    ``big`` rows get a salt derived from ``spread_col`` (default: a hash of all
-    its columns); ``small`` is replicated once per salt. A hot key therefore
+    ``big`` rows get a salt from a hash of ``spread_col`` (default: of all its
+    columns), so ids of any type and pattern spread evenly; ``small`` is replicated once per salt. A hot key therefore
     lands on ``salts`` tasks instead of one. Only inner/left joins from the big
     side are meaningful here.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("a salted join preserves the big (left) side only")
     keys = [on] if isinstance(on, str) else list(on)
-    spread = F.col(spread_col) if spread_col else F.xxhash64(*[F.col(c) for c in big.columns])
+    spread = F.xxhash64(*[F.col(c) for c in ([spread_col] if spread_col else big.columns)])
     big_s = big.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
@@ -73,6 +100,7 @@ def join_hot_cold(big: DataFrame, dim: DataFrame, on: str, hot: "Column") -> Dat
     hot_dim = dim.filter(hot)
     cold_dim = dim.filter(~hot)
     hot_part = join_small(big, hot_dim, on)
-    cold_big = big.join(F.broadcast(hot_dim.select(on)), on, "left_anti") \
-        if fits_broadcast(hot_dim) else big.join(hot_dim.select(on), on, "left_anti")
+    # beyond the bound the hot keys are salted here too: a plain anti join would send each
+    # of them to one task
+    cold_big = join_small(big, hot_dim.select(on), on, "left_anti")
     return hot_part.unionByName(cold_big.join(cold_dim, on))

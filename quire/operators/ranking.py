@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.index import Index, term_counts
-from quire.operators.joins import fits_broadcast, salted_join
+from quire.operators.joins import fits_broadcast, salted_join, join_small
 
 MODELS = ("jm", "dirichlet", "boolean", "bm25")
 
@@ -231,5 +231,6 @@ def page(run: DataFrame, page_no: int, page_size: int) -> DataFrame:
 
 
 def hits_with_fields(run: DataFrame, docs: DataFrame, fields=("source", "lang")) -> DataFrame:
-    """Stored fields of the hits only (the run is small: queries x cut)."""
-    return run.join(docs.select("doc_id", *fields), "doc_id", "inner")
+    """Stored fields of the hits only. The run (queries x cut) is size-checked
+    and broadcast into the scan of the stored fields."""
+    return join_small(docs.select("doc_id", *fields), run, "doc_id", "inner")

@@ -60,19 +60,58 @@ def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: f
 
 # ----------------------------------------------------------------- wildcard
 
+def asked_lengths(df: DataFrame, col: str) -> list[int]:
+    """The different lengths of a query-side column: a few numbers."""
+    return sorted(r[0] for r in df.select(F.length(col)).distinct().collect() if r[0] is not None)
+
+
 def prefix_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     """(query_id, pattern, term) for every vocabulary term that starts
     with a ``pattern*`` prefix, by an equi join on generated prefixes."""
-    pre = terms.select("term", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("term")), lambda i: F.substring("term", 1, i))).alias("pattern"))
     pats = patterns.select("query_id", "pattern").distinct()
+    # prefixes of the lengths asked for only
+    lengths = F.array(*[F.lit(n) for n in asked_lengths(pats, "pattern")]).cast("array<int>")
+    wanted = F.filter(lengths, lambda k: k <= F.length("term"))
+    pre = terms.select("term", F.explode(F.transform(wanted, lambda i: F.substring("term", F.lit(1), i))).alias("pattern"))
     return join_small(pre, pats, "pattern").select("query_id", "pattern", "term")
 
 
-def wildcard_rank(index: Index, patterns: DataFrame, cut: int = 10) -> DataFrame:
+GRAM = 3
+
+
+def wildcard_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(query_id, pattern, term) for patterns with ``*`` (any characters)
+    and ``?`` (one character) anywhere.
+
+    An equi join, not a test of every pair: each pattern is keyed by up to GRAM
+    characters of its longest literal run, each term by its substrings of those
+    lengths, and the pairs that meet are tested with the pattern as a regular
+    expression. A pattern without a literal has the empty key, which all terms
+    share: it has to look at the whole vocabulary."""
+    pats = patterns.select("query_id", "pattern").distinct()
+    runs = F.split("pattern", r"[*?]")
+    longest = F.array_sort(F.transform(runs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r"))))[0]["r"]
+    # every character quoted on its own, then the wildcards put back
+    quoted = F.regexp_replace("pattern", r"([^\p{L}\p{N}])", r"\\$1")
+    regex = F.replace(F.replace(quoted, F.lit("\\*"), F.lit(".*")), F.lit("\\?"), F.lit("."))
+    pats = pats.withColumn("_key", F.substring(longest, 1, GRAM)) \
+        .withColumn("_regex", F.concat(F.lit("(?s)^"), regex, F.lit("$")))
+    n = F.length("term")
+
+    def grams(k: int) -> Column:
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring("term", i, k))) \
+            .otherwise(F.array().cast("array<string>"))
+    keys = F.array_distinct(F.concat(F.array(F.lit("")), *[grams(k) for k in range(1, GRAM + 1)]))
+    keyed = terms.select("term", F.explode(keys).alias("_key"))
+    # only keys that a pattern asks for leave the vocabulary scan
+    return join_small(keyed, pats, "_key").filter(F.expr("term rlike _regex")).select("query_id", "pattern", "term")
+
+
+def wildcard_rank(index: Index, patterns: DataFrame, cut: int = 10, prefixes: bool = True) -> DataFrame:
     """Constant-score wildcard query: a document scores 1 per pattern it
-    matches (through any expansion); top ``cut`` by score, then doc id."""
-    exp = prefix_expansion(index.terms.select("term"), patterns)
+    matches (through any expansion); top ``cut`` by score, then doc id. With
+    ``prefixes`` a pattern is a prefix, otherwise it has its own ``*`` and ``?``."""
+    exp = (prefix_expansion if prefixes else wildcard_expansion)(index.terms.select("term"), patterns)
     hits = (join_small(index.postings.select("doc_id", "term"), exp, "term")
             .select("query_id", "pattern", "doc_id").distinct())
     scored = hits.groupBy("query_id", "doc_id").agg(
@@ -135,6 +174,10 @@ def fuzzy_expansion(terms: DataFrame, qterms: DataFrame, max_edits: int = 2,
     side, so the same deletion neighbourhoods find every candidate; the
     distance of each candidate pair is then computed exactly (a pandas UDF
     over candidate pairs only)."""
+    # a term whose length differs by more than max_edits from every query term's is no
+    # match: such terms (very long ones) are left out before neighbourhoods are made
+    near = {n + d for n in asked_lengths(qterms, "term") for d in range(-max_edits, max_edits + 1)}
+    terms = terms.filter(F.length("term").isin(sorted(near)))
     qv = (qterms.select("query_id", "term").distinct()
           .select("query_id", "term", F.explode(deletion_neighbourhood(F.col("term"), max_edits))
                   .alias("v")))

@@ -1,7 +1,8 @@
 """Positional term vectors and phrase matching.
 
 Positions come from ``posexplode`` of a document's token array, so they are
-computed row-locally (no shuffle). Two-word phrases are matched against a
+computed row-locally; only the grouping by (document, term) is shuffled.
+Two-word phrases are matched against a
 shingle index (analyzer ``shingle2``: adjacent word pairs as terms), built
 once like any other index; a phrase query is then an equi join of the
 query's pairs with that index's postings -- no positional self join and no
@@ -10,7 +11,7 @@ re-tokenising of the corpus per query batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.analysis import shingles, token_array
@@ -73,3 +74,28 @@ def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
           .filter(F.col("term").isNotNull()))
     return (join_small(pair_postings.select("doc_id", "term"), qb, "term").groupBy("query_id", "doc_id")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_phrases")))
+
+
+def phrase_positions(docs: DataFrame, phrases: DataFrame, analyzer: str = "standard",
+                     text_col: str = "contents") -> DataFrame:
+    """R15 for phrases of any length: (phrase_id, doc_id, n_places), how often each
+    phrase (phrase_id, text) occurs as consecutive words of a document.
+
+    Words carry positions. A phrase of n words is n - 1 word pairs (one word is
+    itself); a pair found at a position votes for the place where its phrase would
+    begin, position - offset, and a place with all votes is an occurrence. Pairs are
+    much rarer than words, so the equi join does not meet the frequent words."""
+    def units(words: Column) -> Column:
+        return F.when(F.size(words) > 1, shingles(words)).otherwise(words)
+    asked = (phrases.select("phrase_id", token_array(F.lower("text"), analyzer).alias("_w"))
+             .select("phrase_id", units(F.col("_w")).alias("_u"))
+             .select("phrase_id", F.size("_u").alias("need"), F.posexplode("_u").alias("offset", "unit")))
+    toks = docs.select("doc_id", token_array(F.col(text_col), analyzer).alias("_w"))
+    both = F.concat(F.transform("_w", lambda w, i: F.struct(i.alias("pos"), w.alias("unit"))),
+                    F.transform(shingles(F.col("_w")), lambda w, i: F.struct(i.alias("pos"), w.alias("unit"))))
+    found = toks.select("doc_id", F.explode_outer(both).alias("u")).select("doc_id", "u.pos", "u.unit")
+    votes = join_small(found.filter(F.col("unit").isNotNull()), asked, "unit") \
+        .groupBy("phrase_id", "doc_id", (F.col("pos") - F.col("offset")).alias("place"), "need") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return (votes.filter(F.col("n") == F.col("need")).groupBy("phrase_id", "doc_id")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_places")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.analysis import ENGLISH_STOP_WORDS, token_array
 from quire.operators.index import explode_terms, term_counts
-from quire.operators.vectors import phrase_matches, term_vectors
+from quire.operators.vectors import phrase_matches, phrase_positions, term_vectors
 from quire.plans.registry import register
 from quire.plans.sqlparts import WORD
 from quire.sources.tables import benchmark_queries, documents
@@ -76,9 +76,8 @@ def tok_english(spark, sf_dir):
 
 @register("tok_spanish")
 def tok_spanish(spark, sf_dir):
-    """Spanish light stemming over the vocabulary of the Spanish documents
-    (stop words are a file parameter, none given here)."""
-    d = documents(spark, sf_dir).filter(F.col("lang") == "es")
+    """Spanish stop words and light stemming over all documents."""
+    d = documents(spark, sf_dir)
     return (term_counts(d, "spanish", text_col="contents").groupBy("term")
             .agg(F.sum("tf").cast("bigint").alias("cf")))
 
@@ -127,3 +126,25 @@ def phrase_q(spark, sf_dir):
     from quire.plans.indexes import corpus_index
     shingles = corpus_index(spark, sf_dir, "shingle2")
     return phrase_matches(shingles.postings, benchmark_queries(spark, sf_dir))
+
+
+@register("phrase_long", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM documents),
+q AS (SELECT item_id, regexp_extract_all(lower(text), '{WORD}') AS toks FROM benchmark),
+ph AS (SELECT item_id * 10000 + i AS phrase_id, toks[i + 1 : i + 4] AS w
+       FROM (SELECT item_id, toks, unnest(range(0, len(toks) - 3)) AS i FROM q)),
+f AS (SELECT DISTINCT w[1] || ' ' || w[2] || ' ' || w[3] || ' ' || w[4] AS g FROM ph),
+d AS (SELECT doc_id, toks[i] || ' ' || toks[i + 1] || ' ' || toks[i + 2] || ' ' || toks[i + 3] AS g
+      FROM (SELECT doc_id, toks, unnest(range(1, len(toks) - 2)) AS i FROM t))
+SELECT ph.phrase_id, d.doc_id, count(*)::BIGINT AS n_places
+FROM ph JOIN d ON d.g = ph.w[1] || ' ' || ph.w[2] || ' ' || ph.w[3] || ' ' || ph.w[4]
+GROUP BY ph.phrase_id, d.doc_id""".replace("f AS (SELECT DISTINCT w[1] || ' ' || w[2] || ' ' || w[3] || ' ' || w[4] AS g FROM ph),\n", ""))
+def phrase_long(spark, sf_dir):
+    """Every four consecutive words of each passage as a phrase; how often
+    each document has them."""
+    words = benchmark_queries(spark, sf_dir).select("query_id", token_array(F.lower("text"), "standard").alias("w"))
+    four = (words.select("query_id", F.posexplode(F.when(F.size("w") > 3, F.transform(
+        F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice("w", i, 4), " "))).otherwise(
+        F.array().cast("array<string>"))).alias("i", "text")))
+    phrases = four.select((F.col("query_id") * 10000 + F.col("i")).alias("phrase_id"), "text")
+    return phrase_positions(documents(spark, sf_dir), phrases)

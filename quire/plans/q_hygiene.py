@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from quire.operators.hygiene import (delete_by_key, dedup_exact, dup_groups, java_string_hash,
                                      kept_ids, tfidf, top_terms)
-from quire.operators.index import index_stats
+from quire.operators.index import index_stats, write_index
 from quire.plans.indexes import corpus_index
 from quire.plans.registry import register
 from quire.plans.sqlparts import INDEX_CTES
+from quire.plans.workflows import remove_duplicates
+from quire.session import scratch_path
 from quire.sources.tables import documents, table
 
 
@@ -53,6 +55,21 @@ def dedup_report_q(spark, sf_dir):
     return before.unionByName(after)
 
 
+@register("dedup_copy", f"""
+WITH {INDEX_CTES},
+kept AS (SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(text))
+SELECT 'before' AS stage, (SELECT count(*) FROM documents)::BIGINT AS n_docs,
+       (SELECT count(DISTINCT term) FROM post)::BIGINT AS n_terms
+UNION ALL
+SELECT 'after', (SELECT count(*) FROM kept)::BIGINT,
+       (SELECT count(DISTINCT term) FROM post WHERE doc_id IN (SELECT doc_id FROM kept))::BIGINT""")
+def dedup_copy_q(spark, sf_dir):
+    """Copies removed into a new index; the statistics of both indexes."""
+    path, copy = scratch_path(spark, "index-full"), scratch_path(spark, "index-dedup")
+    write_index(spark, documents(spark, sf_dir), path, contents_stored=True)
+    return remove_duplicates(spark, path, copy)
+
+
 @register("delete_by_key", """
 SELECT doc_id, lang, source FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
@@ -86,6 +103,20 @@ def top_terms_q(spark, sf_dir):
     return top_terms(corpus_index(spark, sf_dir), 5)
 
 
+@register("top_terms_range", f"""
+WITH {INDEX_CTES},
+w AS (
+  SELECT p.doc_id, p.term, p.tf, t.df,
+         round(p.tf * log10(c.n_docs::DOUBLE / t.df), 7) AS tfidf
+  FROM post p JOIN tstat t USING (term) CROSS JOIN corp c WHERE p.doc_id BETWEEN 50 AND 149),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term)::BIGINT AS rank
+      FROM w)
+SELECT doc_id, rank, term, tf, df, tfidf FROM r WHERE rank <= 3""")
+def top_terms_range_q(spark, sf_dir):
+    """The report of an id range (the range is the feature); df is the whole collection's."""
+    return top_terms(corpus_index(spark, sf_dir), 3, 50, 149)
+
+
 @register("java_hash", """
 WITH units AS (
   SELECT doc_id, flatten(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) < 65536 THEN [unicode(c)::BIGINT]

@@ -102,17 +102,56 @@ def wildcard(spark, sf_dir):
     return wildcard_rank(corpus_index(spark, sf_dir), patterns, CUT)
 
 
-@register("fuzzy")
+@register("wildcard_inner", f"""
+WITH {INDEX_CTES},
+{QUERY_CTES},
+pat AS (
+  SELECT DISTINCT query_id, substr(term, 1, 2) || '*' || substr(term, length(term) - 1, 2) AS pattern FROM qt WHERE length(term) >= 5
+  UNION
+  SELECT query_id, substr(term, 1, 1) || '?' || substr(term, 3) FROM qt WHERE length(term) >= 4
+  UNION
+  SELECT query_id, '*' || substr(term, length(term) - 3, 4) FROM qt WHERE length(term) >= 6),
+exp AS (SELECT DISTINCT pat.query_id, pat.pattern, t.term
+        FROM pat JOIN tstat t ON t.term LIKE replace(replace(pat.pattern, '*', '%'), '?', '_')),
+hits AS (SELECT DISTINCT e.query_id, e.pattern, p.doc_id FROM exp e JOIN post p ON p.term = e.term)"""
+          + _top("SELECT query_id, doc_id, count(*)::DOUBLE AS score FROM hits GROUP BY query_id, doc_id"))
+def wildcard_inner(spark, sf_dir):
+    """``*`` inside and at the beginning, ``?`` inside, made of the passage words."""
+    qt = query_terms(benchmark_queries(spark, sf_dir), "standard")
+    t, n = F.col("term"), F.length("term")
+    made = F.array(F.when(n >= 5, F.concat(F.substring(t, 1, 2), F.lit("*"), F.substring(t, n - 1, F.lit(2)))),
+                   F.when(n >= 4, F.concat(F.substring(t, 1, 1), F.lit("?"), F.substring(t, F.lit(3), n))),
+                   F.when(n >= 6, F.concat(F.lit("*"), F.substring(t, n - 3, F.lit(4)))))
+    patterns = qt.select("query_id", F.explode(F.array_compact(made)).alias("pattern"))
+    return wildcard_rank(corpus_index(spark, sf_dir), patterns, CUT, prefixes=False)
+
+
+# The SQL engine's distances count bytes: every letter outside ASCII is first replaced by
+# an ASCII capital of its own (terms are lower case, so capitals are free).
+_ONE_BYTE = "translate({}, 'àáâãäåæçèéêëìíîïñòóôõöøùúûüßœ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ@#$')"
+
+
+def _fuzzy_sql(distance: str, k: int) -> str:
+    q, t = _ONE_BYTE.format("q.term"), _ONE_BYTE.format("t.term")
+    return f"""
+WITH {INDEX_CTES},
+{QUERY_CTES},
+words AS (SELECT DISTINCT term FROM qt),
+near AS (
+  SELECT q.term, t.term AS match, {distance}({q}, {t})::BIGINT AS distance
+  FROM words q JOIN tstat t ON abs(length(q.term) - length(t.term)) <= {k})
+SELECT qt.query_id, qt.term, near.match, near.distance FROM qt JOIN near USING (term) WHERE distance <= {k}"""
+
+
+@register("fuzzy", _fuzzy_sql("levenshtein", 2))
 def fuzzy(spark, sf_dir):
     """Every passage word expanded to the vocabulary terms within edit
-    distance 2 (exact, uncapped). Distances are over characters; the SQL
-    engine at hand measures bytes, so this one is checked against a brute
-    force on fixtures (tests) rather than by SQL."""
+    distance 2 (exact, uncapped), over characters."""
     qt = query_terms(benchmark_queries(spark, sf_dir), "standard")
     return fuzzy_expansion(corpus_index(spark, sf_dir).terms, qt, 2)
 
 
-@register("fuzzy_transpositions")
+@register("fuzzy_transpositions", _fuzzy_sql("damerau_levenshtein", 1))
 def fuzzy_transpositions(spark, sf_dir):
     """R17 with adjacent swaps counted as one edit (optimal string alignment),
     distance 1."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators.index import index_stats, index_update, write_index
+from quire.operators.index import index_stats, index_update, open_index, write_index
 from quire.operators.tuning import id_ranges, test_report, tune
 from quire.operators.upsert import upsert
 from quire.plans.indexes import corpus_index, corpus_qrels
@@ -165,6 +165,16 @@ def filter_ext_not_in(spark, sf_dir):
     return filter_paths(_url_paths(spark, sf_dir), not_ext=["html"]).select("page_id", "rel_path", "ext")
 
 
+@register("filter_ext_both", _URL_PATH_SQL + """
+SELECT 'only' AS prefer, page_id, rel_path, ext FROM p WHERE ext IN ('html', 'php')
+UNION ALL SELECT 'not', page_id, rel_path, ext FROM p WHERE ext NOT IN ('html', 'txt')""")
+def filter_ext_both(spark, sf_dir):
+    """Both extension lists given; the explicit choice says which one applies."""
+    both = [filter_paths(_url_paths(spark, sf_dir), only_ext=["html", "php"], not_ext=["html", "txt"], prefer=which)
+            .select(F.lit(which).alias("prefer"), "page_id", "rel_path", "ext") for which in ("only", "not")]
+    return both[0].unionByName(both[1])
+
+
 @register("scan_depth", _URL_PATH_SQL + """
 SELECT subfolder, count(*)::BIGINT AS n FROM p WHERE subfolder IS NOT NULL AND depth - 1 <= 1
 GROUP BY subfolder""")
@@ -283,6 +293,15 @@ def index_update_q(spark, sf_dir):
     return index_update(spark, new, path).terms.select("term", "df", "cf")
 
 
+@register("stored_contents", """
+SELECT doc_id, text AS contents, lang, source FROM documents""")
+def stored_contents_q(spark, sf_dir):
+    """A10: contents and fields kept in the index, read back from an opened one."""
+    path = scratch_path(spark, "index-stored")
+    write_index(spark, documents(spark, sf_dir), path, stored=("lang", "source"), contents_stored=True)
+    return open_index(spark, path).docs.select("doc_id", "contents", "lang", "source")
+
+
 @register("upsert_stream", """
 WITH upd AS (
   SELECT conv_id AS doc_id, arg_max(text, turn) AS contents FROM conversations GROUP BY conv_id),

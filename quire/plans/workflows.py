@@ -28,7 +28,7 @@ from quire.operators.ranking import page, rank, select_queries
 from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
 from quire.operators.tuning import best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
-from quire.sources.collection import read_collection, read_qrels, read_run_csv, read_stopwords
+from quire.sources.collection import ordered_ids, read_collection, read_qrels, read_run_csv, read_stopwords
 from quire.sources.files import scan_files
 from quire.sources.sinks import write_report_csv, write_test_csv
 
@@ -97,13 +97,15 @@ def compare(spark: SparkSession, run_a_path: str, run_b_path: str, test: str = "
 
 def index_files(spark: SparkSession, root: str, index_path: str, by_subfolder: bool = True,
                 max_depth: int = -1, only_ext=None, not_ext=None, prefer: str | None = None,
-                content_lines: int = 0, contents_stored: bool = False) -> Index:
-    """Index a directory tree: path, metadata and the list-form contents."""
+                content_lines: int = 0, contents_stored: bool = False, with_hash: bool = False) -> Index:
+    """Index a directory tree: path, metadata and the list-form contents. Ids are
+    1, 2, ... in path order. ``with_hash`` adds the Java string hash of the
+    contents (a Python function over every text)."""
     files = scan_files(spark, root, by_subfolder, max_depth, only_ext, not_ext, prefer,
-                       content_lines=content_lines, with_hash=True)
-    docs = files.withColumn("doc_id", F.xxhash64("path"))
+                       content_lines=content_lines, with_hash=with_hash)
+    docs = ordered_ids(files, "path", "doc_id")
     stored = ("path", "rel_path", "subfolder", "size_kb", "modified_ms", "last_modified",
-              "last_modified_sortable", "contents_hash")
+              "last_modified_sortable", *(["contents_hash"] if with_hash else []))
     return write_index(spark, docs, index_path, "create", "standard", text_col="contents",
                        stored=stored, contents_stored=contents_stored)
 

@@ -16,10 +16,11 @@ size of the file, and where the last separator is missing the last record goes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators.joins import broadcast_if_small
+from quire.session import materialize
 
 _INT = r"^[+-]?[0-9]+$"
 
@@ -98,7 +99,6 @@ def consecutive_ids(df: DataFrame, out_col: str) -> DataFrame:
     """Number rows 1..n in (file, block, seq) order without moving them to one
     task: per-block counts (one row per input split) give every split its
     offset, which is broadcast back; rows are ranked inside their split."""
-    from pyspark.sql import Window
     counts = df.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("file", "block", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
@@ -111,6 +111,22 @@ def consecutive_ids(df: DataFrame, out_col: str) -> DataFrame:
             .drop("_off", "_r"))
 
 
+def ordered_ids(df: DataFrame, by: str, out_col: str) -> DataFrame:
+    """Number rows 1..n in the order of a column, without one task for all: ranges
+    of the column are written once, each row with its range and its place in it,
+    and counts per range (one row each) give the offsets."""
+    ranged = (df.repartitionByRange(by).sortWithinPartitions(by)
+              .withColumn("_mono", F.monotonically_increasing_id()))
+    # the id is made of the partition (high bits) and the row's place in it
+    placed = materialize(ranged.withColumn("_part", F.shiftright("_mono", 33))
+                         .withColumn("_place", F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))).drop("_mono"), "ordered")
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    return (placed.join(broadcast_if_small(offsets, 200_000), "_part")
+            .withColumn(out_col, F.col("_off") + F.col("_place") + 1).drop("_part", "_place", "_off"))
+
+
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """One word per line, trimmed, blank lines ignored -> (word)."""
     return (spark.read.text(path).select(F.trim("value").alias("word"))

@@ -62,3 +62,12 @@ def test_term_vector_offsets(spark):
            for r in term_vectors(df, offsets=True).collect()}
     assert got == {"héllo": (1, [0], [0], [5]), "wörld": (1, [1], [7], [12]),
                    "hello": (1, [2], [14], [19])}
+
+
+def test_spanish_stop_words_by_default(spark):
+    from quire.functions.analysis import SPANISH_STOP_WORDS, token_array
+    from pyspark.sql import functions as F
+    assert {"de", "también", "estuviéramos", "habríais", "fuésemos", "tenidas", "tuvieron", "eres"} <= set(SPANISH_STOP_WORDS)
+    df = spark.createDataFrame([("Los niños estuvieron en la casa también",)], "t string")
+    assert df.select(token_array(F.col("t"), "spanish")).first()[0] == ["niños", "casa"]
+    assert df.select(token_array(F.col("t"), "spanish", ("casa",))).first()[0][:2] == ["los", "niños"]

@@ -139,3 +139,47 @@ def test_english_analyzer_end_to_end(spark):
     got = {(r["query_id"], r["doc_id"]) for r in rank(idx, q, "bm25", None, 10).collect()}
     # run/runs/running share the stem "run"; library/libraries share "librari"; "the" is a stop word
     assert got == {(1, 1), (1, 3), (2, 2), (2, 3)}
+
+
+def _wild(pattern, term):
+    """Glob matching by recursion."""
+    if not pattern:
+        return not term
+    if pattern[0] == "*":
+        return any(_wild(pattern[1:], term[i:]) for i in range(len(term) + 1))
+    return bool(term) and pattern[0] in ("?", term[0]) and _wild(pattern[1:], term[1:])
+
+
+def test_wildcards_anywhere(spark):
+    from quire.operators.structured import prefix_expansion, wildcard_expansion
+    words = ["a", "ab", "abc", "abd", "axbyc", "bca", "cab", "é", "añc", "a.c", "a+b", "x" * 500, "[z]", "z\\d"]
+    pats = ["a*", "*c", "a?c", "*b*", "?", "??", "*", "a*b*c", "a.c", "a+*", "[*", "zz*", "*x", "a**c", "z\\?", "é"]
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    asked = spark.createDataFrame([(i, p) for i, p in enumerate(pats)], "query_id int, pattern string")
+    got = {(r.pattern, r.term) for r in wildcard_expansion(terms, asked).collect()}
+    assert got == {(p, w) for p in pats for w in words if _wild(p, w)}
+    plain = spark.createDataFrame([(0, "a"), (0, "ab"), (1, "zz"), (1, "x")], "query_id int, pattern string")
+    got = {(r.pattern, r.term) for r in prefix_expansion(terms, plain).collect()}
+    assert got == {(p, w) for p in ("a", "ab", "zz", "x") for w in words if w.startswith(p)}
+
+
+def test_phrases_of_any_length(spark):
+    from quire.operators.vectors import phrase_positions
+    docs = spark.createDataFrame([(1, "to be or not to be"), (2, "be to be"), (3, "not"), (4, None), (5, "a a a a")], "doc_id long, contents string")
+    phrases = ["to be", "be", "to be or not to be", "or to", "a a", "a a a", "", "not to be or"]
+    asked = spark.createDataFrame(list(enumerate(phrases)), "phrase_id int, text string")
+    got = {(r.phrase_id, r.doc_id): r.n_places for r in phrase_positions(docs, asked).collect()}
+    want = {}
+    for i, p in enumerate(phrases):
+        for d in docs.collect():
+            w, t = p.split(), (d.contents or "").split()
+            n = sum(t[j:j + len(w)] == w for j in range(len(t) - len(w) + 1)) if w else 0
+            if n:
+                want[(i, d.doc_id)] = n
+    assert got == want
+
+
+def test_fuzzy_leaves_out_long_terms_before_neighbourhoods(spark):
+    terms = spark.createDataFrame([("x" * 5000,), ("fox",), ("foxes",), ("f",)], "term string")
+    q = spark.createDataFrame([(1, "fox")], "query_id int, term string")
+    assert {r.match for r in fuzzy_expansion(terms, q, 2).collect()} == {"fox", "foxes", "f"}
