@@ -19,6 +19,11 @@ segments, each with the tables of document ids deleted from it since. Creating
 starts a new list of segments, appending adds one, updating adds one and deletes
 its keys from the others; nothing that a version names is ever written again.
 
+Postings are bucketed by ``doc_id`` (files of one hash partition each, declared to
+Spark as an external table over the segment's folder). A scan is thereby partitioned
+by document, and what ranking groups by (query, document) needs no exchange: only the
+best few rows per task and query are shuffled.
+
 Tokenisation happens exactly once per build: postings are written first and
 every statistic is derived from the written table, never from the lazy
 tokenisation (which Catalyst would otherwise re-run per consumer).
@@ -54,17 +59,16 @@ class Index:
 
 # ---------------------------------------------------------------- analysis
 
-def cluster_by_doc(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def cluster_by_doc(df: DataFrame, id_col: str = "doc_id", buckets: int | None = None) -> DataFrame:
     """Hash-partition the input texts by document id before tokenising.
 
     The (doc_id, dl, term) aggregate is then satisfied by this partitioning
     (no second exchange), so the index build shuffles the raw text once --
     smaller than the postings it produces -- and every postings file holds
-    whole documents. Ranking relies on that: the map-side partial aggregate
-    by (query_id, doc_id) then collapses each group completely before its
-    shuffle. It also decouples tokenising parallelism from the input files.
+    one bucket of whole documents. It also decouples tokenising parallelism
+    from the input files.
     """
-    return df.repartition(id_col)
+    return df.repartition(buckets, id_col) if buckets else df.repartition(id_col)
 
 
 def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
@@ -154,8 +158,37 @@ def build_index(spark: SparkSession, docs: DataFrame, analyzer: str = "standard"
         stops = f"stop_words/{_name()}"
         stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
         stop_words = spark.read.parquet(f"{path}/{stops}")
-    segment = _write_segment(docs, path, analyzer, text_col, stored, contents_stored, stop_words)
-    return _commit(spark, path, analyzer, stops, [{"name": segment, "deleted": []}], latest_version(spark, path))
+    segment = _write_segment(docs, path, analyzer, text_col, stored, contents_stored, stop_words, _buckets(spark))
+    return _commit(spark, path, analyzer, stops, [segment], latest_version(spark, path))
+
+
+CONF_BUCKETS = "quire.index.buckets"
+
+
+def _buckets(spark: SparkSession) -> int:
+    """Number of buckets of a new index: a setting, else the shuffle partitions."""
+    return int(spark.conf.get(CONF_BUCKETS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _write_postings(postings: DataFrame, path: str, segment: str, buckets: int) -> dict:
+    """Postings, partitioned by doc_id, as the bucketed table of a segment."""
+    (postings.write.format("parquet").option("path", f"{path}/{segment}/postings")
+     .bucketBy(buckets, "doc_id").saveAsTable(_table(segment)))
+    return {"name": segment, "deleted": [], "buckets": buckets,
+            "schema": ", ".join(f"`{c}` {t}" for c, t in postings.dtypes)}
+
+
+def _table(segment: str) -> str:
+    return "quire_" + segment.rsplit("/", 1)[-1]
+
+
+def _postings(spark: SparkSession, path: str, s: dict) -> DataFrame:
+    """The postings of a segment; declares its table to a session that has not seen it."""
+    if not spark.catalog.tableExists(_table(s["name"])):
+        at = f"{path}/{s['name']}/postings".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_table(s['name'])} ({s['schema']}) USING parquet "
+                  f"CLUSTERED BY (doc_id) INTO {s['buckets']} BUCKETS LOCATION '{at}'")
+    return spark.table(_table(s["name"]))
 
 
 def _name() -> str:
@@ -163,28 +196,28 @@ def _name() -> str:
 
 
 def _write_segment(docs: DataFrame, path: str, analyzer: str, text_col: str, stored: tuple[str, ...],
-                   contents_stored: bool, stop_words: DataFrame | None) -> str:
+                   contents_stored: bool, stop_words: DataFrame | None, buckets: int) -> dict:
     """Postings and stored fields of documents as a new segment."""
     segment = f"segments/{_name()}"
-    postings = term_counts(cluster_by_doc(docs), analyzer, "doc_id", text_col, stop_words)
-    # written in aggregation order: files hold whole documents, so doc_id and
-    # dl compress to runs (measured smaller and faster than sorting by term)
-    postings.write.parquet(f"{path}/{segment}/postings")
+    postings = term_counts(cluster_by_doc(docs, buckets=buckets), analyzer, "doc_id", text_col, stop_words)
+    # files hold whole documents, so doc_id and dl compress to runs (measured smaller
+    # and faster than sorting by term)
+    written = _write_postings(postings, path, segment, buckets)
     keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
     docs.select(*keep).write.parquet(f"{path}/{segment}/docs")
-    return segment
+    return written
 
 
 def _segments(spark: SparkSession, path: str, segments: list[dict], table: str) -> DataFrame:
-    """The rows of all segments without those deleted from them. Segments from
-    which nothing was deleted are one scan; deleted ids are size-checked."""
-    whole = [s for s in segments if not s["deleted"]]
-    parts = [spark.read.parquet(*[f"{path}/{s['name']}/{table}" for s in whole])] if whole else []
+    """The rows of all segments without those deleted from them; deleted ids are
+    size-checked."""
+    parts = []
     for s in segments:
+        rows = _postings(spark, path, s) if table == "postings" else spark.read.parquet(f"{path}/{s['name']}/docs")
         if s["deleted"]:
             gone = spark.read.parquet(*[f"{path}/{d}" for d in s["deleted"]])
-            parts.append(spark.read.parquet(f"{path}/{s['name']}/{table}")
-                         .join(broadcast_if_small(gone), "doc_id", "left_anti"))
+            rows = rows.join(broadcast_if_small(gone), "doc_id", "left_anti")
+        parts.append(rows)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -271,8 +304,9 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
         raise ValueError("append uses the stop words of the index")
     old = open_index(spark, path, analyzer)
     m = _manifest(spark, path, version)
-    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words)
-    return _commit(spark, path, old.analyzer, m["stop_words"], [*m["segments"], {"name": segment, "deleted": []}], version)
+    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words,
+                             m["segments"][0]["buckets"])
+    return _commit(spark, path, old.analyzer, m["stop_words"], [*m["segments"], segment], version)
 
 
 def index_update(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "contents",
@@ -286,9 +320,10 @@ def index_update(spark: SparkSession, docs: DataFrame, path: str, text_col: str
     m = _manifest(spark, path, version)
     gone = f"deleted/{_name()}"
     docs.select("doc_id").distinct().write.parquet(f"{path}/{gone}")
-    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words)
-    kept = [{"name": s["name"], "deleted": [*s["deleted"], gone]} for s in m["segments"]]
-    return _commit(spark, path, old.analyzer, m["stop_words"], [*kept, {"name": segment, "deleted": []}], version)
+    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words,
+                             m["segments"][0]["buckets"])
+    kept = [{**s, "deleted": [*s["deleted"], gone]} for s in m["segments"]]
+    return _commit(spark, path, old.analyzer, m["stop_words"], [*kept, segment], version)
 
 
 def index_from_postings(spark: SparkSession, postings: DataFrame, docs: DataFrame,
@@ -298,9 +333,10 @@ def index_from_postings(spark: SparkSession, postings: DataFrame, docs: DataFram
     if stop_words is not None:
         stops = f"stop_words/{_name()}"
         stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
-    postings.write.parquet(f"{path}/{segment}/postings")
+    n = _buckets(spark)
+    written = _write_postings(postings.repartition(n, "doc_id"), path, segment, n)
     docs.write.parquet(f"{path}/{segment}/docs")
-    return _commit(spark, path, analyzer, stops, [{"name": segment, "deleted": []}], latest_version(spark, path))
+    return _commit(spark, path, analyzer, stops, [written], latest_version(spark, path))
 
 
 def index_stats(index: Index) -> DataFrame:

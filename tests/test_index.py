@@ -109,3 +109,21 @@ def test_repeated_update_keys(spark):
         got = sorted((r.k, r.v) for r in upsert(old, new, "k", order).collect())
         assert got == [(1, "c"), (2, "z"), (3, "d")]
     assert latest_per_key(new, "k").count() == 2
+
+
+def test_ranking_groups_without_an_exchange(spark, tmp_dir):
+    """Between the postings scan and the partial top-k nothing is shuffled; also in a
+    session that has to declare the table itself."""
+    p = f"{tmp_dir}/i"
+    idx = write_index(spark, docs(spark, [(i, f"red fox {i % 7} dog") for i in range(50)]), p)
+    q = spark.createDataFrame([(1, "red 3"), (2, "dog 5")], "query_id long, text string")
+    other = spark.newSession()
+    name = next(t.name for t in other.catalog.listTables() if t.name.startswith("quire_"))
+    assert name
+    for index in (idx, open_index(spark, p)):
+        run = rank(index, q, "bm25", None, 3)
+        assert {(r.query_id, r.rk, r.doc_id) for r in run.collect()} >= {(1, 1, 3), (2, 1, 5)}
+        plan = run._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("FileScan")]
+        shuffles = [x for x in above.splitlines() if "Exchange hashpartitioning" in x]
+        assert all("query_id" in x and "doc_id" not in x for x in shuffles), plan
