@@ -105,26 +105,24 @@ def corpus_scalars(index: Index) -> tuple[Column, Column, Column]:
             c.select("avgdl").scalar())
 
 
-def weight(model: str, param: float, tf: Column, dl: Column, df: Column, cf: Column,
+def weight(model: str, param: float | Column, tf: Column, dl: Column, df: Column, cf: Column,
            n_tokens: Column, n_docs: Column, avgdl: Column, k1: float = BM25_K1,
            b: float = BM25_B) -> Column:
     """Per-posting weight of one model with a *literal* parameter, so Catalyst
     folds the constants and no branch on the parameter is evaluated per row.
     Edge values are decided here, not per row: lambda = 0 is the boolean model
-    (tuning grids only), mu = 0 scores 0."""
+    (tuning grids only), mu = 0 scores 0. A parameter that is only known when the
+    job runs (a scalar subquery) decides them in the expression."""
+    if isinstance(param, Column):
+        at_zero = weight(model, 0.0, tf, dl, df, cf, n_tokens, n_docs, avgdl, k1, b)
+        return F.when(param == 0.0, at_zero).otherwise(_smoothed(model, param, tf, dl, cf, n_tokens))
     tf_d, dl_d = tf.cast("double"), dl.cast("double")
-    p = (cf.cast("double") + F.lit(1.0)) / (n_tokens.cast("double") + F.lit(1.0))
     if model == "boolean" or (model == "jm" and param == 0.0):
         return F.lit(1.0)
-    if model == "jm":
-        lam = F.lit(float(param))
-        return F.log(F.lit(1.0) + ((F.lit(1.0) - lam) * tf_d / dl_d) / (lam * p))
-    if model == "dirichlet":
-        if param == 0.0:
-            return F.lit(0.0)
-        mu = F.lit(float(param))
-        return F.greatest(F.lit(0.0),
-                          F.log(F.lit(1.0) + tf_d / (mu * p)) + F.log(mu / (dl_d + mu)))
+    if model == "dirichlet" and param == 0.0:
+        return F.lit(0.0)
+    if model in ("jm", "dirichlet"):
+        return _smoothed(model, F.lit(float(param)), tf, dl, cf, n_tokens)
     if model == "bm25":
         df_d = df.cast("double")
         idf = F.log(F.lit(1.0) + (n_docs.cast("double") - df_d + F.lit(0.5)) / (df_d + F.lit(0.5)))
@@ -132,12 +130,22 @@ def weight(model: str, param: float, tf: Column, dl: Column, df: Column, cf: Col
     raise ValueError(f"unknown model {model!r}; choose from {MODELS}")
 
 
+def _smoothed(model: str, param: Column, tf: Column, dl: Column, cf: Column, n_tokens: Column) -> Column:
+    """Language-model weight for a parameter other than 0."""
+    tf_d, dl_d = tf.cast("double"), dl.cast("double")
+    p = (cf.cast("double") + F.lit(1.0)) / (n_tokens.cast("double") + F.lit(1.0))
+    if model == "jm":
+        return F.log(F.lit(1.0) + ((F.lit(1.0) - param) * tf_d / dl_d) / (param * p))
+    return F.greatest(F.lit(0.0),
+                      F.log(F.lit(1.0) + tf_d / (param * p)) + F.log(param / (dl_d + param)))
+
+
 def _specs(model, params) -> list[tuple[str, float]]:
     """(model, param) pairs: ``model`` with a list of values, or model=None
     and ``params`` already a list of (model, value) pairs."""
     if model is None:
         return [(m, float(v)) for m, v in params]
-    return [(model, float(v)) for v in params]
+    return [(model, v if isinstance(v, Column) else float(v)) for v in params]
 
 
 def score(index: Index, qterms: DataFrame, model: str | None, params, k1: float = BM25_K1,

@@ -1,14 +1,16 @@
 """Parameter tuning on training queries, report on test queries.
 
-One job scores every training query for every grid value (the grid is a
-column joined after the features, so the postings scan is shared); the
-training matrix, the best parameter and the test report are aggregates of the
-resulting metrics table. The best parameter stays a one-row DataFrame that the
-test job reads as a scalar subquery -- nothing is collected to the driver.
+One job scores every training query for every grid value (one weight column
+per value, so the postings scan is shared); the training matrix and the best
+parameter are aggregates of the resulting metrics table. The best parameter
+stays a one-row DataFrame that the test job reads as a scalar subquery --
+nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,17 +46,28 @@ def in_range(queries: DataFrame, ranges: DataFrame, which: str) -> DataFrame:
     return queries.filter(within(ranges, which))
 
 
+def grid_metrics(index: Index, queries: DataFrame, qrels: DataFrame, models=("jm",),
+                 cut: int = 10, grids: dict | None = None) -> DataFrame:
+    """(model, param, query_id, n_hits, p, ap, recall, rr) for every query and every
+    grid value of every model, from ONE scoring pass (see ``ranking.score``)."""
+    for mdl in models:
+        if mdl not in GRIDS:
+            raise ValueError("tuning model must be jm or dirichlet (not both)")
+    specs = [(mdl, float(v)) for mdl in models for v in (grids or GRIDS)[mdl]]
+    runs = rank_grid(index, queries, None, specs, cut)
+    return metrics(runs, qrels, queries, keys=("model", "param"), key_values=specs)
+
+
+def metric_values(table: DataFrame, metric: str) -> DataFrame:
+    """One metric of a grid table: (model, param, query_id, value)."""
+    return table.select("model", "param", "query_id", F.col(METRIC_COLUMN[metric]).alias("value"))
+
+
 def training_metrics(index: Index, train: DataFrame, qrels: DataFrame, model: str,
                      metric: str = "P", cut: int = 10, grid=None) -> DataFrame:
     """(model, param, query_id, value) for every grid value and training query."""
-    if model not in GRIDS:
-        raise ValueError("tuning model must be jm or dirichlet (not both)")
-    col = METRIC_COLUMN[metric]
-    params = list(grid or GRIDS[model])
-    runs = rank_grid(index, train, model, params, cut)
-    m = metrics(runs, qrels, train, keys=("model", "param"),
-                key_values=[(model, p) for p in params])
-    return m.select("model", "param", "query_id", F.col(col).alias("value"))
+    grids = {model: tuple(grid)} if grid else None
+    return metric_values(grid_metrics(index, train, qrels, (model,), cut, grids), metric)
 
 
 def tuning_matrix(train_m: DataFrame, model: str, grid=None) -> DataFrame:
@@ -70,39 +83,22 @@ def tuning_matrix(train_m: DataFrame, model: str, grid=None) -> DataFrame:
     return wide.unionByName(avg.withColumn("query", F.lit("avg")))
 
 
-def grid_metrics(index: Index, queries: DataFrame, qrels: DataFrame, models=("jm",),
-                 metric: str = "P", cut: int = 10, grids: dict | None = None) -> DataFrame:
-    """(model, param, query_id, value) for every query of ``queries`` and every
-    grid value of every model, from ONE scoring pass (see ``ranking.score``).
-    A query's scores do not depend on the other queries, so training and test
-    queries can share the pass and be told apart afterwards."""
-    for mdl in models:
-        if mdl not in GRIDS:
-            raise ValueError("tuning model must be jm or dirichlet")
-    col = METRIC_COLUMN[metric]
-    specs = [(mdl, float(v)) for mdl in models for v in (grids or GRIDS)[mdl]]
-    runs = rank_grid(index, queries, None, specs, cut)
-    m = metrics(runs, qrels, queries, keys=("model", "param"), key_values=specs)
-    return m.select("model", "param", "query_id", F.col(col).alias("value"))
-
-
 def tune(index: Index, queries: DataFrame, qrels: DataFrame, ranges: DataFrame,
-         models=("jm",), metric: str = "P", cut: int = 10):
-    """H1-H5 in one scoring pass: (training metrics, best parameter per model,
-    test metrics with the best parameter). The three are views of one metrics
-    table; the best value stays in Spark (semi join, nothing collected)."""
-    # in either range: they may come in any order, be apart or overlap
-    sel = queries.filter(within(ranges, "train") | within(ranges, "test"))
-    # a small table (queries x grid): written once to the shared folder so the
-    # training and test views below read it instead of re-scoring
-    allm = materialize(grid_metrics(index, sel, qrels, models, metric, cut), "grid-metrics")
-    train_m = in_range(allm, ranges, "train")
+         models=("jm",), metric: str = "P", cut: int = 10, trained: DataFrame | None = None):
+    """H1-H5: (training metrics, best parameter per model, test metrics with the
+    best parameter). Training queries are scored for the whole grid in one pass,
+    and the small table of their metrics is written once (or given as
+    ``trained``); test queries are scored for the best value only, which stays in
+    Spark as a scalar subquery. The ranges may come in any order, be apart or
+    overlap."""
+    if trained is None:
+        trained = materialize(grid_metrics(index, in_range(queries, ranges, "train"), qrels, models, cut), "grid-metrics")
+    train_m = metric_values(trained.filter(F.col("model").isin(*models)), metric)
     best = best_param(train_m)
-    test_m = (in_range(allm, ranges, "test")
-              .join(F.broadcast(best.select("model", F.col("best_param").alias("param"))),
-                    ["model", "param"], "left_semi")
-              .select("model", "query_id", "value", F.col("param").alias("best_param")))
-    return train_m, best, test_m
+    test = in_range(queries, ranges, "test")
+    tested = [test_metrics(index, test, qrels, best, m, metric, cut)
+              .select(F.lit(m).alias("model"), "query_id", "value", "best_param") for m in models]
+    return train_m, best, reduce(lambda a, b: a.unionByName(b), tested)
 
 
 def best_param(train_m: DataFrame) -> DataFrame:
@@ -118,18 +114,15 @@ def best_param(train_m: DataFrame) -> DataFrame:
 
 
 def test_metrics(index: Index, test: DataFrame, qrels: DataFrame, best: DataFrame,
-                 model: str, metric: str = "P", cut: int = 10, grid=None) -> DataFrame:
-    """H5: (query_id, value, best_param) of the test queries with the best
-    parameter. The best value is not collected: the test queries are scored
-    for the whole grid in one pass (the same shuffle as a single value, a few
-    more sums) and the run is semi-joined with the one-row ``best`` table."""
+                 model: str, metric: str = "P", cut: int = 10) -> DataFrame:
+    """H5: (query_id, value, best_param) of the test queries, scored for the best
+    parameter alone. The value is not collected: it enters the weight as a scalar
+    subquery of the one-row table. No training query, no best value: no rows."""
     col = METRIC_COLUMN[metric]
     g = best.filter(F.col("model") == model).select(
         "model", F.col("best_param").alias("param"))          # one row
-    params = list(grid or GRIDS[model])
-    runs = rank_grid(index, test, model, params, cut).filter(
-        F.col("param") == g.select("param").scalar())
-    m = metrics(runs, qrels, test, keys=("model", "param"), key_values=g)
+    runs = rank_grid(index, test, model, [g.select("param").scalar()], cut)
+    m = metrics(runs, qrels, test, keys=("model", "param"), key_values=g).filter(F.col("param").isNotNull())
     return m.select("query_id", F.col(col).alias("value"), F.col("param").alias("best_param"))
 
 

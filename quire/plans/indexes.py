@@ -72,6 +72,33 @@ def corpus_qrels(spark: SparkSession, sf_dir: str, min_share: float = 0.4):
     return spark.read.parquet(path)
 
 
+def corpus_training(spark: SparkSession, sf_dir: str, model: str, cut: int = 10):
+    """Metrics of the training queries for a model's whole grid, written once per
+    index like its judgements: every tuning and comparison job starts from them."""
+    from quire.operators.tuning import grid_metrics, id_ranges, in_range
+    from quire.sources.tables import benchmark_queries
+
+    key = _key(spark, sf_dir, f"training-{model}-{cut}")
+    path = f"{work_dir(spark)}/training-{hashlib.sha1('|'.join(key).encode()).hexdigest()[:16]}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        q = benchmark_queries(spark, sf_dir)
+        grid_metrics(corpus_index(spark, sf_dir), in_range(q, id_ranges(q), "train"), corpus_qrels(spark, sf_dir),
+                     (model,), cut).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def corpus_tune(spark: SparkSession, sf_dir: str, models, metric: str, cut: int = 10):
+    """``tune`` of the benchmark queries from the stored training metrics."""
+    from functools import reduce
+
+    from quire.operators.tuning import id_ranges, tune
+    from quire.sources.tables import benchmark_queries
+
+    q = benchmark_queries(spark, sf_dir)
+    trained = reduce(lambda a, b: a.unionByName(b), [corpus_training(spark, sf_dir, m, cut) for m in models])
+    return tune(corpus_index(spark, sf_dir), q, corpus_qrels(spark, sf_dir), id_ranges(q), models, metric, cut, trained)
+
+
 def field_index(spark: SparkSession, sf_dir: str, table_name: str, id_col: str, field,
                 field_name: str, analyzer: str = "standard") -> Index:
     """A persisted index of one field (a column expression) of a table, built

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from quire.operators.significance import (checked_pairs, paired_runs, t_statistic, t_test,
                                           wilcoxon_statistic, wilcoxon_test)
-from quire.operators.tuning import id_ranges, tune
-from quire.plans.indexes import corpus_index, corpus_qrels
+from quire.plans.indexes import corpus_tune
 from quire.plans.registry import register
 from quire.plans.sqlparts import (FEAT_CTE, INDEX_CTES, QUERY_CTES, qrels_cte,
                                   tuning_ctes)
-from quire.sources.tables import benchmark_queries
 
 CUT = 10
 METRIC = "MAP"
@@ -21,11 +19,7 @@ METRIC = "MAP"
 def tuned_test_runs(spark, sf_dir, metric=METRIC):
     """(run_id, metric, query_id, value): the test-query values of both tuned
     models -- the two 'test CSVs' of the replaced workflow, as one table."""
-    idx = corpus_index(spark, sf_dir)
-    q = benchmark_queries(spark, sf_dir)
-    # both models, all grid values, training and test queries: one scoring pass
-    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q),
-                        ("jm", "dirichlet"), metric, CUT)
+    _, _, test_m = corpus_tune(spark, sf_dir, ("jm", "dirichlet"), metric, CUT)
     return test_m.select(F.col("model").alias("run_id"), F.lit(metric).alias("metric"),
                          "query_id", "value")
 

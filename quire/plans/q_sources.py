@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators.index import index_stats, index_update, open_index, write_index
-from quire.operators.tuning import id_ranges, test_report, tune
+from quire.operators.tuning import test_report
 from quire.operators.upsert import upsert
-from quire.plans.indexes import corpus_index, corpus_qrels
+from quire.plans.indexes import corpus_index, corpus_tune
 from quire.plans.registry import register
 from quire.plans.sqlparts import INDEX_CTES, WORD, qrels_cte, tuning_sql
 from quire.session import scratch_path
@@ -90,9 +90,7 @@ SELECT 'jm.test.csv' AS run_id, 'P@10' AS metric, query_id, value FROM test"""))
 def read_run_csv_q(spark, sf_dir):
     """The tuned test report written in the per-query CSV layout and
     read back (header, value= and avg lines skipped)."""
-    idx = corpus_index(spark, sf_dir)
-    q = benchmark_queries(spark, sf_dir)
-    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q), ("jm",), "P", 10)
+    _, _, test_m = corpus_tune(spark, sf_dir, ("jm",), "P", 10)
     rep = test_report(test_m.select("query_id", "value", "best_param"))
     path = write_test_csv(rep, scratch_path(spark, "testcsv"), "P@10")
     return read_run_csv(spark, path, run_id="jm.test.csv", metric="P@10")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators.tuning import (GRIDS, best_param, id_ranges, in_range, param_label,
-                                    test_report, training_metrics, tune, tuning_matrix)
-from quire.plans.indexes import corpus_index, corpus_qrels
+from quire.operators.tuning import (GRIDS, best_param, id_ranges, in_range, metric_values, param_label, test_report,
+                                    tuning_matrix)
+from quire.plans.indexes import corpus_training, corpus_tune
 from quire.plans.registry import register
 from quire.plans.sqlparts import GRID_SQL, tuning_sql
 from quire.sources.tables import benchmark_queries
@@ -15,26 +15,21 @@ CUT = 10
 
 
 def _train(spark, sf_dir, model, metric):
-    idx = corpus_index(spark, sf_dir)
-    q = benchmark_queries(spark, sf_dir)
-    qrels = corpus_qrels(spark, sf_dir)
-    ranges = id_ranges(q)
-    train = in_range(q, ranges, "train")
-    return idx, q, qrels, ranges, training_metrics(idx, train, qrels, model, metric, CUT)
+    return metric_values(corpus_training(spark, sf_dir, model, CUT), metric)
 
 
 @register("tune_jm", tuning_sql("jm", "P", """
 SELECT 'jm' AS model, param, query_id, value FROM mv WHERE split = 'train'"""))
 def tune_jm(spark, sf_dir):
     """H1: P@10 of every training query for lambda 0.0 (boolean), 0.1 .. 1.0."""
-    return _train(spark, sf_dir, "jm", "P")[-1]
+    return _train(spark, sf_dir, "jm", "P")
 
 
 @register("tune_dirichlet", tuning_sql("dirichlet", "MAP", """
 SELECT 'dirichlet' AS model, param, query_id, value FROM mv WHERE split = 'train'"""))
 def tune_dirichlet(spark, sf_dir):
     """H2: AP@10 of every training query for mu in 0 .. 4000 (11 values)."""
-    return _train(spark, sf_dir, "dirichlet", "MAP")[-1]
+    return _train(spark, sf_dir, "dirichlet", "MAP")
 
 
 def _matrix_sql(model, metric):
@@ -56,20 +51,18 @@ SELECT 'avg', {avgs} FROM wide""")
 @register("tuning_matrix", _matrix_sql("jm", "P"))
 def tuning_matrix_q(spark, sf_dir):
     """The training CSV as a table: query x lambda, plus the avg row."""
-    return tuning_matrix(_train(spark, sf_dir, "jm", "P")[-1], "jm", GRIDS["jm"])
+    return tuning_matrix(_train(spark, sf_dir, "jm", "P"), "jm", GRIDS["jm"])
 
 
 @register("best_param", tuning_sql("dirichlet", "MAP", """
 SELECT 'dirichlet' AS model, best_param, best_mean FROM best"""))
 def best_param_q(spark, sf_dir):
     """H3: the parameter with the highest training mean (ties -> smallest)."""
-    return best_param(_train(spark, sf_dir, "dirichlet", "MAP")[-1])
+    return best_param(_train(spark, sf_dir, "dirichlet", "MAP"))
 
 
 def _test_report(spark, sf_dir, model, metric):
-    idx = corpus_index(spark, sf_dir)
-    q = benchmark_queries(spark, sf_dir)
-    _, _, test_m = tune(idx, q, corpus_qrels(spark, sf_dir), id_ranges(q), (model,), metric, CUT)
+    _, _, test_m = corpus_tune(spark, sf_dir, (model,), metric, CUT)
     return test_report(test_m.select("query_id", "value", "best_param"))
 
 
