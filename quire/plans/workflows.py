@@ -28,6 +28,7 @@ from quire.operators.ranking import page, rank, select_queries
 from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
 from quire.operators.tuning import best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
+from quire.session import materialize
 from quire.sources.collection import ordered_ids, read_collection, read_qrels, read_run_csv, read_stopwords
 from quire.sources.files import scan_files
 from quire.sources.sinks import write_report_csv, write_test_csv
@@ -73,7 +74,8 @@ def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_pa
     qrels = read_qrels(spark, qrels_path)
     tr = select_queries(queries, *train)
     te = select_queries(queries, *test)
-    tm = training_metrics(idx, tr, qrels, model, metric, cut)
+    # written once: the matrix and the best value both read it
+    tm = materialize(training_metrics(idx, tr, qrels, model, metric, cut), "training")
     matrix = tuning_matrix(tm, model)
     rep = test_report(test_metrics(idx, te, qrels, best_param(tm), model, metric, cut))
     write_report_csv(matrix, f"{out_dir}/training")
