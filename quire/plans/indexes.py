@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.index import Index, build_index, latest_version, open_index
-from quire.session import path_exists, work_dir
+from quire.session import materialize, path_exists, work_dir
 from quire.sources.tables import documents
 
 _BUILT: dict[tuple, Index] = {}
@@ -96,7 +96,10 @@ def corpus_tune(spark: SparkSession, sf_dir: str, models, metric: str, cut: int
 
     q = benchmark_queries(spark, sf_dir)
     trained = reduce(lambda a, b: a.unionByName(b), [corpus_training(spark, sf_dir, m, cut) for m in models])
-    return tune(corpus_index(spark, sf_dir), q, corpus_qrels(spark, sf_dir), id_ranges(q), models, metric, cut, trained)
+    train_m, best, test_m = tune(corpus_index(spark, sf_dir), q, corpus_qrels(spark, sf_dir), id_ranges(q), models,
+                                 metric, cut, trained)
+    # one row per test query and model: written, as comparisons read it several times
+    return train_m, best, materialize(test_m, "test-metrics")
 
 
 def field_index(spark: SparkSession, sf_dir: str, table_name: str, id_col: str, field,
