@@ -62,6 +62,10 @@ _DOT = r"(?:[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]|(?:dot|punkt|point|
 DIGITS = re.compile(rf"\b(?:plus[\s-]+)?{_NAME}(?:[\s,-]+(?:{_DOT}[\s,-]+)?{_NAME}){{2,}}\b", re.I)
 #: A separator between spelled digits, and what it stands for.
 BETWEEN = re.compile(rf"[\s,-]+({_DOT})?[\s,-]*", re.I)
+#: Digits with capital or small O, small L or capital I among them, in a run of their own.
+MIXED = re.compile(r"(?<![A-Za-z0-9])\+?[(]?[0-9OolI](?:[\x20().-]?[\x20().-]?[0-9OolI])+(?![A-Za-z0-9])")
+LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI]+|(?<![OolI])[OolI]+(?=[0-9])")
+AS_DIGIT = str.maketrans("OolI", "0011")
 IN_BRACKETS = re.compile(r"(?<!\s)\s*(?:[\[({<]\s*(at|dot|@|\.)\s*[\])}>])\s*", re.I)
 IN_WORDS = re.compile(r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*)[A-Za-z])", re.I)
 DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
@@ -157,6 +161,16 @@ def unhide_letters(t: Traced) -> None:
     t.rewrite([(m.start(), m.end(), new) for m in FOREIGN.finditer(t.text) if (new := lookalike(m[0])) is not None])
 
 
+def unhide_letter_digits(t: Traced) -> None:
+    """O for 0 and l or I for 1 next to a digit, in runs that are mostly digits."""
+    edits = []
+    for m in MIXED.finditer(t.text):
+        letters = sum(c in "OolI" for c in m[0])
+        if letters and sum("0" <= c <= "9" for c in m[0]) >= max(4, 2 * letters):
+            edits += [(x.start(), x.end(), x[0].translate(AS_DIGIT)) for x in LETTER_DIGIT.finditer(t.text, m.start(), m.end())]
+    t.rewrite(edits)
+
+
 def unhide_digits(t: Traced) -> None:
     """Runs of three and more spelled digits, with "plus" before and "dot" between."""
     edits = []
@@ -207,16 +221,18 @@ def signed(text: str) -> bool:
 def hidden_spans(text: str, plain: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
     """Spans of each kind, in source offsets, that only show after rewriting."""
     foreign = not text.isascii() and FOREIGN.search(text)
-    digits, signs = spelled(text), signed(text)
+    digits, signs, mixed = spelled(text), signed(text), LETTER_DIGIT.search(text)
     if foreign and not (digits and signs):
         shown = Traced(text)
         unhide_letters(shown)
         digits, signs = digits or spelled(shown.text), signs or signed(shown.text)
-    if not (foreign or digits or signs):
+    if not (foreign or digits or signs or mixed):
         return [[], [], [], []]
     t = Traced(text)
     if foreign:
         unhide_letters(t)
+    if foreign or mixed:
+        unhide_letter_digits(t)
     if digits:
         unhide_digits(t)
     if signs:
