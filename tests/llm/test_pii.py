@@ -51,7 +51,7 @@ def test_plain_spans_match_patterns():
     ("card four one one one one one one one one one one one one one one one", "card:5:69"),
     ("١٩٢.168.1.1", "ip:0:11"),
     ("IP 192[.]168[.]1[.]1", "ip:3:20"),
-    ("call +1 (2O3) 555-l234 now", "phone:5:22"), ("4lll 1111 1111 1111", "card:0:19"), ("host 1O.0.0.l", "ip:5:13"),
+    ("call +1 (2O3) 555-l234 now", "phone:5:22"), ("4lll 1111 1111 1111", "card:0:19"), ("host 1O.0.0.1", "ip:5:13"),
     ("pay 4111 1111 1111 1111 I was", "card:4:23"), ("pay 411111111111111 O", ""), ("Oil 55 lol", ""),
     ("meet at noon. dot com", ""), ("call at one two three dot", ""), ("un deux trois quatre", ""),
     ("AT&T at home (at) 5", ""), ("look at the dot", ""), ("a@b.c", "email:0:5"), ("", ""), (None, ""),
