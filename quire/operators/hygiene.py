@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.index import Index
-from quire.operators.joins import join_hot_cold, join_small
+from quire.operators.joins import broadcast_if_small, join_hot_cold, join_small
+from quire.session import materialize
 
 TFIDF_DECIMALS = 7
 HOT_TERM_SHARE = 1000     # a term in >= 1/HOT_TERM_SHARE of the documents is "hot"
@@ -31,27 +32,43 @@ def content_key(text_col: str = "contents", mode: str = "sha256"):
     return F.sha2(F.col(text_col), 256)
 
 
+def content_keys(docs: DataFrame, text_col: str = "contents", mode: str = "sha256") -> DataFrame:
+    """(doc_id, h), written once: every text is hashed a single time, and what
+    follows reads some 80 bytes a document. Null contents are equal contents."""
+    key = F.coalesce(content_key(text_col, mode).cast("string"), F.lit("null"))
+    return materialize(docs.select("doc_id", key.alias("h")), "content-keys")
+
+
+def _kept(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+
+
 def kept_ids(docs: DataFrame, text_col: str = "contents", mode: str = "sha256") -> DataFrame:
     """(doc_id) of the first (lowest id) document of each content."""
-    return (docs.select(content_key(text_col, mode).alias("h"), "doc_id")
-            .groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    return _kept(content_keys(docs, text_col, mode))
+
+
+def _groups(keys: DataFrame) -> DataFrame:
+    g = (keys.groupBy("h").agg(F.min("doc_id").alias("kept_id"),
+                               F.count(F.lit(1)).alias("n_copies"))
+         .filter(F.col("n_copies") > 1))
+    # one group of copies may hold a large share of all documents: the group
+    # table goes by broadcast when small, else the join is salted by doc_id
+    return join_small(keys, g, "h", spread_col="doc_id").select(
+        "doc_id", "kept_id", F.col("n_copies").cast("bigint"))
 
 
 def dedup_exact(docs: DataFrame, text_col: str = "contents", mode: str = "sha256") -> DataFrame:
-    """Documents without exact copies; the lowest id of each content is kept."""
-    return docs.join(kept_ids(docs, text_col, mode), "doc_id", "left_semi")
+    """Documents without exact copies; the lowest id of each content is kept.
+    The ids that go, fewer than those that stay, are anti-joined: broadcast when
+    they are checked to be few, so that texts are not shuffled."""
+    gone = _groups(content_keys(docs, text_col, mode)).filter("doc_id != kept_id").select("doc_id")
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
 
 
 def dup_groups(docs: DataFrame, text_col: str = "contents", mode: str = "sha256") -> DataFrame:
     """One row per document that has copies: (doc_id, kept_id, n_copies)."""
-    h = docs.select(content_key(text_col, mode).alias("h"), "doc_id")
-    g = (h.groupBy("h").agg(F.min("doc_id").alias("kept_id"),
-                            F.count(F.lit(1)).alias("n_copies"))
-         .filter(F.col("n_copies") > 1))
-    # one group of copies may hold a large share of all documents: the group
-    # table goes by broadcast when small, else the join is salted by doc_id
-    return join_small(h, g, "h", spread_col="doc_id").select(
-        "doc_id", "kept_id", F.col("n_copies").cast("bigint"))
+    return _groups(content_keys(docs, text_col, mode))
 
 
 def delete_by_key(docs: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:

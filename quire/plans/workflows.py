@@ -26,12 +26,13 @@ from quire.operators.index import (Index, delete_docs, index_from_postings, inde
                                    open_index, write_index)
 from quire.operators.ranking import page, rank, select_queries
 from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
-from quire.operators.tuning import best_param, test_report, training_metrics, tuning_matrix
+from quire.operators.tuning import GRIDS, best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
 from quire.session import materialize
 from quire.sources.collection import ordered_ids, read_collection, read_qrels, read_run_csv, read_stopwords
 from quire.sources.files import scan_files
-from quire.sources.sinks import write_report_csv, write_test_csv
+from quire.sources.sinks import (write_eval_csv, write_report_csv, write_test_csv,
+                                 write_training_csv)
 
 
 def index_collection(spark: SparkSession, collection_path: str, index_path: str,
@@ -60,7 +61,7 @@ def search_eval(spark: SparkSession, index_path: str, queries_path: str, qrels_p
     run = rank(idx, queries, model, param, cut)
     report = eval_report(metrics(run, qrels, queries), cut)
     write_report_csv(ranked_list(run, qrels, min(top, cut)), f"{out_dir}/ranked_list")
-    write_report_csv(report, f"{out_dir}/metrics")
+    write_eval_csv(report, f"{out_dir}/metrics")
     return run, report
 
 
@@ -78,7 +79,7 @@ def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_pa
     tm = materialize(training_metrics(idx, tr, qrels, model, metric, cut), "training")
     matrix = tuning_matrix(tm, model)
     rep = test_report(test_metrics(idx, te, qrels, best_param(tm), model, metric, cut))
-    write_report_csv(matrix, f"{out_dir}/training")
+    write_training_csv(matrix, f"{out_dir}/training", f"{metric}@{cut}", GRIDS[model])
     write_test_csv(rep, f"{out_dir}/test", f"{metric}@{cut}")
     return matrix, rep
 

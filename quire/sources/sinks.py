@@ -11,6 +11,8 @@ memory.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,37 @@ def write_report_csv(report: DataFrame, path: str, header: bool = True) -> str:
     return path
 
 
+def _ordered_lines(parts: list[tuple[DataFrame, str]], path: str) -> str:
+    """Lines (``value``) of each part, one part after the other and inside a part by
+    an order column, written sorted: the layout holds over the part files."""
+    lines = [df.select(F.lit(k).alias("_k"), F.expr(order).try_cast("bigint").alias("_q"), "value")
+             for k, (df, order) in enumerate(parts)]
+    (reduce(lambda a, b: a.unionByName(b), lines).orderBy("_k", "_q").select("value")
+     .write.mode("overwrite").text(path))
+    return path
+
+
+def write_eval_csv(report: DataFrame, path: str) -> str:
+    """K6 layout of an evaluation report: ``queryID,P@n,AP@n,recall@n,rr,cut=N``, a line
+    per query, the ``average`` line last."""
+    fields = ["query", "p", "ap", "recall", "rr"]
+    line = report.withColumn("value", F.concat_ws(",", *[F.col(c).cast("string") for c in fields]))
+    total = line.filter("query = 'average'")
+    n = F.col("cut").cast("string")
+    head = total.withColumn("value", F.concat(F.lit("queryID,P@"), n, F.lit(",AP@"), n, F.lit(",recall@"), n,
+                                              F.lit(",rr,cut="), n))
+    return _ordered_lines([(head, "0"), (line.filter("query != 'average'"), "query"), (total, "0")], path)
+
+
+def write_training_csv(matrix: DataFrame, path: str, metric_label: str, params) -> str:
+    """K7 layout of a training matrix: the metric and the parameter values, a line per
+    query, the ``avg`` line last."""
+    line = matrix.withColumn("value", F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in matrix.columns]))
+    total = line.filter("query = 'avg'")
+    head = total.withColumn("value", F.lit(",".join([metric_label, *[f"{v:g}" for v in params]])))
+    return _ordered_lines([(head, "0"), (line.filter("query != 'avg'"), "query"), (total, "0")], path)
+
+
 def write_test_csv(test_report: DataFrame, path: str, metric_label: str) -> str:
     """K8 layout: ``query,<metric>``, ``value=<best>``, per-query rows, ``avg``.
 

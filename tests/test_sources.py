@@ -100,3 +100,23 @@ def test_list_lines_edge_cases(spark):
     df = spark.createDataFrame([("",), ("\n",), ("x",), ("a\rb\r",)], "t string")
     got = [r[0] for r in df.select(java_list_lines(F.col("t"))).collect()]
     assert got == ["[]", "[]", "[x]", "[a, b]"]
+
+
+def _lines(path):
+    import glob
+    return [x for f in sorted(glob.glob(f"{path}/part-*")) for x in open(f, encoding="utf-8").read().splitlines()]
+
+
+def test_report_layouts(spark, tmp_dir):
+    from quire.operators.evaluation import eval_report
+    from quire.operators.tuning import tuning_matrix
+    from quire.sources.sinks import write_eval_csv, write_training_csv
+    m = spark.createDataFrame([(10, 2, 0.5, 0.25, 1.0, 1.0), (9, 2, 0.0, 0.0, 0.0, 0.0)],
+                              "query_id long, n_hits long, p double, ap double, recall double, rr double")
+    write_eval_csv(eval_report(m, 10), f"{tmp_dir}/eval")
+    assert _lines(f"{tmp_dir}/eval") == ["queryID,P@10,AP@10,recall@10,rr,cut=10", "9,0.0,0.0,0.0,0.0", "10,0.5,0.25,1.0,1.0",
+                                         "average,0.25,0.125,0.5,0.5"]
+    t = spark.createDataFrame([("jm", p, q, p * q) for p in (0.0, 0.5) for q in (10, 9)],
+                              "model string, param double, query_id long, value double")
+    write_training_csv(tuning_matrix(t, "jm", [0.0, 0.5]), f"{tmp_dir}/train", "P@10", [0.0, 0.5])
+    assert _lines(f"{tmp_dir}/train") == ["P@10,0,0.5", "9,0.0,4.5", "10,0.0,5.0", "avg,0.0,4.75"]
