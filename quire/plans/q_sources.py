@@ -291,6 +291,24 @@ def index_update_q(spark, sf_dir):
     return index_update(spark, new, path).terms.select("term", "df", "cf")
 
 
+_WHOLE_TEXT = "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' updated' ELSE text END AS text FROM documents)"
+
+
+@register("index_update_whole", f"""
+WITH {INDEX_CTES.replace("FROM documents),", "FROM " + _WHOLE_TEXT + "),", 1)}
+SELECT term, df::BIGINT AS df, cf::BIGINT AS cf FROM tstat""")
+def index_update_whole_q(spark, sf_dir):
+    """K2: as ``index_update``, with the whole text of every document in the update. The id
+    rule only chooses which documents change; half of them are new to the index, the
+    others replace postings that would count twice if they stayed."""
+    d = documents(spark, sf_dir)
+    path = scratch_path(spark, "index-update-whole")
+    third = F.col("doc_id") % 3 == 0
+    write_index(spark, d.filter(~third | (F.col("doc_id") % 2 == 0)), path, "create")
+    new = d.filter(third).withColumn("contents", F.concat("contents", F.lit(" updated")))
+    return index_update(spark, new, path).terms.select("term", "df", "cf")
+
+
 @register("stored_contents", """
 SELECT doc_id, text AS contents, lang, source FROM documents""")
 def stored_contents_q(spark, sf_dir):

@@ -127,3 +127,18 @@ def test_ranking_groups_without_an_exchange(spark, tmp_dir):
         above = plan[:plan.index("FileScan")]
         shuffles = [x for x in above.splitlines() if "Exchange hashpartitioning" in x]
         assert all("query_id" in x and "doc_id" not in x for x in shuffles), plan
+
+
+def test_update_reads_whole_texts(spark):
+    """Terms after character 200 of updated documents count, once each."""
+    from quire.plans.q_sources import index_update_whole_q
+    sf = "/root/testdata/sf0.001"
+    got = {r.term: (r.df, r.cf) for r in index_update_whole_q(spark, sf).collect()}
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    new = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" updated")))
+                   .otherwise(F.col("text")).alias("contents"))
+    assert d.filter("doc_id % 3 = 0 and length(text) > 200").count()
+    tf = new.select("doc_id", F.explode(F.regexp_extract_all(F.lower("contents"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("term")) \
+        .groupBy("doc_id", "term").count()
+    want = {r.term: (r.df, r.cf) for r in tf.groupBy("term").agg(F.count("doc_id").alias("df"), F.sum("count").alias("cf")).collect()}
+    assert got == want
