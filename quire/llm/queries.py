@@ -176,7 +176,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
-    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"], secrets.alphabet_spans)
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(secrets.written(F.col("base_spans")), 256).alias("base_sha256"),
                         secrets.written(F.col("all_spans")).alias("spans"))

@@ -86,3 +86,29 @@ def test_digest(spark):
     from quire.llm.queries import QUERIES
     row = QUERIES["op8_secrets"](spark, "/root/testdata/sf0.001").filter("n_assign = 0 and n_access = 0 and n_hex = 0").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+@pytest.mark.parametrize("alphabet,least", [
+    (DIGITS + "abcdef", 0.97), (DIGITS + "ABCDEF", 0.97), (LOWER + "234567", 0.95), (UPPER + "234567", 0.95), (LOWER + DIGITS, 0.96),
+    (UPPER + DIGITS, 0.96), (LOWER + UPPER + DIGITS, 0.92), (LOWER + UPPER + DIGITS + "+/", 0.89), (LOWER + UPPER + DIGITS + "-_", 0.89)])
+def test_recall_by_alphabet(spark, alphabet, least):
+    """Of 20 characters, the shortest; longer strings are found more often. (Without a digit,
+    3% of base 62 strings of 20, a string is no candidate.)"""
+    rng = random.Random(11)
+    keys = [(n, "".join(rng.choice(alphabet) for _ in range(n))) for n in (20, 24, 32, 40) for _ in range(400)]
+    docs = spark.createDataFrame([(n, f"a key {key} here") for n, key in keys], "n long, text string")
+    rows = secrets.scan(docs, F.col("text"), ["n"], secrets.alphabet_spans).groupBy("n") \
+        .agg(F.avg((F.size("all_spans") > 0).cast("int")).alias("found")).collect()
+    found = {r.n: r.found for r in rows}
+    assert found[20] >= least and found[24] >= least + 0.02 and min(found[32], found[40]) >= 0.96, found
+
+
+def test_false_spans_on_documents(spark):
+    """Outside base spans, windows of the documents are those of digests in upper case."""
+    rows = secrets.scan(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), F.col("text"), ["doc_id", "text"], secrets.alphabet_spans) \
+        .filter(F.size("all_spans") > F.size("base_spans")).collect()
+    more = [r.text[x.s:x.e] for r in rows for x in r.all_spans if x.k > 2]
+    assert all(re.fullmatch("[0-9A-F]{40}", m) for m in more) and len(more) <= 10, more
