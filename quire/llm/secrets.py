@@ -5,7 +5,8 @@ long hex strings). Over every other candidate string (a long run of key characte
 a digit and a letter) a window slides; the counts of its characters are kept up to date
 by the one that enters and the one that leaves, and with them the sum of c * log2(c),
 which gives the window's Shannon entropy without counting again. Windows above the
-threshold of their alphabet make spans (``alphabet_spans``). ``entropy_spans`` is the
+threshold of their alphabet make spans (``alphabet_spans``); base spans and what is known
+not to be a secret are cut out of a candidate, and the rest is judged. ``entropy_spans`` is the
 older rule of two classes: nothing of a candidate that is on the allow list or that a base
 span touches.
 
@@ -48,6 +49,15 @@ ALPHABETS = (("entropy_hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 2.9), ("entropy_base3
              ("entropy_base64", r"", 3.6))
 #: A stretch without separators is also judged by its own alphabet.
 SEGMENT = rf"[A-Za-z0-9]{{{WINDOW},}}"
+_WORD = r"(?:[A-Z]?[a-z]{3,}+(?:[A-Z][a-z]++)*+|[A-Z]{3,}+)"
+#: Parts of a candidate that are no secrets, each with a separator after it: UUIDs; digests
+#: named as such, to their length in base 64; segments with samples or runs of the alphabet;
+#: segments that are words, or words with a number in fewer than 16 characters.
+CLEARED = (r"(?<![A-Za-z0-9])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])|"
+           + "|".join(rf"(?i:{name})[-_=](?:[0-9A-Fa-f]++(?![A-Za-z0-9+])|[A-Za-z0-9+/]{{{size}}}|[A-Za-z0-9]*+)"
+                      for name, size in (("md5", 22), ("sha1", 27), ("sha256", 43), ("sha384", 64), ("sha512", 86)))
+           + r"|[A-Za-z0-9]*?(?i:example|sample|placeholder|xxxx|abcdefgh|01234567|12345678)[A-Za-z0-9]*+"
+           rf"|{_WORD}(?![A-Za-z0-9])|(?=[A-Za-z0-9]{{1,15}}(?![A-Za-z0-9])){_WORD}[0-9]{{1,4}}+(?![A-Za-z0-9]))[+/_=-]?")
 
 
 FOUND = "array<struct<s:int,e:int,m:string>>"
@@ -140,18 +150,21 @@ def entropy_spans(candidates: Column, taken: Column) -> Column:
     return F.flatten(F.transform(F.filter(candidates, free), spans))
 
 
-def allowed(text: Column) -> Column:
-    out = F.lit(False)
-    for rule in ALLOWED:
-        out = out | F.rlike(text, F.lit(rule))
-    return out
-
-
 def stretches(c: Column, taken: Column) -> Column:
-    """Stretches (s, e) of a candidate in which windows are looked at."""
-    touched = F.exists(taken, lambda t: (t["s"] < c["e"]) & (t["e"] > c["s"]))
-    whole = F.array(F.struct(F.lit(0).alias("s"), F.length(c["m"]).alias("e")))
-    return F.when(~allowed(c["m"]) & ~touched, whole).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
+    """Stretches (s, e) of a candidate between base spans and what CLEARED names, where
+    they have room for a window."""
+    found = "array<struct<s:int,e:int>>"
+    near = F.filter(taken, lambda t: (t["s"] < c["e"]) & (t["e"] > c["s"]))
+    cuts = F.concat(F.transform(near, lambda t: F.struct((t["s"] - c["s"]).alias("s"), (t["e"] - c["s"]).alias("e"))),
+                    F.transform(matches(c["m"], CLEARED), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    end = F.array(F.struct(F.length(c["m"]).alias("s"), F.length(c["m"]).alias("e")))
+
+    def step(state: Column, x: Column) -> Column:
+        room = F.array(F.struct(state["at"].alias("s"), x["s"].alias("e")))
+        return F.struct(F.greatest(state["at"], x["e"]).alias("at"), F.when(x["s"] - state["at"] >= WINDOW, F.concat(
+            state["out"], room)).otherwise(state["out"]).alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(found).alias("out"))
+    return F.aggregate(F.concat(F.sort_array(cuts), end), start, step, lambda x: x["out"])
 
 
 def alphabet_spans(candidates: Column, taken: Column) -> Column:
