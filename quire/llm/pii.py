@@ -2,11 +2,17 @@
 
 Plain identifiers are found in the text as it is. Then transducers rewrite what is used
 to hide identifiers (letters and digits that look like ASCII ones, invisible characters,
-spelled digits, "at" and "dot" in words or brackets), keeping for every character of the
+spelled digits, "at" and "dot" in words or brackets, "dot" also as punkt, point and
+punto), keeping for every character of the
 result the stretch of source characters that it stands for. Identifiers of the rewritten
 text that lean on a rewritten character are mapped back to source offsets and added,
 unless they lie within a plain one of their kind.
 
+Left out, because prose has the same words: "at" in words before a domain with a real dot
+("look at example.com") unless the domain is a known mail host and the word before may be
+a name; punkt, point and punto in words unless a known top-level domain follows; other
+languages' words for "at".
+
 Texts are handled one at a time inside tasks, in time linear in their length; nothing is
 shuffled. Defined results: null or empty text has no spans; offsets are code points, end
 exclusive.
@@ -66,10 +72,25 @@ BETWEEN = re.compile(rf"[\s,-]+({_DOT})?[\s,-]*", re.I)
 MIXED = re.compile(r"(?<![A-Za-z0-9])\+?[(]?[0-9OolI](?:[\x20().-]?[\x20().-]?[0-9OolI])+(?![A-Za-z0-9])")
 LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI]+|(?<![OolI])[OolI]+(?=[0-9])")
 AS_DIGIT = str.maketrans("OolI", "0011")
-IN_BRACKETS = re.compile(r"(?<!\s)\s*(?:[\[({<]\s*(at|dot|@|\.)\s*[\])}>])\s*", re.I)
-IN_WORDS = re.compile(r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*)[A-Za-z])", re.I)
-DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
-HIDDEN_DOT = re.compile(r"\bdot\b|[\[({<]\s*[.@]\s*[\])}>]|[\[({<]\s*at\s*[\])}>]", re.I)
+IN_BRACKETS = re.compile(r"(?<!\s)\s*(?:[\[({<]\s*(at|dot|punkt|point|punto|@|\.)\s*[\])}>])\s*", re.I)
+_BRACKET_DOT = r"[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]"
+# What must follow "punkt", "point" and "punto" (with up to three labels
+# between), which are common words; "at this point in time" has no address.
+_TOP = r"(?:com|net|org|info|eu|de|ch|li|lu|fr|es|mx|ar|cl|pe|uy|edu|gov|gob|gouv|uk)\b"
+_WORD_DOT = rf"(?:dot\s+|(?:punkt|point|punto)\s+(?=(?:[A-Za-z0-9-]++\s++(?:punkt|point|punto)\s++){{0,3}}{_TOP}))"
+# Mail hosts, the only domains with real dots before which "at" is a sign, and
+# words that are no names before it.
+_MAIL_HOST = (r"(?:(?:gmail|googlemail|yahoo|hotmail|outlook|live|icloud|aol|protonmail|gmx)\.(?:com|net|org|de|fr|es|ch|co\.uk)|web\.de|proton\.me)"
+              r"(?![A-Za-z0-9-]|\.[A-Za-z0-9])")
+#: A part of each mail host, looked for first.
+_HOSTS = ("mail.", "yahoo.", "outlook.", "live.", "icloud.", "aol.", "gmx.", "web.de", "proton.me")
+NO_NAMES = frozenset("""a account accounts address addresses available email emails here hosted in inbox it log login look looking mail mailbox
+    mailboxes mails me more news on page read registered sign team them us user users up work working works""".split())
+IN_WORDS = re.compile(rf"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?:\s+{_WORD_DOT}|\s*{_BRACKET_DOT}\s*)[A-Za-z]|({_MAIL_HOST}))", re.I)
+DOT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s+{_WORD_DOT}(?=[A-Za-z0-9])", re.I)
+HIDDEN_DOT = re.compile(r"\bdot\b|[\[({<]\s*[.@]\s*[\])}>]|[\[({<]\s*(?:at|punkt|point|punto)\s*[\])}>]", re.I)
+HIDDEN_POINT = re.compile(rf"\b(?:punkt|point|punto)\s+{_TOP}", re.I)
+AT_HOST = re.compile(rf"(?<=[A-Za-z0-9])\s+at\s+{_MAIL_HOST}", re.I)
 FOREIGN = re.compile("[­ıƄɑɡͰ-׿٠-٩۰-۹०-९"
                      "ᴢ​-‍‐-–․⁠⁰-ₙ℀-⅏−①-⓿。"
                      "﹐-﹯﻿！-￮\U0001d400-\U0001d7ff]")
@@ -199,9 +220,17 @@ _TO_SPACES = {ord(c): " " for c in ",.;:!?-()[]{}<>\"'/|«»¿¡“”‘’„
 _BY_LENGTH = sorted(NAMES, key=len, reverse=True)
 
 
+def named(text: str, end: int) -> bool:
+    """Whether the word that ends there may be the name of an address."""
+    s = end
+    while s and LOCAL.match(text, s - 1):
+        s -= 1
+    return text[s:end].lower() not in NO_NAMES
+
+
 def unhide_signs(t: Traced) -> None:
-    """"at" and "dot": words first (they need both), then brackets."""
-    t.rewrite([(m.start(), m.end(), "@") for m in IN_WORDS.finditer(t.text)])
+    """"at" and "dot": words first (they need both, or a mail host), then brackets."""
+    t.rewrite([(m.start(), m.end(), "@") for m in IN_WORDS.finditer(t.text) if not m[1] or named(t.text, m.start())])
     t.rewrite([(m.start(), m.end(), "@" if m[1].lower() in ("at", "@") else ".") for m in IN_BRACKETS.finditer(t.text)])
     if "@" in t.text:
         t.rewrite([(m.start(), m.end(), ".") for m in DOT_WORD.finditer(t.text)])
@@ -214,8 +243,11 @@ def spelled(text: str) -> bool:
 
 
 def signed(text: str) -> bool:
-    """Whether a text has a "dot" or a sign in brackets."""
-    return ("dot" in text.lower() or any(b in text for b in "[({<")) and HIDDEN_DOT.search(text) is not None
+    """Whether a text has a "dot" in some language, a sign in brackets or "at" before a mail host."""
+    low = text.lower()
+    return (("dot" in low or any(b in text for b in "[({<")) and HIDDEN_DOT.search(text) is not None
+            or any(w in low for w in ("punkt", "point", "punto")) and HIDDEN_POINT.search(text) is not None
+            or any(h in low for h in _HOSTS) and AT_HOST.search(text) is not None)
 
 
 def hidden_spans(text: str, plain: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:

@@ -95,3 +95,25 @@ def test_columns(odd, clashing):
     assert clean.columns == clashing.columns and clean.count() == clashing.count()
     assert clean.filter("text is null").count() == clashing.filter("text is null").count()
     assert pii.redact(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text,want", [
+    ("john at mail.example dot com", "email:0:28"), ("john at a.mail.example (dot) com", "email:0:32"),
+    ("write john at gmail.com today", "email:6:23"), ("john\nat\ngmail.com", "email:0:17"), ("john at yahoo.co.uk.", "email:0:19"),
+    ("max [at] beispiel [punkt] de", "email:0:28"), ("jean (at) exemple (point) fr", "email:0:28"), ("ana {at} ejemplo {punto} es", "email:0:27"),
+    ("max at beispiel punkt de", "email:0:24"), ("max at mail punkt beispiel punkt de", "email:0:35"), ("max@beispiel punkt de", "email:0:21"),
+    ("jean@exemple [point] fr", "email:0:23"), ("ana at mail.ejemplo punto es", "email:0:28"), ("IP 192[punkt]168[punkt]1[punkt]1", "ip:3:32"),
+    ("look at example.com", ""), ("your account at gmail.com", ""), ("john at gmail.com.example", ""), ("at this point in time", ""),
+    ("arrive at some point in May", ""), ("write a@b.fr point final", "email:6:12"), ("at that point we (point) out", ""),
+])
+def test_signs_in_other_words(text, want):
+    assert pii.joined(pii.find(text)[1]) == want
+
+
+@pytest.mark.parametrize("text", ["a at " * 40_000 + "gmail.com", "a at b" + ".c" * 50_000, "punkt " * 40_000 + "de", "a@b point " * 30_000 + "fr",
+                                  "x" * 100_000 + " at gmail.com", "a at gmail.com " * 10_000, "[punkt " * 40_000, "a at " + "b" * 100_000 + " "])
+def test_signs_in_linear_time(text):
+    import time
+    t = time.process_time()
+    pii.find(text)
+    assert time.process_time() - t < 10
