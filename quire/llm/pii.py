@@ -123,7 +123,7 @@ def plain_spans(text: str) -> list[list[tuple[int, int]]]:
     mail = emails(text) if "@" in text else []
     if not DIGIT.search(text):
         return [mail, [], [], []]
-    ip = [m.span() for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    ip = [m.span() for m in IP.finditer(text) if all(len(n) < 4 and int(n or "0") <= 255 for n in (p.lstrip("0") for p in m[0].split(".")))]
     card = []
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:

@@ -117,3 +117,11 @@ def test_signs_in_linear_time(text):
     t = time.process_time()
     pii.find(text)
     assert time.process_time() - t < 10
+
+
+@pytest.mark.parametrize("zeros", [4_300, 5_000, 200_000])
+def test_long_runs_of_zeros_in_an_ip(zeros):
+    """Python reads no number of over 4,300 digits."""
+    assert pii.plain_spans("0" * zeros + ".1.2.3")[1] == [(0, zeros + 6)]
+    assert pii.plain_spans("1.2." + "0" * zeros + "256.4")[1] == []
+    assert pii.redacted("x " + "0" * zeros + ".1.2.3 y") == "x [IP] y"
