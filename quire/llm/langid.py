@@ -7,7 +7,8 @@ below what the members of that centroid show is marked as rejected.
 
 Fitting uses a bounded sample of labelled rows (``per_language`` documents of each
 language, fewer where ``MAX_SAMPLE`` in all would be exceeded, chosen by a hash of the id after a count per language, so it is the same on
-every run); vectors of the sample are made by tasks and clustered in numpy. The model is
+every run); vectors of the sample are made by tasks and clustered in numpy. The document
+frequencies of IDF are those of the same sample, not of all rows. The model is
 ``dims`` numbers per centroid, at most ``MAX_LANGUAGES * clusters`` of them, and travels
 with the tasks. Predicting reads every whole text once, without a shuffle.
 
