@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import annperm, langid, mixing, packing, pii, quality, revisits, secrets, simhash, tokenfiles
+from quire.llm import (annperm, fim, langid, licenses, mixing, packing, pii, quality, revisits, secrets, simhash, tokenfiles,
+                       whitening)
 from quire.llm.common import table
 from quire.session import scratch_path
 
@@ -197,3 +198,49 @@ def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfiles.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), spaced=False)
     return tokenfiles.read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", tokenfiles.ids_crc32("ids").alias("ids_crc32"))
+
+
+@register("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened on the first 16 components."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=16)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, "
+                                         "explained double, identity_error double")
+    rows = whitening.components(whitening.whiten(vectors, model), model)
+    return rows.select("_row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+@register("op12_licenses")
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("_row.doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+_OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+c AS (
+  SELECT doc_id, text, length(text)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+f AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+p AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@register("op13_fim", _OP13)
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed, and restored from what came out."""
+    made = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=1, cut=90, suffix_first=20))
+    return made.select("_row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
