@@ -147,6 +147,21 @@ def shingles(words: Column) -> Column:
                       lambda a, b: F.concat(a, F.lit(" "), b))
 
 
+def runs(ordered: Column, positions: bool = False) -> Column:
+    """Counted runs of equal neighbours of a sorted array *column*: structs of term and tf,
+    and with ``positions`` (elements are structs of term and pos) the positions."""
+    n = F.size(ordered)
+    term = (lambda i: F.get(ordered, i)["term"]) if positions else (lambda i: F.get(ordered, i))
+    ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i + 1 == n) | (term(i) != term(i + 1)))
+
+    def counted(e: Column, before: Column) -> Column:
+        first = F.coalesce(before, F.lit(-1)) + 1
+        where = [F.transform(F.slice(ordered, first + 1, e - first + 1), lambda x: x["pos"]).alias("positions")] if positions else []
+        return F.struct(term(e).alias("term"), (e - first + 1).alias("tf"), *where)
+    made = F.transform(F.array(ends), lambda all_: F.transform(all_, lambda e, j: counted(e, F.get(all_, j - 1))))[0]
+    return F.when(n > 0, made)
+
+
 def stemmer_for(analyzer: str):
     return STEMMERS.get(analyzer)
 

@@ -3,46 +3,43 @@
 Tables (all keyed by plain columns, no engine-specific storage):
 
 =========  ==============================================================
-postings   doc_id, term, tf, dl   -- dl (document length) is carried on
-                                     every posting so scoring needs one
-                                     large scan and only small joins
+postings   doc_id, term, tf, dl[, positions], part -- dl (document length) is
+                                     carried on every posting so scoring needs
+                                     one large scan and only small joins
 doclen     doc_id, dl             -- documents with at least one term
 terms      term, df, cf           -- collection statistics
 corpus     one row: n_docs, n_docs_nonempty, n_tokens, avgdl
-docs       doc_id + stored fields (contents optional)
+docs       doc_id + stored fields (contents optional), part
+meta       one row: analyzer, stop_words, positions, buckets, parts, columns
 =========  ==============================================================
 
-On disk an index is a list of committed versions. A version is one small
-manifest, written last and under its own name (so a reader sees a whole version
-or the one before it): the analyzer, the stop-word table, the statistics and the
-segments, each with the tables of document ids deleted from it since. Creating
-starts a new list of segments, appending adds one, updating adds one and deletes
-its keys from the others; nothing that a version names is ever written again.
-
-Postings are bucketed by ``doc_id`` (files of one hash partition each, declared to
-Spark as an external table over the segment's folder). A scan is thereby partitioned
-by document, and what ranking groups by (query, document) needs no exchange: only the
-best few rows per task and query are shuffled.
-
-Tokenisation happens exactly once per build: postings are written first and
-every statistic is derived from the written table, never from the lazy
-tokenisation (which Catalyst would otherwise re-run per consumer).
+``postings`` is one table, partitioned by ``part`` (a hash of the document id) and
+bucketed by ``doc_id``. Creating overwrites it, appending inserts into it, updating
+rewrites the partitions that hold a changed document (``INSERT OVERWRITE`` of these
+partitions alone): the old rows without the changed ids, and the new ones. Statistics
+are grouped from the table afterwards. A scan is partitioned by document, so what ranking
+groups by (query, document) needs no exchange: only the best few rows per task and query
+are shuffled.
+
+Terms are counted inside the row of their document: its tokens are sorted and runs of
+equal ones counted by built-in functions. Texts stay where they are read; what is
+shuffled, once and into the buckets, is one array of counted terms per document.
+Tokenisation happens once per build: statistics are derived from the written table.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import hashlib
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions.analysis import (remove_stop_words, shingles, stem_vocabulary,
+from quire.functions.analysis import (remove_stop_words, runs, shingles, stem_vocabulary,
                                       stemmer_for, token_array)
 from quire.operators.joins import broadcast_if_small, join_small
-from quire.session import materialize, scratch_path
+from quire.session import materialize, overwriting_partitions, scratch_path
 
 
 @dataclass
@@ -55,20 +52,17 @@ class Index:
     analyzer: str
     path: str | None = None
     stop_words: DataFrame | None = None
+    positions: bool = False
 
 
 # ---------------------------------------------------------------- analysis
 
-def cluster_by_doc(df: DataFrame, id_col: str = "doc_id", buckets: int | None = None) -> DataFrame:
-    """Hash-partition the input texts by document id before tokenising.
-
-    The (doc_id, dl, term) aggregate is then satisfied by this partitioning
-    (no second exchange), so the index build shuffles the raw text once --
-    smaller than the postings it produces -- and every postings file holds
-    one bucket of whole documents. It also decouples tokenising parallelism
-    from the input files.
-    """
-    return df.repartition(buckets, id_col) if buckets else df.repartition(id_col)
+def spread(docs: DataFrame, buckets: int) -> DataFrame:
+    """Documents of an input with fewer splits than the cluster has cores, dealt by id
+    first: a split is read by one task, however long its texts. An input with more
+    splits stays as it is."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(buckets, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
 
 
 def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
@@ -82,37 +76,52 @@ def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> Dat
 
 def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id",
                 text_col: str = "contents", stop_words: DataFrame | None = None,
-                stop_list: tuple[str, ...] | None = None) -> DataFrame:
-    """(id, term, tf, dl): term frequencies of each text and its length.
-
-    All tokens of one text live in one row, so the partial (map-side) hash
-    aggregate already yields one row per (text, term); the shuffle moves
-    postings, not tokens. ``dl`` rides in the grouping key (it is a function
-    of the id), which costs nothing and saves a join later.
-    """
-    arr = token_array(F.col(text_col), analyzer, stop_list)
-    base = df.select(F.col(id_col), arr.alias("_toks"))
+                stop_list: tuple[str, ...] | None = None, positions: bool = False,
+                buckets: int | None = None) -> DataFrame:
+    """(id, term, tf, dl[, positions]): term frequencies of each text, its length and,
+    if asked, where each term stands (from 0, rising).
+
+    Counted inside the row, so nothing is shuffled unless ``buckets`` asks for rows
+    dealt by id: then the counted terms are, never the texts. Stop words of a table
+    and stems are joined after counting, one row per different term of a text; stems
+    (which may unite terms of a text) and lengths without stop words are then grouped
+    by id."""
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(buckets, id_col) if buckets else rows
+
+    words = df.select(F.col(id_col), token_array(F.col(text_col), analyzer, stop_list).alias("_toks"))
     if analyzer == "shingle2":
-        base = base.select(id_col, shingles(F.col("_toks")).alias("_toks"))
-    if stop_words is not None:
-        toks = explode_terms(base, [id_col])
-        toks = remove_stop_words(toks, stop_words)
-        tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-        out = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
-    else:
-        base = base.withColumn("dl", F.size("_toks").cast("bigint"))
-        out = (explode_terms(base, [id_col, "dl"])
-               .groupBy(id_col, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-    stem = stemmer_for(analyzer)
+        words = words.select(id_col, shingles(F.col("_toks")).alias("_toks"))
+    stem, late = stemmer_for(analyzer), stop_words is not None
+    counted = _counted(words, id_col, positions)
+    rows = (counted if late or stem else dealt(counted)).select(id_col, "dl", F.explode_outer("_c").alias("_c")) \
+        .filter(F.col("_c").isNotNull()).select(id_col, "dl", "_c.*")
+    if late:
+        rows = remove_stop_words(rows, stop_words)
+        if stem is None:
+            rows = dealt(rows).withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
     if stem is not None:
         # written before stemming: the vocabulary and the regrouping read it, the texts are read once
-        out = materialize(out, "unstemmed")
-        vocab = stem_vocabulary(out, analyzer)
-        out = (join_small(out, vocab, "term")
-               .groupBy(id_col, "dl", F.col("stem").alias("term"))
-               .agg(F.sum("tf").alias("tf")))
-    return out.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"),
-                      F.col("dl").cast("bigint").alias("dl"))
+        rows = materialize(rows, "unstemmed")
+        rows = dealt(join_small(rows, stem_vocabulary(rows, analyzer), "term"))
+        where = [F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions")] if positions else []
+        rows = rows.groupBy(id_col, "dl", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"), *where)
+        if late:
+            rows = rows.withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
+    return rows.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"), F.col("dl").cast("bigint").alias("dl"),
+                       *(["positions"] if positions else []))
+
+
+def _counted(words: DataFrame, id_col: str, positions: bool) -> DataFrame:
+    """(id, dl, _c): the array ``_toks`` as counted terms. The sorted array is a column of
+    its own, so that no function of it sorts again."""
+    toks = F.col("_toks")
+    if positions:
+        ordered = F.array_sort(F.transform(toks, lambda w, i: F.struct(w.alias("term"), i.cast("int").alias("pos"))))
+    else:
+        ordered = F.sort_array(toks)
+    rows = words.select(id_col, F.size("_toks").alias("dl"), ordered.alias("_s"))
+    return rows.select(id_col, "dl", runs(F.col("_s"), positions).alias("_c"))
 
 
 # ---------------------------------------------------------------- statistics
@@ -142,201 +151,222 @@ def corpus_stats(docs: DataFrame, doclen: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- build / io
 
+CONF_BUCKETS = "quire.index.buckets"
+CONF_PARTS = "quire.index.parts"
+PARTS = 4
+
+
+def _buckets(spark: SparkSession) -> int:
+    """Number of buckets of a new index: a setting, else the shuffle partitions."""
+    return int(spark.conf.get(CONF_BUCKETS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _parts(spark: SparkSession) -> int:
+    """Number of partitions of a new index, the units that an update rewrites."""
+    return int(spark.conf.get(CONF_PARTS, None) or PARTS)
+
+
+def _part(parts: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part")
+
+
+def _table(path: str) -> str:
+    """One catalog name per path, whatever is written there."""
+    return "quire_" + hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _columns(meta) -> list[str]:
+    return ["doc_id", "term", "tf", "dl", *(["positions"] if meta["positions"] else []), "part"]
+
+
 def build_index(spark: SparkSession, docs: DataFrame, analyzer: str = "standard",
                 path: str | None = None, text_col: str = "contents",
                 stored: tuple[str, ...] = (), contents_stored: bool = False,
-                stop_words: DataFrame | None = None) -> Index:
+                stop_words: DataFrame | None = None, positions: bool = False) -> Index:
     """Tokenise once, write postings, derive everything else from them.
 
     ``docs`` needs ``doc_id`` and ``text_col``. ``stored`` names extra columns
     kept in the ``docs`` table (fetched later for hits only). ``stop_words``
     (column ``word``) are kept with the index and hold for queries too.
+    ``positions`` keeps with every posting where its term stands.
     """
     path = path or scratch_path(spark, f"index-{analyzer}")
-    stops = None
     if stop_words is not None:
-        stops = f"stop_words/{_name()}"
-        stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
-        stop_words = spark.read.parquet(f"{path}/{stops}")
-    segment = _write_segment(docs, path, analyzer, text_col, stored, contents_stored, stop_words, _buckets(spark))
-    return _commit(spark, path, analyzer, stops, [segment], latest_version(spark, path))
-
-
-CONF_BUCKETS = "quire.index.buckets"
+        stop_words = _write_stop_words(stop_words, path)
+    buckets = _buckets(spark)
+    postings = term_counts(spread(docs, buckets), analyzer, "doc_id", text_col, stop_words, positions=positions, buckets=buckets)
+    fields = docs.select("doc_id", *stored, *([text_col] if contents_stored else []))
+    return _write(spark, path, postings, fields, analyzer, stop_words is not None, positions)
+
+
+def _write_stop_words(stop_words: DataFrame, path: str) -> DataFrame:
+    stop_words.select("word").distinct().write.mode("overwrite").parquet(f"{path}/stop_words")
+    return stop_words.sparkSession.read.parquet(f"{path}/stop_words")
+
+
+def _write(spark: SparkSession, path: str, postings: DataFrame, fields: DataFrame, analyzer: str, stops: bool,
+           positions: bool) -> Index:
+    """Postings (dealt by doc_id) and stored fields as a new index; the row of ``meta`` last."""
+    buckets, parts = _buckets(spark), _parts(spark)
+    (postings.withColumn("part", _part(parts)).write.format("parquet").mode("overwrite").option("path", f"{path}/postings")
+     .partitionBy("part").bucketBy(buckets, "doc_id").saveAsTable(_table(path)))
+    fields.withColumn("part", _part(parts)).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
+    kinds = ", ".join(f"`{c}` {t}" for c, t in postings.dtypes)
+    meta = {"analyzer": analyzer, "stop_words": stops, "positions": positions, "buckets": buckets, "parts": parts,
+            "columns": kinds}
+    _write_stats(spark, path, meta)
+    spark.range(1).select(*[F.lit(v).alias(k) for k, v in meta.items()]).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    return open_index(spark, path)
 
 
-def _buckets(spark: SparkSession) -> int:
-    """Number of buckets of a new index: a setting, else the shuffle partitions."""
-    return int(spark.conf.get(CONF_BUCKETS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+def _write_stats(spark: SparkSession, path: str, meta) -> None:
+    """Statistics grouped from the written tables."""
+    postings, docs = _postings(spark, path, meta), _docs(spark, path)
+    doc_lengths(postings).write.mode("overwrite").parquet(f"{path}/doclen")
+    term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
+    corpus_stats(docs, spark.read.parquet(f"{path}/doclen")).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
 
 
-def _write_postings(postings: DataFrame, path: str, segment: str, buckets: int) -> dict:
-    """Postings, partitioned by doc_id, as the bucketed table of a segment."""
-    (postings.write.format("parquet").option("path", f"{path}/{segment}/postings")
-     .bucketBy(buckets, "doc_id").saveAsTable(_table(segment)))
-    return {"name": segment, "deleted": [], "buckets": buckets,
-            "schema": ", ".join(f"`{c}` {t}" for c, t in postings.dtypes)}
-
-
-def _table(segment: str) -> str:
-    return "quire_" + segment.rsplit("/", 1)[-1]
-
-
-def _postings(spark: SparkSession, path: str, s: dict) -> DataFrame:
-    """The postings of a segment; declares its table to a session that has not seen it."""
-    if not spark.catalog.tableExists(_table(s["name"])):
-        at = f"{path}/{s['name']}/postings".replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {_table(s['name'])} ({s['schema']}) USING parquet "
-                  f"CLUSTERED BY (doc_id) INTO {s['buckets']} BUCKETS LOCATION '{at}'")
-    return spark.table(_table(s["name"]))
-
-
-def _name() -> str:
-    return uuid.uuid4().hex[:12]
-
-
-def _write_segment(docs: DataFrame, path: str, analyzer: str, text_col: str, stored: tuple[str, ...],
-                   contents_stored: bool, stop_words: DataFrame | None, buckets: int) -> dict:
-    """Postings and stored fields of documents as a new segment."""
-    segment = f"segments/{_name()}"
-    postings = term_counts(cluster_by_doc(docs, buckets=buckets), analyzer, "doc_id", text_col, stop_words)
-    # files hold whole documents, so doc_id and dl compress to runs (measured smaller
-    # and faster than sorting by term)
-    written = _write_postings(postings, path, segment, buckets)
-    keep = ["doc_id", *stored] + ([text_col] if contents_stored else [])
-    docs.select(*keep).write.parquet(f"{path}/{segment}/docs")
-    return written
-
-
-def _segments(spark: SparkSession, path: str, segments: list[dict], table: str) -> DataFrame:
-    """The rows of all segments without those deleted from them; deleted ids are
-    size-checked."""
-    parts = []
-    for s in segments:
-        rows = _postings(spark, path, s) if table == "postings" else spark.read.parquet(f"{path}/{s['name']}/docs")
-        if s["deleted"]:
-            gone = spark.read.parquet(*[f"{path}/{d}" for d in s["deleted"]])
-            rows = rows.join(broadcast_if_small(gone), "doc_id", "left_anti")
-        parts.append(rows)
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def _commit(spark: SparkSession, path: str, analyzer: str, stops: str | None, segments: list[dict],
-            after: int) -> Index:
-    """Write the statistics of the segments, then the manifest of version
-    ``after`` + 1; fails if someone else committed that version meanwhile."""
-    stats = f"stats/{_name()}"
-    postings, docs = (_segments(spark, path, segments, t) for t in ("postings", "docs"))
-    doc_lengths(postings).write.parquet(f"{path}/{stats}/doclen")
-    term_stats(postings).write.parquet(f"{path}/{stats}/terms")
-    doclen = spark.read.parquet(f"{path}/{stats}/doclen")
-    corpus_stats(docs, doclen).coalesce(1).write.parquet(f"{path}/{stats}/corpus")
-    manifest = {"analyzer": analyzer, "stop_words": stops, "stats": stats, "segments": segments}
-    fs, at = _fs(spark, f"{path}/versions/v{after + 1:06d}.json")
-    draft = at.getParent().suffix(f"/.{_name()}")
-    out = fs.create(draft, False)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
-    if fs.exists(at) or not fs.rename(draft, at):
-        fs.delete(draft, False)
-        raise RuntimeError(f"another writer committed version {after + 1} of {path}")
-    return open_index(spark, path)
+def _postings(spark: SparkSession, path: str, meta) -> DataFrame:
+    """The postings table; declared to a session that has not seen it."""
+    name = _table(path)
+    if not spark.catalog.tableExists(name):
+        at = f"{path}/postings".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({meta['columns']}, part int) USING parquet PARTITIONED BY (part) "
+                  f"CLUSTERED BY (doc_id) INTO {meta['buckets']} BUCKETS LOCATION '{at}'")
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+def _docs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/docs").drop("part")
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """The last committed version, 0 if there is none."""
-    fs, at = _fs(spark, f"{path}/versions")
-    if not fs.exists(at):
-        return 0
-    names = [st.getPath().getName() for st in fs.listStatus(at)]
-    return max((int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")), default=0)
+def _meta(spark: SparkSession, path: str):
+    """The row of ``meta``, or None where no index was finished."""
+    try:
+        return spark.read.parquet(f"{path}/meta").first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def _manifest(spark: SparkSession, path: str, version: int) -> dict:
-    text = spark.read.text(f"{path}/versions/v{version:06d}.json", wholetext=True).first()
-    return json.loads(text[0])
+def index_exists(spark: SparkSession, path: str) -> bool:
+    return _meta(spark, path) is not None
 
 
-def open_index(spark: SparkSession, path: str, analyzer: str | None = None,
-               version: int | None = None) -> Index:
-    """A committed version (the last) as it was written, with its analyzer
-    and stop words. Asking for another analyzer is an error: queries would be
-    analysed differently from the documents."""
-    version = version or latest_version(spark, path)
-    if not version:
+def open_index(spark: SparkSession, path: str, analyzer: str | None = None) -> Index:
+    """An index as it was written, with its analyzer and stop words. Asking
+    for another analyzer is an error: queries would be analysed differently from
+    the documents."""
+    m = _meta(spark, path)
+    if m is None:
         raise FileNotFoundError(f"no index at {path}")
-    m = _manifest(spark, path, version)
     if analyzer is not None and analyzer != m["analyzer"]:
         raise ValueError(f"the index at {path} was built with analyzer {m['analyzer']!r}, not {analyzer!r}")
+    for folder in ("docs", "doclen", "terms", "corpus"):
+        spark.catalog.refreshByPath(f"{path}/{folder}")
     return Index(
-        postings=_segments(spark, path, m["segments"], "postings"),
-        doclen=spark.read.parquet(f"{path}/{m['stats']}/doclen"),
-        terms=spark.read.parquet(f"{path}/{m['stats']}/terms"),
-        corpus=spark.read.parquet(f"{path}/{m['stats']}/corpus"),
-        docs=_segments(spark, path, m["segments"], "docs"),
-        analyzer=m["analyzer"], path=path,
-        stop_words=spark.read.parquet(f"{path}/{m['stop_words']}") if m["stop_words"] else None)
+        postings=_postings(spark, path, m), doclen=spark.read.parquet(f"{path}/doclen"),
+        terms=spark.read.parquet(f"{path}/terms"), corpus=spark.read.parquet(f"{path}/corpus"),
+        docs=_docs(spark, path), analyzer=m["analyzer"], path=path, positions=m["positions"],
+        stop_words=spark.read.parquet(f"{path}/stop_words") if m["stop_words"] else None)
 
 
 def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "create",
                 analyzer: str | None = None, text_col: str = "contents",
                 stored: tuple[str, ...] = (), contents_stored: bool = False,
-                stop_words: DataFrame | None = None) -> Index:
+                stop_words: DataFrame | None = None, positions: bool = False) -> Index:
     """K1: create | append | create_or_append.
 
-    create replaces the index; append adds a segment with the index's own
-    analyzer and stop words (nothing is rewritten) and needs an existing index.
-    Either commits a version with statistics over all its segments.
+    create replaces the tables; append inserts into them with the index's own
+    analyzer and stop words (no posting is rewritten) and needs an existing
+    index. Either groups the statistics anew.
     """
-    version = latest_version(spark, path)
+    exists = index_exists(spark, path)
     if mode == "create_or_append":
-        mode = "append" if version else "create"
+        mode = "append" if exists else "create"
     if mode == "create":
-        return build_index(spark, docs, analyzer or "standard", path, text_col, stored, contents_stored, stop_words)
+        return build_index(spark, docs, analyzer or "standard", path, text_col, stored, contents_stored, stop_words,
+                           positions)
     if mode != "append":
         raise ValueError("mode must be create, append or create_or_append")
     if stop_words is not None:
         raise ValueError("append uses the stop words of the index")
-    old = open_index(spark, path, analyzer)
-    m = _manifest(spark, path, version)
-    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words,
-                             m["segments"][0]["buckets"])
-    return _commit(spark, path, old.analyzer, m["stop_words"], [*m["segments"], segment], version)
+    old, m = open_index(spark, path, analyzer), _meta(spark, path)
+    new = _analysed(docs, old, m, text_col)
+    new.write.mode("append").insertInto(_table(path))
+    fields = docs.select("doc_id", *stored, *([text_col] if contents_stored else [])).withColumn("part", _part(m["parts"]))
+    fields.write.mode("append").partitionBy("part").parquet(f"{path}/docs")
+    _write_stats(spark, path, m)
+    return open_index(spark, path)
+
+
+def _analysed(docs: DataFrame, index: Index, meta, text_col: str) -> DataFrame:
+    """Postings of documents as an existing index has them, in its column order."""
+    rows = term_counts(spread(docs, meta["buckets"]), index.analyzer, "doc_id", text_col, index.stop_words, positions=index.positions,
+                       buckets=meta["buckets"])
+    return rows.withColumn("part", _part(meta["parts"])).select(*_columns(meta))
 
 
 def index_update(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "contents",
                  stored: tuple[str, ...] = (), contents_stored: bool = False) -> Index:
     """K2: documents replace those with the same ``doc_id`` or are added; the
     statistics are those of a rebuild. ``docs`` has one row per id
-    (``upsert.latest_per_key`` makes it so). The old postings are not rewritten:
-    the ids are deleted from their segments and read around."""
-    version = latest_version(spark, path)
-    old = open_index(spark, path)
-    m = _manifest(spark, path, version)
-    gone = f"deleted/{_name()}"
-    docs.select("doc_id").distinct().write.parquet(f"{path}/{gone}")
-    segment = _write_segment(docs, path, old.analyzer, text_col, stored, contents_stored, old.stop_words,
-                             m["segments"][0]["buckets"])
-    kept = [{**s, "deleted": [*s["deleted"], gone]} for s in m["segments"]]
-    return _commit(spark, path, old.analyzer, m["stop_words"], [*kept, segment], version)
+    (``upsert.latest_per_key`` makes it so). Only the partitions that hold one of its
+    ids are rewritten: their rows without these ids, and the new ones."""
+    old, m = open_index(spark, path), _meta(spark, path)
+    fields = docs.select("doc_id", *stored, *([text_col] if contents_stored else []))
+    _replace(spark, path, m, docs.select("doc_id").distinct(), _analysed(docs, old, m, text_col), fields)
+    return open_index(spark, path)
+
+
+def index_delete(spark: SparkSession, path: str, doc_ids: DataFrame) -> Index:
+    """D3 in place: the documents go, only the partitions that hold one are rewritten."""
+    old, m = open_index(spark, path), _meta(spark, path)
+    none = old.postings.select(*_columns(m)).limit(0)
+    _replace(spark, path, m, doc_ids.select("doc_id").distinct(), none, old.docs.limit(0))
+    return open_index(spark, path)
+
+
+def _replace(spark: SparkSession, path: str, meta, ids: DataFrame, postings: DataFrame, fields: DataFrame) -> None:
+    """Rewrite the partitions of ``ids``: postings and stored fields without these ids, with
+    the given rows added. What takes their place is written first, so that it is whole
+    before anything is overwritten."""
+    ids = materialize(ids.withColumn("part", _part(meta["parts"])), "changed-ids")
+    gone = broadcast_if_small(ids.select("doc_id"))
+    touched = [r["part"] for r in ids.select("part").distinct().collect()]     # at most ``parts`` numbers
+    columns, name = _columns(meta), _table(path)
+    kept = _postings(spark, path, meta).filter(F.col("part").isin(touched)).join(gone, "doc_id", "left_anti").select(*columns)
+    merged = materialize(kept.unionByName(postings), "merged-postings")
+    with overwriting_partitions(spark):
+        merged.repartition(meta["buckets"], "doc_id").write.mode("overwrite").insertInto(name)
+    # a partition without rows is not among those written: it is emptied by name
+    left = {r["part"] for r in merged.select("part").distinct().collect()}
+    for part in set(touched) - left:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (part = {part}) "
+                  f"SELECT {', '.join(columns[:-1])} FROM {{none}}", none=merged.limit(0))
+    rows = spark.read.parquet(f"{path}/docs")
+    kept = rows.filter(F.col("part").isin(touched)).join(gone, "doc_id", "left_anti")
+    merged = materialize(kept.unionByName(fields.withColumn("part", _part(meta["parts"])), allowMissingColumns=True), "merged-docs")
+    with overwriting_partitions(spark):
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
+    left = {r["part"] for r in merged.select("part").distinct().collect()}
+    for part in set(touched) - left:
+        merged.limit(0).drop("part").write.mode("overwrite").parquet(f"{path}/docs/part={part}")
+    _write_stats(spark, path, meta)
 
 
 def index_from_postings(spark: SparkSession, postings: DataFrame, docs: DataFrame,
                         path: str, analyzer: str = "standard", stop_words: DataFrame | None = None) -> Index:
     """Persist given postings/docs (e.g. after a merge or delete) as a new index."""
-    segment, stops = f"segments/{_name()}", None
     if stop_words is not None:
-        stops = f"stop_words/{_name()}"
-        stop_words.select("word").distinct().write.parquet(f"{path}/{stops}")
-    n = _buckets(spark)
-    written = _write_postings(postings.repartition(n, "doc_id"), path, segment, n)
-    docs.write.parquet(f"{path}/{segment}/docs")
-    return _commit(spark, path, analyzer, stops, [written], latest_version(spark, path))
+        _write_stop_words(stop_words, path)
+    positions = "positions" in postings.columns
+    rows = postings.select("doc_id", "term", "tf", "dl", *(["positions"] if positions else []))
+    return _write(spark, path, rows.repartition(_buckets(spark), "doc_id"), docs, analyzer, stop_words is not None, positions)
 
 
 def index_stats(index: Index) -> DataFrame:
@@ -356,7 +386,8 @@ def merge_postings(*postings: DataFrame) -> DataFrame:
 
 
 def delete_docs(index: Index, doc_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """D3: postings and docs without the given documents (anti joins on doc_id)."""
-    keys = doc_ids.select("doc_id").distinct()
+    """D3: postings and docs without the given documents. The ids are size-checked: few are
+    broadcast into both scans, many meet the postings bucket by bucket."""
+    keys = broadcast_if_small(doc_ids.select("doc_id").distinct())
     return (index.postings.join(keys, "doc_id", "left_anti"),
             index.docs.join(keys, "doc_id", "left_anti"))

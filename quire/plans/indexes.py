@@ -13,7 +13,7 @@ import hashlib
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.index import Index, build_index, latest_version, open_index
+from quire.operators.index import Index, build_index, index_exists, open_index
 from quire.session import materialize, path_exists, work_dir
 from quire.sources.tables import documents
 
@@ -37,11 +37,11 @@ def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -
     """The persisted index of ``documents`` under ``sf_dir``."""
     key = _key(spark, sf_dir, analyzer)
     cached = _BUILT.get(key)
-    if cached is not None and latest_version(spark, cached.path):
+    if cached is not None and index_exists(spark, cached.path):
         return cached
     digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/index-{analyzer}-{digest}"
-    if latest_version(spark, path):
+    if index_exists(spark, path):
         idx = open_index(spark, path, analyzer)
     else:
         idx = build_index(spark, documents(spark, sf_dir), analyzer, path,
@@ -110,11 +110,11 @@ def field_index(spark: SparkSession, sf_dir: str, table_name: str, id_col: str,
     from quire.sources.tables import table
     key = _key(spark, sf_dir, f"{table_name}.{field_name}.{analyzer}", table_name)
     cached = _BUILT.get(key)
-    if cached is not None and latest_version(spark, cached.path):
+    if cached is not None and index_exists(spark, cached.path):
         return cached
     digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/index-{table_name}-{field_name}-{digest}"
-    if latest_version(spark, path):
+    if index_exists(spark, path):
         idx = open_index(spark, path, analyzer)
     else:
         src = table(spark, sf_dir, table_name).select(

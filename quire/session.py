@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -115,6 +116,19 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def overwriting_partitions(spark: SparkSession):
+    """Inside, an overwrite replaces the partitions that it has rows for and leaves the
+    others as they are."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 512 << 20) -> dict[str, str]:
     """Settings for a cluster run, derived from the input size.

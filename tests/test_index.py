@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators.index import (index_from_postings, index_stats, index_update, latest_version, open_index,
-                                   write_index)
+from quire.operators.index import (index_delete, index_exists, index_from_postings, index_stats, index_update, open_index,
+                                   term_counts, write_index)
 from quire.operators.ranking import query_terms, rank
 from quire.operators.upsert import latest_per_key, upsert
 
@@ -27,41 +27,93 @@ def test_create_append_create(spark, tmp_dir):
     assert stats(two) == stats(write_index(spark, docs(spark, A + B), f"{tmp_dir}/whole"))
     again = write_index(spark, docs(spark, C), p, "create")
     assert stats(again) == stats(open_index(spark, p)) == ((1, 1, 1, 1), [("green", 1, 1)])
-    assert latest_version(spark, p) == 3
-    assert stats(open_index(spark, p, version=2)) == stats(two)     # a reader of an older version is not disturbed
 
 
-def test_uncommitted_files_are_not_read(spark, tmp_dir):
+def test_unfinished_index_is_none(spark, tmp_dir):
     p = f"{tmp_dir}/i"
-    idx = write_index(spark, docs(spark, A), p)
-    before = stats(idx)
-    docs(spark, B).write.parquet(f"{p}/segments/unfinished/docs")
-    docs(spark, B).write.parquet(f"{p}/stats/unfinished/terms")
-    with open(f"{p}/versions/.draft", "w") as f:
-        f.write("{")
-    assert stats(open_index(spark, p)) == before and latest_version(spark, p) == 1
+    docs(spark, B).write.parquet(f"{p}/docs")
+    docs(spark, B).write.parquet(f"{p}/terms")
+    assert not index_exists(spark, p)
+    with pytest.raises(FileNotFoundError):
+        open_index(spark, p)
+    write_index(spark, docs(spark, A), p)
+    assert index_exists(spark, p) and index_stats(open_index(spark, p)).first().n_docs == 2
+
+
+def files(path):
+    import glob
+    import os
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
 
 
-def test_second_writer_of_a_version_fails(spark, tmp_dir):
-    from quire.operators.index import _commit, _manifest
+def test_update_rewrites_touched_partitions_only(spark, tmp_dir):
     p = f"{tmp_dir}/i"
-    write_index(spark, docs(spark, A), p)
-    m = _manifest(spark, p, 1)
-    write_index(spark, docs(spark, B), p, "append")
-    with pytest.raises(RuntimeError):
-        _commit(spark, p, "standard", None, m["segments"], 1)
-    assert index_stats(open_index(spark, p)).first().n_docs == 3
+    write_index(spark, docs(spark, [(i, f"red fox {i}") for i in range(200)]), p)
+    before = {t: files(f"{p}/{t}") for t in ("postings", "docs")}
+    index_update(spark, docs(spark, [(7, "blue dog")]), p)
+    for t, old in before.items():
+        kept = set(old) & set(files(f"{p}/{t}"))
+        gone = {f.split("part=")[1].split("/")[0] for f in set(old) - kept}
+        assert len(gone) == 1 and kept and all(old[f] == files(f"{p}/{t}")[f] for f in kept)
+    # an append rewrites nothing
+    before = files(f"{p}/postings")
+    write_index(spark, docs(spark, [(500, "green")]), p, "append")
+    assert before.items() <= files(f"{p}/postings").items()
+
+
+def test_partitions_may_become_empty(spark, tmp_dir):
+    p = f"{tmp_dir}/i"
+    write_index(spark, docs(spark, A + B), p)
+    assert stats(index_update(spark, docs(spark, [(1, ""), (2, None)]), p)) == ((3, 1, 3, 2), [("blue", 1, 1), ("fox", 1, 2)])
+    none = index_delete(spark, p, docs(spark, A + B))
+    assert stats(none) == ((0, 0, 0, 0), []) and none.docs.count() == none.postings.count() == 0
+    assert stats(write_index(spark, docs(spark, C), p, "append")) == ((1, 1, 1, 1), [("green", 1, 1)])
+
+
+def test_delete_in_place(spark, tmp_dir):
+    p = f"{tmp_dir}/i"
+    write_index(spark, docs(spark, [(i, f"red fox w{i}") for i in range(40)]), p, stored=("contents",))
+    idx = index_delete(spark, p, docs(spark, [(i, "") for i in range(0, 40, 2)] + [(99, "")]))
+    fresh = write_index(spark, docs(spark, [(i, f"red fox w{i}") for i in range(1, 40, 2)]), f"{tmp_dir}/fresh")
+    assert stats(idx) == stats(fresh) and sorted(r.contents for r in idx.docs.collect()) == sorted(f"red fox w{i}" for i in range(1, 40, 2))
+
+
+def test_positions_stay_with_the_index(spark, tmp_dir):
+    p = f"{tmp_dir}/i"
+    write_index(spark, docs(spark, [(1, "red fox red")]), p, positions=True)
+    write_index(spark, docs(spark, [(2, "dog red")]), p, "append")
+    idx = index_update(spark, docs(spark, [(3, "fox fox")]), p)
+    assert idx.positions and {(r.doc_id, r.term): r.positions for r in idx.postings.collect()} == {
+        (1, "red"): [0, 2], (1, "fox"): [1], (2, "dog"): [0], (2, "red"): [1], (3, "fox"): [0, 1]}
+
+
+def test_build_shuffles_counted_terms_not_texts(spark, tmp_dir):
+    """Many splits: one exchange, of arrays of counted terms; no text passes it."""
+    d = docs(spark, [(i, f"red fox {i}") for i in range(64)]).repartition(32)
+    d.write.parquet(f"{tmp_dir}/texts")
+    source = spark.read.parquet(f"{tmp_dir}/texts")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        assert source.rdd.getNumPartitions() >= 32
+        for analyzer in ("standard", "simple", "shingle2"):
+            plan = term_counts(source, analyzer, buckets=8)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1, plan
+            line = next(x for x in plan.splitlines() if "Exchange" in x)
+            below = plan[plan.index(line):]
+            assert "_c#" in below.splitlines()[1] and "contents#" not in below.splitlines()[1], plan
+            assert "Exchange" not in term_counts(source, analyzer, positions=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_update_equals_rebuild(spark, tmp_dir):
     p = f"{tmp_dir}/i"
     write_index(spark, docs(spark, A), p)
     write_index(spark, docs(spark, B), p, "append")
-    one = index_update(spark, docs(spark, [(2, "white cat"), (4, "new dog")]), p)
-    two = index_update(spark, docs(spark, [(2, "grey cat cat")]), p)
-    for idx, rows in ((one, [(1, "red fox"), (2, "white cat"), (3, "blue fox fox"), (4, "new dog")]),
-                      (two, [(1, "red fox"), (2, "grey cat cat"), (3, "blue fox fox"), (4, "new dog")])):
-        fresh = write_index(spark, docs(spark, rows), f"{tmp_dir}/{len(rows)}{rows[1][1][:2]}")
+    for new, rows in (([(2, "white cat"), (4, "new dog")], [(1, "red fox"), (2, "white cat"), (3, "blue fox fox"), (4, "new dog")]),
+                      ([(2, "grey cat cat")], [(1, "red fox"), (2, "grey cat cat"), (3, "blue fox fox"), (4, "new dog")])):
+        idx = index_update(spark, docs(spark, new), p)
+        fresh = write_index(spark, docs(spark, rows), f"{tmp_dir}/{rows[1][1][:2]}")
         assert stats(idx) == stats(fresh)
         assert sorted(map(tuple, idx.postings.select("doc_id", "term", "tf", "dl").collect())) == \
             sorted(map(tuple, fresh.postings.select("doc_id", "term", "tf", "dl").collect()))
@@ -131,9 +183,9 @@ def test_ranking_groups_without_an_exchange(spark, tmp_dir):
 
 def test_update_reads_whole_texts(spark):
     """Terms after character 200 of updated documents count, once each."""
-    from quire.plans.q_sources import index_update_whole_q
+    from quire.plans.q_sources import index_update_q
     sf = "/root/testdata/sf0.001"
-    got = {r.term: (r.df, r.cf) for r in index_update_whole_q(spark, sf).collect()}
+    got = {r.term: (r.df, r.cf) for r in index_update_q(spark, sf).collect()}
     d = spark.read.parquet(f"{sf}/documents.parquet")
     new = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" updated")))
                    .otherwise(F.col("text")).alias("contents"))
