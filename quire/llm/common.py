@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,18 @@ def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row, also where ``body``
     uses it inside a lambda (where a plain column would be computed per element)."""
     return F.transform(F.array(value), body)[0]
+
+
+def in_slices(column: pa.Array, of: Callable[[pa.Array], pa.Array], rows: int = 256) -> pa.Array:
+    """``of`` applied to a few rows of a column at a time, so that what it makes of them in
+    Python does not add up over a batch."""
+    parts = [of(column.slice(i, rows)) for i in range(0, max(len(column), 1), rows)]
+    return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over batches that gives freed Arrow memory back when it is done."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return of

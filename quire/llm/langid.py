@@ -9,8 +9,9 @@ Fitting uses a bounded sample of labelled rows (``per_language`` documents of ea
 language, fewer where ``MAX_SAMPLE`` in all would be exceeded, chosen by a hash of the id after a count per language, so it is the same on
 every run); vectors of the sample are made by tasks and clustered in numpy. The document
 frequencies of IDF are those of the same sample, not of all rows. The model is
-``dims`` numbers per centroid, at most ``MAX_LANGUAGES * clusters`` of them, and travels
-with the tasks. Predicting reads every whole text once, without a shuffle.
+``dims`` numbers per centroid, at most ``MAX_CENTROIDS`` of them: with more languages each
+has fewer centroids and rows of the sample, down to one centroid, and beyond that number
+the most frequent languages are learned. It travels with the tasks. Predicting reads every whole text once, without a shuffle.
 
 Defined results: null texts and texts without letters are "und" with score 0, as is
 everything when nothing is labelled; rows with null id or language are not learned from;
@@ -34,7 +35,8 @@ PER_LANGUAGE = 400
 #: Over all languages: 16 kB a row on the driver.
 MAX_SAMPLE = 8000
 CLUSTERS = 4
-MAX_LANGUAGES = 200
+#: Over all languages, and so the languages that are learned: 32 kB a centroid.
+MAX_CENTROIDS = 1600
 ROUNDS = 15
 SEED = 7
 FOLDS, HELD_OUT = 3, 1
@@ -142,10 +144,9 @@ def sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_langu
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")) \
         .filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    n = counts.count()
-    if n > MAX_LANGUAGES:
-        raise ValueError(f"{n} languages; the model is bounded to {MAX_LANGUAGES}")
-    per_language = min(per_language, MAX_SAMPLE // max(n, 1))
+    # the most frequent languages, as many as the model has centroids for
+    counts = counts.orderBy(F.desc("n"), "lang").limit(MAX_CENTROIDS)
+    per_language = min(per_language, MAX_SAMPLE // max(counts.count(), 1))
     # a hash bound first, so that few more rows than wanted are moved; then the exact cut
     place = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     near = rows.join(broadcast_if_small(counts), "lang").withColumn("place", place) \
@@ -168,7 +169,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                   .filter("v is not null").collect()))
     languages = sorted({lang for lang, _, _ in got})
     x = np.frombuffer(b"".join(v for _, _, v in got), np.float16).reshape(-1, dims).astype(np.float32)
-    label = np.array([languages.index(lang) for lang, _, _ in got], dtype=int)
+    place = {lang: k for k, lang in enumerate(languages)}
+    label = np.array([place[lang] for lang, _, _ in got], dtype=int)
+    clusters = max(1, min(clusters, MAX_CENTROIDS // max(len(languages), 1)))
     return fit_vectors(languages, x, label, clusters, seed)
 
 

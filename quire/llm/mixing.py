@@ -81,7 +81,8 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int
     keys = ["_none", "_source"]
     # one row per source: broadcast if counted small, else joined on salted keys
     joined = (sized.join(F.broadcast(targets), keys, "left") if fits_broadcast(sizes)
-              else salted_join(sized, targets, keys, "left", spread_col="size"))
+              else salted_join(sized.withColumn("_spread", F.xxhash64(field(id_col), F.monotonically_increasing_id())), targets,
+                               keys, "left", spread_col="_spread"))
     rate = F.when(F.col("source_size") > 0,
                   F.least(F.lit(float(max_repeats)), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
     once_more = (draw(field(id_col), seed) < rate - F.floor(rate)).cast("long")

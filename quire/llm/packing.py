@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.llm.common import released
 from quire.llm.tokens import coder
 from quire.session import materialize, ship_package
 
@@ -68,7 +69,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, spaced: bool, size: int = SIZ
 
     ship_package(docs.sparkSession)
     out = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, out)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(released(run), out)
 
 
 def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW, boxed, field, unboxed
+from quire.llm.common import ROW, boxed, field, in_slices, unboxed
 from quire.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -314,6 +314,9 @@ def spans(text: Column) -> Column:
     """Struct of n_email, n_ip, n_card, n_phone, base and spans (both written out)."""
     @F.arrow_udf("n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
     def of(column: pa.Array) -> pa.Array:
+        return in_slices(column, some)
+
+    def some(column: pa.Array) -> pa.Array:
         counts, base, every = [], [], []
         for value in column:
             plain, all_spans = find(value.as_py())
@@ -335,7 +338,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced; other columns as given."""
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:
-        return pa.array([redacted(v.as_py()) for v in column], pa.string())
+        return in_slices(column, lambda some: pa.array([redacted(v.as_py()) for v in some], pa.string()))
 
     ship_package(docs.sparkSession)
     rows = boxed(docs)

@@ -30,7 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW, boxed, field, unboxed
+from quire.llm.common import ROW, boxed, field, in_slices, unboxed
+from quire.operators.joins import broadcast_if_small
 from quire.session import materialize, ship_package
 
 SHINGLE = 3
@@ -39,6 +40,8 @@ SEED = 42
 WIDTH = 64
 HASHES_AT_ONCE = 1 << 17
 FRONTIER = 1 << 18
+#: Fingerprints of a task of the walk, about.
+WALKED = 400_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -95,9 +98,7 @@ def fingerprints_of(texts: list[bytes | None], size: int) -> np.ndarray:
 def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     @F.arrow_udf("long")
     def of(column: pa.Array) -> pa.Array:
-        out = [fingerprints_of(column.slice(i, 512).cast(pa.binary()).to_pylist(), size)
-               for i in range(0, len(column), 512)]
-        return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
+        return in_slices(column, lambda some: pa.array(fingerprints_of(some.cast(pa.binary()).to_pylist(), size)))
     return of(text)
 
 
@@ -250,7 +251,8 @@ def links(distinct: DataFrame, bits: int = BITS, hot: int = 20_000) -> DataFrame
                                                           F.lit(-1).cast("long").alias("deep"), "fp")
     split = marked.filter("crowded").select("block", "node", "fp", F.posexplode(second).alias("second", "deep")) \
         .select("block", "second", "node", "deep", "fp")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # a task holds one partition's fingerprints: as many partitions as that takes
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(bits + 1) * distinct.count() // WALKED), 1)
     dealt = once.unionByName(split).repartition(parts, "block", "second", "node", "deep")
     return dealt.select(F.col("block").cast("long"), F.col("second").cast("long"), "fp") \
         .mapInArrow(_walk(bits, width, sub), "a long, b long")
@@ -318,14 +320,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, t
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, text_col: str = "text",
                 id_col: str = "doc_id") -> DataFrame:
     """One document of each component stays: that with the smallest id (null ids last;
-    of rows with the same id, the one that the written table holds first). Only the
-    rows that go are shuffled against the documents, by row number."""
+    of rows with the same id, the one that the written table holds first). The numbers
+    of the rows that go are a written table; checked to be few they are broadcast, so
+    that texts are not shuffled."""
     ship_package(docs.sparkSession)
     rows = materialize(boxed(docs).select(ROW, fingerprint(field(text_col), shingle).alias("fp"),
                                           field(id_col).alias("id"),
                                           F.monotonically_increasing_id().alias("n")), "simhash-rows")
     thin = rows.select("fp", "id", "n")
+    found = materialize(classes(thin, bits), "simhash-classes")
     # the first row of every component: combined before its shuffle, a hot component is one row per task
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("first")
-    stays = thin.groupBy("fp").agg(first).join(classes(thin, bits), "fp").groupBy("fp_root").agg(F.min("first").alias("first"))
-    return unboxed(rows.join(stays.select(F.col("first.n").alias("n")), "n", "left_semi"))
+    stays = thin.groupBy("fp").agg(first).join(found, "fp").groupBy("fp_root").agg(F.min("first").alias("first"))
+    kept = stays.select(F.col("first.n").alias("n"))
+    gone = materialize(thin.select("n").join(kept, "n", "left_anti"), "simhash-gone")
+    return unboxed(rows.join(broadcast_if_small(gone), "n", "left_anti"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from quire.llm.common import released
 from quire.llm.tokens import coder
 from quire.session import ship_package
 
@@ -55,7 +56,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, spaced: bool, part
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id"))
-    (ordered.mapInArrow(run, f"doc_id {kind}, part int, start long, n_tokens long, ids array<int>")
+    (ordered.mapInArrow(released(run), f"doc_id {kind}, part int, start long, n_tokens long, ids array<int>")
      .write.mode("overwrite").option("compression", "zstd")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.create.index", "true").option("orc.row.index.stride", str(INDEX_STRIDE))

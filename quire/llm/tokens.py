@@ -25,10 +25,12 @@ from functools import lru_cache
 
 import pyarrow as pa
 
-#: So many pieces of so many characters at most are remembered; when as many again had
-#: to be encoded without room for them, the memory starts anew.
-KEPT_PIECES = 1_200_000
+#: Pieces of so many characters at most are remembered, the second time they are met, in
+#: about so many bytes; when half as many again had no room, the memory starts anew.
+KEPT_BYTES = 56 << 20
 KEPT_LENGTH = 40
+#: What an entry takes besides its letters and ids; slots for pieces met once.
+ENTRY_BYTES, MET = 170, 1 << 21
 END = (2).to_bytes(4, "little")
 ODD_SPACE = "\u180e\u200b\ufeff"
 
@@ -86,7 +88,8 @@ class Coder:
         self.kept: dict = {}
         #: by the part that begins a text (spaced)
         self.firsts: dict = {"": b""}
-        self.lost = 0
+        self.met = bytearray(MET)
+        self.size = self.lost = 0
 
     def encode_column(self, texts: pa.Array, at_once: int = 256) -> Iterator[list[bytes]]:
         """Ids of each text with the end id, some texts at a time; null is empty."""
@@ -98,7 +101,7 @@ class Coder:
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text (bytes in UTF-8 if not spaced)."""
-        if self.lost > KEPT_PIECES:
+        if self.lost > KEPT_BYTES // 2:
             self.forget()
         found, gaps = [], []
         for k, text in enumerate(texts):
@@ -141,15 +144,25 @@ class Coder:
         self.keep(fresh)
 
     def keep(self, fresh: dict) -> None:
-        if len(self.kept) + len(self.firsts) > KEPT_PIECES:
-            self.lost += len(fresh)
-        elif not self.spaced:
-            self.kept.update((p, ids) for p, ids in fresh.items() if len(p) <= KEPT_LENGTH)
-        else:
-            for p, ids in fresh.items():
-                part = p[1:] if p[:1] == " " else p
-                if len(p) <= KEPT_LENGTH and " " not in part and p[:2] != " \n" and not unsafe(part):
-                    (self.kept if p[:1] in (" ", "\n") else self.firsts)[part] = ids
+        """Remember those of the new pieces that were met before (or share the slot of one
+        that was)."""
+        met = self.met
+        for p, ids in fresh.items():
+            slot = hash(p) % MET
+            if not met[slot]:
+                met[slot] = 1
+            elif len(p) <= KEPT_LENGTH:
+                took = ENTRY_BYTES + len(p) + len(ids)
+                if self.size > KEPT_BYTES:
+                    self.lost += took
+                elif not self.spaced:
+                    self.kept[p] = ids
+                    self.size += took
+                else:
+                    part = p[1:] if p[:1] == " " else p
+                    if " " not in part and p[:2] != " \n" and not unsafe(part):
+                        (self.kept if p[:1] in (" ", "\n") else self.firsts)[part] = ids
+                        self.size += took
 
     def careful(self, text: str) -> list[str]:
         """Cut before spaces that surely begin a piece."""
