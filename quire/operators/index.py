@@ -10,6 +10,7 @@ doclen     doc_id, dl             -- documents with at least one term
 terms      term, df, cf           -- collection statistics
 corpus     one row: n_docs, n_docs_nonempty, n_tokens, avgdl
 docs       doc_id + stored fields (contents optional), part
+sketch     one row: a mergeable sketch of the distinct terms
 meta       one row: analyzer, stop_words, positions, buckets, parts, columns
 =========  ==============================================================
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -53,6 +55,7 @@ class Index:
     path: str | None = None
     stop_words: DataFrame | None = None
     positions: bool = False
+    sketch: DataFrame | None = None
 
 
 # ---------------------------------------------------------------- analysis
@@ -117,11 +120,11 @@ def _counted(words: DataFrame, id_col: str, positions: bool) -> DataFrame:
     its own, so that no function of it sorts again."""
     toks = F.col("_toks")
     if positions:
-        ordered = F.array_sort(F.transform(toks, lambda w, i: F.struct(w.alias("term"), i.cast("int").alias("pos"))))
+        ordered = F.array_sort(F.transform(toks, lambda w, i: F.struct(w.alias("term"), i.cast("int").alias("positions"))))
     else:
         ordered = F.sort_array(toks)
     rows = words.select(id_col, F.size("_toks").alias("dl"), ordered.alias("_s"))
-    return rows.select(id_col, "dl", runs(F.col("_s"), positions).alias("_c"))
+    return rows.select(id_col, "dl", runs(F.col("_s"), ("positions",) if positions else ()).alias("_c"))
 
 
 # ---------------------------------------------------------------- statistics
@@ -138,6 +141,25 @@ def term_stats(postings: DataFrame) -> DataFrame:
                                         F.sum("tf").alias("cf"))
 
 
+#: Registers of a sketch, as a power of two, and the relative standard error that they give.
+SKETCH_LG_K = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LG_K / 2)
+
+
+def term_sketch(terms: DataFrame) -> DataFrame:
+    """One row (sketch): a HyperLogLog sketch of the distinct terms."""
+    return terms.agg(F.hll_sketch_agg("term", F.lit(SKETCH_LG_K)).alias("sketch"))
+
+
+def approximate_terms(*sketches: DataFrame) -> DataFrame:
+    """G6/K4 at scale: the number of distinct terms of several indexes together, from their
+    sketches alone, one row (n_terms, error): an estimate and its relative standard error.
+    No term is read, and terms that indexes share count once."""
+    every = reduce(lambda a, b: a.unionByName(b), sketches)
+    return every.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_terms")) \
+        .select("n_terms", F.lit(SKETCH_ERROR).alias("error"))
+
+
 def corpus_stats(docs: DataFrame, doclen: DataFrame) -> DataFrame:
     """One row: documents (all), documents with a term, tokens, mean length."""
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
@@ -225,6 +247,7 @@ def _write_stats(spark: SparkSession, path: str, meta) -> None:
     doc_lengths(postings).write.mode("overwrite").parquet(f"{path}/doclen")
     term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
     corpus_stats(docs, spark.read.parquet(f"{path}/doclen")).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
+    term_sketch(spark.read.parquet(f"{path}/terms")).coalesce(1).write.mode("overwrite").parquet(f"{path}/sketch")
 
 
 def _postings(spark: SparkSession, path: str, meta) -> DataFrame:
@@ -266,12 +289,13 @@ def open_index(spark: SparkSession, path: str, analyzer: str | None = None) -> I
         raise FileNotFoundError(f"no index at {path}")
     if analyzer is not None and analyzer != m["analyzer"]:
         raise ValueError(f"the index at {path} was built with analyzer {m['analyzer']!r}, not {analyzer!r}")
-    for folder in ("docs", "doclen", "terms", "corpus"):
+    for folder in ("docs", "doclen", "terms", "corpus", "sketch"):
         spark.catalog.refreshByPath(f"{path}/{folder}")
     return Index(
         postings=_postings(spark, path, m), doclen=spark.read.parquet(f"{path}/doclen"),
         terms=spark.read.parquet(f"{path}/terms"), corpus=spark.read.parquet(f"{path}/corpus"),
         docs=_docs(spark, path), analyzer=m["analyzer"], path=path, positions=m["positions"],
+        sketch=spark.read.parquet(f"{path}/sketch"),
         stop_words=spark.read.parquet(f"{path}/stop_words") if m["stop_words"] else None)
 
 

@@ -78,6 +78,26 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
     return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
 
 
+#: Rows of a key that one task is given, where the number of a key's rows is known.
+DEFAULT_ROWS_PER_SALT = 4_000_000
+CONF_ROWS_PER_SALT = "quire.join.rowsPerSalt"
+
+
+def counted_join(big: DataFrame, small: DataFrame, key: str, rows_of: str, spread_col: str) -> DataFrame:
+    """Inner shuffle join where ``small`` knows how many rows of ``big`` each key has
+    (``rows_of``): a key is split into as many sub-keys as its rows need, others are left
+    whole. The split keys are few, at most the rows of ``big`` by the rows of a task; should
+    they still be too many to broadcast, every key is split evenly."""
+    per = int(big.sparkSession.conf.get(CONF_ROWS_PER_SALT, None) or DEFAULT_ROWS_PER_SALT)
+    salts = F.greatest(F.lit(1), F.ceil(F.col(rows_of) / per)).cast("int")
+    split = small.filter(F.col(rows_of) > per).groupBy(key).agg(F.max(salts).alias("_k"))
+    if not fits_broadcast(split):
+        return salted_join(big, small, key, spread_col=spread_col)
+    dealt = big.join(F.broadcast(split), key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread_col), F.coalesce("_k", F.lit(1))).cast("int")).drop("_k")
+    return dealt.join(small.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))), [key, "_salt"]).drop("_salt")
+
+
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
                max_rows: int | None = None, salts: int = 32,
                spread_col: str | None = None) -> DataFrame:

@@ -28,11 +28,14 @@ Each term's weight is multiplied by its count in the query (qtf).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.index import Index, term_counts
-from quire.operators.joins import fits_broadcast, salted_join, join_small
+from quire.operators.joins import counted_join, fits_broadcast, join_small, salted_join
+from quire.session import materialize
 
 MODELS = ("jm", "dirichlet", "boolean", "bm25")
 
@@ -87,13 +90,14 @@ def candidates(index: Index, qterms: DataFrame) -> DataFrame:
     query term. The query-side table is size-checked once; when it is small it
     is broadcast into the terms scan and the result (never larger) into the
     postings scan, so the large postings table is read once, four columns
-    wide, without a shuffle. Otherwise both joins are salted shuffle joins."""
+    wide, without a shuffle. Otherwise both joins are shuffled, a term's postings to as
+    many tasks as its document frequency asks for."""
     postings = index.postings.select("doc_id", "term", "tf", "dl")
     if fits_broadcast(qterms):
         qstats = index.terms.join(F.broadcast(qterms), "term")
         return postings.join(F.broadcast(qstats), "term")
     qstats = salted_join(index.terms, qterms, "term")
-    return salted_join(postings, qstats, "term", spread_col="doc_id")
+    return counted_join(postings, qstats, "term", "df", spread_col="doc_id")
 
 
 def corpus_scalars(index: Index) -> tuple[Column, Column, Column]:
@@ -148,34 +152,67 @@ def _specs(model, params) -> list[tuple[str, float]]:
     return [(model, v if isinstance(v, Column) else float(v)) for v in params]
 
 
+def _sums(index: Index, feats: DataFrame, specs, k1: float, b: float) -> DataFrame:
+    """(query_id, doc_id, _s0, _s1, ...): rounded scores of every (model, parameter) pair."""
+    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), *corpus_scalars(index), k1, b)
+    qtf = F.col("qtf").cast("double")
+    sums = [F.sum(qtf * weight(m, v, *args)).alias(f"_s{i}") for i, (m, v) in enumerate(specs)]
+    agg = feats.groupBy("query_id", "doc_id").agg(*sums)
+    return agg.select("query_id", "doc_id", *[round_score(F.col(f"_s{i}")).alias(f"_s{i}") for i in range(len(specs))])
+
+
+def _long(wide: DataFrame, specs) -> DataFrame:
+    """(spec, model, param, query_id, doc_id, score): one row per pair. ``spec`` (int)
+    identifies it: a numeric window key keeps the top-k sort on its fast prefix comparison."""
+    if len(specs) == 1:
+        return wide.select(F.lit(0).alias("spec"), F.lit(specs[0][0]).alias("model"), F.lit(specs[0][1]).alias("param"),
+                           "query_id", "doc_id", F.col("_s0").alias("score"))
+    rows = ", ".join(f"{i}, '{m}', CAST({v!r} AS DOUBLE), _s{i}" for i, (m, v) in enumerate(specs))
+    return wide.selectExpr(f"stack({len(specs)}, {rows}) AS (spec, model, param, score)", "query_id", "doc_id") \
+        .select("spec", "model", "param", "query_id", "doc_id", "score")
+
+
+#: One document in so many makes the thresholds of a cut.
+THRESHOLD_SHARE = 16
+
+
+def thresholds(index: Index, feats: DataFrame, specs, cut: int, k1: float, b: float) -> DataFrame:
+    """(query_id, _t0, _t1, ...): per pair the ``cut``-th best score among one document in
+    THRESHOLD_SHARE, which the best ``cut`` of all documents reach; null where there are
+    fewer. One row per query."""
+    some = feats.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("cut")), F.lit(THRESHOLD_SHARE)) == 0)
+    kth = top_k(_long(_sums(index, some, specs, k1, b), specs), cut).filter(F.col("rk") == cut)
+    return kth.groupBy("query_id").agg(*[F.max(F.when(F.col("spec") == i, F.col("score"))).alias(f"_t{i}")
+                                         for i in range(len(specs))])
+
+
 def score(index: Index, qterms: DataFrame, model: str | None, params, k1: float = BM25_K1,
-          b: float = BM25_B) -> DataFrame:
-    """(model, param, query_id, doc_id, score) for every matching document and
+          b: float = BM25_B, cut: int | None = None) -> DataFrame:
+    """(spec, model, param, query_id, doc_id, score) for every matching document and
     every (model, parameter) pair.
 
     All pairs are computed in the same pass: one weight column per pair,
     summed in one grouped aggregate keyed by (query_id, doc_id), then
     unpivoted. The candidate volume is shuffled once whatever the number of
     models and grid values, and there is no cross join with the grid.
+
+    With ``cut`` rows that can't be among the first ``cut`` of their query and pair are
+    left out: a first pass over a share of the documents gives the scores that these
+    reach, and what is below goes before the unpivot, so that the ranking sorts a small
+    multiple of ``cut`` rows instead of all.
     """
     specs = _specs(model, params)
     feats = candidates(index, qterms)
-    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), *corpus_scalars(index), k1, b)
-    qtf = F.col("qtf").cast("double")
-    sums = [F.sum(qtf * weight(m, v, *args)).alias(f"_s{i}") for i, (m, v) in enumerate(specs)]
-    agg = feats.groupBy("query_id", "doc_id").agg(*sums)
-    if len(specs) == 1:
-        long = agg.select(F.lit(0).alias("spec"), F.lit(specs[0][0]).alias("model"),
-                          F.lit(specs[0][1]).alias("param"), "query_id", "doc_id",
-                          F.col("_s0").alias("_s"))
-    else:
-        rows = ", ".join(f"{i}, '{m}', CAST({v!r} AS DOUBLE), _s{i}" for i, (m, v) in enumerate(specs))
-        long = agg.selectExpr(f"stack({len(specs)}, {rows}) AS (spec, model, param, _s)",
-                              "query_id", "doc_id")
-    # ``spec`` (int) identifies the (model, param) pair: a numeric window key
-    # keeps the top-k sort on its fast prefix comparison
-    return long.select("spec", "model", "param", "query_id", "doc_id",
-                       round_score(F.col("_s")).alias("score"))
+    wide = _sums(index, feats, specs, k1, b)
+    if cut is None:
+        return _long(wide, specs)
+    bounds = thresholds(index, feats, specs, cut, k1, b)
+    wide = join_small(wide, materialize(bounds, "score-thresholds"), "query_id", "left")
+    reached = [F.col(f"_t{i}").isNull() | (F.col(f"_s{i}") >= F.col(f"_t{i}")) for i in range(len(specs))]
+    some = wide.filter(reduce(lambda x, y: x | y, reached))
+    # a pair below its bound has no score any more
+    some = some.select("query_id", "doc_id", *[F.when(ok, F.col(f"_s{i}")).alias(f"_s{i}") for i, ok in enumerate(reached)])
+    return _long(some, specs).filter(F.col("score").isNotNull())
 
 
 def top_k(scored: DataFrame, cut: int, keys=None) -> DataFrame:
@@ -217,7 +254,7 @@ def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut:
     or every (model, value) pair when ``model`` is None (one scoring pass;
     see ``score``)."""
     qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
-    return top_k(score(index, qt, model, params), cut)
+    return top_k(score(index, qt, model, params, cut=cut if len(params) > 1 else None), cut)
 
 
 def total_hits(index: Index, queries: DataFrame, analyzer: str | None = None) -> DataFrame:

@@ -6,10 +6,9 @@ over postings, and is expressed as equi joins:
 
 - wildcard ``t*``: every vocabulary term is expanded to its prefixes
   (one row per prefix), joined on equality with the patterns;
-- fuzzy (edit distance <= k): both sides are expanded to their deletion
-  neighbourhoods (all strings reachable with <= k deletions); two terms within
-  distance k always share one, so the equi join on the neighbourhood finds
-  every candidate, and ``levenshtein`` then verifies each one exactly. No
+- fuzzy (edit distance <= k): vocabulary terms are cut into k + 1 segments, one of
+  which stands unspoilt in any term within distance k; the equi join on segments
+  finds every candidate, and ``levenshtein`` then verifies each one exactly. No
   cap on expansions, no cross product of vocabulary and query terms.
 """
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.index import Index
-from quire.operators.joins import fits_broadcast, join_small, salted_join
+from quire.operators.joins import counted_join, fits_broadcast, join_small, salted_join
 from quire.operators.ranking import BM25_B, BM25_K1, corpus_scalars, round_score, weight
 
 
@@ -30,34 +29,39 @@ def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: f
     """Clauses (query_id, term, qtf, occur) with occur in should | must |
     must_not. A document must contain every ``must`` term and no ``must_not``
     term; should and must terms are scored. Queries with only prohibited
-    terms match nothing."""
+    terms match nothing.
+
+    Prohibited terms are neither scored nor grouped with the others: the queries that a
+    document is prohibited for are one small list per document, made from the postings of
+    prohibited terms and joined by document. Postings are bucketed by document, so neither
+    the grouping nor that join shuffles."""
     cl = clauses.select("query_id", "term", "qtf", "occur")
-    n_must = (cl.filter(F.col("occur") == "must").groupBy("query_id")
-              .agg(F.count(F.lit(1)).alias("_need")))
+    wanted = cl.filter(F.col("occur") != "must_not")
+    n_must = wanted.groupBy("query_id").agg(F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("_need"))
+    wanted = wanted.join(n_must, "query_id")
     postings = index.postings.select("doc_id", "term", "tf", "dl")
-    if fits_broadcast(cl):
-        qs = index.terms.join(F.broadcast(cl), "term")
-        cands = postings.join(F.broadcast(qs), "term")
-    else:
-        qs = salted_join(index.terms, cl, "term")
-        cands = salted_join(postings, qs, "term", spread_col="doc_id")
-    f = cands
     w = weight(model, param, F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"),
                *corpus_scalars(index), BM25_K1, BM25_B)
-    agg = f.groupBy("query_id", "doc_id").agg(
-        F.sum(F.when(F.col("occur") != "must_not", F.col("qtf").cast("double") * w)).alias("_s"),
-        F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("_got"),
-        F.sum(F.when(F.col("occur") == "must_not", 1).otherwise(0)).alias("_bad"),
-        F.sum(F.when(F.col("occur") != "must_not", 1).otherwise(0)).alias("_pos"))
-    ok = (agg.join(n_must, "query_id", "left")
-          .filter((F.col("_bad") == 0) & (F.col("_pos") > 0)
-                  & (F.col("_got") == F.coalesce(F.col("_need"), F.lit(0)))))
+    agg = _of_terms(postings, index.terms, wanted).groupBy("query_id", "_need", "doc_id").agg(
+        F.sum(F.col("qtf").cast("double") * w).alias("_s"),
+        F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("_got"))
+    ok = agg.filter(F.col("_got") == F.col("_need"))
+    banned = _of_terms(postings.select("doc_id", "term"), index.terms, cl.filter(F.col("occur") == "must_not")) \
+        .groupBy("doc_id").agg(F.collect_set("query_id").alias("_bad"))
+    ok = ok.join(banned, "doc_id", "left").filter(~F.coalesce(F.array_contains("_bad", F.col("query_id")), F.lit(False)))
     scored = ok.select("query_id", "doc_id", round_score(F.col("_s")).alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return (scored.withColumn("rk", F.row_number().over(win).cast("bigint"))
             .filter(F.col("rk") <= cut).select("query_id", "rk", "doc_id", "score"))
 
 
+def _of_terms(postings: DataFrame, terms: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Postings of the terms of clauses, with both and the terms' statistics."""
+    if fits_broadcast(clauses):
+        return postings.join(F.broadcast(terms.join(F.broadcast(clauses), "term")), "term")
+    return counted_join(postings, salted_join(terms, clauses, "term"), "term", "df", spread_col="doc_id")
+
+
 # ----------------------------------------------------------------- wildcard
 
 def asked_lengths(df: DataFrame, col: str) -> list[int]:
@@ -123,24 +127,38 @@ def wildcard_rank(index: Index, patterns: DataFrame, cut: int = 10, prefixes: bo
 
 # ----------------------------------------------------------------- fuzzy
 
-def deletion_neighbourhood(term: Column, k: int = 2) -> Column:
-    """array of the distinct strings obtained by deleting up to k (1 or 2)
-    characters of ``term`` (the term itself included)."""
+def _segment(length: Column, i: Column, m: int) -> tuple[Column, Column]:
+    """(start, size) of the i-th of m segments of a term of a length; the last ones are
+    longer by one where it does not divide."""
+    base, longer = F.floor(length / m).cast("int"), m - length % m
+    return i * base + F.greatest(i - longer, F.lit(0)), base + F.when(i >= longer, 1).otherwise(0)
+
+
+def term_segments(term: Column, m: int) -> Column:
+    """The m segments of a vocabulary term as structs (length, i, segment)."""
+    n = F.length(term)
+
+    def one(i: Column) -> Column:
+        start, size = _segment(n, i, m)
+        return F.struct(n.alias("length"), i.alias("i"), F.substring(term, start + 1, size).alias("segment"))
+    return F.transform(F.sequence(F.lit(0), F.lit(m - 1)), one)
+
+
+def near_segments(term: Column, m: int, k: int) -> Column:
+    """What segments of a term within k edits may be in a query term: for each length that
+    is off by at most k and each of its m segments, the substrings of its size that begin
+    at most k places off."""
     n = F.length(term)
-    one = F.transform(F.sequence(F.lit(1), n),
-                      lambda i: F.concat(F.substring(term, 1, i - 1), F.expr("''"),
-                                         F.substring(term, i + 1, 1 << 30)))
-    out = F.concat(F.array(term), F.when(n >= 1, one).otherwise(F.array().cast("array<string>")))
-    if k >= 2:
-        two = F.flatten(F.transform(
-            F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-            lambda i: F.transform(
-                F.sequence(i + 1, F.greatest(n, i + 1)),
-                lambda j: F.concat(F.substring(term, 1, i - 1),
-                                   F.substring(term, i + 1, j - i - 1),
-                                   F.substring(term, j + 1, 1 << 30)))))
-        out = F.concat(out, F.when(n >= 2, two).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(out)
+
+    def of_length(length: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: of_segment(length, i)))
+
+    def of_segment(length: Column, i: Column) -> Column:
+        start, size = _segment(length, i, m)
+        starts = F.filter(F.transform(F.sequence(F.lit(-k), F.lit(k)), lambda s: start + s), lambda p: (p >= 0) & (p + size <= n))
+        return F.transform(starts, lambda p: F.struct(length.alias("length"), i.alias("i"), F.substring(term, p + 1, size).alias("segment")))
+    lengths = F.sequence(F.greatest(n - k, F.lit(1)), n + k)
+    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
 
 
 def _osa(a: str, b: str) -> int:
@@ -170,20 +188,23 @@ def fuzzy_expansion(terms: DataFrame, qterms: DataFrame, max_edits: int = 2,
     """(query_id, term, match, distance) for every vocabulary term within
     ``max_edits`` of a query term: Levenshtein (JVM built-in), or with
     ``transpositions`` the optimal-string-alignment distance (an adjacent
-    swap counts once). A swap, like a substitution, costs one deletion on each
-    side, so the same deletion neighbourhoods find every candidate; the
-    distance of each candidate pair is then computed exactly (a pandas UDF
-    over candidate pairs only)."""
+    swap counts once).
+
+    Segment index: a vocabulary term is cut into one segment more than edits can spoil (an
+    edit spoils one, a swap two), so one of them stands in the query term unspoilt, at most
+    ``max_edits`` places off. Both sides meet on (length, number, segment); the distance of
+    each pair is then computed exactly (a pandas UDF over candidate pairs for swaps). The
+    vocabulary side has a row per segment, the query side some per length and segment."""
     # a term whose length differs by more than max_edits from every query term's is no
-    # match: such terms (very long ones) are left out before neighbourhoods are made
+    # match: such terms (very long ones) are left out before segments are made
     near = {n + d for n in asked_lengths(qterms, "term") for d in range(-max_edits, max_edits + 1)}
     terms = terms.filter(F.length("term").isin(sorted(near)))
-    qv = (qterms.select("query_id", "term").distinct()
-          .select("query_id", "term", F.explode(deletion_neighbourhood(F.col("term"), max_edits))
-                  .alias("v")))
-    vv = terms.select(F.col("term").alias("match"),
-                      F.explode(deletion_neighbourhood(F.col("term"), max_edits)).alias("v"))
-    pairs = join_small(vv, qv, "v").select("query_id", "term", "match").distinct()
+    m = (2 * max_edits if transpositions else max_edits) + 1
+    key = ["length", "i", "segment"]
+    qv = qterms.select("query_id", "term").distinct() \
+        .select("query_id", "term", F.explode(near_segments(F.col("term"), m, max_edits)).alias("_g")).select("query_id", "term", "_g.*")
+    vv = terms.select(F.col("term").alias("match"), F.explode(term_segments(F.col("term"), m)).alias("_g")).select("match", "_g.*")
+    pairs = join_small(vv, qv, key).select("query_id", "term", "match").distinct()
     dist = _osa_udf("term", "match") if transpositions else \
         F.levenshtein("term", "match").cast("bigint")
     return pairs.withColumn("distance", dist).filter(F.col("distance") <= max_edits)

@@ -38,7 +38,7 @@ def upsert(old: DataFrame, updates: DataFrame, key: str, order_col: str | None =
         prev = old.select(key, F.col(order_col).alias("_prev"))
         stale = (join_small(prev, new.select(key, order_col), key, "inner")
                  .filter(F.col("_prev") > F.col(order_col)).select(key))
-        new = new.join(stale, key, "left_anti")
+        new = new.join(broadcast_if_small(stale), key, "left_anti")
     elif order_col:
         new = new.drop(order_col)
     keys = broadcast_if_small(new.select(key))

@@ -1,12 +1,12 @@
 """Positional term vectors and phrase matching.
 
-Positions come from ``posexplode`` of a document's token array, so they are
-computed row-locally; only the grouping by (document, term) is shuffled.
-Two-word phrases are matched against a
-shingle index (analyzer ``shingle2``: adjacent word pairs as terms), built
-once like any other index; a phrase query is then an equi join of the
-query's pairs with that index's postings -- no positional self join and no
-re-tokenising of the corpus per query batch.
+Term vectors are made inside the row of a document: tokens with their positions (and
+offsets) are sorted and equal ones gathered by built-in functions, so nothing is shuffled.
+
+Two-word phrases are matched against a shingle index (analyzer ``shingle2``: adjacent
+word pairs as terms). Phrases of any length are matched against the positions that an
+index keeps with its postings: the rarest word of a phrase makes the candidate places,
+the others are looked up for the documents that have one. No query reads a text.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.analysis import shingles, token_array
+from quire.functions.analysis import NOT_WORD, WORD, running_sum, runs, shingles, token_array
+from quire.operators.index import Index, term_counts
 from quire.operators.joins import join_small
+from quire.session import materialize
 
 
 def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "contents",
@@ -26,41 +28,26 @@ def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "c
     one (document, term) are bounded by the document's length."""
     if offsets:
         return _term_vectors_with_offsets(docs, text_col)
-    toks = docs.select("doc_id", token_array(F.col(text_col), analyzer).alias("_t"))
-    pos = (toks.select("doc_id", F.posexplode_outer("_t").alias("pos", "term"))
-           .filter(F.col("term").isNotNull()))
-    return pos.groupBy("doc_id", "term").agg(
-        F.count(F.lit(1)).cast("bigint").alias("freq"),
-        F.sort_array(F.collect_list(F.col("pos").cast("bigint"))).alias("positions"))
+    rows = term_counts(docs, analyzer, "doc_id", text_col, positions=True)
+    return rows.select("doc_id", "term", F.col("tf").alias("freq"), F.col("positions").cast("array<bigint>").alias("positions"))
 
 
 def _term_vectors_with_offsets(docs: DataFrame, text_col: str) -> DataFrame:
     """Standard analyzer with offsets. Splitting the text on word runs gives
     the separators (one before every token, plus a trailing one); a token
-    ends at the running sum of separator and token lengths up to it. The
-    running sum is a window per document (bounded by its length)."""
-    from pyspark.sql import Window
-
-    from quire.functions.analysis import NOT_WORD, WORD
+    ends at the running sum of separator and token lengths up to it."""
     x = F.col(text_col)
-    d = docs.select("doc_id", F.array_remove(F.split(x, NOT_WORD), "").alias("_t"),
-                    F.split(x, WORD).alias("_s"))
-    z = d.select("doc_id", F.posexplode_outer(F.arrays_zip(
-        F.col("_t").alias("tok"), F.slice("_s", 1, F.size("_t")).alias("sep"))).alias("pos", "z"))
-    z = z.filter(F.col("z").isNotNull()).select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), F.lower("z.tok").alias("term"),
-        F.length("z.tok").alias("_lt"), F.length("z.sep").alias("_ls"))
-    w = (Window.partitionBy("doc_id").orderBy("pos")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    z = z.withColumn("end", F.sum(F.col("_lt") + F.col("_ls")).over(w).cast("bigint"))
-    z = z.withColumn("start", (F.col("end") - F.col("_lt")).cast("bigint"))
-    g = z.groupBy("doc_id", "term").agg(
-        F.count(F.lit(1)).cast("bigint").alias("freq"),
-        F.sort_array(F.collect_list(F.struct("pos", "start", "end"))).alias("_o"))
-    return g.select("doc_id", "term", "freq",
-                    F.col("_o.pos").alias("positions"),
-                    F.col("_o.start").alias("start_offsets"),
-                    F.col("_o.end").alias("end_offsets"))
+    d = docs.select("doc_id", F.array_remove(F.split(x, NOT_WORD), "").alias("_t"), F.split(x, WORD).alias("_s"))
+    # separators beyond the tokens' are the trailing one
+    d = d.select("doc_id", "_t", F.zip_with("_t", F.slice("_s", 1, F.size("_t")), lambda t, s: (F.length(t) + F.length(s)).cast("bigint"))
+                 .alias("_n"))
+    d = d.select("doc_id", "_t", running_sum(F.col("_n")).alias("_e"))
+    fields = ("positions", "start_offsets", "end_offsets")
+    tokens = F.transform("_t", lambda t, i: F.struct(F.lower(t).alias("term"), i.cast("bigint").alias(fields[0]),
+                                                     (F.get("_e", i) - F.length(t)).alias(fields[1]), F.get("_e", i).alias(fields[2])))
+    d = d.select("doc_id", F.array_sort(tokens).alias("_o")).select("doc_id", runs(F.col("_o"), fields).alias("_c"))
+    return (d.select("doc_id", F.explode_outer("_c").alias("_c")).filter(F.col("_c").isNotNull())
+            .select("doc_id", "_c.term", F.col("_c.tf").cast("bigint").alias("freq"), *[F.col(f"_c.{k}").alias(k) for k in fields]))
 
 
 def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
@@ -76,26 +63,36 @@ def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_phrases")))
 
 
-def phrase_positions(docs: DataFrame, phrases: DataFrame, analyzer: str = "standard",
-                     text_col: str = "contents") -> DataFrame:
+def phrase_places(index: Index, phrases: DataFrame, analyzer: str | None = None) -> DataFrame:
     """R15 for phrases of any length: (phrase_id, doc_id, n_places), how often each
-    phrase (phrase_id, text) occurs as consecutive words of a document.
+    phrase (phrase_id, text) occurs as consecutive words of a document of an index with
+    positions.
+
+    Candidate places come from the phrase's rarest word alone (position less its offset in
+    the phrase). The postings of its other words are joined with the candidates of their
+    document; a place that all of them name is an occurrence."""
+    if not index.positions:
+        raise ValueError("phrases need an index with positions")
+    words = phrases.select("phrase_id", token_array(F.lower("text"), analyzer or index.analyzer).alias("_w"))
+    asked = words.select("phrase_id", F.size("_w").alias("need"), F.posexplode("_w").alias("offset", "term"))
+    # query side: the words of phrases that the collection has all words of
+    known = join_small(index.terms.select("term", "df"), asked, "term")
+    rare = (known.groupBy("phrase_id", "need").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("df", "offset", "term")).alias("_r"))
+            .filter(F.col("_n") == F.col("need")).select("phrase_id", "need", "_r.offset", "_r.term"))
+    rare = materialize(rare, "phrase-rarest")
+    postings = index.postings.select("doc_id", "term", "positions")
 
-    Words carry positions. A phrase of n words is n - 1 word pairs (one word is
-    itself); a pair found at a position votes for the place where its phrase would
-    begin, position - offset, and a place with all votes is an occurrence. Pairs are
-    much rarer than words, so the equi join does not meet the frequent words."""
-    def units(words: Column) -> Column:
-        return F.when(F.size(words) > 1, shingles(words)).otherwise(words)
-    asked = (phrases.select("phrase_id", token_array(F.lower("text"), analyzer).alias("_w"))
-             .select("phrase_id", units(F.col("_w")).alias("_u"))
-             .select("phrase_id", F.size("_u").alias("need"), F.posexplode("_u").alias("offset", "unit")))
-    toks = docs.select("doc_id", token_array(F.col(text_col), analyzer).alias("_w"))
-    both = F.concat(F.transform("_w", lambda w, i: F.struct(i.alias("pos"), w.alias("unit"))),
-                    F.transform(shingles(F.col("_w")), lambda w, i: F.struct(i.alias("pos"), w.alias("unit"))))
-    found = toks.select("doc_id", F.explode_outer(both).alias("u")).select("doc_id", "u.pos", "u.unit")
-    votes = join_small(found.filter(F.col("unit").isNotNull()), asked, "unit") \
-        .groupBy("phrase_id", "doc_id", (F.col("pos") - F.col("offset")).alias("place"), "need") \
-        .agg(F.count(F.lit(1)).alias("n"))
-    return (votes.filter(F.col("n") == F.col("need")).groupBy("phrase_id", "doc_id")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n_places")))
+    def shifted(positions: Column, offset: Column) -> Column:
+        return F.filter(F.transform(positions, lambda p: p - offset), lambda p: p >= 0)
+    first = join_small(postings, rare, "term").select(
+        "phrase_id", "doc_id", "need", shifted(F.col("positions"), F.col("offset")).alias("places")).filter(F.size("places") > 0)
+    first = materialize(first, "phrase-candidates")
+    others = known.select("phrase_id", "offset", "term").join(rare.select("phrase_id", F.col("offset").alias("_first")), "phrase_id") \
+        .filter(F.col("offset") != F.col("_first")).select("phrase_id", "offset", "term")
+    met = join_small(join_small(postings, others, "term"), first, ["phrase_id", "doc_id"])
+    votes = met.select("phrase_id", "doc_id", "need", F.explode(
+        F.array_intersect("places", shifted(F.col("positions"), F.col("offset")))).alias("place"))
+    whole = (votes.groupBy("phrase_id", "doc_id", "place", "need").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") == F.col("need") - 1).groupBy("phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("n_places")))
+    single = first.filter(F.col("need") == 1).select("phrase_id", "doc_id", F.size("places").cast("bigint").alias("n_places"))
+    return whole.unionByName(single)

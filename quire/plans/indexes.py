@@ -33,9 +33,9 @@ def _key(spark: SparkSession, sf_dir: str, what: str, table_name: str = "documen
     return (spark.sparkContext.applicationId, src, f"{n}-{size}-{last}", what)
 
 
-def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -> Index:
+def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard", positions: bool = False) -> Index:
     """The persisted index of ``documents`` under ``sf_dir``."""
-    key = _key(spark, sf_dir, analyzer)
+    key = _key(spark, sf_dir, analyzer + "-positions" * positions)
     cached = _BUILT.get(key)
     if cached is not None and index_exists(spark, cached.path):
         return cached
@@ -45,7 +45,7 @@ def corpus_index(spark: SparkSession, sf_dir: str, analyzer: str = "standard") -
         idx = open_index(spark, path, analyzer)
     else:
         idx = build_index(spark, documents(spark, sf_dir), analyzer, path,
-                          text_col="contents", stored=("source", "lang"))
+                          text_col="contents", stored=("source", "lang"), positions=positions)
     _BUILT[key] = idx
     return idx
 

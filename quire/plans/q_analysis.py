@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.analysis import ENGLISH_STOP_WORDS, token_array
 from quire.operators.index import explode_terms, term_counts
-from quire.operators.vectors import phrase_matches, phrase_positions, term_vectors
+from quire.operators.vectors import phrase_matches, phrase_places, term_vectors
 from quire.plans.registry import register
 from quire.plans.sqlparts import WORD
 from quire.sources.tables import benchmark_queries, documents
@@ -58,10 +58,23 @@ def tok_stop(spark, sf_dir):
     return _vocab(spark, sf_dir, "stop")
 
 
-@register("tok_standard_uax")
+# A text and its string of classes have equal length: letters are @, digits 0, what joins
+# two of either is +; of the text the characters of these classes and _ stay.
+_CLASSES = r"""regexp_replace(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_''’.:·,;]', ' ', 'g'), '\p{L}', '@', 'g'), '\p{N}', '0', 'g')"""
+for _pattern in ("(@)[''’.:·](@)", "(0)[,.;''’](0)"):
+    for _ in range(2):                               # a second time for what met the first match
+        _CLASSES = rf"regexp_replace({_CLASSES}, '{_pattern}', '\1+\2', 'g')"
+_UAX_SQL = rf"""
+WITH c AS (SELECT regexp_extract_all(lower(text), '(?s).') AS ch, regexp_extract_all({_CLASSES}, '(?s).') AS k FROM documents),
+m AS (SELECT array_to_string(list_transform(list_zip(ch, k), x -> CASE WHEN x[2] IN ('@', '0', '_', '+') THEN x[1] ELSE ' ' END), '') AS t FROM c)
+SELECT term, count(*)::BIGINT AS cf FROM (SELECT unnest(regexp_extract_all(t, '[^ ]+')) AS term FROM m) GROUP BY term"""
+
+
+@register("tok_standard_uax", _UAX_SQL)
 def tok_standard_uax(spark, sf_dir):
     """A4 (fuller form): in-word apostrophes, dots, digit separators and
-    underscores kept inside tokens (look-around, so no SQL oracle)."""
+    underscores kept inside tokens. Look-around here; the SQL, which has none,
+    matches on a string of character classes."""
     return _vocab(spark, sf_dir, "standard_uax")
 
 
@@ -141,10 +154,11 @@ FROM ph JOIN d ON d.g = ph.w[1] || ' ' || ph.w[2] || ' ' || ph.w[3] || ' ' || ph
 GROUP BY ph.phrase_id, d.doc_id""".replace("f AS (SELECT DISTINCT w[1] || ' ' || w[2] || ' ' || w[3] || ' ' || w[4] AS g FROM ph),\n", ""))
 def phrase_long(spark, sf_dir):
     """Every four consecutive words of each passage as a phrase; how often
-    each document has them."""
+    each document has them, from the positions of an index."""
+    from quire.plans.indexes import corpus_index
     words = benchmark_queries(spark, sf_dir).select("query_id", token_array(F.lower("text"), "standard").alias("w"))
     four = (words.select("query_id", F.posexplode(F.when(F.size("w") > 3, F.transform(
         F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice("w", i, 4), " "))).otherwise(
         F.array().cast("array<string>"))).alias("i", "text")))
     phrases = four.select((F.col("query_id") * 10000 + F.col("i")).alias("phrase_id"), "text")
-    return phrase_positions(documents(spark, sf_dir), phrases)
+    return phrase_places(corpus_index(spark, sf_dir, positions=True), phrases)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators.index import index_stats, merge_postings, term_counts, term_stats
+from quire.operators.index import (approximate_terms, index_stats, merge_postings, term_counts, term_sketch,
+                                   term_stats)
 from quire.plans.indexes import corpus_index
 from quire.plans.registry import register
 from quire.plans.sqlparts import INDEX_CTES
@@ -69,3 +70,18 @@ def merge_index(spark, sf_dir):
              term_counts(docs.filter((F.col("lang") != "en") | F.col("lang").isNull()),
                          "standard", text_col="contents")]
     return term_stats(merge_postings(*parts)).select("term", "df", "cf")
+
+
+@register("distinct_terms_sketch", f"""
+WITH {INDEX_CTES}
+SELECT (SELECT count(*) FROM tstat)::BIGINT AS n_terms, true AS within_error""")
+def distinct_terms_sketch(spark, sf_dir):
+    """G6/K4 at scale: the distinct terms of the whole collection by its exact count, and
+    whether sketches made per language group and united estimate it within four standard
+    errors."""
+    docs = documents(spark, sf_dir)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    parts = [term_sketch(term_counts(docs.filter(which), "standard", text_col="contents")) for which in (english, ~english)]
+    exact = corpus_index(spark, sf_dir).terms.agg(F.count(F.lit(1))).scalar()
+    return approximate_terms(*parts).select(
+        exact.alias("n_terms"), (F.abs(F.col("n_terms") - exact) <= 4 * F.col("error") * exact).alias("within_error"))

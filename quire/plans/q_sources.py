@@ -44,10 +44,11 @@ WITH {INDEX_CTES},
 {qrels_cte(0.4)}
 SELECT query_id, doc_id FROM qrels""")
 def read_qrels_q(spark, sf_dir):
-    """The derived judgements written as a judgement file, parsed back."""
+    """The derived judgements written as judgement files, whose records may go on in
+    the next one, and parsed back."""
     q = benchmark_queries(spark, sf_dir)
     qrels = derived_qrels(q, corpus_index(spark, sf_dir).postings)
-    return read_qrels(spark, write_qrels(qrels, scratch_path(spark, "qrels")))
+    return read_qrels(spark, write_qrels(qrels, scratch_path(spark, "qrels")), across_files=True)
 
 
 @register("read_query_lines", r"""
@@ -93,7 +94,7 @@ def read_run_csv_q(spark, sf_dir):
     _, _, test_m = corpus_tune(spark, sf_dir, ("jm",), "P", 10)
     rep = test_report(test_m.select("query_id", "value", "best_param"))
     path = write_test_csv(rep, scratch_path(spark, "testcsv"), "P@10")
-    return read_run_csv(spark, path, run_id="jm.test.csv", metric="P@10")
+    return read_run_csv(spark, path, run_id="jm.test.csv")
 
 
 _TREE_SQL = """
@@ -133,6 +134,18 @@ def provenance_q(spark, sf_dir):
                     "last_modified_sortable")
 
 
+@register("provenance_counts", """
+SELECT 'source=' || source AS subfolder, count(*)::BIGINT AS n_files, count(*)::BIGINT AS n_with_task, true AS one_task_each
+FROM documents GROUP BY source""")
+def provenance_counts_q(spark, sf_dir):
+    """Every file of the tree names the task that read it, and one task only."""
+    f = scan_files(spark, _tree(spark, sf_dir), contents_stored=False)
+    per_file = f.groupBy("subfolder", "rel_path").agg(F.count("partition").alias("n"), F.countDistinct("partition").alias("tasks"))
+    return per_file.groupBy("subfolder").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).cast("bigint").alias("n_with_task"),
+        (F.max("tasks") == 1).alias("one_task_each"))
+
+
 # URL paths of `pages` as relative file paths (scheme, host, query, fragment dropped)
 _URL_PATH_SQL = r"""
 WITH u AS (SELECT page_id, regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '^/', '') AS rel_path FROM pages),
@@ -311,8 +324,8 @@ UNION ALL
 SELECT doc_id, length(contents)::BIGINT, 'new' FROM upd""")
 def upsert_stream_q(spark, sf_dir):
     """K3: documents, then every conversation turn, arrive as files; a file
-    stream (availableNow, a few files per micro-batch) upserts them into a
-    versioned table -- the newest turn per id wins whatever the batch order."""
+    stream (availableNow, a few files per micro-batch) upserts them into a table
+    bucket by bucket -- the newest turn per id wins whatever the batch order."""
     from quire.streaming.upsert_stream import upsert_stream
     src = scratch_path(spark, "stream-src")
     docs = documents(spark, sf_dir).select(
@@ -322,8 +335,7 @@ def upsert_stream_q(spark, sf_dir):
         F.col("turn").cast("bigint").alias("turn"), F.lit("new").alias("origin"))
     docs.write.mode("append").parquet(src)
     conv.write.mode("append").parquet(src)
-    latest = upsert_stream(spark, src, docs.schema, scratch_path(spark, "stream-table"),
-                           scratch_path(spark, "stream-ckpt"), key="doc_id", order_col="turn",
-                           max_files_per_batch=2)
-    t = spark.read.parquet(latest)
+    t = upsert_stream(spark, src, docs.schema, scratch_path(spark, "stream-table"),
+                      scratch_path(spark, "stream-ckpt"), key="doc_id", order_col="turn",
+                      max_files_per_batch=2, buckets=8)
     return t.select("doc_id", F.length("contents").cast("bigint").alias("n_chars"), "origin")

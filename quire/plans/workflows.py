@@ -24,12 +24,12 @@ from quire.operators.evaluation import eval_report, metrics, ranked_list
 from quire.operators.hygiene import kept_ids, top_terms
 from quire.operators.index import (Index, delete_docs, index_from_postings, index_stats,
                                    open_index, write_index)
-from quire.operators.ranking import page, rank, select_queries
+from quire.operators.ranking import hits_with_fields, page, rank, select_queries
 from quire.operators.significance import checked_pairs, t_test, wilcoxon_test
 from quire.operators.tuning import GRIDS, best_param, test_report, training_metrics, tuning_matrix
 from quire.operators.tuning import test_metrics
 from quire.session import materialize
-from quire.sources.collection import ordered_ids, read_collection, read_qrels, read_run_csv, read_stopwords
+from quire.sources.collection import ordered_ids, read_collection, read_qrels, read_run_csv, read_stopwords, run_metric
 from quire.sources.files import scan_files
 from quire.sources.sinks import (write_eval_csv, write_report_csv, write_test_csv,
                                  write_training_csv)
@@ -51,13 +51,13 @@ def index_collection(spark: SparkSession, collection_path: str, index_path: str,
 def search_eval(spark: SparkSession, index_path: str, queries_path: str, qrels_path: str,
                 out_dir: str, analyzer: str | None = None, model: str = "jm",
                 param: float | None = 0.5, cut: int = 10, top: int = 10,
-                first_query: int | None = None, last_query: int | None = None):
+                first_query: int | None = None, last_query: int | None = None, across_files: bool = False):
     """Rank the selected queries, evaluate at ``cut``; writes the ranked list
     (first ``top`` hits) and the per-query/average CSV. Returns (run, report)."""
     idx = open_index(spark, index_path, analyzer)
     queries = select_queries(read_collection(spark, queries_path, id_col="query_id",
                                              text_col="text"), first_query, last_query)
-    qrels = read_qrels(spark, qrels_path)
+    qrels = read_qrels(spark, qrels_path, across_files)
     run = rank(idx, queries, model, param, cut)
     report = eval_report(metrics(run, qrels, queries), cut)
     write_report_csv(ranked_list(run, qrels, min(top, cut)), f"{out_dir}/ranked_list")
@@ -67,12 +67,12 @@ def search_eval(spark: SparkSession, index_path: str, queries_path: str, qrels_p
 
 def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_path: str,
                out_dir: str, model: str = "jm", train=(None, None), test=(None, None),
-               metric: str = "P", cut: int = 10, analyzer: str | None = None):
+               metric: str = "P", cut: int = 10, analyzer: str | None = None, across_files: bool = False):
     """Tune on the training id range, report on the test range with the best
     value; writes the training matrix and the test CSV. Returns both tables."""
     idx = open_index(spark, index_path, analyzer)
     queries = read_collection(spark, queries_path, id_col="query_id", text_col="text")
-    qrels = read_qrels(spark, qrels_path)
+    qrels = read_qrels(spark, qrels_path, across_files)
     tr = select_queries(queries, *train)
     te = select_queries(queries, *test)
     # written once: the matrix and the best value both read it
@@ -87,9 +87,12 @@ def train_test(spark: SparkSession, index_path: str, queries_path: str, qrels_pa
 def compare(spark: SparkSession, run_a_path: str, run_b_path: str, test: str = "t",
             alpha: float = 0.05) -> DataFrame:
     """Paired significance test of two per-query result CSVs. Raises ValueError
-    unless both hold the same queries."""
-    runs = (read_run_csv(spark, run_a_path, run_id="a", metric="m")
-            .unionByName(read_run_csv(spark, run_b_path, run_id="b", metric="m")))
+    unless both name the same metric and cut and hold the same queries."""
+    named = [run_metric(spark, p) for p in (run_a_path, run_b_path)]
+    if None in named or named[0] != named[1]:
+        raise ValueError(f"results of different metrics cannot be compared: {named[0]} / {named[1]}")
+    runs = (read_run_csv(spark, run_a_path, run_id="a", metric=named[0])
+            .unionByName(read_run_csv(spark, run_b_path, run_id="b", metric=named[1])))
     pairs = checked_pairs(runs, "a", "b")
     if test == "t":
         return t_test(pairs, alpha)
@@ -140,5 +143,4 @@ def search_pages(spark: SparkSession, index: Index, queries: DataFrame, page_no:
                  page_size: int = 10, fields=("doc_id",)) -> DataFrame:
     """BM25 (the demo searcher's default) with paging and stored fields."""
     run = rank(index, queries, "bm25", None, page_no * page_size)
-    hits = page(run, page_no, page_size)
-    return hits.join(index.docs.select(*{"doc_id", *fields}), "doc_id")
+    return hits_with_fields(page(run, page_no, page_size), index.docs, [f for f in fields if f != "doc_id"])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.operators.joins import broadcast_if_small
+from quire.operators.joins import broadcast_if_small, join_small
 from quire.session import materialize
 
 _INT = r"^[+-]?[0-9]+$"
@@ -64,16 +64,41 @@ def read_collection(spark: SparkSession, path: str, id_col: str = "doc_id",
     return latest
 
 
-def read_qrels(spark: SparkSession, path: str) -> DataFrame:
+def read_qrels(spark: SparkSession, path: str, across_files: bool = False) -> DataFrame:
     """Long-form judgements (query_id, doc_id); a repeated query id keeps
-    its last record; repeated document ids are kept (see ``judged_counts``)."""
-    recs = _records(spark, path)
-    toks = F.split(F.trim(F.regexp_replace("rec", r"\s+", " ")), " ")
-    r = recs.select("file", "block", "seq", toks.alias("t")).filter(F.col("t")[0] != "")
-    latest = (r.groupBy(F.col("t")[0].cast("bigint").alias("query_id"))
-              .agg(F.max_by(F.col("t"), F.struct("file", "block", "seq")).alias("t")))
-    return latest.select("query_id", F.explode(F.slice("t", 2, F.size("t"))).alias("doc_id")) \
-        .select("query_id", F.col("doc_id").cast("bigint").alias("doc_id"))
+    its last record; repeated document ids are kept (see ``judged_counts``).
+
+    A record may span lines, tasks and, with ``across_files`` (files in path order are one
+    text, as ``write_qrels`` makes them), files: every piece between separators is numbered
+    with the separators before it, a running count over the lines of its split plus the
+    count of the splits before. A record's first word names its query."""
+    lines = spark.read.text(path).select(
+        F.lit("").alias("text") if across_files else F.col("_metadata.file_path").alias("text"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), F.split("value", "/").alias("pieces"))
+    lines = lines.withColumn("n", F.size("pieces") - 1)
+    splits = lines.groupBy("text", "file", "block").agg(F.sum("n").alias("n"))
+    # one row per input split
+    before = Window.partitionBy("text").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("text")
+    offsets = splits.select("text", "file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"),
+                            F.sum("n").over(whole).alias("records"))
+    inside = Window.partitionBy("text", "file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (lines.withColumn("run", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+              .join(broadcast_if_small(offsets, 200_000), ["text", "file", "block"]))
+    words = (placed.select("text", "file", "block", "seq", "records", (F.col("off") + F.col("run")).alias("at"),
+                           F.posexplode("pieces").alias("j", "piece"))
+             .withColumn("record", F.col("at") + F.col("j")).filter(F.col("record") < F.col("records"))     # the rest is no record
+             .select("text", "record", "file", "block", "seq", F.posexplode(F.split(F.trim(F.regexp_replace("piece", r"\s+", " ")), " "))
+                     .alias("k", "word")).filter(F.col("word") != ""))
+    words = materialize(words, "judgement-words")
+    place = F.struct("file", "block", "seq", "k")
+    heads = words.groupBy("text", "record").agg(F.min(F.struct(place.alias("p"), F.col("word").cast("bigint").alias("query_id"))).alias("h"))
+    last = (heads.groupBy("h.query_id").agg(F.max(F.struct("text", "record", F.col("h.p").alias("p"))).alias("r"))
+            .select("query_id", "r.text", "r.record", F.col("r.p").alias("_head")))
+    # a record may hold most of the words: checked and broadcast, or salted by the word
+    return (join_small(words.withColumn("_p", place), last, ["text", "record"], spread_col="_p").filter(F.col("_p") != F.col("_head"))
+            .select("query_id", F.col("word").cast("bigint").alias("doc_id")))
 
 
 def read_query_lines(spark: SparkSession, path: str, stop_at_blank: bool = False) -> DataFrame:
@@ -133,11 +158,23 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
             .filter(F.col("word") != "").distinct())
 
 
+def run_metric(spark: SparkSession, path: str) -> str | None:
+    """The metric and cut that a per-query result CSV names in its header (``query,P@10``),
+    None without one. Part files of one report repeat the same header or have none."""
+    named = (spark.read.text(path).select(F.trim("value").alias("line")).filter(F.col("line").startswith("query,"))
+             .select(F.trim(F.split("line", ",")[1]).alias("metric")).distinct().limit(2).collect())
+    if len(named) > 1:
+        raise ValueError(f"{path} holds results of several metrics: {named[0][0]}, {named[1][0]}")
+    return named[0][0] if named else None
+
+
 def read_run_csv(spark: SparkSession, path: str, run_id: str | None = None,
                  metric: str | None = None) -> DataFrame:
     """A per-query result CSV -> (run_id, metric, query_id, value). Lines
     starting with ``query``, ``value`` or ``avg`` are headers/summary; the
-    second field is the value. Pairing with another run is by query id."""
+    second field is the value. Without ``metric`` the header's is taken. Pairing
+    with another run is by query id."""
+    metric = metric if metric is not None else run_metric(spark, path)
     raw = spark.read.text(path).select(F.col("_metadata.file_name").alias("_f"),
                                        F.trim("value").alias("line"))
     rows = raw.filter(~(F.col("line").startswith("query") | F.col("line").startswith("value")

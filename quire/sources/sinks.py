@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.joins import broadcast_if_small
 
 
 def write_collection(df: DataFrame, path: str, id_col: str = "doc_id",
@@ -28,20 +27,20 @@ def write_collection(df: DataFrame, path: str, id_col: str = "doc_id",
 
 
 def write_qrels(qrels: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Judgement records ``<query_id>\\n<doc_id>\\n...<doc_id>\\n/``, one line
-    per document, streamed in (query_id, doc_id) order."""
-    q = qrels.select("query_id", "doc_id").distinct()
-    bounds = q.groupBy("query_id").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"))
-    lines = q.join(broadcast_if_small(bounds), "query_id").select(
-        "query_id", "doc_id",
-        F.concat(F.when(F.col("doc_id") == F.col("_lo"),
-                        F.concat(F.col("query_id").cast("string"), F.lit("\n"))).otherwise(F.lit("")),
-                 F.col("doc_id").cast("string"),
-                 F.when(F.col("doc_id") == F.col("_hi"), F.lit("\n/")).otherwise(F.lit(""))
-                 ).alias("value"))
+    """Judgement records ``<query_id>\\n<doc_id>\\n...<doc_id>\\n/``, a line per
+    document, in (query_id, doc_id) order over the part files in path order. A query of
+    many judgements is dealt over several files: its record goes on in the next."""
+    rows = qrels.select("query_id", "doc_id").distinct()
+    ids = rows.select("query_id").distinct()
+
+    def line(df: DataFrame, kind: int, doc, value) -> DataFrame:
+        return df.select("query_id", F.lit(kind).alias("_k"), doc.alias("_d"), value.alias("value"))
+    none = F.lit(None).cast(dict(rows.dtypes)["doc_id"])
+    lines = line(ids, 0, none, F.col("query_id").cast("string")) \
+        .unionByName(line(rows, 1, F.col("doc_id"), F.col("doc_id").cast("string"))).unionByName(line(ids, 2, none, F.lit("/")))
+    order = ["query_id", "_k", "_d"]
     n = partitions or lines.sparkSession.sparkContext.defaultParallelism
-    (lines.repartitionByRange(n, "query_id").sortWithinPartitions("query_id", "doc_id")
-     .select("value").write.mode("overwrite").text(path))
+    (lines.repartitionByRange(n, *order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path))
     return path
 
 

@@ -2,82 +2,91 @@
 
 The replaced indexer re-ran a whole "update" command by hand. Here a file
 stream picks up only input files not seen before (the checkpoint remembers
-them); every micro-batch is upserted into the current version of the table
-and written as a *new* version directory, so no reader ever sees a table
-that is being overwritten. ``trigger(availableNow=True)`` processes what is
-there and stops -- the batch form of a continuous job.
-
-State lives only in the checkpoint (source offsets) and in the versioned
-output, both in the shared folder, so a lost executor or a restarted driver
-resumes from the last committed batch.
+them). The table is partitioned by ``bucket``, a hash of the key: a micro-batch
+is upserted into the buckets that its keys fall into, and only these are
+overwritten. ``trigger(availableNow=True)`` processes what is there and stops
+-- the batch form of a continuous job.
+
+Every finished micro-batch is recorded with the checkpoint that numbered it. One
+that is delivered again, as happens when a driver is lost between the write and
+the commit of its number, is skipped if it was recorded, and otherwise upserted
+again with the same result. State lives only in the checkpoint (source offsets)
+and in the table's folder, both shared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.upsert import upsert
-from quire.session import path_exists
+from quire.operators.upsert import latest_per_key, upsert
+from quire.session import materialize, overwriting_partitions
 
+BUCKETS = 32
+EPOCHS = "checkpoint string, epoch long"
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()
-                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS")))
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def current_table(spark: SparkSession, root: str) -> DataFrame | None:
-    """The latest committed version of the table, or None."""
-    v = _versions(spark, root)
-    return spark.read.parquet(f"{root}/v{v[-1]:06d}") if v else None
+    """The table as it is now, or None."""
+    rows = _read(spark, f"{root}/rows")
+    return rows if rows is None else rows.drop("bucket")
 
 
 def upsert_batch(spark: SparkSession, root: str, batch: DataFrame, key: str,
-                 order_col: str | None = None) -> str:
-    """Upsert one batch into the latest version, write the next version."""
-    from quire.operators.upsert import latest_per_key
-
-    v = _versions(spark, root)
-    nxt = f"{root}/v{(v[-1] if v else 0) + 1:06d}"
-    old = current_table(spark, root)
-    if old is None:
-        new = latest_per_key(batch, key, order_col) if order_col else batch
-    else:
-        new = upsert(old, batch, key, order_col)
-    new.write.mode("overwrite").parquet(nxt)
-    return nxt
+                 order_col: str | None = None, buckets: int = BUCKETS) -> None:
+    """Upsert one batch into the table: its buckets are read, merged, written aside and
+    then put in the place of the old ones."""
+    new = materialize(latest_per_key(batch, key, order_col).select(*batch.columns, _bucket(key, buckets)), "stream-batch")
+    old = _read(spark, f"{root}/rows")
+    if old is not None:
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]      # at most ``buckets`` numbers
+        merged = upsert(old.filter(F.col("bucket").isin(touched)).drop("bucket"), new.drop("bucket"), key, order_col)
+        new = materialize(merged.withColumn("bucket", _bucket(key, buckets)), "stream-merged")
+    with overwriting_partitions(spark):
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/rows")
+
+
+def upsert_epoch(spark: SparkSession, root: str, batch: DataFrame, checkpoint: str, epoch: int, key: str,
+                 order_col: str | None = None, buckets: int = BUCKETS) -> bool:
+    """``upsert_batch`` unless this micro-batch of this checkpoint is recorded as done;
+    whether it was carried out."""
+    done = _read(spark, f"{root}/epochs")
+    if done is not None and not done.filter((F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch)).isEmpty():
+        return False
+    if not batch.isEmpty():
+        upsert_batch(spark, root, batch, key, order_col, buckets)
+    spark.range(1).select(F.lit(checkpoint).alias("checkpoint"), F.lit(epoch).cast("long").alias("epoch")) \
+        .coalesce(1).write.mode("append").parquet(f"{root}/epochs")
+    return True
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema, table_root: str,
                   checkpoint: str, key: str = "doc_id", order_col: str | None = None,
-                  fmt: str = "parquet", max_files_per_batch: int = 1000) -> str:
-    """Process every new file of ``source_dir`` once (availableNow) and
-    return the path of the latest table version."""
+                  fmt: str = "parquet", max_files_per_batch: int = 1000, buckets: int = BUCKETS) -> DataFrame | None:
+    """Process every new file of ``source_dir`` once (availableNow) and return the table
+    (None if nothing ever came)."""
     stream = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_batch).load(source_dir))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        upsert_batch(batch.sparkSession, table_root, batch, key, order_col)
+        upsert_epoch(batch.sparkSession, table_root, batch, checkpoint, epoch, key, order_col, buckets)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    v = _versions(spark, table_root)
-    return f"{table_root}/v{v[-1]:06d}" if v else ""
-
-
-def has_table(spark: SparkSession, root: str) -> bool:
-    return path_exists(spark, root) and bool(_versions(spark, root))
-
-
-def with_origin(df: DataFrame, origin: str) -> DataFrame:
-    return df.withColumn("origin", F.lit(origin))
+    return current_table(spark, table_root)

@@ -60,5 +60,37 @@ def test_streaming_upsert(spark, tmp_dir):
     out = upsert_stream(spark, src, spark.createDataFrame([], schema).schema,
                         os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ckpt"),
                         key="doc_id", order_col="turn", max_files_per_batch=1)
-    got = sorted((r["doc_id"], r["contents"]) for r in spark.read.parquet(out).collect())
+    got = sorted((r["doc_id"], r["contents"]) for r in out.collect())
     assert got == [(1, "a"), (2, "b2"), (3, "c")]       # the older late update lost
+
+
+def test_stream_rewrites_touched_buckets_once(spark, tmp_dir):
+    """A batch rewrites the buckets of its keys alone; one that is delivered again is skipped."""
+    import glob
+
+    from quire.streaming.upsert_stream import current_table, upsert_epoch
+    root, schema = os.path.join(tmp_dir, "t"), "doc_id long, contents string"
+    files = lambda: set(glob.glob(f"{root}/rows/*/*.parquet"))
+    old = spark.createDataFrame([(i, f"old {i}") for i in range(300)], schema)
+    assert current_table(spark, root) is None and upsert_epoch(spark, root, old, "c", 0, "doc_id")
+    before = files()
+    new = spark.createDataFrame([(7, "new")], schema)
+    assert upsert_epoch(spark, root, new, "c", 1, "doc_id")
+    after = files()
+    assert len(before - after) == 1 and len(before & after) >= 20
+    assert not upsert_epoch(spark, root, spark.createDataFrame([(7, "again")], schema), "c", 1, "doc_id") and files() == after
+    assert upsert_epoch(spark, root, new.limit(0), "c", 2, "doc_id") and files() == after
+    assert upsert_epoch(spark, root, spark.createDataFrame([(900, "x")], schema), "other", 1, "doc_id")    # another stream's number 1
+    rows = {r.doc_id: r.contents for r in current_table(spark, root).collect()}
+    assert rows == {**{i: f"old {i}" for i in range(300)}, 7: "new", 900: "x"}
+
+
+def test_sketches_of_parts_estimate_the_whole(spark):
+    from quire.operators.index import SKETCH_ERROR, approximate_terms, build_index, term_sketch
+    terms = spark.range(20000).selectExpr("concat('t', id) as term")
+    parts = [term_sketch(terms.filter(f"substring(term, 2) % 3 {c}")) for c in ("< 2", "> 0")]        # a third is in both
+    r = approximate_terms(*parts).first()
+    assert r.error == SKETCH_ERROR and abs(r.n_terms - 20000) < 4 * r.error * 20000
+    docs = spark.createDataFrame([(1, "red fox"), (2, "red dog")], "doc_id long, contents string")
+    a, b = build_index(spark, docs.limit(1)), build_index(spark, docs)
+    assert approximate_terms(a.sketch, b.sketch).first().n_terms == 3 and approximate_terms(a.sketch).first().n_terms == 2

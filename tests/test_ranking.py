@@ -164,11 +164,14 @@ def test_wildcards_anywhere(spark):
 
 
 def test_phrases_of_any_length(spark):
-    from quire.operators.vectors import phrase_positions
-    docs = spark.createDataFrame([(1, "to be or not to be"), (2, "be to be"), (3, "not"), (4, None), (5, "a a a a")], "doc_id long, contents string")
-    phrases = ["to be", "be", "to be or not to be", "or to", "a a", "a a a", "", "not to be or"]
+    from quire.operators.vectors import phrase_places
+    docs = spark.createDataFrame([(1, "to be or not to be"), (2, "be to be"), (3, "not"), (4, None), (5, "a a a a"),
+                                  (6, "be or to not be to be or")], "doc_id long, contents string")
+    phrases = ["to be", "be", "to be or not to be", "or to", "a a", "a a a", "", "not to be or", "be or", "zebra be", "to be or zebra"]
     asked = spark.createDataFrame(list(enumerate(phrases)), "phrase_id int, text string")
-    got = {(r.phrase_id, r.doc_id): r.n_places for r in phrase_positions(docs, asked).collect()}
+    idx = build_index(spark, docs, positions=True)
+    found = phrase_places(idx, asked)
+    got = {(r.phrase_id, r.doc_id): r.n_places for r in found.collect()}
     want = {}
     for i, p in enumerate(phrases):
         for d in docs.collect():
@@ -177,6 +180,58 @@ def test_phrases_of_any_length(spark):
             if n:
                 want[(i, d.doc_id)] = n
     assert got == want
+    # no text is read: the plan scans postings, terms and query-side tables
+    assert "contents" not in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        phrase_places(build_index(spark, docs), asked)
+
+
+def test_cut_by_thresholds_changes_no_rank(spark, monkeypatch):
+    """Rows below a score that enough documents reach go before the ranking; ties at the
+    cut and queries with few hits stay whole."""
+    import random
+    from quire.operators import ranking
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices("abcdefgh", weights=(30, 20, 9, 8, 7, 3, 2, 1), k=rng.randrange(1, 12))))
+                                  for i in range(400)], "doc_id long, contents string")
+    idx = build_index(spark, docs)
+    q = spark.createDataFrame([(1, "a b c"), (2, "h g"), (3, "a"), (4, "zzz h"), (5, "b d e f g h")], "query_id long, text string")
+    specs = [("jm", 0.0), ("jm", 0.3), ("jm", 1.0), ("dirichlet", 0.0), ("dirichlet", 50.0), ("bm25", 0.0)]
+    qt = ranking.query_terms(q)
+    for share in (2, 16, 1000):
+        monkeypatch.setattr(ranking, "THRESHOLD_SHARE", share)
+        whole = ranking.score(idx, qt, None, specs)
+        part = ranking.score(idx, qt, None, specs, cut=5)
+        a, b = (sorted(map(tuple, ranking.top_k(x, 5).select("spec", "query_id", "rk", "doc_id", "score").collect())) for x in (whole, part))
+        assert a == b
+        assert share == 1000 or part.count() < 0.6 * whole.count()
+
+
+def test_counted_join_splits_keys_by_their_rows(spark):
+    from quire.operators.joins import CONF_MAX_ROWS, CONF_ROWS_PER_SALT, counted_join
+    big = spark.range(900).selectExpr("id", "if(id % 3 = 0, 'hot', concat('t', id % 40)) as term")
+    small = big.groupBy("term").count().withColumnRenamed("count", "df")
+    want = sorted(map(tuple, big.join(small, "term").select("id", "term", "df").collect()))
+    spark.conf.set(CONF_ROWS_PER_SALT, "50")
+    try:
+        j = counted_join(big, small, "term", "df", "id")
+        assert sorted(map(tuple, j.select("id", "term", "df").collect())) == want
+        spark.conf.set(CONF_MAX_ROWS, "0")               # too many split keys to broadcast
+        assert sorted(map(tuple, counted_join(big, small, "term", "df", "id").select("id", "term", "df").collect())) == want
+    finally:
+        spark.conf.unset(CONF_ROWS_PER_SALT)
+        spark.conf.unset(CONF_MAX_ROWS)
+
+
+def test_very_long_fuzzy_term(spark):
+    import random
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcd") for _ in range(3000))
+    near = long[:1000] + "x" + long[1001:2000] + long[2001:]
+    terms = spark.createDataFrame([(long,), (near,), (long[:2990],), (long[1:] + "ab",), ("b",)], "term string")
+    q = spark.createDataFrame([(1, long), (2, "")], "query_id int, term string")
+    got = {(r.query_id, r.match, r.distance) for r in fuzzy_expansion(terms, q, 2).collect()}
+    assert got == {(1, long, 0), (1, near, 2), (2, "b", 1)}
 
 
 def test_fuzzy_leaves_out_long_terms_before_neighbourhoods(spark):

@@ -120,3 +120,42 @@ def test_report_layouts(spark, tmp_dir):
                               "model string, param double, query_id long, value double")
     write_training_csv(tuning_matrix(t, "jm", [0.0, 0.5]), f"{tmp_dir}/train", "P@10", [0.0, 0.5])
     assert _lines(f"{tmp_dir}/train") == ["P@10,0,0.5", "9,0.0,4.5", "10,0.0,5.0", "avg,0.0,4.75"]
+
+
+def test_judgements_over_lines_tasks_and_files(spark, tmp_dir):
+    """One query with a million judgements, written to several files and read by many tasks."""
+    from quire.sources.sinks import write_qrels
+    many = spark.range(1_000_000).selectExpr("2L as query_id", "id * 3 as doc_id")
+    few = spark.createDataFrame([(1, 5), (1, 4), (3, 9), (3, 9)], "query_id long, doc_id long")
+    path = write_qrels(many.unionByName(few), os.path.join(tmp_dir, "big"), partitions=6)
+    files = sorted(f for f in os.listdir(path) if f.startswith("part"))
+    assert sum(os.path.getsize(os.path.join(path, f)) > 100_000 for f in files) >= 4
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+    try:
+        got = read_qrels(spark, path, across_files=True)
+        r = got.filter("query_id = 2").agg(F.count("doc_id"), F.countDistinct("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
+        assert tuple(r) == (1_000_000, 1_000_000, 0, 2_999_997)
+        assert sorted(map(tuple, got.filter("query_id != 2").collect())) == [(1, 4), (1, 5), (3, 9)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_judgement_records_anywhere_in_lines(spark, tmp_dir):
+    for name, text in {"a": "1 2 3/4 5\n6\n/ 7\n\n 8 / 9 10", "b": "/ /\n1 20 /", "c": "", "d": "11"}.items():
+        _write(os.path.join(tmp_dir, "odd", f"{name}.txt"), text)
+    got = sorted(map(tuple, read_qrels(spark, os.path.join(tmp_dir, "odd")).collect()))
+    assert got == [(1, 20), (4, 5), (4, 6), (7, 8)]                  # 9 and 11 are open; 1 has its last record
+    got = sorted(map(tuple, read_qrels(spark, os.path.join(tmp_dir, "odd"), across_files=True).collect()))
+    assert got == [(1, 20), (4, 5), (4, 6), (7, 8), (9, 10)]
+
+
+def test_header_of_a_run_names_its_metric(spark, tmp_dir):
+    from quire.sources.collection import run_metric
+    for name, text in {"a": "query,P@10\nvalue=0.0\n6,0.2\navg,0.2\n", "b": "6,0.2\n"}.items():
+        _write(os.path.join(tmp_dir, name, "r.csv"), text)
+    assert run_metric(spark, os.path.join(tmp_dir, "a")) == "P@10" and run_metric(spark, os.path.join(tmp_dir, "b")) is None
+    assert [tuple(r) for r in read_run_csv(spark, os.path.join(tmp_dir, "a"), "x").collect()] == [("x", "P@10", 6, 0.2)]
+    _write(os.path.join(tmp_dir, "a", "s.csv"), "query,MAP@10\n7,0.1\n")
+    with pytest.raises(ValueError):
+        run_metric(spark, os.path.join(tmp_dir, "a"))

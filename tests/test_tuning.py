@@ -48,3 +48,13 @@ def test_tune_with_test_ids_first(spark):
     train_m, best, test_m = tune(build_index(spark, docs), queries, qrels, r, ("jm",), "MAP", 5)
     assert {x.query_id for x in train_m.collect()} == {5, 6, 7, 8}
     assert best.count() == 1 and {x.query_id for x in test_m.collect()} == {1, 2, 3, 4}
+
+
+def test_one_smoothing_model_is_tuned_at_a_time():
+    """H6: only the two models with a parameter can be tuned."""
+    import pytest
+
+    from quire.operators.tuning import grid_metrics
+    for models in (("bm25",), ("jm", "boolean"), ("both",)):
+        with pytest.raises(ValueError, match="jm or dirichlet"):
+            grid_metrics(None, None, None, models)

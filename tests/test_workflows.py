@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quire.plans import workflows as wf
@@ -22,17 +24,25 @@ def test_collection_search_tune_compare(spark, tmp_dir):
     stats = wf.index_collection(spark, coll, os.path.join(tmp_dir, "ix")).first()
     assert stats["n_docs"] == docs.count()
     run, rep = wf.search_eval(spark, os.path.join(tmp_dir, "ix"), qfile, qrels,
-                              os.path.join(tmp_dir, "out"), cut=10, top=5)
+                              os.path.join(tmp_dir, "out"), cut=10, top=5, across_files=True)
     assert rep.filter(F.col("query") == "average").count() == 1
     assert os.path.isdir(os.path.join(tmp_dir, "out", "metrics"))
     for model, out in (("jm", "tj"), ("dirichlet", "td")):
         matrix, test = wf.train_test(spark, os.path.join(tmp_dir, "ix"), qfile, qrels,
                                      os.path.join(tmp_dir, out), model, train=(0, 19),
-                                     test=(20, 39), metric="MAP")
+                                     test=(20, 39), metric="MAP", across_files=True)
         assert test.filter(F.col("query") != "avg").count() == 20
     res = wf.compare(spark, os.path.join(tmp_dir, "tj", "test"), os.path.join(tmp_dir, "td", "test"),
                      "wilcoxon").first()
     assert res["n"] == 20 and res["p_exact"] is not None
+    # results of another metric or cut, or without a header, are refused
+    for name, head in (("other", "query,P@10"), ("cut", "query,MAP@5"), ("bare", "1,0.5")):
+        path = os.path.join(tmp_dir, name)
+        os.makedirs(path)
+        with open(os.path.join(path, "part-0.txt"), "w") as f:
+            f.write(head + "\n20,0.5\n")
+        with pytest.raises(ValueError, match="metrics"):
+            wf.compare(spark, os.path.join(tmp_dir, "tj", "test"), path)
 
 
 def test_files_and_duplicates(spark, tmp_dir):
