@@ -6,9 +6,7 @@ a digit and a letter) a window slides; the counts of its characters are kept up
 by the one that enters and the one that leaves, and with them the sum of c * log2(c),
 which gives the window's Shannon entropy without counting again. Windows above the
 threshold of their alphabet make spans (``alphabet_spans``); base spans and what is known
-not to be a secret are cut out of a candidate, and the rest is judged. ``entropy_spans`` is the
-older rule of two classes: nothing of a candidate that is on the allow list or that a base
-span touches.
+not to be a secret are cut out of a candidate, and the rest is judged.
 
 Everything is column expressions inside the row: no shuffle, no Python. Offsets come from
 the lengths of matches and of what lies between them. Work is linear in the text.
@@ -34,12 +32,6 @@ KEY = "A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![{KEY}])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[{KEY}]{{20,}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
-#: Class (a regular expression for the whole candidate) and least bits per character.
-#: 20 random characters have about 3.5 bits in hex and 4.1 in base 64.
-CLASSES = (("entropy_hex", r"^[0-9A-Fa-f]+$", 3.2), ("entropy_base64", r"", 3.9))
-#: Not secrets: UUIDs, digests named as such, versions and dates, samples, runs of the alphabet.
-ALLOWED = (r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", r"(?i)^(sha(1|256|384|512)|md5)[-_=]",
-           r"^[0-9._/-]+$", r"(?i)example|sample|placeholder|xxxx", r"(?i)abcdefgh|01234567|12345678", r"^[a-z]+([-_/][a-z0-9]+)+$")
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_base32", "entropy_alnum", "entropy_base62")
 #: Alphabets, the narrowest first, and the least bits per character of a window. Of windows
 #: of 20 random characters, 99% have 2.90 bits in hex, 3.35 in base 32, 3.41 of one-case
@@ -133,23 +125,6 @@ def hot_windows(text: Column, least: Column) -> Column:
     return let(codes, run)
 
 
-def entropy_spans(candidates: Column, taken: Column) -> Column:
-    """Spans (s, k, e) of candidates that no taken span touches and no allow rule names."""
-    def free(c: Column) -> Column:
-        allowed = F.lit(False)
-        for rule in ALLOWED:
-            allowed = allowed | F.rlike(c["m"], F.lit(rule))
-        return ~allowed & ~F.exists(taken, lambda t: (t["s"] < c["e"]) & (t["e"] > c["s"]))
-
-    def spans(c: Column) -> Column:
-        is_hex = F.rlike(c["m"], F.lit(CLASSES[0][1]))
-        least = F.when(is_hex, F.lit(CLASSES[0][2])).otherwise(F.lit(CLASSES[1][2]))
-        kind = F.when(is_hex, F.lit(KINDS.index("entropy_hex"))).otherwise(F.lit(KINDS.index("entropy_base64")))
-        return F.transform(hot_windows(c["m"], least), lambda x: F.struct(
-            (c["s"] + x["s"]).alias("s"), kind.alias("k"), (c["s"] + x["e"]).alias("e")))
-    return F.flatten(F.transform(F.filter(candidates, free), spans))
-
-
 def stretches(c: Column, taken: Column) -> Column:
     """Stretches (s, e) of a candidate between base spans and what CLEARED names, where
     they have room for a window."""
@@ -201,10 +176,9 @@ def written(spans: Column) -> Column:
         ":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, text: Column, keep: list[str], entropy=entropy_spans) -> DataFrame:
+def scan(docs: DataFrame, text: Column, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with n_assign, n_access, n_hex, and the span arrays
-    base_spans and all_spans of (s, k, e): start, kind (index into KINDS), end.
-    ``entropy`` is the rule for candidates, ``entropy_spans`` or ``alphabet_spans``."""
+    base_spans and all_spans of (s, k, e): start, kind (index into KINDS), end."""
     rows = docs.withColumn("_text", F.coalesce(text, F.lit("")))
     t = F.col("_text")
     rows = rows.select(*keep, "_text",
@@ -215,7 +189,7 @@ def scan(docs: DataFrame, text: Column, keep: list[str], entropy=entropy_spans)
     rows = rows.select(*keep, "_found", F.size("_assign").cast("long").alias("n_assign"),
                        F.size("_access").cast("long").alias("n_access"), F.size("_hex").cast("long").alias("n_hex"),
                        F.concat(of("_assign", 0), of("_access", 1), of("_hex", 2)).alias("base_spans"))
-    extra = F.when(F.size("_found") > 0, entropy(F.col("_found"), F.col("base_spans"))) \
+    extra = F.when(F.size("_found") > 0, alphabet_spans(F.col("_found"), F.col("base_spans"))) \
         .otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>"))
     return rows.select(*keep, "n_assign", "n_access", "n_hex", "base_spans",
                        F.concat("base_spans", extra).alias("all_spans"))

@@ -76,3 +76,78 @@ def test_odd(odd, clashing, model):
     assert langid.identify(odd.limit(0), langid.fit(odd.limit(0))).count() == 0
     assert {r.lang_pred for r in langid.identify(odd, langid.fit(odd.limit(0))).collect()} == {"und"}
     assert langid.fit(clashing).languages
+
+
+def slow_fit_and_predict(sample, texts, dims, clusters):
+    """TF-IDF, spherical k-means and nearest cosine, term by term with dictionaries."""
+    import math
+    from collections import Counter
+
+    def tf(text):
+        return {b: 1 + math.log(n) for b, n in Counter(slow_bins(text, dims)).items()}
+
+    def unit(v):
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {b: x / size for b, x in v.items()} if size else v
+
+    def cos(a, b):
+        return sum(x * b.get(k, 0.0) for k, x in a.items())
+    rows = [(lang, tf(t)) for lang, t in sample]
+    df = Counter(b for _, v in rows for b in v)
+    idf = lambda b: math.log((1 + len(rows)) / (1 + df.get(b, 0))) + 1
+    weigh = lambda v: unit({b: x * idf(b) for b, x in v.items()})
+    centroids = []
+    for lang in sorted({lang for lang, _ in rows}):
+        own = [weigh(v) for x, v in rows if x == lang]
+        centres = [own[np.random.default_rng(langid.SEED).integers(len(own))]]
+        while len(centres) < min(clusters, len(own)):
+            likes = [max(cos(v, c) for c in centres) for v in own]
+            centres.append(own[likes.index(min(likes))])
+        for _ in range(langid.ROUNDS):
+            member = [max(range(len(centres)), key=lambda c: (cos(v, centres[c]), -c)) for v in own]
+            sums = []
+            for c in range(len(centres)):
+                total = Counter()
+                for v, m in zip(own, member):
+                    if m == c:
+                        total.update(v)
+                sums.append(unit(dict(total)) if total else centres[c])
+            centres = sums
+        centroids += [(lang, c) for c in centres]
+    out = []
+    for t in texts:
+        v = weigh(tf(t))
+        best = max(((cos(v, c), -i) for i, (_, c) in enumerate(centroids)))
+        out.append((centroids[-best[1]][0], best[0]))
+    return out
+
+
+def test_fit_and_prediction_against_a_slow_version(docs):
+    """The whole method on 8 documents a language, compared number by number."""
+    few = docs.filter("lang is not null and length(text) between 40 and 900")
+    chosen = langid.sample(few, "text", "lang", "doc_id", 8).orderBy("lang", "r").collect()
+    texts = [r.text for r in few.limit(60).collect() if any(c.isalpha() for c in r.text)]
+    model = langid.fit(few, per_language=8, clusters=3)
+    slow = slow_fit_and_predict([(r.lang, r.text) for r in chosen], texts, langid.DIMS, 3)
+    for (lang, score, _), (want, cosine) in zip(model.predict(texts), slow):
+        assert lang == want and abs(score - cosine) < 3e-3
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    """300 languages: fewer centroids and rows each; more than centroids: the frequent ones."""
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    rows = [(k * 20 + i, "".join(letters[3 * k:3 * k + 3]) * (3 + i), f"l{k:03d}") for k in range(300) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert len(model.languages) == 300 and len(model.owner) <= langid.MAX_CENTROIDS
+    got = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.filter("lang_pred = lang").count() > 0.97 * len(rows)
+    monkeypatch.setattr(langid, "MAX_CENTROIDS", 100)
+    model = langid.fit(docs)
+    assert len(model.languages) == 100 == len(model.owner)
+    assert langid.identify(docs, model).count() == len(rows)
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(i, "same words here", lang) for i, lang in enumerate(["b", "a"] * 20)], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in langid.identify(docs, langid.fit(docs)).collect()} == {"a"}

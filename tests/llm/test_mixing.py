@@ -59,3 +59,19 @@ def test_odd(odd, clashing):
 def test_empty(odd):
     assert mixing.mix(odd.limit(0)).count() == 0
     assert mixing.mix(odd.filter("text is null")).count() == 0
+
+
+def test_joined_without_broadcast(spark, make):
+    """Beyond the broadcast bound: the same plan, and a source of equal texts is spread."""
+    from quire.operators.joins import CONF_MAX_ROWS
+    docs = make([(i if i % 5 else None, "w w", "en", "big" if i % 10 else None) for i in range(600)])
+    cols = ["_row.doc_id", "_row.source", "size", "source_size", "target", "copies"]
+    want = sorted(map(str, mixing.plan_mix(docs).select(*cols).collect()))
+    spark.conf.set(CONF_MAX_ROWS, "0")
+    try:
+        planned = mixing.plan_mix(docs)
+        plan = planned._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, planned.select(*cols).collect()))
+    finally:
+        spark.conf.unset(CONF_MAX_ROWS)
+    assert got == want and "_spread" in plan and "_salt" in plan

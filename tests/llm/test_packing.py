@@ -4,7 +4,9 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import packing, tokenfiles
@@ -149,7 +151,60 @@ def test_token_files_prune(spark, make, tmp_dir):
     assert {r.doc_id: r.start for r in some.collect()} == {7: whole[7], 250: whole[250]}
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(doc_id" in plan
-    import pyarrow.orc
+
+
+def bytes_read(spark, run):
+    """Bytes that this process read from files while it ran."""
+    total = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = total()
+    run()
+    return total() - before
+
+
+def test_stripes_and_metadata_pruning(spark, make, tmp_dir, monkeypatch):
+    """One file of several stripes is read by several tasks; a lookup skips stripes by their
+    ranges, and by the Bloom filter where the range does not tell."""
     from pathlib import Path
-    file = next(Path(f"{tmp_dir}/p").glob("*.orc"))
-    assert pyarrow.orc.ORCFile(str(file)).nstripes >= 1
+
+    import pyarrow.orc
+    monkeypatch.setattr(tokenfiles, "STRIPE_BYTES", 1 << 17)
+    monkeypatch.setattr(tokenfiles, "INDEX_STRIDE", 1000)
+    rng = np.random.default_rng(4)
+    docs = make([(2 * i, " ".join(map(str, rng.integers(0, 10**9, 60)))) for i in range(6000)]).repartition(4)
+    path = f"{tmp_dir}/s"
+    tokenfiles.write_tokens(docs, path, WORD, False, parts=1)
+    file, = Path(path).glob("*.orc")
+    size, stripes = file.stat().st_size, pyarrow.orc.ORCFile(str(file)).nstripes
+    assert stripes >= 4
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 3))
+    try:
+        rows = spark.read.schema("doc_id bigint, part int, start long, n_tokens long, ids array<int>").orc(path)
+        per_task = {r["t"]: r["count"] for r in rows.groupBy(F.spark_partition_id().alias("t")).count().collect()}
+        whole = tokenfiles.read_tokens(spark, path).orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(per_task) >= 2 and sum(per_task.values()) == 6000 and min(per_task.values()) > 500
+    assert [r.doc_id for r in whole] == [2 * i for i in range(6000)]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(whole, whole[1:]))
+    rows = spark.read.schema("doc_id bigint, ids array<int>").orc(path)
+    ask = lambda c: bytes_read(spark, lambda: rows.filter(c).collect())
+    ask(F.col("doc_id") == 4)
+    every, one, absent = ask(F.col("doc_id") >= 0), ask(F.col("doc_id") == 4400), ask(F.col("doc_id") == 4401)
+    # 4401 lies within the ranges of a stripe and a row group: only the Bloom filter rules it out
+    assert one < 0.6 * every and absent < one, (every, one, absent)
+
+
+def test_memory_of_pieces_is_bounded(monkeypatch):
+    """With hardly any room, and slots that many pieces share, the ids are the same."""
+    from quire.llm import tokens
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{x} été, a.b\n" for x in rng.zipf(1.3, 40) % 5000) for _ in range(300)]
+    for path, spaced in ((BYTE, True), (WORD, False)):
+        want = [tuple(direct(path, t).tolist()) for t in texts]
+        for room, slots in ((56 << 20, 1 << 21), (20_000, 7), (0, 1)):
+            monkeypatch.setattr(tokens, "KEPT_BYTES", room)
+            monkeypatch.setattr(tokens, "MET", slots)
+            c = tokens.Coder(path, spaced)
+            got = [tuple(np.frombuffer(x, "<u4").tolist()) for some in c.encode_column(pa.array(texts), 16) for x in some]
+            assert got == want and c.size <= room + 2000

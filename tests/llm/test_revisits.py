@@ -53,16 +53,50 @@ def make(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("bucket", [1, 7, 1000])
-def test_as_of(spark, bucket):
-    records = make(random.Random(bucket), 400)
+@pytest.fixture
+def slices(spark):
+    """So many slices, as many as asked for, however small."""
+    keys = {"spark.sql.shuffle.partitions": None, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def of(n):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield of
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_as_of(spark, slices, n):
+    slices(n)
+    records = make(random.Random(n), 400)
     df = spark.createDataFrame([tuple(r[c] for c in ("record_id", "warc_type", "target_uri", "warc_date", "headers")) for r in records], SCHEMA)
-    rows = revisits.resolve(df.withColumn("url", F.lit(1)).withColumn("bucket", F.lit(2)).withColumn("near", F.lit(3)), bucket).collect()
+    rows = revisits.resolve(df.withColumn("url", F.lit(1)).withColumn("slice", F.lit(2)).withColumn("near", F.lit(3))).collect()
     assert sorted([(r.record_id, r.outcome, r.response_id, r.headers) for r in rows], key=str) == brute(records)
     assert {r.outcome for r in rows} == {"resolved", "mismatch", "no_validator", "no_response"}
     assert sum(r.outcome == "resolved" for r in rows) > 10
 
 
+def test_hot_url_of_one_second_is_spread(spark, slices, monkeypatch):
+    """20,000 records of one URL and second share the slices; records without URL or date
+    and other kinds take no place in them."""
+    slices(8)
+    written = []
+    keep = revisits.materialize
+    monkeypatch.setattr(revisits, "materialize", lambda df, name: written.append(keep(df, name)) or written[-1])
+    hot = spark.range(20_000).selectExpr("id as record_id", "if(id % 10 = 0, 'response', 'revisit') as warc_type", "'a.com' as target_uri",
+                                         "5L as warc_date", "map('etag', cast(id - id % 10 as string)) as headers")
+    lost = spark.range(3000).selectExpr("id + 50000 as record_id", "if(id % 3 = 0, 'request', 'revisit') as warc_type",
+                                        "if(id % 2 = 0, null, 'a.com') as target_uri", "if(id % 2 = 0, 5L, null) as warc_date", "map('x', 'y') as headers")
+    rows = revisits.resolve(hot.unionByName(lost))
+    n = {(r.outcome, r.response_id is None): r["count"] for r in rows.groupBy("outcome", F.col("response_id").isNull().alias("none"))
+         .agg(F.count("*").alias("count"), F.max("response_id").alias("response_id")).collect()}
+    assert n == {("resolved", False): 18_000, ("no_response", True): 2000}
+    sizes = [r["count"] for r in written[0].groupBy("slice").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == 8 and max(sizes) < 5000
+
+
 def test_payload_repeats_and_empty(spark):
     rows = [(1, "response", "a.com", 1, {"etag": "x"}), (2, "revisit", "a.com", 2, {"etag": "x"}), (2, "revisit", "a.com", 2, {"etag": "x"})]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -24,26 +24,6 @@ def entropy(window):
     return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
 
 
-def extra(text, taken):
-    out = []
-    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
-        t, w = m[0], secrets.WINDOW
-        if not (re.search("[0-9]", t) and re.search("[A-Za-z]", t)) or any(re.search(r.replace("(?i)", ""), t, re.I if "(?i)" in r else 0) for r in secrets.ALLOWED):
-            continue
-        if any(s < m.end() and e > m.start() for s, _, e in taken):
-            continue
-        k, least = (3, secrets.CLASSES[0][2]) if re.fullmatch("[0-9A-Fa-f]+", t) else (4, secrets.CLASSES[1][2])
-        spans = []
-        for i in range(len(t) - w + 1):
-            if entropy(t[i:i + w]) >= least - 1e-9:
-                if spans and spans[-1][1] >= i:
-                    spans[-1][1] = i + w
-                else:
-                    spans.append([i, i + w])
-        out += [(m.start() + s, k, m.start() + e) for s, e in spans]
-    return out
-
-
 def written(spans):
     return ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
@@ -66,7 +46,7 @@ def test_spans(spark):
         own = base(texts[r.doc_id] or "")
         assert r.b == written(own), texts[r.doc_id]
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in own) for i in range(3)]
-        assert r.a == written(own + extra(texts[r.doc_id] or "", own)), texts[r.doc_id]
+        assert r.a == written(own + alphabet_extra(texts[r.doc_id] or "", own)), texts[r.doc_id]
     assert any("entropy_base64" in r.a for r in rows) and any("entropy_hex" in r.a for r in rows)
 
 
@@ -100,7 +80,7 @@ def test_recall_by_alphabet(spark, alphabet, least):
     rng = random.Random(11)
     keys = [(n, "".join(rng.choice(alphabet) for _ in range(n))) for n in (20, 24, 32, 40) for _ in range(400)]
     docs = spark.createDataFrame([(n, f"a key {key} here") for n, key in keys], "n long, text string")
-    rows = secrets.scan(docs, F.col("text"), ["n"], secrets.alphabet_spans).groupBy("n") \
+    rows = secrets.scan(docs, F.col("text"), ["n"]).groupBy("n") \
         .agg(F.avg((F.size("all_spans") > 0).cast("int")).alias("found")).collect()
     found = {r.n: r.found for r in rows}
     assert found[20] >= least and found[24] >= least + 0.02 and min(found[32], found[40]) >= 0.96, found
@@ -108,7 +88,7 @@ def test_recall_by_alphabet(spark, alphabet, least):
 
 def test_false_spans_on_documents(spark):
     """Outside base spans, windows of the documents are those of digests in upper case."""
-    rows = secrets.scan(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), F.col("text"), ["doc_id", "text"], secrets.alphabet_spans) \
+    rows = secrets.scan(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), F.col("text"), ["doc_id", "text"]) \
         .filter(F.size("all_spans") > F.size("base_spans")).collect()
     more = [r.text[x.s:x.e] for r in rows for x in r.all_spans if x.k > 2]
     assert all(re.fullmatch("[0-9A-F]{40}", m) for m in more) and len(more) <= 10, more
@@ -156,7 +136,7 @@ def test_alphabet_spans(spark):
             "word", "CamelCase2", "sha256-", "123e4567-e89b-12d3-a456-426614174000", " Q7J4MZ2KX5TL3WD6YBRN", " 9233A8ECF7C5B09FE5949719"]
     texts = [None, "", *TEXTS, *["".join(rng.choice(pool) for _ in range(rng.randrange(20))) for _ in range(300)]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = secrets.scan(docs, F.col("text"), ["doc_id"], secrets.alphabet_spans).select("doc_id", secrets.written(F.col("all_spans")).alias("a")).collect()
+    rows = secrets.scan(docs, F.col("text"), ["doc_id"]).select("doc_id", secrets.written(F.col("all_spans")).alias("a")).collect()
     assert len(rows) == len(texts)
     for r in rows:
         own = base(texts[r.doc_id] or "")
@@ -171,7 +151,7 @@ def test_rules_hold_for_their_part_of_a_run(spark):
     free = ["some-article-about-2023-the-quick-brown-fox", "/docs/2023/01/02/Report-Final_v2", "123e4567-e89b-12d3-a456-426614174000", "example-K8sT2vWq0Lp",
             "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "exampleA1b2C3d4E5f6G7h8I9j0K1l2M3n4", "my_variable_name_123_other_name2"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*[a % KEY36 for a in around], *free])], "i long, text string")
-    rows = secrets.scan(docs, F.col("text"), ["i", "text"], secrets.alphabet_spans).collect()
+    rows = secrets.scan(docs, F.col("text"), ["i", "text"]).collect()
     for r in rows:
         at = [(x.s, x.e) for x in r.all_spans if x.k > 2]
         if r.i < len(around):
@@ -183,5 +163,5 @@ def test_rules_hold_for_their_part_of_a_run(spark):
 def test_long_runs(spark):
     texts = ["a1/" * 30_000, ("0123456789abcdef/" + KEY36 + "/") * 100, "Ab1" * 5_000 + "Cd" * 20_000, "x" * 60_000 + "1" + "xxxx", "aB3+" * 3_000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    n = {r.doc_id: len(r.all_spans) for r in secrets.scan(docs, F.col("text"), ["doc_id"], secrets.alphabet_spans).collect()}
+    n = {r.doc_id: len(r.all_spans) for r in secrets.scan(docs, F.col("text"), ["doc_id"]).collect()}
     assert n == {0: 0, 1: 200, 2: 0, 3: 0, 4: 0}

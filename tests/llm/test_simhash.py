@@ -118,3 +118,19 @@ def test_empty(odd):
 def test_hex(spark):
     row = spark.createDataFrame([(-1,), (0,), (255,)], "fp long").select(simhash.as_hex(F.col("fp")).alias("h")).collect()
     assert [r.h for r in row] == ["f" * 16, "0" * 16, "0" * 14 + "ff"]
+
+
+def test_rows_that_go_are_anti_joined(spark, make):
+    """Documents are not shuffled: the numbers of those that go are broadcast."""
+    docs = make([(i, f"one two three {i % 7} four five six") for i in range(60)])
+    kept = simhash.deduplicate(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in simhash.near_duplicates(docs).collect()})
+
+
+def test_walk_has_partitions_by_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "WALKED", 20)
+    fps = [signed(x) for x in random.Random(8).sample(range(1 << 40), 100)]
+    distinct = spark.createDataFrame([(x,) for x in fps], "fp long")
+    assert simhash.links(distinct).rdd.getNumPartitions() >= 20
