@@ -4,12 +4,13 @@ A revisit is joined, by canonical URL, to the latest earlier full response (as-o
 their validators agree (entity tags by weak comparison, else modification dates), the
 revisit becomes that response with the headers that a 304 answer may update.
 
-The as-of join is two windows: inside (URL, time bucket) each revisit takes the last
-response before it; what a bucket ends with is one row (combined before its shuffle),
-carried over the buckets of its URL and joined to the revisits that found none in
-theirs. So a URL with a third of all captures is spread over its buckets, and a task
-sorts one bucket of one URL at most. Payloads stay out of the join; ``with_payload``
-fetches them by record id.
+The as-of join is two windows over slices: records are range-partitioned by (URL, date,
+id) and written with their slice. Inside a slice each revisit takes the last response of
+its URL before it; what a slice ends with is one row per URL, carried over the later
+slices of that URL and joined to the revisits that found none in theirs. So a URL with a
+third of all captures, also of one day or second, is spread over its slices. Records
+that have no URL or date, and other kinds of records, stay out of it. Payloads stay out
+of the join; ``with_payload`` fetches them by record id.
 
 Defined results: records without URL or date neither resolve nor are resolved to
 ("no_response"); records at the same time are ordered by record id; repeated rows are
@@ -21,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = 86_400
+from quire.session import materialize
+
+DAY = 86_400
 #: The header fields that a 304 answer carries to update a stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that do not change what a URL shows.
@@ -62,30 +65,37 @@ def merged(stored: Column, update: Column) -> Column:
     return F.map_concat(kept, new)
 
 
-def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def resolve(records: DataFrame) -> DataFrame:
     """Records (record_id, warc_type, target_uri, warc_date in seconds, headers with
     lower-case names) to one row per revisit: record_id, url, warc_date, outcome,
     response_id and headers (merged if resolved, else the revisit's own)."""
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    rows = records.select("record_id", "warc_type", canonical(F.col("target_uri")).alias("url"), "warc_date",
-                          F.coalesce("headers", none).alias("headers")) \
-        .withColumn("bucket", F.floor(F.col("warc_date") / bucket))
+    rows = records.filter(F.col("warc_type").isin("response", "revisit")).select(
+        "record_id", "warc_type", canonical(F.col("target_uri")).alias("url"), "warc_date", F.coalesce("headers", none).alias("headers"))
     placed = F.col("url").isNotNull() & F.col("warc_date").isNotNull()
-    full = F.when((F.col("warc_type") == "response") & placed, F.struct("record_id", "headers"))
-    before = Window.partitionBy("url", "bucket").orderBy("warc_date", "record_id") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    here = rows.withColumn("near", F.last(full, ignorenulls=True).over(before)).filter("warc_type = 'revisit'")
-    # what each bucket of a URL ends with, carried to the later ones
+    # written once: both windows must see the same slices
+    sliced = materialize(rows.filter(placed).repartitionByRange("url", "warc_date", "record_id")
+                         .withColumn("slice", F.spark_partition_id()), "revisit-slices")
+    answer = F.struct("record_id", "headers")
+    full = F.when(F.col("warc_type") == "response", answer)
+    before = Window.partitionBy("slice", "url").orderBy("warc_date", "record_id").rowsBetween(Window.unboundedPreceding, -1)
+    here = sliced.withColumn("near", F.last(full, ignorenulls=True).over(before)).filter("warc_type = 'revisit'")
+    # what each slice of a URL ends with, carried to the later ones
     when = F.when(F.col("warc_type") == "response", F.struct("warc_date", "record_id"))
-    ends = rows.filter(placed).groupBy("url", "bucket").agg(F.max_by(full, when).alias("last"))
-    earlier = Window.partitionBy("url").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("url", "bucket", F.last("last", ignorenulls=True).over(earlier).alias("far"))
-    found = here.join(carried, ["url", "bucket"], "left").withColumn("response", F.coalesce("near", "far")) \
+    ends = sliced.groupBy("slice", "url").agg(F.max_by(full, when).alias("last"))
+    earlier = Window.partitionBy("url").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("slice", "url", F.last("last", ignorenulls=True).over(earlier).alias("far"))
+    found = here.join(carried, ["slice", "url"], "left").withColumn("response", F.coalesce("near", "far")) \
         .withColumn("outcome", outcome(F.col("response"), F.col("headers")))
     done = F.col("outcome") == "resolved"
-    return found.select("record_id", "url", "warc_date", "outcome",
-                        F.when(done, F.col("response.record_id")).alias("response_id"),
-                        F.when(done, merged(F.col("response.headers"), F.col("headers"))).otherwise(F.col("headers")).alias("headers"))
+    resolved = found.select("record_id", "url", "warc_date", "outcome",
+                            F.when(done, F.col("response.record_id")).alias("response_id"),
+                            F.when(done, merged(F.col("response.headers"), F.col("headers"))).otherwise(F.col("headers")).alias("headers"))
+    kinds = dict(resolved.dtypes)
+    lost = rows.filter(~placed & (F.col("warc_type") == "revisit")).select(
+        "record_id", "url", "warc_date", F.lit("no_response").alias("outcome"),
+        F.lit(None).cast(kinds["response_id"]).alias("response_id"), "headers")
+    return resolved.unionByName(lost)
 
 
 def with_payload(resolved: DataFrame, records: DataFrame, payload_col: str = "payload") -> DataFrame:
@@ -102,7 +112,7 @@ def captures(pages: DataFrame) -> DataFrame:
     every seventh, and the front page of its host, every fifth time in full."""
     n, at = F.col("page_id"), F.col("page_id") * 60
     tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
-    day = F.concat(F.lit("day "), F.floor(at / BUCKET).cast("string"))
+    day = F.concat(F.lit("day "), F.floor(at / DAY).cast("string"))
     length = F.length(F.coalesce("html", F.lit(""))).cast("string")
     other = F.concat(F.regexp_replace("url", "^https?:", "HTTP:"),
                      F.when(F.col("url").contains("?"), "&utm_medium=again").otherwise("?utm_medium=again"))
@@ -116,7 +126,7 @@ def captures(pages: DataFrame) -> DataFrame:
     def record(k: int, kind: Column, url: Column, date: Column, fields: Column) -> Column:
         return F.struct((n * 4 + k).alias("record_id"), kind.alias("warc_type"), url.alias("target_uri"),
                         date.alias("warc_date"), fields.alias("headers"))
-    then = (at + BUCKET).cast("string")
+    then = (at + DAY).cast("string")
     again = (F.when(n % 4 == 0, headers(("etag", F.concat(F.lit("W/"), tag)), ("date", then), ("cache-control", F.lit("max-age=60"))))
              .when(n % 4 == 1, headers(("last-modified", day), ("date", then), ("expires", F.lit("soon")), ("content-length", F.lit("0"))))
              .when(n % 4 == 2, headers(("etag", F.lit('"other"')), ("date", then)))
@@ -124,7 +134,7 @@ def captures(pages: DataFrame) -> DataFrame:
     made = F.array(
         record(0, F.lit("response"), F.col("url"), at, headers(("content-type", F.lit("text/html")), ("content-length", length),
                                                                ("etag", tag), ("last-modified", day), ("date", at.cast("string")))),
-        record(1, F.lit("revisit"), other, at + BUCKET, again),
+        record(1, F.lit("revisit"), other, at + DAY, again),
         record(2, F.when(n % 5 == 0, "response").otherwise("revisit"), front, at + 30,
                headers(("etag", version), ("date", (at + 30).cast("string")))),
         record(3, F.when(n % 7 == 0, "revisit"), F.col("url"), at - 10, headers(("etag", tag))))
