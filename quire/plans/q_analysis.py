@@ -66,7 +66,7 @@ for _pattern in ("(@)[''’.:·](@)", "(0)[,.;''’](0)"):
         _CLASSES = rf"regexp_replace({_CLASSES}, '{_pattern}', '\1+\2', 'g')"
 _UAX_SQL = rf"""
 WITH c AS (SELECT regexp_extract_all(lower(text), '(?s).') AS ch, regexp_extract_all({_CLASSES}, '(?s).') AS k FROM documents),
-m AS (SELECT array_to_string(list_transform(list_zip(ch, k), x -> CASE WHEN x[2] IN ('@', '0', '_', '+') THEN x[1] ELSE ' ' END), '') AS t FROM c)
+m AS (SELECT array_to_string(list_transform(list_zip(ch, k), lambda x: CASE WHEN x[2] IN ('@', '0', '_', '+') THEN x[1] ELSE ' ' END), '') AS t FROM c)
 SELECT term, count(*)::BIGINT AS cf FROM (SELECT unnest(regexp_extract_all(t, '[^ ]+')) AS term FROM m) GROUP BY term"""
 
 
