@@ -8,10 +8,10 @@ postings   doc_id, term, tf, dl[, positions], part -- dl (document length) is
                                      one large scan and only small joins
 doclen     doc_id, dl             -- documents with at least one term
 terms      term, df, cf           -- collection statistics
-corpus     one row: n_docs, n_docs_nonempty, n_tokens, avgdl
+corpus     one row: n_docs, n_docs_nonempty, n_tokens, avgdl, a mergeable
+           sketch of the distinct terms, and how the index was made
+           (analyzer, stop_words, positions, buckets, parts, columns)
 docs       doc_id + stored fields (contents optional), part
-sketch     one row: a mergeable sketch of the distinct terms
-meta       one row: analyzer, stop_words, positions, buckets, parts, columns
 =========  ==============================================================
 
 ``postings`` is one table, partitioned by ``part`` (a hash of the document id) and
@@ -61,11 +61,11 @@ class Index:
 # ---------------------------------------------------------------- analysis
 
 def spread(docs: DataFrame, buckets: int) -> DataFrame:
-    """Documents of an input with fewer splits than the cluster has cores, dealt by id
-    first: a split is read by one task, however long its texts. An input with more
-    splits stays as it is."""
+    """Documents of an input of fewer files than the cluster has cores, dealt by id first:
+    what a file holds in one row group is read by one task, however long its texts. An input
+    of more files stays as it is. (Counted in the JVM: the names do not come to Python.)"""
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(buckets, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+    return docs.repartition(buckets, "doc_id") if len(docs._jdf.inputFiles()) < cores else docs
 
 
 def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> DataFrame:
@@ -175,7 +175,9 @@ def corpus_stats(docs: DataFrame, doclen: DataFrame) -> DataFrame:
 
 CONF_BUCKETS = "quire.index.buckets"
 CONF_PARTS = "quire.index.parts"
-PARTS = 4
+#: Buckets that make a partition worth having, and partitions at most.
+BUCKETS_PER_PART, MAX_PARTS = 32, 64
+META = ("analyzer", "stop_words", "positions", "buckets", "parts", "columns")
 
 
 def _buckets(spark: SparkSession) -> int:
@@ -184,8 +186,9 @@ def _buckets(spark: SparkSession) -> int:
 
 
 def _parts(spark: SparkSession) -> int:
-    """Number of partitions of a new index, the units that an update rewrites."""
-    return int(spark.conf.get(CONF_PARTS, None) or PARTS)
+    """Number of partitions of a new index, the units that an update rewrites: a setting,
+    else by its buckets, as each bucket has a file in every partition."""
+    return int(spark.conf.get(CONF_PARTS, None) or min(MAX_PARTS, 1 + _buckets(spark) // BUCKETS_PER_PART))
 
 
 def _part(parts: int) -> Column:
@@ -228,7 +231,7 @@ def _write_stop_words(stop_words: DataFrame, path: str) -> DataFrame:
 
 def _write(spark: SparkSession, path: str, postings: DataFrame, fields: DataFrame, analyzer: str, stops: bool,
            positions: bool) -> Index:
-    """Postings (dealt by doc_id) and stored fields as a new index; the row of ``meta`` last."""
+    """Postings (dealt by doc_id) and stored fields as a new index."""
     buckets, parts = _buckets(spark), _parts(spark)
     (postings.withColumn("part", _part(parts)).write.format("parquet").mode("overwrite").option("path", f"{path}/postings")
      .partitionBy("part").bucketBy(buckets, "doc_id").saveAsTable(_table(path)))
@@ -237,17 +240,18 @@ def _write(spark: SparkSession, path: str, postings: DataFrame, fields: DataFram
     meta = {"analyzer": analyzer, "stop_words": stops, "positions": positions, "buckets": buckets, "parts": parts,
             "columns": kinds}
     _write_stats(spark, path, meta)
-    spark.range(1).select(*[F.lit(v).alias(k) for k, v in meta.items()]).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path)
 
 
 def _write_stats(spark: SparkSession, path: str, meta) -> None:
-    """Statistics grouped from the written tables."""
+    """Statistics grouped from the written tables; the row of ``corpus`` last."""
     postings, docs = _postings(spark, path, meta), _docs(spark, path)
     doc_lengths(postings).write.mode("overwrite").parquet(f"{path}/doclen")
     term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
-    corpus_stats(docs, spark.read.parquet(f"{path}/doclen")).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
-    term_sketch(spark.read.parquet(f"{path}/terms")).coalesce(1).write.mode("overwrite").parquet(f"{path}/sketch")
+    sketch = term_sketch(spark.read.parquet(f"{path}/terms")).scalar()
+    corpus = corpus_stats(docs, spark.read.parquet(f"{path}/doclen")).select(
+        "*", sketch.alias("sketch"), *[F.lit(meta[k]).alias(k) for k in META])
+    corpus.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
 
 
 def _postings(spark: SparkSession, path: str, meta) -> DataFrame:
@@ -267,9 +271,9 @@ def _docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _meta(spark: SparkSession, path: str):
-    """The row of ``meta``, or None where no index was finished."""
+    """How the index at a path was made, or None where none was finished."""
     try:
-        return spark.read.parquet(f"{path}/meta").first()
+        return spark.read.parquet(f"{path}/corpus").select(*META).first()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -289,13 +293,13 @@ def open_index(spark: SparkSession, path: str, analyzer: str | None = None) -> I
         raise FileNotFoundError(f"no index at {path}")
     if analyzer is not None and analyzer != m["analyzer"]:
         raise ValueError(f"the index at {path} was built with analyzer {m['analyzer']!r}, not {analyzer!r}")
-    for folder in ("docs", "doclen", "terms", "corpus", "sketch"):
+    for folder in ("docs", "doclen", "terms", "corpus"):
         spark.catalog.refreshByPath(f"{path}/{folder}")
     return Index(
         postings=_postings(spark, path, m), doclen=spark.read.parquet(f"{path}/doclen"),
         terms=spark.read.parquet(f"{path}/terms"), corpus=spark.read.parquet(f"{path}/corpus"),
         docs=_docs(spark, path), analyzer=m["analyzer"], path=path, positions=m["positions"],
-        sketch=spark.read.parquet(f"{path}/sketch"),
+        sketch=spark.read.parquet(f"{path}/corpus").select("sketch"),
         stop_words=spark.read.parquet(f"{path}/stop_words") if m["stop_words"] else None)
 
 
