@@ -25,12 +25,12 @@ from functools import lru_cache
 
 import pyarrow as pa
 
-#: Pieces of so many characters at most are remembered, the second time they are met, in
-#: about so many bytes; when half as many again had no room, the memory starts anew.
-KEPT_BYTES = 56 << 20
+#: Pieces of so many characters at most are remembered, in about so many bytes; when half
+#: as many again had no room, the memory starts anew.
+KEPT_BYTES = 160 << 20
 KEPT_LENGTH = 40
-#: What an entry takes besides its letters and ids; slots for pieces met once.
-ENTRY_BYTES, MET = 170, 1 << 21
+#: What an entry takes besides its letters and ids.
+ENTRY_BYTES = 150
 END = (2).to_bytes(4, "little")
 ODD_SPACE = "\u180e\u200b\ufeff"
 
@@ -88,7 +88,6 @@ class Coder:
         self.kept: dict = {}
         #: by the part that begins a text (spaced)
         self.firsts: dict = {"": b""}
-        self.met = bytearray(MET)
         self.size = self.lost = 0
 
     def encode_column(self, texts: pa.Array, at_once: int = 256) -> Iterator[list[bytes]]:
@@ -144,18 +143,12 @@ class Coder:
         self.keep(fresh)
 
     def keep(self, fresh: dict) -> None:
-        """Remember those of the new pieces that were met before (or share the slot of one
-        that was)."""
-        met = self.met
         for p, ids in fresh.items():
-            slot = hash(p) % MET
-            if not met[slot]:
-                met[slot] = 1
+            took = ENTRY_BYTES + len(p) + len(ids)
+            if self.size > KEPT_BYTES:
+                self.lost += took
             elif len(p) <= KEPT_LENGTH:
-                took = ENTRY_BYTES + len(p) + len(ids)
-                if self.size > KEPT_BYTES:
-                    self.lost += took
-                elif not self.spaced:
+                if not self.spaced:
                     self.kept[p] = ids
                     self.size += took
                 else:
