@@ -130,7 +130,7 @@ def test_fit_and_prediction_against_a_slow_version(docs):
     model = langid.fit(few, per_language=8, clusters=3)
     slow = slow_fit_and_predict([(r.lang, r.text) for r in chosen], texts, langid.DIMS, 3)
     for (lang, score, _), (want, cosine) in zip(model.predict(texts), slow):
-        assert lang == want and abs(score - cosine) < 3e-3
+        assert lang == want and abs(score - cosine) < 1e-2      # the sample travels in half precision
 
 
 def test_any_number_of_languages(spark, monkeypatch):
@@ -148,6 +148,8 @@ def test_any_number_of_languages(spark, monkeypatch):
     assert langid.identify(docs, model).count() == len(rows)
 
 
-def test_ties_go_to_the_first_language(spark):
-    docs = spark.createDataFrame([(i, "same words here", lang) for i, lang in enumerate(["b", "a"] * 20)], "doc_id long, text string, lang string")
-    assert {r.lang_pred for r in langid.identify(docs, langid.fit(docs)).collect()} == {"a"}
+def test_ties_go_to_the_first_language():
+    """Two languages with the same centroid."""
+    centroid = langid.normalised(langid.weights("same words here", 64)[None, :])
+    model = langid.Model(["a", "b"], np.ones(64, np.float32), np.vstack([centroid, centroid]), np.array([0, 1]), np.zeros(2))
+    assert [p[0] for p in model.predict(["same words", "here"])] == ["a", "a"]
