@@ -40,10 +40,10 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def in_slices(column: pa.Array, of: Callable[[pa.Array], pa.Array], rows: int = 256) -> pa.Array:
-    """``of`` applied to a few rows of a column at a time, so that what it makes of them in
+def in_slices(of: Callable[..., pa.Array], *columns: pa.Array, rows: int = 256) -> pa.Array:
+    """``of`` applied to a few rows of columns at a time, so that what it makes of them in
     Python does not add up over a batch."""
-    parts = [of(column.slice(i, rows)) for i in range(0, max(len(column), 1), rows)]
+    parts = [of(*[x.slice(i, rows) for x in columns]) for i in range(0, max(len(columns[0]), 1), rows)]
     return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW, boxed, field
+from quire.llm.common import ROW, boxed, field, in_slices
 from quire.session import ship_package
 
 MARKS = ("<P>", "<S>", "<M>")
@@ -72,6 +72,9 @@ def transformed(text: Column, draw: list[Column], cut: int = CUT, suffix_first:
 
     @F.arrow_udf("n long, form string, prefix_chars long, middle_chars long, output string")
     def of(texts: pa.Array, h1: pa.Array, h2: pa.Array, h3: pa.Array, h4: pa.Array) -> pa.Array:
+        return in_slices(some, texts, h1, h2, h3, h4)
+
+    def some(texts: pa.Array, h1: pa.Array, h2: pa.Array, h3: pa.Array, h4: pa.Array) -> pa.Array:
         ends, whole, data = utf8(texts)
         odd = Exceptions(data)
         ends = ends - ends[0]
@@ -111,6 +114,9 @@ def restored(output: Column, form: Column) -> Column:
     the first of each kind is the one that was put in."""
     @F.arrow_udf("text string, prefix_chars long, middle_chars long")
     def of(outputs: pa.Array, forms: pa.Array) -> pa.Array:
+        return in_slices(some, outputs, forms)
+
+    def some(outputs: pa.Array, forms: pa.Array) -> pa.Array:
         ends, _, data = utf8(outputs)
         odd = Exceptions(data)
         ends = (ends - ends[0]).tolist()

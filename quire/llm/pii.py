@@ -314,7 +314,7 @@ def spans(text: Column) -> Column:
     """Struct of n_email, n_ip, n_card, n_phone, base and spans (both written out)."""
     @F.arrow_udf("n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
     def of(column: pa.Array) -> pa.Array:
-        return in_slices(column, some)
+        return in_slices(some, column)
 
     def some(column: pa.Array) -> pa.Array:
         counts, base, every = [], [], []
@@ -338,7 +338,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced; other columns as given."""
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:
-        return in_slices(column, lambda some: pa.array([redacted(v.as_py()) for v in some], pa.string()))
+        return in_slices(lambda some: pa.array([redacted(v.as_py()) for v in some], pa.string()), column)
 
     ship_package(docs.sparkSession)
     rows = boxed(docs)

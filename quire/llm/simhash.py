@@ -98,7 +98,7 @@ def fingerprints_of(texts: list[bytes | None], size: int) -> np.ndarray:
 def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     @F.arrow_udf("long")
     def of(column: pa.Array) -> pa.Array:
-        return in_slices(column, lambda some: pa.array(fingerprints_of(some.cast(pa.binary()).to_pylist(), size)))
+        return in_slices(lambda some: pa.array(fingerprints_of(some.cast(pa.binary()).to_pylist(), size)), column)
     return of(text)
 
 
