@@ -254,7 +254,18 @@ def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut:
     or every (model, value) pair when ``model`` is None (one scoring pass;
     see ``score``)."""
     qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
-    return top_k(score(index, qt, model, params, cut=cut if len(params) > 1 else None), cut)
+    return top_k(score(index, qt, model, params, cut=cut if len(params) > 1 and _large(index) else None), cut)
+
+
+#: Documents from which a grid is ranked with thresholds. The rows are the same either way;
+#: the first pass costs more than it saves on a small index.
+DEFAULT_THRESHOLD_DOCS = 1_000_000
+CONF_THRESHOLD_DOCS = "quire.rank.thresholdDocs"
+
+
+def _large(index: Index) -> bool:
+    least = index.corpus.sparkSession.conf.get(CONF_THRESHOLD_DOCS, None)
+    return index.corpus.select("n_docs_nonempty").first()[0] >= int(least or DEFAULT_THRESHOLD_DOCS)
 
 
 def total_hits(index: Index, queries: DataFrame, analyzer: str | None = None) -> DataFrame:

@@ -136,8 +136,8 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     - scan splits of ``target_partition_bytes / 2`` (texts expand several
       times when tokenised, so splits stay small enough to aggregate in memory);
     - shuffle partitions so that one partition holds ~``target_partition_bytes``
-      of the largest shuffle (the raw-text shuffle of the index build, about
-      the input size), never fewer than 3 waves of tasks; AQE coalesces the
+      of the largest shuffle (the counted terms of the index build, below the
+      input size), never fewer than 3 waves of tasks; AQE coalesces the
       smaller shuffles of later stages;
     - AQE skew handling with thresholds relative to that partition size.
     """

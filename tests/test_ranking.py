@@ -205,6 +205,13 @@ def test_cut_by_thresholds_changes_no_rank(spark, monkeypatch):
         a, b = (sorted(map(tuple, ranking.top_k(x, 5).select("spec", "query_id", "rk", "doc_id", "score").collect())) for x in (whole, part))
         assert a == b
         assert share == 1000 or part.count() < 0.6 * whole.count()
+    # the grid takes this way from a number of documents on, with the same result
+    want = sorted(map(str, ranking.rank_grid(idx, q, None, specs, 5).collect()))
+    spark.conf.set(ranking.CONF_THRESHOLD_DOCS, "100")
+    try:
+        assert sorted(map(str, ranking.rank_grid(idx, q, None, specs, 5).collect())) == want
+    finally:
+        spark.conf.unset(ranking.CONF_THRESHOLD_DOCS)
 
 
 def test_counted_join_splits_keys_by_their_rows(spark):
