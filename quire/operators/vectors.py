@@ -5,8 +5,8 @@ offsets) are sorted and equal ones gathered by built-in functions, so nothing is
 
 Two-word phrases are matched against a shingle index (analyzer ``shingle2``: adjacent
 word pairs as terms). Phrases of any length are matched against the positions that an
-index keeps with its postings: the rarest word of a phrase makes the candidate places,
-the others are looked up for the documents that have one. No query reads a text.
+index keeps with its postings: pieces of a phrase meet the runs of neighbouring words
+that the positions show. No query reads a text.
 """
 
 from __future__ import annotations
@@ -63,36 +63,51 @@ def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_phrases")))
 
 
+#: Words of a piece of a phrase.
+PIECE = 4
+
+
 def phrase_places(index: Index, phrases: DataFrame, analyzer: str | None = None) -> DataFrame:
     """R15 for phrases of any length: (phrase_id, doc_id, n_places), how often each
     phrase (phrase_id, text) occurs as consecutive words of a document of an index with
     positions.
 
-    Candidate places come from the phrase's rarest word alone (position less its offset in
-    the phrase). The postings of its other words are joined with the candidates of their
-    document; a place that all of them name is an occurrence."""
+    Phrases are cut into pieces of PIECE words, the last one ending with the phrase. The
+    words of phrases in a document, put in order by their positions, give its runs of
+    neighbours of the same lengths; these meet the pieces by equality, so that the rows are
+    at most the document's places for each length, however many phrases share a frequent
+    word. A place that all pieces of a phrase name is an occurrence."""
     if not index.positions:
         raise ValueError("phrases need an index with positions")
-    words = phrases.select("phrase_id", token_array(F.lower("text"), analyzer or index.analyzer).alias("_w"))
-    asked = words.select("phrase_id", F.size("_w").alias("need"), F.posexplode("_w").alias("offset", "term"))
-    # query side: the words of phrases that the collection has all words of
-    known = join_small(index.terms.select("term", "df"), asked, "term")
-    rare = (known.groupBy("phrase_id", "need").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("df", "offset", "term")).alias("_r"))
-            .filter(F.col("_n") == F.col("need")).select("phrase_id", "need", "_r.offset", "_r.term"))
-    rare = materialize(rare, "phrase-rarest")
+    words = phrases.select("phrase_id", token_array(F.lower("text"), analyzer or index.analyzer).alias("_w")) \
+        .filter(F.size("_w") > 0).select("phrase_id", "_w", F.size("_w").alias("need"))
     postings = index.postings.select("doc_id", "term", "positions")
+    one = words.filter(F.col("need") == 1).select("phrase_id", F.col("_w")[0].alias("term"))
+    single = join_small(postings, one, "term").select("phrase_id", "doc_id", F.size("positions").cast("bigint").alias("n_places"))
+
+    size = F.least(F.col("need"), F.lit(PIECE))
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.floor((F.col("need") - 1) / PIECE).cast("int")),
+                                          lambda i: F.least(i * PIECE, F.col("need") - size)))
+    pieces = words.filter(F.col("need") > 1).select("phrase_id", F.size(starts).alias("_pieces"), F.explode(F.transform(
+        starts, lambda at: F.struct(at.alias("offset"), F.slice("_w", at + 1, size).alias("piece")))).alias("_p")) \
+        .select("phrase_id", "_pieces", "_p.*")
+    pieces = materialize(pieces, "phrase-pieces")
+    sizes = sorted(r[0] for r in pieces.select(F.size("piece")).distinct().collect())       # at most PIECE - 1 numbers
+    asked = pieces.select(F.explode("piece").alias("term")).distinct()
+
+    # (at, term) of the phrases' words of a document, by place
+    own = join_small(postings, asked, "term", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("term", "positions")).alias("_t"))
+    placed = F.flatten(F.transform("_t", lambda t: F.transform(t["positions"], lambda p: F.struct(p.alias("at"), t["term"].alias("term")))))
+    own = own.select("doc_id", F.array_sort(placed).alias("_o"))
 
-    def shifted(positions: Column, offset: Column) -> Column:
-        return F.filter(F.transform(positions, lambda p: p - offset), lambda p: p >= 0)
-    first = join_small(postings, rare, "term").select(
-        "phrase_id", "doc_id", "need", shifted(F.col("positions"), F.col("offset")).alias("places")).filter(F.size("places") > 0)
-    first = materialize(first, "phrase-candidates")
-    others = known.select("phrase_id", "offset", "term").join(rare.select("phrase_id", F.col("offset").alias("_first")), "phrase_id") \
-        .filter(F.col("offset") != F.col("_first")).select("phrase_id", "offset", "term")
-    met = join_small(join_small(postings, others, "term"), first, ["phrase_id", "doc_id"])
-    votes = met.select("phrase_id", "doc_id", "need", F.explode(
-        F.array_intersect("places", shifted(F.col("positions"), F.col("offset")))).alias("place"))
-    whole = (votes.groupBy("phrase_id", "doc_id", "place", "need").agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") == F.col("need") - 1).groupBy("phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("n_places")))
-    single = first.filter(F.col("need") == 1).select("phrase_id", "doc_id", F.size("places").cast("bigint").alias("n_places"))
+    def runs_of(k: int) -> Column:
+        made = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_o") - k, F.lit(0))), lambda i: F.struct(
+            F.get("_o", i)["at"].alias("at"), (F.get("_o", i + k - 1)["at"] - F.get("_o", i)["at"]).alias("wide"),
+            F.transform(F.slice("_o", i + 1, k), lambda o: o["term"]).alias("piece")))
+        return F.filter(made, lambda r: r["wide"] == k - 1)
+    every = F.concat(*[runs_of(k) for k in sizes]) if sizes else F.array().cast("array<struct<at:int,wide:int,piece:array<string>>>")
+    found = own.select("doc_id", F.explode_outer(every).alias("_r")).filter(F.col("_r").isNotNull()).select("doc_id", "_r.at", "_r.piece")
+    votes = join_small(found, pieces, "piece").select("phrase_id", "_pieces", "doc_id", (F.col("at") - F.col("offset")).alias("place"))
+    whole = (votes.groupBy("phrase_id", "_pieces", "doc_id", "place").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") == F.col("_pieces")).groupBy("phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("n_places")))
     return whole.unionByName(single)

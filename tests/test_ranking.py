@@ -186,6 +186,29 @@ def test_phrases_of_any_length(spark):
         phrase_places(build_index(spark, docs), asked)
 
 
+def test_phrases_make_no_rows_for_shared_words(spark, monkeypatch):
+    """What phrases write does not grow with the documents that hold their words."""
+    from quire.operators import vectors
+    docs = spark.createDataFrame([(i, "the cat of the dog") for i in range(50)] + [(99, "dog of cat the")], "doc_id long, contents string")
+    asked = spark.createDataFrame([(i, f"the cat of {'the' if i % 2 else 'cat'}") for i in range(8)], "phrase_id int, text string")
+    idx, written, real = build_index(spark, docs, positions=True), [], vectors.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(vectors, "materialize", counted)
+    got = {(r.phrase_id, r.doc_id): r.n_places for r in vectors.phrase_places(idx, asked).collect()}
+    assert got == {(p, d): 1 for p in (1, 3, 5, 7) for d in range(50)}
+    assert sum(written) <= 16
+    # pieces of a long phrase: the last one overlaps, all must agree on the place
+    long = spark.createDataFrame([(1, "a b a b a b c"), (2, "x a b a b a b"), (3, None)], "doc_id long, contents string")
+    asked = spark.createDataFrame([(1, "a b a b a b"), (2, "b a b a b c"), (3, "a b a b c c"), (4, "a b")], "phrase_id int, text string")
+    got = {(r.phrase_id, r.doc_id): r.n_places
+           for r in vectors.phrase_places(build_index(spark, long, positions=True), asked).collect()}
+    assert got == {(1, 1): 1, (1, 2): 1, (2, 1): 1, (4, 1): 3, (4, 2): 3}
+
+
 def test_cut_by_thresholds_changes_no_rank(spark, monkeypatch):
     """Rows below a score that enough documents reach go before the ranking; ties at the
     cut and queries with few hits stay whole."""
