@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from quire.operators.index import Index
 from quire.operators.joins import counted_join, fits_broadcast, join_small, salted_join
 from quire.operators.ranking import BM25_B, BM25_K1, corpus_scalars, round_score, weight
+from quire.session import materialize
+from quire.sources.collection import ordered_ids
 
 
 def boolean_rank(index: Index, clauses: DataFrame, model: str = "bm25", param: float = 0.0,
@@ -98,8 +100,12 @@ def wildcard_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     # every character quoted on its own, then the wildcards put back
     quoted = F.regexp_replace("pattern", r"([^\p{L}\p{N}])", r"\\$1")
     regex = F.replace(F.replace(quoted, F.lit("\\*"), F.lit(".*")), F.lit("\\?"), F.lit("."))
+    # cheap tests that come first; with one wildcard, a star, they decide
     pats = pats.withColumn("_key", F.substring(longest, 1, GRAM)) \
-        .withColumn("_regex", F.concat(F.lit("(?s)^"), regex, F.lit("$")))
+        .withColumn("_regex", F.concat(F.lit("(?s)^"), regex, F.lit("$"))) \
+        .withColumn("_head", runs[0]).withColumn("_tail", F.element_at(runs, -1)) \
+        .withColumn("_least", F.length(F.replace("pattern", F.lit("*"), F.lit("")))) \
+        .withColumn("_plain", (F.size(runs) == 2) & F.contains("pattern", F.lit("*")))
     n = F.length("term")
 
     def grams(k: int) -> Column:
@@ -107,19 +113,45 @@ def wildcard_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
             .otherwise(F.array().cast("array<string>"))
     keys = F.array_distinct(F.concat(F.array(F.lit("")), *[grams(k) for k in range(1, GRAM + 1)]))
     keyed = terms.select("term", F.explode(keys).alias("_key"))
+    matches = F.expr("length(term) >= _least AND startswith(term, _head) AND endswith(term, _tail) AND (_plain OR term rlike _regex)")
     # only keys that a pattern asks for leave the vocabulary scan
-    return join_small(keyed, pats, "_key").filter(F.expr("term rlike _regex")).select("query_id", "pattern", "term")
+    return join_small(keyed, pats, "_key").filter(matches).select("query_id", "pattern", "term")
+
+
+#: Patterns whose hits in a document are bits of one number.
+WORD_BITS = 64
 
 
 def wildcard_rank(index: Index, patterns: DataFrame, cut: int = 10, prefixes: bool = True) -> DataFrame:
     """Constant-score wildcard query: a document scores 1 per pattern it
     matches (through any expansion); top ``cut`` by score, then doc id. With
-    ``prefixes`` a pattern is a prefix, otherwise it has its own ``*`` and ``?``."""
-    exp = (prefix_expansion if prefixes else wildcard_expansion)(index.terms.select("term"), patterns)
-    hits = (join_small(index.postings.select("doc_id", "term"), exp, "term")
-            .select("query_id", "pattern", "doc_id").distinct())
-    scored = hits.groupBy("query_id", "doc_id").agg(
-        F.count(F.lit(1)).cast("double").alias("score"))
+    ``prefixes`` a pattern is a prefix, otherwise it has its own ``*`` and ``?``.
+
+    A pattern is expanded once, whatever the number of queries that have it. Patterns are
+    numbered, and WORD_BITS of them make a word: a document's hits are a mask for each word,
+    united over its postings, and a query counts the bits that it shares with them. So no
+    row is made for each query, pattern and term, and postings, bucketed by document, are
+    grouped without a shuffle."""
+    asked = patterns.select("query_id", "pattern").distinct().filter(F.col("pattern").isNotNull())
+    number = F.col("_n") - 1
+    numbered = materialize(ordered_ids(asked.select("pattern").distinct(), "pattern", "_n").select(
+        "pattern", F.floor(number / WORD_BITS).alias("_word"),
+        F.expr(f"shiftleft(1L, CAST((_n - 1) % {WORD_BITS} AS INT))").alias("_bit")), "wildcard-patterns")
+    exp = (prefix_expansion if prefixes else wildcard_expansion)(
+        index.terms.select("term"), numbered.select(F.lit(0).alias("query_id"), "pattern"))
+    # at most a row per term and word
+    exp = materialize(join_small(exp, numbered, "pattern").groupBy("term", "_word").agg(F.bit_or("_bit").alias("_mask")),
+                      "wildcard-terms")
+    postings = index.postings.select("doc_id", "term")
+    if fits_broadcast(exp):
+        met = postings.join(F.broadcast(exp), "term")
+    else:
+        met = counted_join(postings, exp.join(index.terms.select("term", "df"), "term"), "term", "df", spread_col="doc_id")
+    hits = met.groupBy("doc_id", "_word").agg(F.bit_or("_mask").alias("_mask"))
+    wants = join_small(asked, numbered, "pattern").groupBy("query_id", "_word").agg(F.bit_or("_bit").alias("_want"))
+    shared = join_small(hits, materialize(wants, "wildcard-queries"), "_word").select(
+        "query_id", "doc_id", F.bit_count(F.col("_mask").bitwiseAND(F.col("_want"))).alias("_n")).filter(F.col("_n") > 0)
+    scored = shared.groupBy("query_id", "doc_id").agg(F.sum("_n").cast("double").alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return (scored.withColumn("rk", F.row_number().over(win).cast("bigint"))
             .filter(F.col("rk") <= cut).select("query_id", "rk", "doc_id", "score"))

@@ -163,6 +163,38 @@ def test_wildcards_anywhere(spark):
     assert got == {(p, w) for p in ("a", "ab", "zz", "x") for w in words if w.startswith(p)}
 
 
+@pytest.mark.parametrize("prefixes", [True, False])
+def test_wildcard_rank_expands_patterns_once(spark, monkeypatch, prefixes):
+    """Ranks are those of a count per query and document; over 64 patterns; queries that
+    share a pattern add no expansion."""
+    import random
+    from quire.operators import structured
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcde", k=rng.randrange(1, 5))) for _ in range(60)]
+    texts = {i: rng.sample(words, rng.randrange(0, 9)) for i in range(40)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()] + [(90, None)], "doc_id long, contents string")
+    made = sorted({w[:k] if prefixes else w[:k] + "?" * (k % 2) + "*" for w in words for k in (1, 2, 3, 4)})
+    asked = [(q, p) for q in range(6) for p in rng.sample(made, 30)] + [(7, p) for p in made] + [(8, made[0]), (8, made[0]), (9, "zz")]
+    patterns = spark.createDataFrame([*asked, (9, None)], "query_id int, pattern string")
+    name, rows = "prefix_expansion" if prefixes else "wildcard_expansion", []
+    real = getattr(structured, name)
+
+    def seen(terms, pats):
+        out = real(terms, pats)
+        rows.append((out.count(), out.select("pattern", "term").distinct().count()))
+        return out
+    monkeypatch.setattr(structured, name, seen)
+    got = [tuple(r) for r in structured.wildcard_rank(build_index(spark, docs), patterns, 5, prefixes).orderBy("query_id", "rk").collect()]
+    want = []
+    for q in sorted({q for q, _ in asked}):
+        pats = {p for a, p in asked if a == q}
+        n = {d: sum(any(_wild(p + "*" * prefixes, w) for w in t) for p in pats) for d, t in texts.items()}
+        best = sorted((d for d in n if n[d]), key=lambda d: (-n[d], d))[:5]
+        want += [(q, i + 1, d, float(n[d])) for i, d in enumerate(best)]
+    assert got == want and len(made) > 64
+    assert rows and all(every == once for every, once in rows)
+
+
 def test_phrases_of_any_length(spark):
     from quire.operators.vectors import phrase_places
     docs = spark.createDataFrame([(1, "to be or not to be"), (2, "be to be"), (3, "not"), (4, None), (5, "a a a a"),
