@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.tokens import forget_pieces
+
 #: ASCII white space; the complement makes words.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -42,7 +44,9 @@ def let(value: Column, body) -> Column:
 
 def in_slices(of: Callable[..., pa.Array], *columns: pa.Array, rows: int = 256) -> pa.Array:
     """``of`` applied to a few rows of columns at a time, so that what it makes of them in
-    Python does not add up over a batch."""
+    Python does not add up over a batch. It is for stages that encode no tokens: pieces that
+    the worker remembers from one that did are given back."""
+    forget_pieces()
     parts = [of(*[x.slice(i, rows) for x in columns]) for i in range(0, max(len(columns[0]), 1), rows)]
     return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import gc
 import os
 from array import array
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,8 +30,9 @@ import pyarrow as pa
 #: as many again had no room, the memory starts anew.
 KEPT_BYTES = 160 << 20
 KEPT_LENGTH = 40
-#: What an entry takes besides its letters and ids.
+#: What an entry takes besides its letters and ids, and so the entries at most.
 ENTRY_BYTES = 150
+KEPT_PIECES = KEPT_BYTES // ENTRY_BYTES
 END = (2).to_bytes(4, "little")
 ODD_SPACE = "\u180e\u200b\ufeff"
 
@@ -145,7 +147,7 @@ class Coder:
     def keep(self, fresh: dict) -> None:
         for p, ids in fresh.items():
             took = ENTRY_BYTES + len(p) + len(ids)
-            if self.size > KEPT_BYTES:
+            if self.size > KEPT_BYTES or len(self.kept) + len(self.firsts) > KEPT_PIECES:
                 self.lost += took
             elif len(p) <= KEPT_LENGTH:
                 if not self.spaced:
@@ -172,4 +174,17 @@ class Coder:
 @lru_cache(maxsize=4)
 def coder(path: str, spaced: bool) -> Coder:
     gc.set_threshold(1_000_000)  # the memory holds no cycles, and walking it costs as much as using it
-    return Coder(path, spaced)
+    _CODERS.append(Coder(path, spaced))
+    return _CODERS[-1]
+
+
+#: The coders of this worker, at most four.
+_CODERS: deque[Coder] = deque(maxlen=4)
+
+
+def forget_pieces() -> None:
+    """Give back what this worker's coders remember: Spark uses its workers again, and a
+    stage that encodes nothing has no use for it."""
+    for one in _CODERS:
+        if one.size:
+            one.forget()

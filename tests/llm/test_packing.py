@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quire.llm import packing, tokenfiles
+from quire.llm import packing, tokenfiles, tokens
 from quire.llm.tokens import Coder
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -206,3 +206,16 @@ def test_memory_of_pieces_is_bounded(monkeypatch):
             c = tokens.Coder(path, spaced)
             got = [tuple(np.frombuffer(x, "<u4").tolist()) for some in c.encode_column(pa.array(texts), 16) for x in some]
             assert got == want and c.size <= room + 2000
+
+
+def test_pieces_are_given_back():
+    """A worker that goes on with a stage without tokens keeps no pieces."""
+    import pyarrow as pa
+    from quire.llm import pii
+    from quire.llm.common import in_slices
+    own = tokens.coder(BYTE, True)
+    want = own.encode(["alpha beta gamma"])
+    assert own.size > 0
+    assert in_slices(lambda some: pa.array([pii.redacted(v.as_py()) for v in some]), pa.array(["a@b.org"])).to_pylist() == ["[EMAIL]"]
+    assert own.size == 0 and not own.kept and own.firsts == {"": b""}
+    assert own.encode(["alpha beta gamma"]) == want
