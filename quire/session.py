@@ -107,6 +107,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete what is at a path, if anything, through the Hadoop file system."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` once to a fresh folder under the shared folder and read it
     back: a lineage cut that survives executor loss and, unlike

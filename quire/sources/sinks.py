@@ -11,11 +11,16 @@ memory.
 
 from __future__ import annotations
 
+import os
+import re
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.session import delete_path, materialize
 
 
 def write_collection(df: DataFrame, path: str, id_col: str = "doc_id",
@@ -55,12 +60,56 @@ def write_query_lines(queries: DataFrame, path: str) -> str:
 def write_tree(docs: DataFrame, path: str, folder_col: str = "source",
                text_col: str = "contents") -> str:
     """A directory tree: one sub-folder per ``folder_col`` value, one file per
-    document (``maxRecordsPerFile=1``)."""
-    (docs.select(folder_col, text_col).write.mode("overwrite")
-     .option("maxRecordsPerFile", 1).partitionBy(folder_col).text(path))
+    document, named as ``partitionBy`` names folders.
+
+    Spark's writer does it (``maxRecordsPerFile=1``), except in a folder that every
+    machine mounts (``file:``): there Hadoop starts two ``chmod`` processes a file, which
+    take nearly all the time, and tasks write the files themselves. Their rows are
+    written once before, so that a task that is run again writes the same files."""
+    local = _mounted(docs.sparkSession, path)
+    if local is None:
+        (docs.select(folder_col, text_col).write.mode("overwrite")
+         .option("maxRecordsPerFile", 1).partitionBy(folder_col).text(path))
+        return path
+    rows = materialize(docs.select(F.col(folder_col).cast("string").alias("folder"), F.col(text_col).alias("text")), "tree-rows")
+    delete_path(docs.sparkSession, path)
+    (rows.mapInArrow(lambda batches: _write_files(batches, local, folder_col), "files bigint")
+     .write.format("noop").mode("overwrite").save())
     return path
 
 
+def _mounted(spark, path: str) -> str | None:
+    """The path without scheme if it is in a local file system, else None."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(jpath).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _folder_name(column: str, value: str | None) -> str:
+    """``column=value`` as ``partitionBy`` writes it."""
+    if not value:
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return f"{column}=" + re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def _write_files(batches, root: str, column: str):
+    """One file per row (folder, text) of this task. A file gets its name when it is whole."""
+    task, made, n = TaskContext.get(), set(), 0
+    for batch in batches:
+        for folder, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            at = os.path.join(root, _folder_name(column, folder))
+            if at not in made:
+                os.makedirs(at, exist_ok=True)
+                made.add(at)
+            name = f"part-{task.partitionId():05d}-{n:09d}.txt"
+            part = os.path.join(at, f".{name}.{task.taskAttemptId()}")
+            with open(part, "wb", buffering=0) as f:
+                f.write((text.as_py() or b"") + b"\n")
+            os.replace(part, os.path.join(at, name))
+            n += 1
+    yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+
 def write_report_csv(report: DataFrame, path: str, header: bool = True) -> str:
     """K5-K9: a report table as CSV part files (header per file)."""
     report.write.mode("overwrite").option("header", str(header).lower()).csv(path)

@@ -159,3 +159,22 @@ def test_header_of_a_run_names_its_metric(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "a", "s.csv"), "query,MAP@10\n7,0.1\n")
     with pytest.raises(ValueError):
         run_metric(spark, os.path.join(tmp_dir, "a"))
+
+
+def test_tree_files_written_by_tasks(spark, tmp_dir):
+    """One file per row and nothing beside it (no checksum file, whose making starts a process),
+    folders and texts as Spark's own writer has them, an older tree gone."""
+    from quire.sources.sinks import write_tree
+
+    rows = [("web", "a\nb"), ("web", "a\nb"), ("a/b=c %", "é"), (None, "x"), ("", "y"), ("web", None), ("web", "")]
+    docs = spark.createDataFrame(rows, "source string, contents string").repartition(3)
+    root, plain = os.path.join(tmp_dir, "tree"), os.path.join(tmp_dir, "plain")
+    write_tree(spark.createDataFrame([("old", "old")], "source string, contents string"), root)
+    write_tree(docs, root)
+    docs.write.option("maxRecordsPerFile", 1).partitionBy("source").text(plain)
+
+    def files(top, name):
+        return sorted((os.path.basename(d), open(os.path.join(d, f), "rb").read()) for d, _, names in os.walk(top) for f in names if name(f))
+    assert files(root, lambda f: True) == files(plain, lambda f: f.startswith("part-"))
+    assert len(files(root, lambda f: True)) == len(rows)
+    assert scan_files(spark, "file://" + root, only_ext=["txt"]).count() == len(rows)
