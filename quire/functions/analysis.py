@@ -1,10 +1,10 @@
-"""Analyzers: text column -> array<string> of terms, plus the vocabulary jobs.
+"""Analyzers: text column -> array<string> of terms, plus stemming.
 
 Every analyzer is expressed with built-in SQL functions (regex extraction,
 lower, split, filter), so tokenisation runs inside whole-stage codegen on the
 executors. Stop words from a file are removed with a broadcast anti join of a
-size-checked table; stemming runs once per *distinct term* (see
-``stem_vocabulary``), never per token.
+size-checked table; stemming runs once per *distinct term* of a batch of texts (see
+``stemmed``), never per token.
 
 Analyzer names (the same analyzer must be used for documents and queries):
 
@@ -24,7 +24,10 @@ shingle2   adjacent pairs of standard terms, "w1 w2" (a phrase index)
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import lru_cache
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,8 +137,8 @@ def token_array(text: Column | str, analyzer: str = "standard",
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}; choose from {ANALYZERS}")
     if stop_words:
-        stops = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
-        arr = F.filter(arr, lambda x: ~F.array_contains(stops, x))
+        # a set of literals is looked up by hash
+        arr = F.filter(arr, lambda x: ~x.isin(sorted(set(stop_words))))
     return arr
 
 
@@ -188,21 +191,41 @@ def stemmer_for(analyzer: str):
     return STEMMERS.get(analyzer)
 
 
-def _stem_udf(analyzer: str):
-    fn = STEMMERS[analyzer]
+#: Stems that a worker remembers, per analyzer.
+KEPT_STEMS = 200_000
+
+
+@lru_cache
+def _memo(analyzer: str):
+    return lru_cache(maxsize=KEPT_STEMS)(STEMMERS[analyzer])
+
+
+def _stems(words: pa.Array, analyzer: str) -> pa.Array:
+    """Stems of an array of strings, one call per different word of it."""
+    coded = pc.dictionary_encode(words)
+    made = pa.array(map(_memo(analyzer), coded.dictionary.to_pylist()), pa.string())
+    return made.take(coded.indices)
+
+
+def stemmed(words: Column, analyzer: str) -> Column:
+    """Stem of every element of a token-array *column*: the different words of a batch of
+    texts are stemmed once, and nothing is shuffled."""
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def stem(lists: pa.Array) -> pa.Array:
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32()))
+        return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), _stems(lists.flatten(), analyzer),
+                                        mask=lists.is_null())
 
-    @F.pandas_udf(T.StringType())
-    def stem(terms: pd.Series) -> pd.Series:
-        return terms.map(fn)
+    return stem(words)
 
-    return stem
 
+def stemmed_term(term: Column, analyzer: str) -> Column:
+    """Stem of a term column, once per different term of a batch."""
+    @F.arrow_udf(T.StringType())
+    def stem(terms: pa.Array) -> pa.Array:
+        return _stems(terms, analyzer)
 
-def stem_vocabulary(terms: DataFrame, analyzer: str, term_col: str = "term") -> DataFrame:
-    """(term, stem) for the distinct terms of ``terms``: one Python call per
-    vocabulary entry, Arrow-batched."""
-    vocab = terms.select(term_col).distinct()
-    return vocab.select(F.col(term_col), _stem_udf(analyzer)(F.col(term_col)).alias("stem"))
+    return stem(term)
 
 
 def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, term_col: str = "term",

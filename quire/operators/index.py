@@ -38,7 +38,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions.analysis import (remove_stop_words, runs, shingles, stem_vocabulary,
+from quire.functions.analysis import (remove_stop_words, runs, shingles, stemmed, stemmed_term,
                                       stemmer_for, token_array)
 from quire.operators.joins import broadcast_if_small, join_small
 from quire.session import materialize, overwriting_partitions, scratch_path
@@ -80,15 +80,16 @@ def explode_terms(df: DataFrame, keep: list[str], arr_col: str = "_toks") -> Dat
 def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id",
                 text_col: str = "contents", stop_words: DataFrame | None = None,
                 stop_list: tuple[str, ...] | None = None, positions: bool = False,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, united: bool = True) -> DataFrame:
     """(id, term, tf, dl[, positions]): term frequencies of each text, its length and,
     if asked, where each term stands (from 0, rising).
 
     Counted inside the row, so nothing is shuffled unless ``buckets`` asks for rows
-    dealt by id: then the counted terms are, never the texts. Stop words of a table
-    and stems are joined after counting, one row per different term of a text; stems
-    (which may unite terms of a text) and lengths without stop words are then grouped
-    by id."""
+    dealt by id: then the counted terms are, never the texts. Words are stemmed before
+    they are counted; texts of one id and length are then counted together, unless
+    ``united`` is false (for sums over all texts, which come out the same). Stop words of a
+    table are joined after counting, one row per different term of a text, and stems made
+    then; lengths without stop words are grouped by id."""
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(buckets, id_col) if buckets else rows
 
@@ -96,21 +97,20 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     if analyzer == "shingle2":
         words = words.select(id_col, shingles(F.col("_toks")).alias("_toks"))
     stem, late = stemmer_for(analyzer), stop_words is not None
+    if stem and not late:
+        words = words.select(id_col, stemmed(F.col("_toks"), analyzer).alias("_toks"))
     counted = _counted(words, id_col, positions)
-    rows = (counted if late or stem else dealt(counted)).select(id_col, "dl", F.explode_outer("_c").alias("_c")) \
+    rows = (counted if late else dealt(counted)).select(id_col, "dl", F.explode_outer("_c").alias("_c")) \
         .filter(F.col("_c").isNotNull()).select(id_col, "dl", "_c.*")
     if late:
-        rows = remove_stop_words(rows, stop_words)
-        if stem is None:
-            rows = dealt(rows).withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
-    if stem is not None:
-        # written before stemming: the vocabulary and the regrouping read it, the texts are read once
-        rows = materialize(rows, "unstemmed")
-        rows = dealt(join_small(rows, stem_vocabulary(rows, analyzer), "term"))
+        rows = dealt(remove_stop_words(rows, stop_words))
+        if stem:
+            rows = rows.withColumn("term", stemmed_term(F.col("term"), analyzer))
+    if stem and (late or united):
         where = [F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions")] if positions else []
-        rows = rows.groupBy(id_col, "dl", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"), *where)
-        if late:
-            rows = rows.withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
+        rows = rows.groupBy(id_col, "dl", "term").agg(F.sum("tf").alias("tf"), *where)
+    if late:
+        rows = rows.withColumn("dl", F.sum("tf").over(Window.partitionBy(id_col)))
     return rows.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"), F.col("dl").cast("bigint").alias("dl"),
                        *(["positions"] if positions else []))
 

@@ -81,9 +81,9 @@ def tok_standard_uax(spark, sf_dir):
 @register("tok_english")
 def tok_english(spark, sf_dir):
     """Possessive removal, English stop words, Porter stemming (stems
-    computed once per distinct term, joined back)."""
+    computed once per distinct term of a batch of texts)."""
     d = documents(spark, sf_dir)
-    return (term_counts(d, "english", text_col="contents").groupBy("term")
+    return (term_counts(d, "english", text_col="contents", united=False).groupBy("term")
             .agg(F.sum("tf").cast("bigint").alias("cf")))
 
 
@@ -91,7 +91,7 @@ def tok_english(spark, sf_dir):
 def tok_spanish(spark, sf_dir):
     """Spanish stop words and light stemming over all documents."""
     d = documents(spark, sf_dir)
-    return (term_counts(d, "spanish", text_col="contents").groupBy("term")
+    return (term_counts(d, "spanish", text_col="contents", united=False).groupBy("term")
             .agg(F.sum("tf").cast("bigint").alias("cf")))
 
 

@@ -71,3 +71,30 @@ def test_spanish_stop_words_by_default(spark):
     df = spark.createDataFrame([("Los niños estuvieron en la casa también",)], "t string")
     assert df.select(token_array(F.col("t"), "spanish")).first()[0] == ["niños", "casa"]
     assert df.select(token_array(F.col("t"), "spanish", ("casa",))).first()[0][:2] == ["los", "niños"]
+
+
+def test_stems_inside_the_row(spark):
+    """Stems are counted with the text's own rows: nothing is shuffled or joined where texts stay
+    apart, and texts of one id and length are counted together otherwise."""
+    from collections import Counter
+
+    from quire.functions.analysis import token_array
+    from quire.functions.stemmers import porter_stem
+    from quire.operators.index import term_counts
+
+    rows = [(1, "Running runs the runner's run"), (1, "Running runs the runner's run"), (2, None), (3, ""), (None, "the cats' cat")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, contents string").coalesce(1)
+    apart = term_counts(docs, "english", united=False)
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    words = [(r[0], [porter_stem(w) for w in r[1] or []]) for r in docs.select("doc_id", token_array("contents", "english")).collect()]
+    want = Counter((i, t, n, len(w)) for i, w in words for t, n in Counter(w).items())
+    assert Counter(tuple(r) for r in apart.collect()) == want
+    together = Counter()
+    for (i, t, n, dl), k in want.items():
+        together[i, t, dl] += n * k
+    for buckets in (None, 4):
+        got = {(r["doc_id"], r["term"], r["dl"]): r["tf"] for r in term_counts(docs, "english", buckets=buckets).collect()}
+        assert got == together
+    placed = {(r["term"], tuple(r["positions"])) for r in term_counts(docs.filter("doc_id is null").limit(1), "english", positions=True).collect()}
+    assert placed == {("cat", (0, 1))}
