@@ -107,6 +107,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path, 0 if it is not there."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete what is at a path, if anything, through the Hadoop file system."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

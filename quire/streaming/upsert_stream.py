@@ -7,6 +7,11 @@ is upserted into the buckets that its keys fall into, and only these are
 overwritten. ``trigger(availableNow=True)`` processes what is there and stops
 -- the batch form of a continuous job.
 
+A stream of many micro-batches would copy the table once for each, as their keys fall into
+every bucket. So it lays them aside, one folder each, and merges them when they have grown
+as large as the table and when the stream ends: what is written in all stays in proportion
+to the input. The merge gives what upserting them one after the other would.
+
 Every finished micro-batch is recorded with the checkpoint that numbered it. One
 that is delivered again, as happens when a driver is lost between the write and
 the commit of its number, is skipped if it was recorded, and otherwise upserted
@@ -17,11 +22,12 @@ and in the table's folder, both shared.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.operators.joins import broadcast_if_small
 from quire.operators.upsert import latest_per_key, upsert
-from quire.session import materialize, overwriting_partitions
+from quire.session import delete_path, materialize, overwriting_partitions, path_bytes
 
 BUCKETS = 32
 EPOCHS = "checkpoint string, epoch long"
@@ -60,17 +66,77 @@ def upsert_batch(spark: SparkSession, root: str, batch: DataFrame, key: str,
         new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/rows")
 
 
+def _done(spark: SparkSession, root: str, checkpoint: str, epoch: int) -> bool:
+    done = _read(spark, f"{root}/epochs")
+    return done is not None and not done.filter((F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch)).isEmpty()
+
+
+def _record(spark: SparkSession, root: str, checkpoint: str, epoch: int) -> None:
+    spark.range(1).select(F.lit(checkpoint).alias("checkpoint"), F.lit(epoch).cast("long").alias("epoch")) \
+        .coalesce(1).write.mode("append").parquet(f"{root}/epochs")
+
+
 def upsert_epoch(spark: SparkSession, root: str, batch: DataFrame, checkpoint: str, epoch: int, key: str,
                  order_col: str | None = None, buckets: int = BUCKETS) -> bool:
     """``upsert_batch`` unless this micro-batch of this checkpoint is recorded as done;
     whether it was carried out."""
-    done = _read(spark, f"{root}/epochs")
-    if done is not None and not done.filter((F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch)).isEmpty():
+    if _done(spark, root, checkpoint, epoch):
         return False
     if not batch.isEmpty():
         upsert_batch(spark, root, batch, key, order_col, buckets)
-    spark.range(1).select(F.lit(checkpoint).alias("checkpoint"), F.lit(epoch).cast("long").alias("epoch")) \
-        .coalesce(1).write.mode("append").parquet(f"{root}/epochs")
+    _record(spark, root, checkpoint, epoch)
+    return True
+
+
+def _folded(pending: DataFrame, key: str, order_col: str | None) -> DataFrame:
+    """One row per key: what upserting the micro-batches in turn leaves of them, and
+    ``_forced``, whether it takes the place of any older row (an update without a value to
+    order by does). Rows without a key never replace one another."""
+    cols = [c for c in pending.columns if c not in (key, "_epoch")]
+    each = F.when(F.col(key).isNull(), F.col("_epoch")).alias("_each")
+    if order_col:
+        w = Window.partitionBy(key, each)
+        rows = pending.withColumn("_from", F.max(F.when(F.col(order_col).isNull(), F.col("_epoch"))).over(w))
+        rows = rows.filter(F.col("_from").isNull() | (F.col("_epoch") >= F.col("_from")))
+        first, forced = [F.col(order_col).alias("_o")], F.max("_from").isNotNull()
+    else:
+        rows, first, forced = pending, [], F.lit(False)
+    best = F.max(F.struct(*first, F.col("_epoch"), F.struct(*[F.col(c) for c in cols]).alias("_p")))
+    return (rows.groupBy(key, each).agg(best.alias("_r"), forced.alias("_forced"))
+            .select(key, *[F.col(f"_r._p.{c}").alias(c) for c in cols], "_forced"))
+
+
+def merge_pending(spark: SparkSession, root: str, key: str, order_col: str | None = None, buckets: int = BUCKETS) -> None:
+    """Merge the micro-batches that were laid aside into the table, and drop them."""
+    pending = _read(spark, f"{root}/pending")
+    if pending is None:
+        return
+    new = materialize(_folded(pending, key, order_col).withColumn("bucket", _bucket(key, buckets)), "stream-batch")
+    old = _read(spark, f"{root}/rows")
+    rows = new.drop("_forced")
+    if old is not None:
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]      # at most ``buckets`` numbers
+        kept = old.filter(F.col("bucket").isin(touched)).drop("bucket") \
+            .join(broadcast_if_small(new.filter("_forced").select(key)), key, "left_anti")
+        plain = rows.drop("bucket")
+        merged = upsert(kept, plain.filter(F.col(key).isNotNull()), key, order_col).unionByName(plain.filter(F.col(key).isNull()))
+        rows = materialize(merged.withColumn("bucket", _bucket(key, buckets)), "stream-merged")
+    with overwriting_partitions(spark):
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/rows")
+    delete_path(spark, f"{root}/pending")
+
+
+def lay_aside_epoch(spark: SparkSession, root: str, batch: DataFrame, checkpoint: str, epoch: int, key: str,
+                    order_col: str | None = None, buckets: int = BUCKETS) -> bool:
+    """Lay a micro-batch aside unless it is recorded as done, and merge what lies there once
+    it is as large as the table; whether it was carried out."""
+    if _done(spark, root, checkpoint, epoch):
+        return False
+    if not batch.isEmpty():
+        latest_per_key(batch, key, order_col).select(*batch.columns).write.mode("overwrite").parquet(f"{root}/pending/_epoch={epoch}")
+        if path_bytes(spark, f"{root}/pending") >= path_bytes(spark, f"{root}/rows"):
+            merge_pending(spark, root, key, order_col, buckets)
+    _record(spark, root, checkpoint, epoch)
     return True
 
 
@@ -83,10 +149,12 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema, table_root: str,
               .option("maxFilesPerTrigger", max_files_per_batch).load(source_dir))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        upsert_epoch(batch.sparkSession, table_root, batch, checkpoint, epoch, key, order_col, buckets)
+        lay_aside_epoch(batch.sparkSession, table_root, batch, checkpoint, epoch, key, order_col, buckets)
 
+    merge_pending(spark, table_root, key, order_col, buckets)            # what a lost driver left
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    merge_pending(spark, table_root, key, order_col, buckets)
     return current_table(spark, table_root)

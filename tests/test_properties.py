@@ -94,3 +94,24 @@ def test_sketches_of_parts_estimate_the_whole(spark):
     docs = spark.createDataFrame([(1, "red fox"), (2, "red dog")], "doc_id long, contents string")
     a, b = build_index(spark, docs.limit(1)), build_index(spark, docs)
     assert approximate_terms(a.sketch, b.sketch).first().n_terms == 3 and approximate_terms(a.sketch).first().n_terms == 2
+
+
+def test_stream_merges_in_proportion(spark, tmp_dir, monkeypatch):
+    """Seven micro-batches rewrite the table fewer times, and leave what upserting them one
+    after the other does: late, equal and missing order values, keys that are null."""
+    from quire.streaming import upsert_stream as us
+
+    schema, merges = "doc_id long, contents string, turn long", []
+    whole = us.merge_pending
+    monkeypatch.setattr(us, "merge_pending", lambda s, root, *a: (merges.append(us._read(s, f"{root}/pending") is not None), whole(s, root, *a)))
+    for order, n in (("turn", 7), (None, 3)):
+        src, one, many = (os.path.join(tmp_dir, f"{x}-{order}") for x in ("src", "one", "many"))
+        for i in range(n):
+            rows = [(k, f"{i} {k} " + "x" * 50, None if (i + k) % 7 == 0 else (i * 5 + k) % 11) for k in range(i % 3, 30, 3)] + [(None, f"{i}", i)]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+            us.upsert_epoch(spark, one, spark.createDataFrame(rows, schema), "c", i, "doc_id", order, 4)
+        merges.clear()
+        got = us.upsert_stream(spark, src, spark.createDataFrame([], schema).schema, many, os.path.join(tmp_dir, f"ck-{order}"),
+                               "doc_id", order, max_files_per_batch=1, buckets=4)
+        assert sum(merges) < min(n, 6)
+        assert sorted(map(str, got.collect())) == sorted(map(str, us.current_table(spark, one).collect()))
