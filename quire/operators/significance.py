@@ -18,7 +18,7 @@ Semantics kept from the statistics library the replaced system calls:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.distributions import normal_cdf_udf, t_pvalue_udf
@@ -142,6 +142,17 @@ aggregate(sequence(1, CAST(n AS INT)),
           transform(sequence(0, CAST(n * (n + 1) / 2 AS INT)), s -> IF(s = 0, 1L, 0L)),
           (acc, k) -> transform(acc, (c, s) -> c + IF(s >= k, acc[s - k], 0L)))
 """
+# of these, the subsets whose sum is at least w, for every w
+_SUBSETS_FROM = """
+transform(_cnt, (c, w) -> aggregate(slice(_cnt, w + 1, size(_cnt)), 0L, (a, x) -> a + x))
+"""
+
+
+def exact_tails(spark: SparkSession) -> DataFrame:
+    """(n, _tail) for n = 1..EXACT_MAX_N: _tail[w] subsets of {1..n} have a sum of at least
+    w. They depend on n alone, so a pair looks its own up."""
+    n = spark.range(1, EXACT_MAX_N + 1, numPartitions=1).withColumnRenamed("id", "n")
+    return n.withColumn("_cnt", F.expr(_SUBSET_COUNTS)).select("n", F.expr(_SUBSETS_FROM).alias("_tail"))
 
 
 def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = False,
@@ -152,10 +163,8 @@ def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = Fals
     if method not in ("exact", "normal"):
         raise ValueError("method must be 'exact' or 'normal'")
     s = wilcoxon_statistic(pairs)
-    counts = F.expr(_SUBSET_COUNTS)
-    exact = s.withColumn("_cnt", F.when(F.col("n") <= EXACT_MAX_N, counts))
-    larger = F.expr("aggregate(sequence(0, size(_cnt) - 1), 0L, "
-                    "(a, s) -> a + IF(s >= w_max, _cnt[s], 0L))")
+    exact = s.join(F.broadcast(exact_tails(s.sparkSession)), "n", "left").select(*s.columns, "_tail")
+    larger = F.coalesce(F.get("_tail", F.ceil("w_max").cast("int")), F.lit(0))
     p_exact = F.lit(2.0) * larger / F.pow(F.lit(2.0), F.col("n"))
     if cap_at_one:
         p_exact = F.least(F.lit(1.0), p_exact)
@@ -165,7 +174,7 @@ def wilcoxon_test(pairs: DataFrame, alpha: float = 0.05, cap_at_one: bool = Fals
     z = (w_min - es - F.lit(0.5)) / F.sqrt(var)
     return (exact.withColumn("p_exact", F.when(F.col("n") <= EXACT_MAX_N, p_exact))
             .withColumn("p_normal", F.when(var > 0, F.lit(2.0) * normal_cdf_udf(z)))
-            .drop("_cnt")
+            .drop("_tail")
             .withColumn("reject_exact", F.col("p_exact") < alpha)
             .withColumn("reject_normal", F.col("p_normal") < alpha)
             .withColumn("reject", F.col(f"reject_{method}")))

@@ -87,3 +87,21 @@ def test_against_commons_math(spark, n, seed):
     runs = _runs(spark, xs, ys)
     assert t_test(paired_runs(runs)).first()["p_value"] == pytest.approx(p_t, abs=1e-9)
     assert wilcoxon_test(paired_runs(runs)).first()["p_exact"] == pytest.approx(p_w, abs=1e-12)
+
+
+def test_exact_tails_are_looked_up(spark):
+    """The subsets are counted once per n, not once per pair, and give the same p."""
+    from quire.operators.significance import wilcoxon_test
+
+    rows = [(f"r{n}", "z", "m", q, 0.0, float((q * 7) % (n + 3)) * (-1) ** (q % 3)) for n in (1, 2, 5, 12, 29, 30, 31) for q in range(n)]
+    got = wilcoxon_test(spark.createDataFrame(rows, "run_a string, run_b string, metric string, query_id long, x double, y double"))
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    for r in got.select("n", "w_max", "p_exact").collect():
+        if r.n > 30:
+            assert r.p_exact is None
+            continue
+        counts = [1] + [0] * (r.n * (r.n + 1) // 2)
+        for k in range(1, r.n + 1):
+            counts = [c + (counts[s - k] if s >= k else 0) for s, c in enumerate(counts)]
+        assert r.p_exact == 2.0 * sum(c for s, c in enumerate(counts) if s >= r.w_max) / 2.0 ** r.n
+    assert got.count() == 7
