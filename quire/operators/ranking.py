@@ -1,6 +1,8 @@
 """Ranking: every query of a batch, every parameter value, in one job.
 
-Plan shape (checked with ``explain``)::
+The best hits of a batch whose terms can be sent to the tasks come from blocks of documents
+(``best``, ``docscores``). Plan shape of all scores, and of larger batches (checked with
+``explain``)::
 
     query_terms (small, size-checked broadcast)
       -> join terms (df, cf)            broadcast into the terms scan
@@ -33,6 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.docscores import best_scores, numbered_terms, query_table
 from quire.operators.index import Index, term_counts
 from quire.operators.joins import counted_join, fits_broadcast, join_small, salted_join
 from quire.session import materialize
@@ -244,8 +247,7 @@ def rank(index: Index, queries: DataFrame, model: str = "jm", param: float | Non
     """Run (query_id, rk, doc_id, score) of one model for a query batch."""
     p = _check_param(model, param)
     qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
-    scored = score(index, qt, model, [p], k1, b)
-    return top_k(scored, cut).select("query_id", "rk", "doc_id", "score")
+    return best(index, qt, model, [p], cut, k1, b).select("query_id", "rk", "doc_id", "score")
 
 
 def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut: int = 10,
@@ -254,7 +256,26 @@ def rank_grid(index: Index, queries: DataFrame, model: str | None, params, cut:
     or every (model, value) pair when ``model`` is None (one scoring pass;
     see ``score``)."""
     qt = query_terms(queries, analyzer or index.analyzer, stop_words=index.stop_words)
-    return top_k(score(index, qt, model, params, cut=cut if len(params) > 1 and _large(index) else None), cut)
+    return best(index, qt, model, params, cut)
+
+
+def best(index: Index, qterms: DataFrame, model: str | None, params, cut: int, k1: float = BM25_K1,
+         b: float = BM25_B) -> DataFrame:
+    """(spec, model, param, query_id, doc_id, score, rk): the first ``cut`` hits per query and
+    (model, parameter) pair. Weights are made once per posting and multiplied with the
+    queries some documents at a time (``docscores``), so that no row is made per query and
+    posting; a query batch beyond the bound of that is joined (``score``)."""
+    table = query_table(qterms)
+    if table is None:
+        return top_k(score(index, qterms, model, params, k1, b, cut if len(params) > 1 and _large(index) else None), cut)
+    specs = _specs(model, params)
+    stats = index.terms.join(F.broadcast(numbered_terms(index.terms, table)), "term")
+    feats = index.postings.select("doc_id", "term", "tf", "dl").join(F.broadcast(stats), "term")
+    args = (F.col("tf"), F.col("dl"), F.col("df"), F.col("cf"), *corpus_scalars(index), k1, b)
+    scored = best_scores(feats, table, qterms.schema["query_id"].dataType, [weight(m, v, *args) for m, v in specs], cut,
+                         SCORE_DECIMALS)
+    names, values = (F.element_at(F.array(*[F.lit(s[i]) for s in specs]), F.col("spec") + 1) for i in (0, 1))
+    return top_k(scored, cut).select("spec", names.alias("model"), values.alias("param"), "query_id", "doc_id", "score", "rk")
 
 
 #: Documents from which a grid is ranked with thresholds. The rows are the same either way;

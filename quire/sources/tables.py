@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.analysis import token_array
+from quire.operators.docscores import query_table, shared_terms
 from quire.operators.joins import broadcast_if_small, join_small
 
 
@@ -36,13 +37,18 @@ def derived_qrels(queries: DataFrame, postings: DataFrame, min_share: float = 0.
     """(query_id, doc_id): a document is relevant when it contains at least
     ``min_share`` of the query's distinct terms (standard analyzer).
 
-    An equi join on term between the query terms (size-checked broadcast) and
-    the postings, then a count per (query, document) with partial aggregation;
-    no pair of query and document is formed unless they share a term.
+    Counted for some documents and all queries at a time (``docscores``) where the query
+    terms can be sent to the tasks. Otherwise an equi join on term between the query terms
+    (size-checked broadcast) and the postings, then a count per (query, document) with
+    partial aggregation; no pair is formed unless they share a term.
     """
     qt = (queries.select("query_id", F.explode_outer(F.array_distinct(
             token_array(F.lower("text"), analyzer))).alias("term"))
           .filter(F.col("term").isNotNull()))
+    known = qt.filter(F.col("query_id").isNotNull()).withColumn("qtf", F.lit(1))
+    table = query_table(known)
+    if table is not None:
+        return shared_terms(postings, table, qt.schema["query_id"].dataType, min_share)
     nq = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("nq"))
     hits = (join_small(postings.select("doc_id", "term"), qt, "term")
             .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))

@@ -300,3 +300,44 @@ def test_fuzzy_leaves_out_long_terms_before_neighbourhoods(spark):
     terms = spark.createDataFrame([("x" * 5000,), ("fox",), ("foxes",), ("f",)], "term string")
     q = spark.createDataFrame([(1, "fox")], "query_id int, term string")
     assert {r.match for r in fuzzy_expansion(terms, q, 2).collect()} == {"fox", "foxes", "f"}
+
+
+def test_best_hits_from_blocks_are_those_of_the_join(spark, monkeypatch):
+    """No row per query and posting is made for a batch that can be sent to the tasks; ids
+    that repeat or are null, ties at the cut and scores of 0 come out as joined."""
+    import random
+    from quire.operators import docscores, ranking
+    from quire.operators.joins import CONF_MAX_ROWS
+    from quire.sources.tables import derived_qrels
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(rng.choice([None, *range(250)]), " ".join(rng.choices("abcdefgh", weights=(30, 20, 9, 8, 7, 3, 2, 1), k=rng.randrange(1, 12))))
+                                  for _ in range(400)], "doc_id long, contents string")
+    idx = build_index(spark, docs)
+    q = spark.createDataFrame([(1, "a b c a"), (2, "h g"), (3, "a"), (3, "a d"), (4, "zzz h"), (None, "b d")], "query_id int, text string")
+    specs = [("jm", 0.0), ("jm", 0.3), ("jm", 1.0), ("dirichlet", 0.0), ("dirichlet", 50.0), ("bm25", 0.0)]
+
+    def results():
+        run = ranking.rank_grid(idx, q, None, specs, 5)
+        none = ranking.rank_grid(idx, q, "jm", [spark.sql("SELECT CAST(null AS DOUBLE) AS p").scalar()], 3)
+        qrels = derived_qrels(q, idx.postings, 0.5)
+        return [sorted(map(str, x.select("query_id", "doc_id", *(["spec", "model", "param", "score", "rk"] if x is not qrels else [])).collect()))
+                for x in (run, none, qrels)]
+    spark.conf.set(CONF_MAX_ROWS, "0")
+    try:
+        want = results()
+    finally:
+        spark.conf.unset(CONF_MAX_ROWS)
+    monkeypatch.setattr(ranking, "score", None)
+    for docs_at_once, scores in ((3, 200), (32, 2_000_000)):
+        monkeypatch.setattr(docscores, "DOCS_AT_ONCE", docs_at_once)
+        monkeypatch.setattr(docscores, "SCORES_AT_ONCE", scores)
+        assert results() == want
+    assert len(want[0]) > 100 and want[1] and want[2]
+
+
+def test_query_table_is_bounded(spark, monkeypatch):
+    from quire.operators import docscores
+    qt = query_terms(spark.createDataFrame([(1, "a b"), (2, "c d")], "query_id long, text string"))
+    assert docscores.query_table(qt).counts().sum() == 4
+    monkeypatch.setattr(docscores, "MAX_QUERY_CELLS", 7)
+    assert docscores.query_table(qt) is None
