@@ -157,36 +157,18 @@ def runs(ordered: Column, fields: tuple[str, ...] = ()) -> Column:
     n = F.size(ordered)
     term = (lambda i: F.get(ordered, i)["term"]) if fields else (lambda i: F.get(ordered, i))
     ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i + 1 == n) | (term(i) != term(i + 1)))
+    # arrays of the fields, made once, so that a run is cut from plain values
+    once = F.array(F.struct(ends.alias("ends"), *[ordered[k].alias(k) for k in fields]))
 
-    def counted(e: Column, before: Column) -> Column:
+    def counted(e: Column, before: Column, all_of: Column) -> Column:
         first = F.coalesce(before, F.lit(-1)) + 1
-        run = F.slice(ordered, first + 1, e - first + 1)
-        return F.struct(term(e).alias("term"), (e - first + 1).alias("tf"), *[run[k].alias(k) for k in fields])
+        return F.struct(term(e).alias("term"), (e - first + 1).alias("tf"),
+                        *[F.slice(all_of[k], first + 1, e - first + 1).alias(k) for k in fields])
     # each end beside the one before it
-    made = F.transform(F.array(ends), lambda every: F.transform(every, lambda e, j: counted(e, F.get(every, j - 1))))[0]
+    made = F.transform(once, lambda one: F.transform(one["ends"], lambda e, j: counted(e, F.get(one["ends"], j - 1), one)))[0]
     return F.when(n > 0, made)
 
 
-SUM_BLOCK = 256
-
-
-def running_sum(values: Column) -> Column:
-    """Running sums of an array *column* of whole numbers, inside the row: within blocks,
-    then with the sums of the blocks before, as an array can only grow by copying."""
-    def sums(a: Column) -> Column:
-        return F.aggregate(a, F.array().cast("array<bigint>"),
-                           lambda acc, x: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x))
-    n = F.size(values)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SUM_BLOCK).cast("int")),
-                         lambda b: sums(F.slice(values, b * SUM_BLOCK + 1, SUM_BLOCK)))
-
-    def moved(inner: Column) -> Column:
-        ends = sums(F.transform(inner, lambda r: F.element_at(r, -1)))
-        return F.transform(F.array(ends), lambda before: F.flatten(F.transform(
-            inner, lambda r, i: F.transform(r, lambda v: v + F.coalesce(F.get(before, i - 1), F.lit(0))))))[0]
-    return F.when(n > 0, F.transform(F.array(blocks), moved)[0]).otherwise(F.array().cast("array<bigint>"))
-
-
 def stemmer_for(analyzer: str):
     return STEMMERS.get(analyzer)
 

@@ -120,7 +120,7 @@ def _counted(words: DataFrame, id_col: str, positions: bool) -> DataFrame:
     its own, so that no function of it sorts again."""
     toks = F.col("_toks")
     if positions:
-        ordered = F.array_sort(F.transform(toks, lambda w, i: F.struct(w.alias("term"), i.cast("int").alias("positions"))))
+        ordered = F.sort_array(F.transform(toks, lambda w, i: F.struct(w.alias("term"), i.cast("int").alias("positions"))))
     else:
         ordered = F.sort_array(toks)
     rows = words.select(id_col, F.size("_toks").alias("dl"), ordered.alias("_s"))

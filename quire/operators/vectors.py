@@ -1,7 +1,7 @@
 """Positional term vectors and phrase matching.
 
 Term vectors are made inside the row of a document: tokens with their positions (and
-offsets) are sorted and equal ones gathered by built-in functions, so nothing is shuffled.
+offsets) are sorted and equal ones gathered there, so nothing is shuffled.
 
 Two-word phrases are matched against a shingle index (analyzer ``shingle2``: adjacent
 word pairs as terms). Phrases of any length are matched against the positions that an
@@ -11,13 +11,19 @@ that the positions show. No query reads a text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.functions.analysis import NOT_WORD, WORD, running_sum, runs, shingles, token_array
+from quire.functions.analysis import NOT_WORD, WORD, shingles, token_array
 from quire.operators.index import Index, term_counts
 from quire.operators.joins import join_small
-from quire.session import materialize
+from quire.session import materialize, ship_package
 
 
 def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "contents",
@@ -35,19 +41,48 @@ def term_vectors(docs: DataFrame, analyzer: str = "standard", text_col: str = "c
 def _term_vectors_with_offsets(docs: DataFrame, text_col: str) -> DataFrame:
     """Standard analyzer with offsets. Splitting the text on word runs gives
     the separators (one before every token, plus a trailing one); a token
-    ends at the running sum of separator and token lengths up to it."""
+    ends at the running sum of separator and token lengths up to it. The tokens of some
+    documents at a time are then gathered by document and term (``gathered``)."""
     x = F.col(text_col)
     d = docs.select("doc_id", F.array_remove(F.split(x, NOT_WORD), "").alias("_t"), F.split(x, WORD).alias("_s"))
     # separators beyond the tokens' are the trailing one
-    d = d.select("doc_id", "_t", F.zip_with("_t", F.slice("_s", 1, F.size("_t")), lambda t, s: (F.length(t) + F.length(s)).cast("bigint"))
-                 .alias("_n"))
-    d = d.select("doc_id", "_t", running_sum(F.col("_n")).alias("_e"))
-    fields = ("positions", "start_offsets", "end_offsets")
-    tokens = F.transform("_t", lambda t, i: F.struct(F.lower(t).alias("term"), i.cast("bigint").alias(fields[0]),
-                                                     (F.get("_e", i) - F.length(t)).alias(fields[1]), F.get("_e", i).alias(fields[2])))
-    d = d.select("doc_id", F.array_sort(tokens).alias("_o")).select("doc_id", runs(F.col("_o"), fields).alias("_c"))
-    return (d.select("doc_id", F.explode_outer("_c").alias("_c")).filter(F.col("_c").isNotNull())
-            .select("doc_id", "_c.term", F.col("_c.tf").cast("bigint").alias("freq"), *[F.col(f"_c.{k}").alias(k) for k in fields]))
+    d = d.select("doc_id", F.transform("_t", lambda t: F.lower(t)).alias("_l"), F.transform("_t", lambda t: F.length(t)).alias("_w"),
+                 F.zip_with("_t", F.slice("_s", 1, F.size("_t")), lambda t, s: F.length(t) + F.length(s)).alias("_n"))
+    lists = [T.StructField(k, T.ArrayType(T.LongType())) for k in OFFSET_FIELDS]
+    ship_package(docs.sparkSession)
+    return d.mapInArrow(gathered, T.StructType([d.schema["doc_id"], T.StructField("term", T.StringType()),
+                                                T.StructField("freq", T.LongType()), *lists]))
+
+
+OFFSET_FIELDS = ("positions", "start_offsets", "end_offsets")
+#: Documents whose tokens are gathered at once.
+GATHERED = 500
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document and term from rows of an id, lower-cased tokens, their lengths,
+    and these with the separators before them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, GATHERED):
+            ids, tokens, widths, steps = batch.slice(at, GATHERED).columns
+            sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+            row, before = np.repeat(np.arange(len(ids)), sizes), np.repeat(np.cumsum(sizes) - sizes, sizes)
+            if not len(row):
+                continue
+            every = np.concatenate([[0], np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)])
+            ends = every[1:] - every[before]
+            coded = tokens.flatten().dictionary_encode()
+            code = coded.indices.to_numpy()
+            key = row * len(coded.dictionary) + code
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            cuts = pa.array(np.append(first, len(order)), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(v[order], pa.int64()))
+                     for v in (np.arange(len(row)) - before, ends - widths.flatten().to_numpy(), ends)]
+            one = order[first]
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(row[one])), coded.dictionary.take(pa.array(code[one])),
+                 pa.array(np.diff(cuts.to_numpy()), pa.int64()), *lists], ["doc_id", "term", "freq", *OFFSET_FIELDS])
 
 
 def phrase_matches(pair_postings: DataFrame, queries: DataFrame) -> DataFrame:

@@ -98,3 +98,24 @@ def test_stems_inside_the_row(spark):
         assert got == together
     placed = {(r["term"], tuple(r["positions"])) for r in term_counts(docs.filter("doc_id is null").limit(1), "english", positions=True).collect()}
     assert placed == {("cat", (0, 1))}
+
+
+def test_offsets_without_copying_arrays(spark, monkeypatch):
+    from quire.operators import vectors
+    monkeypatch.setattr(vectors, "GATHERED", 2)
+    texts = [(1, "B b, a"), (2, None), (None, "  "), (3, "ab " * 3000), (1, "Ünï b"), (4, "--x--X")]
+    made = vectors.term_vectors(spark.createDataFrame(texts, "doc_id long, contents string").coalesce(1), offsets=True)
+    got = sorted((r.doc_id, r.term, r.freq, r.positions[:2], r.start_offsets[:2], r.end_offsets[-1]) for r in made.collect())
+    assert got == [(1, "a", 1, [2], [5], 6), (1, "b", 1, [1], [4], 5), (1, "b", 2, [0, 1], [0, 2], 3), (1, "ünï", 1, [0], [0], 3),
+                   (3, "ab", 3000, [0, 1], [0, 3], 8999), (4, "x", 2, [0, 1], [2, 5], 6)]
+    assert made.columns == ["doc_id", "term", "freq", "positions", "start_offsets", "end_offsets"]
+    assert "array_append" not in made._jdf.queryExecution().toString()
+
+
+def test_runs_cut_plain_arrays(spark):
+    from quire.functions.analysis import runs
+    df = spark.createDataFrame([([("a", 1, 5), ("a", 2, 6), ("b", 0, 7)],), ([],), (None,)], "o array<struct<term:string,p:int,e:bigint>>")
+    made = df.select(runs(F.col("o"), ("p", "e")).alias("c"))
+    assert [r.c and [(x.term, x.tf, x.p, x.e) for x in r.c] for r in made.collect()] == [
+        [("a", 2, [1, 2], [5, 6]), ("b", 1, [0], [7])], None, None]
+    assert "slice(o#" not in made._jdf.queryExecution().optimizedPlan().toString()
