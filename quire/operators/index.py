@@ -22,26 +22,32 @@ are grouped from the table afterwards. A scan is partitioned by document, so wha
 groups by (query, document) needs no exchange: only the best few rows per task and query
 are shuffled.
 
-Terms are counted inside the row of their document: its tokens are sorted and runs of
-equal ones counted by built-in functions. Texts stay where they are read; what is
-shuffled, once and into the buckets, is one array of counted terms per document.
+Terms are counted beside the text that they come from, for some documents at a time in
+Arrow batches (``counted``); with positions, and where a text is one term, by built-in
+functions in its row. Texts stay where they are read; what is shuffled, once and into the
+buckets, is one pair of arrays (terms and how often each) per document.
 Tokenisation happens once per build: statistics are derived from the written table.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.analysis import (remove_stop_words, runs, shingles, stemmed, stemmed_term,
                                       stemmer_for, token_array)
 from quire.operators.joins import broadcast_if_small, join_small
-from quire.session import materialize, overwriting_partitions, scratch_path
+from quire.session import materialize, overwriting_partitions, scratch_path, ship_package
 
 
 @dataclass
@@ -84,7 +90,7 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     """(id, term, tf, dl[, positions]): term frequencies of each text, its length and,
     if asked, where each term stands (from 0, rising).
 
-    Counted inside the row, so nothing is shuffled unless ``buckets`` asks for rows
+    Counted row by row, so nothing is shuffled unless ``buckets`` asks for rows
     dealt by id: then the counted terms are, never the texts. Words are stemmed before
     they are counted; texts of one id and length are then counted together, unless
     ``united`` is false (for sums over all texts, which come out the same). Stop words of a
@@ -94,13 +100,17 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
         return rows.repartition(buckets, id_col) if buckets else rows
 
     words = df.select(F.col(id_col), token_array(F.col(text_col), analyzer, stop_list).alias("_toks"))
+    in_row = positions or analyzer == "keyword"
     if analyzer == "shingle2":
         words = words.select(id_col, shingles(F.col("_toks")).alias("_toks"))
     stem, late = stemmer_for(analyzer), stop_words is not None
     if stem and not late:
         words = words.select(id_col, stemmed(F.col("_toks"), analyzer).alias("_toks"))
-    counted = _counted(words, id_col, positions)
-    rows = (counted if late else dealt(counted)).select(id_col, "dl", F.explode_outer("_c").alias("_c")) \
+    if in_row:
+        rows, each = _counted(words, id_col, positions), F.col("_c")
+    else:
+        rows, each = _counted_together(words, id_col), F.arrays_zip("term", "tf")
+    rows = (rows if late else dealt(rows)).select(id_col, "dl", F.explode_outer(each).alias("_c")) \
         .filter(F.col("_c").isNotNull()).select(id_col, "dl", "_c.*")
     if late:
         rows = dealt(remove_stop_words(rows, stop_words))
@@ -127,6 +137,54 @@ def _counted(words: DataFrame, id_col: str, positions: bool) -> DataFrame:
     return rows.select(id_col, "dl", runs(F.col("_s"), ("positions",) if positions else ()).alias("_c"))
 
 
+#: Tokens that are counted at once (a longer document alone).
+COUNTED = 1_000_000
+
+
+def _counted_together(words: DataFrame, id_col: str, pairs: bool = False) -> DataFrame:
+    """(id, dl, term, tf): the array ``_toks`` (without null elements) as an array of its
+    different terms, and one of how often each is there. With ``pairs`` the terms are "w1 w2"
+    of neighbouring elements (``shingles``), of which no text is made before they are counted."""
+    ship_package(words.sparkSession)
+    return words.mapInArrow(lambda batches: counted(batches, pairs), T.StructType([
+        words.schema[id_col], T.StructField("dl", T.IntegerType()), T.StructField("term", T.ArrayType(T.StringType())),
+        T.StructField("tf", T.ArrayType(T.IntegerType()))]))
+
+
+def counted(batches: Iterator[pa.RecordBatch], pairs: bool = False) -> Iterator[pa.RecordBatch]:
+    """One row per row of an id and an array of words: the id, the number of terms (null for
+    null), the different terms, and how often each is there."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column(1))
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        if pairs:
+            sizes = pc.max_element_wise(pc.subtract(sizes, 1), 0, skip_nulls=False)
+        lo = 0
+        while lo < len(ends):
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + COUNTED, side="right")))
+            row = np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi], prepend=before))
+            coded = batch.column(1).slice(lo, hi - lo).flatten().dictionary_encode()
+            word, width = coded.indices.to_numpy(), max(1, len(coded.dictionary))
+            if pairs:
+                same = row[1:] == row[:-1]
+                row, word, width = row[1:][same], (word[:-1].astype(np.int64) * width + word[1:])[same], width * width
+            # a number per row and term
+            key, times = np.unique(row * width + word, return_counts=True)
+            cuts = pa.array(np.searchsorted(key, np.arange(hi - lo + 1) * width), pa.int32())
+            term = key % width
+            if pairs:
+                first, second = np.divmod(term, max(1, len(coded.dictionary)))
+                terms = pc.binary_join_element_wise(coded.dictionary.take(pa.array(first)), coded.dictionary.take(pa.array(second)), " ")
+            else:
+                terms = coded.dictionary.take(pa.array(term))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo), sizes.slice(lo, hi - lo).cast(pa.int32()),
+                 pa.ListArray.from_arrays(cuts, terms), pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32()))],
+                [batch.schema.names[0], "dl", "term", "tf"])
+            lo = hi
+
+
 # ---------------------------------------------------------------- statistics
 
 def doc_lengths(postings: DataFrame) -> DataFrame:
