@@ -100,8 +100,8 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
         return rows.repartition(buckets, id_col) if buckets else rows
 
     words = df.select(F.col(id_col), token_array(F.col(text_col), analyzer, stop_list).alias("_toks"))
-    in_row = positions or analyzer == "keyword"
-    if analyzer == "shingle2":
+    pairs, in_row = analyzer == "shingle2", positions or analyzer == "keyword"
+    if pairs and in_row:
         words = words.select(id_col, shingles(F.col("_toks")).alias("_toks"))
     stem, late = stemmer_for(analyzer), stop_words is not None
     if stem and not late:
@@ -109,7 +109,7 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     if in_row:
         rows, each = _counted(words, id_col, positions), F.col("_c")
     else:
-        rows, each = _counted_together(words, id_col), F.arrays_zip("term", "tf")
+        rows, each = _counted_together(words, id_col, pairs), F.arrays_zip("term", "tf")
     rows = (rows if late else dealt(rows)).select(id_col, "dl", F.explode_outer(each).alias("_c")) \
         .filter(F.col("_c").isNotNull()).select(id_col, "dl", "_c.*")
     if late:

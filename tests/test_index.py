@@ -237,3 +237,11 @@ def test_terms_counted_beside_the_text(spark, monkeypatch):
         out = [r for b in index.counted(iter([batch, batch.slice(2, 3)])) for r in b.to_pylist()]
         assert [(r["dl"], dict(zip(r["term"], r["tf"]))) for r in out] == \
             [(None if x is None else len(x), Counter(x)) for x in lists + lists[2:5]]
+
+
+def test_pairs_counted_as_numbers(spark):
+    """Word pairs are counted before a text is made of them."""
+    got = term_counts(docs(spark, MIXED), "shingle2")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "sort_array" not in plan and "zip_with" not in plan
+    assert Counter(map(tuple, got.collect())) == brute("shingle2")
