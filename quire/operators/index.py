@@ -25,7 +25,8 @@ are shuffled.
 Terms are counted beside the text that they come from, for some documents at a time in
 Arrow batches (``counted``); with positions, and where a text is one term, by built-in
 functions in its row. Texts stay where they are read; what is shuffled, once and into the
-buckets, is one pair of arrays (terms and how often each) per document.
+buckets, is one pair of arrays (terms and how often each) per document. A task of the shuffle
+has one bucket and writes the files of its partitions side by side, without sorting postings.
 Tokenisation happens once per build: statistics are derived from the written table.
 """
 
@@ -47,7 +48,7 @@ from pyspark.sql import types as T
 from quire.functions.analysis import (remove_stop_words, runs, shingles, stemmed, stemmed_term,
                                       stemmer_for, token_array)
 from quire.operators.joins import broadcast_if_small, join_small
-from quire.session import materialize, overwriting_partitions, scratch_path, ship_package
+from quire.session import files_side_by_side, materialize, overwriting_partitions, scratch_path, ship_package
 
 
 @dataclass
@@ -291,8 +292,9 @@ def _write(spark: SparkSession, path: str, postings: DataFrame, fields: DataFram
            positions: bool) -> Index:
     """Postings (dealt by doc_id) and stored fields as a new index."""
     buckets, parts = _buckets(spark), _parts(spark)
-    (postings.withColumn("part", _part(parts)).write.format("parquet").mode("overwrite").option("path", f"{path}/postings")
-     .partitionBy("part").bucketBy(buckets, "doc_id").saveAsTable(_table(path)))
+    with files_side_by_side(spark, parts):
+        (postings.withColumn("part", _part(parts)).write.format("parquet").mode("overwrite").option("path", f"{path}/postings")
+         .partitionBy("part").bucketBy(buckets, "doc_id").saveAsTable(_table(path)))
     fields.withColumn("part", _part(parts)).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
     kinds = ", ".join(f"`{c}` {t}" for c, t in postings.dtypes)
     meta = {"analyzer": analyzer, "stop_words": stops, "positions": positions, "buckets": buckets, "parts": parts,
@@ -383,7 +385,8 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
         raise ValueError("append uses the stop words of the index")
     old, m = open_index(spark, path, analyzer), _meta(spark, path)
     new = _analysed(docs, old, m, text_col)
-    new.write.mode("append").insertInto(_table(path))
+    with files_side_by_side(spark, m["parts"]):
+        new.write.mode("append").insertInto(_table(path))
     fields = docs.select("doc_id", *stored, *([text_col] if contents_stored else [])).withColumn("part", _part(m["parts"]))
     fields.write.mode("append").partitionBy("part").parquet(f"{path}/docs")
     _write_stats(spark, path, m)
@@ -427,7 +430,7 @@ def _replace(spark: SparkSession, path: str, meta, ids: DataFrame, postings: Dat
     columns, name = _columns(meta), _table(path)
     kept = _postings(spark, path, meta).filter(F.col("part").isin(touched)).join(gone, "doc_id", "left_anti").select(*columns)
     merged = materialize(kept.unionByName(postings), "merged-postings")
-    with overwriting_partitions(spark):
+    with overwriting_partitions(spark), files_side_by_side(spark, meta["parts"]):
         merged.repartition(meta["buckets"], "doc_id").write.mode("overwrite").insertInto(name)
     # a partition without rows is not among those written: it is emptied by name
     left = {r["part"] for r in merged.select("part").distinct().collect()}

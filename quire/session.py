@@ -130,18 +130,27 @@ def materialize(df, name: str):
 
 
 @contextmanager
-def overwriting_partitions(spark: SparkSession):
-    """Inside, an overwrite replaces the partitions that it has rows for and leaves the
-    others as they are."""
-    key = "spark.sql.sources.partitionOverwriteMode"
+def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def overwriting_partitions(spark: SparkSession):
+    """Inside, an overwrite replaces the partitions that it has rows for and leaves the
+    others as they are."""
+    return _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def files_side_by_side(spark: SparkSession, files: int):
+    """Inside, a task that writes at most so many files has them open together, instead of
+    sorting its rows by file first. (Beyond that Spark sorts the rest.)"""
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(files + 1))
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 512 << 20) -> dict[str, str]:
     """Settings for a cluster run, derived from the input size.

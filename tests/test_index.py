@@ -245,3 +245,20 @@ def test_pairs_counted_as_numbers(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "sort_array" not in plan and "zip_with" not in plan
     assert Counter(map(tuple, got.collect())) == brute("shingle2")
+
+
+def test_postings_written_without_sort(spark, tmp_dir, monkeypatch):
+    """The files of a bucket's partitions are written side by side, one for each; the setting is put back."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(key, None)
+    part = index._part
+    monkeypatch.setattr(index, "_part", lambda parts: (seen.append(spark.conf.get(key, None)), part(parts))[1])
+    many = [(i, f"w{i % 7} x{i % 3} y") for i in range(200)]
+    p = f"{tmp_dir}/i"
+    write_index(spark, docs(spark, many[:120]), p)
+    files = [os.path.basename(f).split("_")[1] for f in glob.glob(f"{p}/postings/part=0/*.parquet")]
+    assert "5" in seen and len(files) == len(set(files))
+    both = write_index(spark, docs(spark, many[120:]), p, "append")
+    assert spark.conf.get(key, None) == before
+    assert stats(both) == stats(write_index(spark, docs(spark, many), f"{tmp_dir}/whole"))
+    assert both.postings.count() == 600
