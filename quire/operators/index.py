@@ -110,7 +110,7 @@ def term_counts(df: DataFrame, analyzer: str = "standard", id_col: str = "doc_id
     if in_row:
         rows, each = _counted(words, id_col, positions), F.col("_c")
     else:
-        rows, each = _counted_together(words, id_col, pairs), F.arrays_zip("term", "tf")
+        rows, each = _counted_together(words, id_col, pairs), F.arrays_zip(F.col("_c.term"), F.col("_c.tf"))
     rows = (rows if late else dealt(rows)).select(id_col, "dl", F.explode_outer(each).alias("_c")) \
         .filter(F.col("_c").isNotNull()).select(id_col, "dl", "_c.*")
     if late:
@@ -143,18 +143,18 @@ COUNTED = 1_000_000
 
 
 def _counted_together(words: DataFrame, id_col: str, pairs: bool = False) -> DataFrame:
-    """(id, dl, term, tf): the array ``_toks`` (without null elements) as an array of its
-    different terms, and one of how often each is there. With ``pairs`` the terms are "w1 w2"
+    """(id, dl, _c): the array ``_toks`` (without null elements) as a pair of arrays, of its
+    different terms and of how often each is there. With ``pairs`` the terms are "w1 w2"
     of neighbouring elements (``shingles``), of which no text is made before they are counted."""
     ship_package(words.sparkSession)
     return words.mapInArrow(lambda batches: counted(batches, pairs), T.StructType([
-        words.schema[id_col], T.StructField("dl", T.IntegerType()), T.StructField("term", T.ArrayType(T.StringType())),
-        T.StructField("tf", T.ArrayType(T.IntegerType()))]))
+        words.schema[id_col], T.StructField("dl", T.IntegerType()), T.StructField("_c", T.StructType([
+            T.StructField("term", T.ArrayType(T.StringType())), T.StructField("tf", T.ArrayType(T.IntegerType()))]))]))
 
 
 def counted(batches: Iterator[pa.RecordBatch], pairs: bool = False) -> Iterator[pa.RecordBatch]:
     """One row per row of an id and an array of words: the id, the number of terms (null for
-    null), the different terms, and how often each is there."""
+    null), and a struct of the different terms and how often each is there."""
     for batch in batches:
         sizes = pc.list_value_length(batch.column(1))
         ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -179,10 +179,11 @@ def counted(batches: Iterator[pa.RecordBatch], pairs: bool = False) -> Iterator[
                 terms = pc.binary_join_element_wise(coded.dictionary.take(pa.array(first)), coded.dictionary.take(pa.array(second)), " ")
             else:
                 terms = coded.dictionary.take(pa.array(term))
+            both = pa.StructArray.from_arrays([pa.ListArray.from_arrays(cuts, a) for a in (terms, pa.array(times, pa.int32()))],
+                                              ["term", "tf"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), sizes.slice(lo, hi - lo).cast(pa.int32()),
-                 pa.ListArray.from_arrays(cuts, terms), pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32()))],
-                [batch.schema.names[0], "dl", "term", "tf"])
+                [batch.column(0).slice(lo, hi - lo), sizes.slice(lo, hi - lo).cast(pa.int32()), both],
+                [batch.schema.names[0], "dl", "_c"])
             lo = hi
 
 

@@ -235,7 +235,7 @@ def test_terms_counted_beside_the_text(spark, monkeypatch):
     for at_once in (1, 3, 100):
         monkeypatch.setattr(index, "COUNTED", at_once)
         out = [r for b in index.counted(iter([batch, batch.slice(2, 3)])) for r in b.to_pylist()]
-        assert [(r["dl"], dict(zip(r["term"], r["tf"]))) for r in out] == \
+        assert [(r["dl"], dict(zip(r["_c"]["term"], r["_c"]["tf"]))) for r in out] == \
             [(None if x is None else len(x), Counter(x)) for x in lists + lists[2:5]]
 
 
