@@ -105,6 +105,22 @@ def _each_block(rows: DataFrame, table: QueryTable, n_weights: int, schema: T.St
     return rows.mapInArrow(run, schema)
 
 
+def _best(rank: np.ndarray, cut: int, seen: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(spec, doc, query) of the least ``cut`` ranks of a block (specs x documents x queries)
+    for each spec and query, of equal ones the first documents; without infinite ones and
+    those above the ``cut``-th of an earlier block."""
+    bound = seen.get("bound", np.inf)
+    if rank.shape[1] >= cut:
+        bound = seen["bound"] = np.minimum(np.partition(rank, cut - 1, axis=1)[:, cut - 1:cut], bound)
+    spec, doc, query = np.nonzero((rank <= bound) & (rank < np.inf))
+    # of equal scores at the bound only the first documents
+    group = spec * rank.shape[2] + query
+    order = np.lexsort((doc, rank[spec, doc, query], group))
+    spec, doc, query, group = spec[order], doc[order], query[order], group[order]
+    first = np.arange(len(group)) - np.searchsorted(group, group) < cut
+    return spec[first], doc[first], query[first]
+
+
 def best_scores(feats: DataFrame, table: QueryTable, id_type: T.DataType, weights: list[Column], cut: int,
                 decimals: int) -> DataFrame:
     """(spec, query_id, doc_id, score): rounded sums per weight, of which the best ``cut`` of
@@ -119,16 +135,7 @@ def best_scores(feats: DataFrame, table: QueryTable, id_type: T.DataType, weight
         scores = np.sign(sums) * np.floor(np.abs(sums) * m + 0.5) / m
         # last what does not match; a null score before it
         rank = np.where(matches > 0, -np.where(np.isnan(scores), -1e300, scores), np.inf)
-        bound = seen.get("bound", np.inf)
-        if rank.shape[1] >= cut:
-            bound = seen["bound"] = np.minimum(np.partition(rank, cut - 1, axis=1)[:, cut - 1:cut], bound)
-        spec, doc, query = np.nonzero((rank <= bound) & (rank < np.inf))
-        # of equal scores at the bound only the first documents
-        group = spec * rank.shape[2] + query
-        order = np.lexsort((doc, rank[spec, doc, query], group))
-        spec, doc, query, group = spec[order], doc[order], query[order], group[order]
-        first = np.arange(len(group)) - np.searchsorted(group, group) < cut
-        spec, doc, query = spec[first], doc[first], query[first]
+        spec, doc, query = _best(rank, cut, seen)
         return pa.RecordBatch.from_arrays(
             [pa.array(spec.astype(np.int32)), table.ids.take(pa.array(query)), ids.take(pa.array(doc)),
              pa.array(scores[spec, doc, query], from_pandas=True)], ["spec", "query_id", "doc_id", "score"])
@@ -146,3 +153,45 @@ def shared_terms(postings: DataFrame, table: QueryTable, id_type: T.DataType, mi
         doc, query = np.nonzero((matches > 0) & (matches >= seen["need"]))
         return pa.RecordBatch.from_arrays([table.ids.take(pa.array(query)), ids.take(pa.array(doc))], ["query_id", "doc_id"])
     return _each_block(rows, table, 0, schema, keep)
+
+
+def mask_blocks(batches: Iterator[pa.RecordBatch], words: int, at_once: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(ids, masks) of a few documents at a time, by rising id: masks are documents x words.
+    A word that a document has several times is united."""
+    for batch in batches:
+        order = pc.sort_indices(batch.column(0), null_placement="at_start")
+        ids, lists = batch.column(0).take(order), batch.column(1).take(order)
+        flat, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        word, mask = flat.field("_word").to_numpy(), flat.field("_mask").to_numpy().view(np.uint64)
+        for lo in range(0, len(ids), at_once):
+            hi = min(lo + at_once, len(ids))
+            span, masks = slice(ends[lo], ends[hi]), np.zeros((hi - lo, words), np.uint64)
+            np.bitwise_or.at(masks, (np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi + 1])), word[span]), mask[span])
+            yield ids.slice(lo, hi - lo), masks
+
+
+def most_bits(hits: DataFrame, wants: pa.Table, id_type: T.DataType, cut: int) -> DataFrame:
+    """(query_id, doc_id, score): how many bits of a query's masks (rows query_id, _word,
+    _want) a document's (rows doc_id, _word, _mask) share, where any; the best ``cut`` of a
+    query are all there (more bits first, then smaller id), few others are."""
+    rows = hits.groupBy("doc_id").agg(F.collect_list(F.struct("_word", "_mask")).alias("_p"))
+    schema = T.StructType([T.StructField("query_id", id_type), T.StructField("doc_id", rows.schema["doc_id"].dataType),
+                           T.StructField("score", T.DoubleType())])
+    coded = wants["query_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+    ids, query, word = coded.dictionary, coded.indices.to_numpy(), wants["_word"].to_numpy()
+    want, words = wants["_want"].to_numpy().view(np.uint64), int(word.max(initial=-1)) + 1
+    order = np.argsort(word, kind="stable")
+    of_word = np.split(order, np.searchsorted(word[order], np.arange(1, words)))
+    at_once = max(1, SCORES_AT_ONCE // max(1, len(ids), words))
+    ship_package(rows.sparkSession)
+
+    def run(batches):
+        seen = {}
+        for docs, masks in mask_blocks(batches, words, at_once):
+            bits = np.zeros((len(docs), len(ids)), np.int32)
+            for w, some in enumerate(of_word):
+                bits[:, query[some]] += np.bitwise_count(masks[:, w, None] & want[some])
+            _, doc, asker = _best(np.where(bits > 0, -bits.astype(np.float64), np.inf)[None], cut, seen)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(asker)), docs.take(pa.array(doc)), pa.array(bits[doc, asker].astype(np.float64))],
+                                             ["query_id", "doc_id", "score"])
+    return rows.mapInArrow(run, schema)

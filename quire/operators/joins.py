@@ -33,7 +33,7 @@ def max_broadcast_bytes(df: DataFrame) -> int:
     return int(v) if v is not None else DEFAULT_MAX_BROADCAST_BYTES
 
 
-def _row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame):
     """Column: about how many bytes a row takes."""
     sizes = [F.lit(0)]
     for name, kind in df.dtypes:
@@ -51,7 +51,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Checked bound: one job over at most max_rows + 1 rows of a query-side
     table (``limit`` stops it early on a large one) counts rows and bytes."""
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
-    n, size = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1) \
+    n, size = df.select(row_bytes(df).alias("b")).limit(max_rows + 1) \
         .agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
     return n <= max_rows and size <= max_broadcast_bytes(df)
 

@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.docscores import MAX_QUERY_ROWS, most_bits
 from quire.operators.index import Index
-from quire.operators.joins import counted_join, fits_broadcast, join_small, salted_join
+from quire.operators.joins import (counted_join, fits_broadcast, join_small, max_broadcast_bytes, max_broadcast_rows, row_bytes,
+                                   salted_join)
 from quire.operators.ranking import BM25_B, BM25_K1, corpus_scalars, round_score, weight
 from quire.session import materialize
 from quire.sources.collection import ordered_ids
@@ -73,13 +75,14 @@ def asked_lengths(df: DataFrame, col: str) -> list[int]:
 
 def prefix_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     """(query_id, pattern, term) for every vocabulary term that starts
-    with a ``pattern*`` prefix, by an equi join on generated prefixes."""
+    with a ``pattern*`` prefix, by an equi join on generated prefixes. Other columns of
+    ``terms`` stay with the term."""
     pats = patterns.select("query_id", "pattern").distinct()
     # prefixes of the lengths asked for only
     lengths = F.array(*[F.lit(n) for n in asked_lengths(pats, "pattern")]).cast("array<int>")
     wanted = F.filter(lengths, lambda k: k <= F.length("term"))
-    pre = terms.select("term", F.explode(F.transform(wanted, lambda i: F.substring("term", F.lit(1), i))).alias("pattern"))
-    return join_small(pre, pats, "pattern").select("query_id", "pattern", "term")
+    pre = terms.select("*", F.explode(F.transform(wanted, lambda i: F.substring("term", F.lit(1), i))).alias("pattern"))
+    return join_small(pre, pats, "pattern").select("query_id", "pattern", *terms.columns)
 
 
 GRAM = 3
@@ -89,11 +92,13 @@ def wildcard_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     """(query_id, pattern, term) for patterns with ``*`` (any characters)
     and ``?`` (one character) anywhere.
 
-    An equi join, not a test of every pair: each pattern is keyed by up to GRAM
-    characters of its longest literal run, each term by its substrings of those
-    lengths, and the pairs that meet are tested with the pattern as a regular
-    expression. A pattern without a literal has the empty key, which all terms
-    share: it has to look at the whole vocabulary."""
+    An equi join, not a test of every pair: a pattern is keyed by up to GRAM characters
+    that its terms begin with and as many that they end with, or, where it has longer
+    literals inside, by GRAM characters of its longest literal run. A term has a key for
+    each shape of key that is asked for, and the pairs that meet are tested with the pattern
+    as a regular expression. A pattern without a literal has the empty key, which all terms
+    share: it has to look at the whole vocabulary. Other columns of ``terms`` stay with the
+    term."""
     pats = patterns.select("query_id", "pattern").distinct()
     runs = F.split("pattern", r"[*?]")
     longest = F.array_sort(F.transform(runs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r"))))[0]["r"]
@@ -101,21 +106,33 @@ def wildcard_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     quoted = F.regexp_replace("pattern", r"([^\p{L}\p{N}])", r"\\$1")
     regex = F.replace(F.replace(quoted, F.lit("\\*"), F.lit(".*")), F.lit("\\?"), F.lit("."))
     # cheap tests that come first; with one wildcard, a star, they decide
-    pats = pats.withColumn("_key", F.substring(longest, 1, GRAM)) \
+    pats = pats.withColumn("_head", runs[0]).withColumn("_tail", F.element_at(runs, -1)) \
         .withColumn("_regex", F.concat(F.lit("(?s)^"), regex, F.lit("$"))) \
-        .withColumn("_head", runs[0]).withColumn("_tail", F.element_at(runs, -1)) \
         .withColumn("_least", F.length(F.replace("pattern", F.lit("*"), F.lit("")))) \
-        .withColumn("_plain", (F.size(runs) == 2) & F.contains("pattern", F.lit("*")))
+        .withColumn("_plain", (F.size(runs) == 2) & F.contains("pattern", F.lit("*"))) \
+        .withColumn("_long", F.substring(longest, 1, GRAM))
+    head, tail = F.least(F.length("_head"), F.lit(GRAM)), F.least(F.length("_tail"), F.lit(GRAM))
+    ends = head + tail >= F.length("_long")
+    pats = pats.withColumn("_shape", F.when(ends, F.concat(head, F.lit("-"), tail)).otherwise(F.length("_long").cast("string"))) \
+        .withColumn("_key", F.concat("_shape", F.lit(":"), F.when(ends, F.concat(
+            F.substring("_head", F.lit(1), head), F.substring("_tail", F.length("_tail") - tail + 1, tail))).otherwise(F.col("_long"))))
     n = F.length("term")
 
-    def grams(k: int) -> Column:
-        return F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring("term", i, k))) \
-            .otherwise(F.array().cast("array<string>"))
-    keys = F.array_distinct(F.concat(F.array(F.lit("")), *[grams(k) for k in range(1, GRAM + 1)]))
-    keyed = terms.select("term", F.explode(keys).alias("_key"))
+    def key(shape: str) -> Column:
+        if "-" not in shape:
+            k = int(shape)
+            every = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.concat(F.lit(f"{shape}:"), F.substring("term", i, k)))
+            return F.when(n >= k, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+        h, t = map(int, shape.split("-"))
+        both = F.concat(F.lit(f"{shape}:"), F.substring("term", 1, h), F.substring("term", n - t + 1, F.lit(t)))
+        return F.when(n >= max(h, t), F.array(both)).otherwise(F.array().cast("array<string>"))
+    # at most (GRAM + 1) ** 2 + GRAM shapes
+    shapes = sorted(r[0] for r in pats.select("_shape").distinct().collect() if r[0] is not None)
+    keys = F.concat(F.array().cast("array<string>"), *map(key, shapes))
+    keyed = terms.select("*", F.explode(keys).alias("_key"))
     matches = F.expr("length(term) >= _least AND startswith(term, _head) AND endswith(term, _tail) AND (_plain OR term rlike _regex)")
     # only keys that a pattern asks for leave the vocabulary scan
-    return join_small(keyed, pats, "_key").filter(matches).select("query_id", "pattern", "term")
+    return join_small(keyed, pats, "_key").filter(matches).select("query_id", "pattern", *terms.columns)
 
 
 #: Patterns whose hits in a document are bits of one number.
@@ -129,34 +146,76 @@ def wildcard_rank(index: Index, patterns: DataFrame, cut: int = 10, prefixes: bo
 
     A pattern is expanded once, whatever the number of queries that have it. Patterns are
     numbered, and WORD_BITS of them make a word: a document's hits are a mask for each word,
-    united over its postings, and a query counts the bits that it shares with them. So no
-    row is made for each query, pattern and term, and postings, bucketed by document, are
-    grouped without a shuffle."""
+    united over its postings, and a query counts the bits that it shares with them, for
+    some documents and all queries at a time (``docscores``). So no row is made for each
+    query and document, nor for each query, pattern and term."""
     asked = patterns.select("query_id", "pattern").distinct().filter(F.col("pattern").isNotNull())
     number = F.col("_n") - 1
     numbered = materialize(ordered_ids(asked.select("pattern").distinct(), "pattern", "_n").select(
         "pattern", F.floor(number / WORD_BITS).alias("_word"),
         F.expr(f"shiftleft(1L, CAST((_n - 1) % {WORD_BITS} AS INT))").alias("_bit")), "wildcard-patterns")
     exp = (prefix_expansion if prefixes else wildcard_expansion)(
-        index.terms.select("term"), numbered.select(F.lit(0).alias("query_id"), "pattern"))
+        index.terms.select("term", "df"), numbered.select(F.lit(0).alias("query_id"), "pattern"))
     # at most a row per term and word
-    exp = materialize(join_small(exp, numbered, "pattern").groupBy("term", "_word").agg(F.bit_or("_bit").alias("_mask")),
+    exp = materialize(join_small(exp, numbered, "pattern").groupBy("term", "df", "_word").agg(F.bit_or("_bit").alias("_mask")),
                       "wildcard-terms")
-    postings = index.postings.select("doc_id", "term")
-    if fits_broadcast(exp):
-        met = postings.join(F.broadcast(exp), "term")
+    hits = word_masks(index, exp)
+    wants = materialize(join_small(asked, numbered, "pattern").groupBy("query_id", "_word").agg(F.bit_or("_bit").alias("_want")),
+                        "wildcard-queries")
+    if fits_broadcast(wants, min(MAX_QUERY_ROWS, max_broadcast_rows(wants))):
+        scored = most_bits(hits, wants.toArrow(), wants.schema["query_id"].dataType, cut)
     else:
-        met = counted_join(postings, exp.join(index.terms.select("term", "df"), "term"), "term", "df", spread_col="doc_id")
-    hits = met.groupBy("doc_id", "_word").agg(F.bit_or("_mask").alias("_mask"))
-    wants = join_small(asked, numbered, "pattern").groupBy("query_id", "_word").agg(F.bit_or("_bit").alias("_want"))
-    shared = join_small(hits, materialize(wants, "wildcard-queries"), "_word").select(
-        "query_id", "doc_id", F.bit_count(F.col("_mask").bitwiseAND(F.col("_want"))).alias("_n")).filter(F.col("_n") > 0)
-    scored = shared.groupBy("query_id", "doc_id").agg(F.sum("_n").cast("double").alias("score"))
+        hits = hits.groupBy("doc_id", "_word").agg(F.bit_or("_mask").alias("_mask"))
+        shared = join_small(hits, wants, "_word").select(
+            "query_id", "doc_id", F.bit_count(F.col("_mask").bitwiseAND(F.col("_want"))).alias("_n")).filter(F.col("_n") > 0)
+        scored = shared.groupBy("query_id", "doc_id").agg(F.sum("_n").cast("double").alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return (scored.withColumn("rk", F.row_number().over(win).cast("bigint"))
             .filter(F.col("rk") <= cut).select("query_id", "rk", "doc_id", "score"))
 
 
+#: Expanded terms that are sent to the tasks at most (and within the bounds of ``joins``).
+SENT_TERMS = 500_000
+
+
+def sent_df(*tables: DataFrame) -> int | None:
+    """The least power of two such that the rows of that ``df`` or more can be broadcast,
+    of each table; None where those of the first can be as a whole."""
+    least = []
+    for rows in tables:
+        # at most 64 rows, the most frequent first
+        sizes = rows.groupBy(F.floor(F.log2("df")).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(rows)).alias("b")) \
+            .orderBy(F.desc("k")).collect()
+        n, b, k = min(SENT_TERMS, max_broadcast_rows(rows)), max_broadcast_bytes(rows), None
+        for r in sizes:
+            n, b = n - r["n"], b - r["b"]
+            if n < 0 or b < 0:
+                k = r["k"] + 1
+                break
+        if k is None and not least:
+            return None
+        least.append(k or 0)
+    return 1 << max(least)
+
+
+def word_masks(index: Index, exp: DataFrame) -> DataFrame:
+    """(doc_id, _word, _mask): the masks of expanded terms (term, df, _word, _mask) that a
+    document has; a word may come twice.
+
+    Expanded terms may be a large part of the vocabulary, but its frequent terms make nearly
+    all postings: they are broadcast, and what they give is united beside the postings,
+    which are bucketed by document. Only postings of rarer terms are shuffled."""
+    postings = index.postings.select("doc_id", "term")
+    least = sent_df(exp, index.terms.select("term", "df"))
+    sent = exp if least is None else exp.filter(F.col("df") >= least)
+    masks = postings.join(F.broadcast(sent.drop("df")), "term").groupBy("doc_id", "_word").agg(F.bit_or("_mask").alias("_mask"))
+    if least is None:
+        return masks
+    often = index.terms.filter(F.col("df") >= least).select("term")
+    rare = counted_join(postings.join(F.broadcast(often), "term", "left_anti"), exp.filter(F.col("df") < least), "term", "df", spread_col="doc_id")
+    return masks.unionByName(rare.select("doc_id", "_word", "_mask"))
+
+
 # ----------------------------------------------------------------- fuzzy
 
 def _segment(length: Column, i: Column, m: int) -> tuple[Column, Column]:

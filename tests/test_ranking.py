@@ -341,3 +341,53 @@ def test_query_table_is_bounded(spark, monkeypatch):
     assert docscores.query_table(qt).counts().sum() == 4
     monkeypatch.setattr(docscores, "MAX_QUERY_CELLS", 7)
     assert docscores.query_table(qt) is None
+
+
+def _counted_patterns(asked, texts, cut, prefixes):
+    """(query, rk, doc, score) by a count of each query's patterns in each document."""
+    want = []
+    for q in sorted({q for q, _ in asked}):
+        pats = {p for a, p in asked if a == q}
+        n = {d: sum(any(_wild(p + "*" * prefixes, w) for w in t) for p in pats) for d, t in texts.items()}
+        want += [(q, i + 1, d, float(n[d])) for i, d in enumerate(sorted((d for d in n if n[d]), key=lambda d: (-n[d], d))[:cut])]
+    return want
+
+
+def test_postings_of_frequent_expanded_terms_are_not_shuffled(spark, monkeypatch):
+    """Of more expanded terms than are broadcast, the frequent ones still are, and only
+    postings of the others are joined by a shuffle."""
+    from quire.operators import structured
+    common, texts = [f"a{c}z" for c in "bcde"], {}
+    for i in range(60):
+        texts[i] = common + [f"a{i:02d}xz", f"b{i % 7}z"]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, contents string")
+    asked = [(0, "a*z"), (0, "a?z"), (1, "*xz"), (1, "a*"), (2, "*"), (2, "b3*"), (3, "*1x*"), (4, "none*")]
+    index, shuffled = build_index(spark, docs), []
+    real = structured.counted_join
+
+    def seen(big, *args, **kwargs):
+        shuffled.append(big.count())
+        return real(big, *args, **kwargs)
+    monkeypatch.setattr(structured, "counted_join", seen)
+    patterns = spark.createDataFrame(asked, "query_id int, pattern string")
+    monkeypatch.setattr(structured, "SENT_TERMS", 12, raising=False)
+    spark.conf.set("quire.broadcast.maxRows", "40")
+    try:
+        got = [tuple(r) for r in structured.wildcard_rank(index, patterns, 5, False).orderBy("query_id", "rk").collect()]
+    finally:
+        spark.conf.unset("quire.broadcast.maxRows")
+    assert got == _counted_patterns(asked, texts, 5, False)
+    assert index.postings.count() == 360 and shuffled == [60]
+
+
+def test_wildcards_of_any_shape(spark):
+    """Keys of both ends, of one, of neither; other columns stay; null matches nothing."""
+    import random
+    from quire.operators.structured import wildcard_expansion
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abé.", k=rng.randrange(1, 9))) for _ in range(300)})
+    pats = sorted({"".join(rng.choices("abé.*?*", k=rng.randrange(1, 8))) for _ in range(150)} | {"ab*abab*ba", "?bab*", "*a?", "abab", "ab*ba"})
+    terms = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "term string, df int")
+    asked = spark.createDataFrame([*enumerate(pats), (900, None)], "query_id int, pattern string")
+    rows = [(r.pattern, r.term, r.df) for r in wildcard_expansion(terms, asked).collect()]
+    assert sorted(rows) == sorted((p, w, i) for p in pats for i, w in enumerate(words) if _wild(p, w))
