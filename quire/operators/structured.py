@@ -79,9 +79,8 @@ def prefix_expansion(terms: DataFrame, patterns: DataFrame) -> DataFrame:
     ``terms`` stay with the term."""
     pats = patterns.select("query_id", "pattern").distinct()
     # prefixes of the lengths asked for only
-    lengths = F.array(*[F.lit(n) for n in asked_lengths(pats, "pattern")]).cast("array<int>")
-    wanted = F.filter(lengths, lambda k: k <= F.length("term"))
-    pre = terms.select("*", F.explode(F.transform(wanted, lambda i: F.substring("term", F.lit(1), i))).alias("pattern"))
+    made = [F.when(F.length("term") >= n, F.substring("term", 1, n)) for n in asked_lengths(pats, "pattern")]
+    pre = terms.select("*", F.explode(F.array_compact(F.array(*made).cast("array<string>"))).alias("pattern"))
     return join_small(pre, pats, "pattern").select("query_id", "pattern", *terms.columns)
 
 

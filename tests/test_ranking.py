@@ -391,3 +391,35 @@ def test_wildcards_of_any_shape(spark):
     asked = spark.createDataFrame([*enumerate(pats), (900, None)], "query_id int, pattern string")
     rows = [(r.pattern, r.term, r.df) for r in wildcard_expansion(terms, asked).collect()]
     assert sorted(rows) == sorted((p, w, i) for p in pats for i, w in enumerate(words) if _wild(p, w))
+
+
+def test_wildcard_queries_are_counted_some_documents_at_a_time(spark, monkeypatch):
+    """Far fewer rows than pairs of a query and a document leave the tasks, in blocks of few
+    documents too; more queries than are sent to the tasks are joined, with equal ranks.
+    Null queries and null documents are one each."""
+    from quire.operators import docscores, structured
+    texts = {i: [f"w{(i * k) % 11}" for k in range(1, 6)] for i in range(200)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()] + [(None, "w1 w2")], "doc_id long, contents string")
+    asked = [(q, p) for q in range(20) for p in (f"w{q % 11}", f"w{(q + 3) % 11}", "w1", f"w{q % 4}")]
+    patterns = spark.createDataFrame([*asked, (None, "w2"), (None, "w1"), (3, None)], "query_id int, pattern string").coalesce(1)
+    index, made = build_index(spark, docs.coalesce(1)), []
+    real = structured.most_bits
+
+    def seen(*args):
+        out = real(*args)
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(structured, "most_bits", seen)
+
+    def ranked():
+        return sorted(map(tuple, structured.wildcard_rank(index, patterns, 3).collect()), key=str)
+    whole = ranked()
+    monkeypatch.setattr(docscores, "SCORES_AT_ONCE", 100)
+    assert ranked() == whole
+    monkeypatch.setattr(structured, "MAX_QUERY_ROWS", 1)
+    assert ranked() == whole
+    assert len(made) == 2 and made[0] <= 8 * 21 * 3 and {q for q, *_ in whole} == {*range(20), None}
+    assert any(d is None for *_, d, _ in whole)
+    known = {d: t for d, t in texts.items()} | {-1: ["w1", "w2"]}
+    want = _counted_patterns([(-1 if q is None else q, p) for q, p in [*asked, (None, "w2"), (None, "w1")]], known, 3, True)
+    assert sorted((tuple(-1 if v is None else v for v in r) for r in whole)) == sorted(want)
