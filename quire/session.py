@@ -120,6 +120,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path without scheme if it is in a local file system, else None."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(jpath).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def materialize(df, name: str):
     """Write ``df`` once to a fresh folder under the shared folder and read it
     back: a lineage cut that survives executor loss and, unlike

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.session import delete_path, materialize
+from quire.session import delete_path, materialize, mounted
 
 
 def write_collection(df: DataFrame, path: str, id_col: str = "doc_id",
@@ -66,7 +66,7 @@ def write_tree(docs: DataFrame, path: str, folder_col: str = "source",
     machine mounts (``file:``): there Hadoop starts two ``chmod`` processes a file, which
     take nearly all the time, and tasks write the files themselves. Their rows are
     written once before, so that a task that is run again writes the same files."""
-    local = _mounted(docs.sparkSession, path)
+    local = mounted(docs.sparkSession, path)
     if local is None:
         (docs.select(folder_col, text_col).write.mode("overwrite")
          .option("maxRecordsPerFile", 1).partitionBy(folder_col).text(path))
@@ -78,13 +78,6 @@ def write_tree(docs: DataFrame, path: str, folder_col: str = "source",
     return path
 
 
-def _mounted(spark, path: str) -> str | None:
-    """The path without scheme if it is in a local file system, else None."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(jpath).toUri().getPath() if fs.getUri().getScheme() == "file" else None
-
-
 def _folder_name(column: str, value: str | None) -> str:
     """``column=value`` as ``partitionBy`` writes it."""
     if not value:

@@ -178,3 +178,38 @@ def test_tree_files_written_by_tasks(spark, tmp_dir):
     assert files(root, lambda f: True) == files(plain, lambda f: f.startswith("part-"))
     assert len(files(root, lambda f: True)) == len(rows)
     assert scan_files(spark, "file://" + root, only_ext=["txt"]).count() == len(rows)
+
+
+def test_tree_is_listed_and_read_by_tasks(spark, tmp_dir):
+    """The driver plans no file of a mounted tree, and the rows are those of Spark's reader:
+    hidden, empty, linked, compressed and damaged files, and odd names."""
+    import bz2
+    import gzip
+    from pyspark.sql import functions as F
+    root = os.path.join(tmp_dir, "plain")
+    texts = {f"s{i % 3}/d{i % 2}/f{i}.txt": f"text {i}\n".encode() for i in range(60)} | {
+        "top.txt": b"t", "a b/é%41# .txt": b"x\r\ny", "s0/back\\slash{1}.txt": b"b", "s0/new\nline": b"n", "s0/none.txt": b"", "s0/bytes.txt": b"\xff\xfe ok",
+        "_h/x.txt": b"h", "_h=1/x.txt": b"1", ".h/x.txt": b"h", "_metadata/y.txt": b"m", "_metadata.txt": b"m", "s1/_f.txt": b"f", "s1/_f=3": b"3",
+        "s1/z._COPYING_": b"c", "s1/c:d.txt": b"c", "z/a.gz": gzip.compress(b"one") + gzip.compress(b"two"), "z/B.BZ2": bz2.compress(b"bz"), "z/bad.gz": b"no",
+        "z/q[1].gz": gzip.compress(b"q"), "k/bad.txt": b"hello", "k/.bad.txt.crc": b"crc\0\0\0\2\0\0\0\0\0", "k/odd.txt": b"odd", "k/.odd.txt.crc": b"?"}
+    for name, data in texts.items():
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(data)
+    spark.createDataFrame([("good " * 500,)], "value string").coalesce(1).write.text(os.path.join(root, "k", "sums"))
+    os.symlink(os.path.join(root, "s2"), os.path.join(root, "link"))
+    os.symlink("/nowhere", os.path.join(root, "s2", "broken.txt"))
+    m = "_metadata.file_"
+    want = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(root, wholetext=True).select(
+        F.col(m + "path").alias("path"), F.col(m + "size").alias("size"), F.col(m + "modification_time").alias("modified"), F.hex("value").alias("h"))
+    got = scan_files(spark, root)
+    rows = sorted(map(tuple, got.select("path", "size", "modified", F.hex("contents")).collect()))
+    assert rows == sorted(map(tuple, want.collect())) and len(rows) > 90
+    assert len(got.filter("ext = 'txt'").inputFiles()) < 30 < len(want.inputFiles())
+    bare = scan_files(spark, root, contents_stored=False)
+    assert sorted(r.path for r in bare.select("path").collect()) == [r[0] for r in rows]
+    assert bare.select("path", "partition").distinct().count() == len(rows) and bare.filter("partition IS NULL").count() == 0
+    os.makedirs(os.path.join(tmp_dir, "bare", "folder"))
+    assert scan_files(spark, os.path.join(tmp_dir, "bare")).count() == 0
+    assert scan_files(spark, os.path.join(root, "to*.txt")).count() == 1
+    assert scan_files(spark, os.path.join(root, "top.txt")).count() == 1
